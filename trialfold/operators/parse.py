@@ -154,7 +154,8 @@ def json_timestamp(tsv: Column, compat: str = "literal") -> tuple[Column, Column
     else:
         fn = F.when(frac == "", F.lit(0)).otherwise(F.rpad(F.substring(frac, 1, 9), 9, "0").cast("long"))
     total = sec * 1000000000 + fn
-    num_ts = F.timestamp_micros(F.floor(total / 1000))
+    # exact integer division (a double would lose the nanoseconds)
+    num_ts = F.timestamp_micros(F.floor(total.cast("decimal(38,0)") / F.lit(1000)).cast("long"))
     num_nanos = F.pmod(total, F.lit(1000000000)).cast("int")
     ok_str = (kind == "STRING") & str_ts.isNotNull()
     ok_num = is_num & sec.isNotNull()

@@ -244,3 +244,7 @@ WHERE t2.trial IN (SELECT p2.trial FROM picked p2 JOIN t2 x USING (trial) JOIN e
 def q_algorithm_input(spark, d):
     c = Ctx(spark, d)
     return state.algorithm_input(c.trials_state, c.available, c.picked, c.experiments)
+
+
+# more registered queries live in sibling modules
+from trialfold.plans import q_sources  # noqa: E402,F401

@@ -63,6 +63,27 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
               ELSE strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%f') END) || 'Z INFO ' || e.event_type
         || (CASE WHEN e.event_id % 70 = 0 THEN ' ' ELSE '=' END) || CAST(e.value AS VARCHAR) AS line
       FROM events e JOIN customer c ON e.user_id = c.c_custkey""", []),
+    "json_lines": ("""SELECT 'trial-' || e.user_id AS trial, 'exp-' || c.c_nationkey AS experiment, e.event_id AS line_no,
+        CASE WHEN e.event_id % 97 = 0 THEN '{"timestamp": ' ELSE
+          '{' || (CASE WHEN e.event_id % 13 = 0 THEN ''
+                       WHEN e.event_id % 3 = 0 THEN '"timestamp": ' || CAST(epoch_us(e.ts) // 1000000 AS VARCHAR) || '.'
+                            || lpad(CAST(epoch_us(e.ts) % 1000000 AS VARCHAR), 6, '0') || ', '
+                       ELSE '"timestamp": "' || strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z", ' END)
+          || '"' || e.event_type || '": '
+          || (CASE WHEN e.event_id % 11 = 0 THEN CAST(e.value AS VARCHAR) ELSE '"' || CAST(e.value AS VARCHAR) || '"' END)
+          || '}' END AS line
+      FROM events e JOIN customer c ON e.user_id = c.c_custkey""", []),
+    "scalar_events": ("""SELECT 'trial-' || user_id AS trial,
+        '/logs/trial-' || user_id || '/' || ['train', 'eval', 'misc'][event_id % 3 + 1] || '/events.out' AS path,
+        event_type || CASE WHEN event_id % 2 = 0 THEN '_v1' ELSE '' END AS tag, ts AS wall_time, value
+      FROM events""", []),
+    "tf_metrics": ("""SELECT 'trial-' || c_custkey AS trial, unnest(['train/purchase', 'eval/click', 'view', 'misc/error']) AS metric
+      FROM customer""", []),
+    "range_requests": ("""SELECT 'trial-' || c_custkey AS req, 'trial-' || c_custkey AS trial,
+        CASE WHEN c_custkey % 2 = 0 THEN 'purchase' END AS req_metric,
+        make_timestamp((1704067200::BIGINT + 4 * 86400 + (c_custkey % 5) * 86400) * 1000000) AS start,
+        CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE make_timestamp((1704067200::BIGINT + 19 * 86400) * 1000000) END AS "end"
+      FROM customer""", []),
     # O23 default strategies
     "strategies": ("""SELECT experiment, pos, s.name AS metric, s.value AS strategy FROM (
       SELECT experiment, CAST(generate_subscripts(slist, 1) - 1 AS INTEGER) AS pos, unnest(slist) AS s

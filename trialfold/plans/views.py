@@ -137,3 +137,61 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(F.concat(F.lit("trial-"), F.col("user_id").cast("string")).alias("trial"),
                      F.concat(F.lit("exp-"), F.col("c_nationkey").cast("string")).alias("experiment"),
                      eid.alias("line_no"), line.alias("line")))
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON-lines training logs (trial, experiment, line_no, line): epoch
+    time every 3rd line, no time every 13th, a numeric (ignored) value every
+    11th, a truncated object every 97th."""
+    e = table(spark, sf_dir, "events")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    eid = F.col("event_id")
+    ts = F.col("ts").cast("timestamp")
+    epoch = F.concat(F.unix_seconds(ts).cast("string"), F.lit("."),
+                     F.lpad((F.unix_micros(ts) % 1000000).cast("string"), 6, "0"))
+    iso = F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    tspart = (F.when(eid % 13 == 0, F.lit(""))
+              .when(eid % 3 == 0, F.concat(F.lit('"timestamp": '), epoch, F.lit(", ")))
+              .otherwise(F.concat(F.lit('"timestamp": "'), iso, F.lit('", '))))
+    v = F.col("value").cast("string")
+    valpart = F.when(eid % 11 == 0, v).otherwise(F.concat(F.lit('"'), v, F.lit('"')))
+    line = F.when(eid % 97 == 0, F.lit('{"timestamp": ')).otherwise(
+        F.concat(F.lit("{"), tspart, F.lit('"'), F.col("event_type"), F.lit('": '), valpart, F.lit("}")))
+    return (e.join(c, e.user_id == c.c_custkey, "inner")
+             .select(F.concat(F.lit("trial-"), F.col("user_id").cast("string")).alias("trial"),
+                     F.concat(F.lit("exp-"), F.col("c_nationkey").cast("string")).alias("experiment"),
+                     eid.alias("line_no"), line.alias("line")))
+
+
+# TF-event style metric names (folder/leaf) watched for every trial.
+TF_METRICS = ["train/purchase", "eval/click", "view", "misc/error"]
+
+
+def scalar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded scalar events (trial, path, tag, wall_time, value)."""
+    e = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    folder = _pick(eid, ["train", "eval", "misc"])
+    trial = F.concat(F.lit("trial-"), F.col("user_id").cast("string"))
+    return e.select(trial.alias("trial"),
+                    F.concat(F.lit("/logs/"), trial, F.lit("/"), folder, F.lit("/events.out")).alias("path"),
+                    F.concat(F.col("event_type"), F.when(eid % 2 == 0, F.lit("_v1")).otherwise(F.lit(""))).alias("tag"),
+                    F.col("ts").cast("timestamp").alias("wall_time"), F.col("value"))
+
+
+def tf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(trial, metric) watch list: every trial x TF_METRICS."""
+    t = table(spark, sf_dir, "customer").select(F.concat(F.lit("trial-"), F.col("c_custkey").cast("string")).alias("trial"))
+    return t.select("trial", F.explode(F.array(*[F.lit(m) for m in TF_METRICS])).alias("metric"))
+
+
+def range_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log-range request per trial: metric only for even keys, start
+    2024-01-05 + key%5 days, end 2024-01-20 except every 3rd key."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    trial = F.concat(F.lit("trial-"), k.cast("string"))
+    start = F.timestamp_seconds(F.lit(EPOCH_2024 + 4 * 86400) + (k % 5) * 86400)
+    end = F.when(k % 3 == 0, F.lit(None).cast("timestamp")).otherwise(F.timestamp_seconds(F.lit(EPOCH_2024 + 19 * 86400)))
+    return c.select(trial.alias("req"), trial.alias("trial"),
+                    F.when(k % 2 == 0, F.lit("purchase")).alias("req_metric"), start.alias("start"), end.alias("end"))
