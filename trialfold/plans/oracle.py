@@ -56,7 +56,8 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
     "assignments": ("""SELECT 'trial-' || c_custkey AS trial, 'exp-' || c_nationkey AS experiment,
         [{'name': 'lr', 'value': '0.' || lpad(CAST(c_custkey % 97 + 1 AS VARCHAR), 3, '0')},
          {'name': 'ne', 'value': CAST(50 + (c_custkey % 10) * 50 AS VARCHAR)},
-         {'name': 'booster', 'value': ['gbtree', 'dart', 'gblinear'][c_nationkey % 3 + 1]}] AS assignments
+         {'name': 'booster', 'value': ['gbtree', 'dart', 'gblinear'][c_nationkey % 3 + 1]},
+         {'name': 'depth', 'value': ['3', '5', '8'][c_custkey % 3 + 1]}] AS assignments
       FROM customer""", []),
     "log_lines": ("""SELECT 'trial-' || e.user_id AS trial, 'exp-' || c.c_nationkey AS experiment, e.event_id AS line_no,
         (CASE WHEN e.event_id % 50 = 0 THEN strftime(e.ts, '%Y-%m-%d %H:%M:%S.%f')
@@ -84,6 +85,43 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         make_timestamp((1704067200::BIGINT + 4 * 86400 + (c_custkey % 5) * 86400) * 1000000) AS start,
         CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE make_timestamp((1704067200::BIGINT + 19 * 86400) * 1000000) END AS "end"
       FROM customer""", []),
+    "param_specs": ("""SELECT experiment, s.pos AS pos, s.name AS name, s.type AS type, s.min AS min, s.max AS max,
+          s.step AS step, s.list AS list
+      FROM (SELECT 'exp-' || n_nationkey AS experiment, unnest([
+        {'pos': 0, 'name': 'lr', 'type': 'double', 'min': '0.01', 'max': '0.0' || CAST(5 + n_nationkey % 5 AS VARCHAR),
+         'step': '0.01', 'list': NULL::VARCHAR[]},
+        {'pos': 1, 'name': 'ne', 'type': 'int', 'min': '50', 'max': CAST(100 + (n_nationkey % 4) * 50 AS VARCHAR),
+         'step': CASE WHEN n_nationkey % 3 = 0 THEN '25' ELSE '50' END, 'list': NULL::VARCHAR[]},
+        {'pos': 2, 'name': 'booster', 'type': 'categorical', 'min': NULL, 'max': NULL, 'step': NULL,
+         'list': ['gbtree', 'dart', 'gblinear']},
+        {'pos': 3, 'name': 'depth', 'type': 'discrete', 'min': NULL, 'max': NULL, 'step': NULL,
+         'list': CASE WHEN n_nationkey % 2 = 1 THEN ['3', '5', '8', '12'] ELSE ['3', '5', '8'] END}]) AS s FROM nation)""", []),
+    "nas_ops": ("""SELECT experiment, o.op_pos AS op_pos, o.op_type AS op_type, o.params AS params
+      FROM (SELECT 'exp-' || n_nationkey AS experiment, unnest([
+        {'op_pos': 0, 'op_type': 'convolution', 'params': [
+           {'name': 'filter_size', 'type': 'categorical', 'min': NULL::VARCHAR, 'max': NULL::VARCHAR, 'step': NULL::VARCHAR,
+            'list': CASE WHEN n_nationkey % 2 = 1 THEN ['3', '5', '7'] ELSE ['3', '5'] END},
+           {'name': 'num_filter', 'type': 'categorical', 'min': NULL, 'max': NULL, 'step': NULL,
+            'list': CASE WHEN n_nationkey % 3 = 0 THEN ['32', '48', '64'] ELSE ['32', '48'] END}]},
+        {'op_pos': 1, 'op_type': 'separable_convolution', 'params': [
+           {'name': 'filter_size', 'type': 'categorical', 'min': NULL, 'max': NULL, 'step': NULL, 'list': ['3', '5']}]},
+        {'op_pos': 2, 'op_type': 'reduction', 'params': [
+           {'name': 'reduction_type', 'type': 'categorical', 'min': NULL, 'max': NULL, 'step': NULL,
+            'list': ['max_pooling', 'avg_pooling']},
+           {'name': 'pool_size', 'type': 'int', 'min': '2', 'max': '3', 'step': '1', 'list': NULL}]},
+        {'op_pos': 3, 'op_type': 'skip_connection',
+         'params': []::STRUCT(name VARCHAR, type VARCHAR, min VARCHAR, max VARCHAR, step VARCHAR, list VARCHAR[])[]}
+      ]) AS o FROM nation)""", []),
+    "settings_base": ("""SELECT experiment, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos,
+          unnest(l).name AS name, unnest(l).value AS value
+      FROM (SELECT 'exp-' || n_nationkey AS experiment, [{'name': 'random_state', 'value': CAST(n_nationkey AS VARCHAR)},
+              {'name': 'n_startup_trials', 'value': '10'}, {'name': 'gamma', 'value': '0.25'}] AS l FROM nation)""", []),
+    "settings_over": ("""SELECT experiment, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos,
+          unnest(l).name AS name, unnest(l).value AS value
+      FROM (SELECT 'exp-' || n_nationkey AS experiment, list_filter([
+              CASE WHEN n_nationkey % 2 = 1 THEN {'name': 'gamma', 'value': '0.1'} END,
+              CASE WHEN n_nationkey % 3 = 0 THEN {'name': 'prior_weight', 'value': '1.0'} END], lambda x: x IS NOT NULL) AS l
+            FROM nation)""", []),
     # O23 default strategies
     "strategies": ("""SELECT experiment, pos, s.name AS metric, s.value AS strategy FROM (
       SELECT experiment, CAST(generate_subscripts(slist, 1) - 1 AS INTEGER) AS pos, unnest(slist) AS s

@@ -104,7 +104,7 @@ def experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parameter assignments of every trial, in spec order (lr, ne, booster)."""
+    """Parameter assignments of every trial, in spec order (lr, ne, booster, depth)."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     lr = F.concat(F.lit("0."), F.lpad(((k % 97) + 1).cast("string"), 3, "0"))
@@ -114,10 +114,11 @@ def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     def a(name, v):
         return F.struct(F.lit(name).alias("name"), v.alias("value"))
 
+    depth = _pick(k, ["3", "5", "8"])
     return c.select(
         F.concat(F.lit("trial-"), k.cast("string")).alias("trial"),
         F.concat(F.lit("exp-"), F.col("c_nationkey").cast("string")).alias("experiment"),
-        F.array(a("lr", lr), a("ne", ne), a("booster", booster)).alias("assignments"),
+        F.array(a("lr", lr), a("ne", ne), a("booster", booster), a("depth", depth)).alias("assignments"),
     )
 
 
@@ -195,3 +196,125 @@ def range_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.when(k % 3 == 0, F.lit(None).cast("timestamp")).otherwise(F.timestamp_seconds(F.lit(EPOCH_2024 + 19 * 86400)))
     return c.select(trial.alias("req"), trial.alias("trial"),
                     F.when(k % 2 == 0, F.lit("purchase")).alias("req_metric"), start.alias("start"), end.alias("end"))
+
+
+def _spec(pos, name, typ, mn, mx, step, lst):
+    return F.struct(F.lit(pos).alias("pos"), F.lit(name).alias("name"), F.lit(typ).alias("type"),
+                    mn.alias("min"), mx.alias("max"), step.alias("step"), lst.alias("list"))
+
+
+def _ns():
+    return F.lit(None).cast("string")
+
+
+def _nl():
+    return F.lit(None).cast("array<string>")
+
+
+def _arr(*v):
+    return F.array(*[F.lit(x) for x in v])
+
+
+def param_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search space of every experiment: lr (double), ne (int), booster
+    (categorical), depth (discrete); bounds vary with the nation key."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    arr = F.array(
+        _spec(0, "lr", "double", F.lit("0.01"), F.concat(F.lit("0.0"), (F.lit(5) + k % 5).cast("string")), F.lit("0.01"), _nl()),
+        _spec(1, "ne", "int", F.lit("50"), (F.lit(100) + (k % 4) * 50).cast("string"),
+              F.when(k % 3 == 0, F.lit("25")).otherwise(F.lit("50")), _nl()),
+        _spec(2, "booster", "categorical", _ns(), _ns(), _ns(), _arr(*BOOSTERS)),
+        _spec(3, "depth", "discrete", _ns(), _ns(), _ns(),
+              F.when(k % 2 == 1, _arr("3", "5", "8", "12")).otherwise(_arr("3", "5", "8"))),
+    )
+    return n.select(F.concat(F.lit("exp-"), k.cast("string")).alias("experiment"), F.explode(arr).alias("s")).select(
+        "experiment", "s.*")
+
+
+def _p(name, typ, mn=None, mx=None, step=None, lst=None):
+    return F.struct(F.lit(name).alias("name"), F.lit(typ).alias("type"),
+                    (mn if mn is not None else _ns()).alias("min"), (mx if mx is not None else _ns()).alias("max"),
+                    (step if step is not None else _ns()).alias("step"), (lst if lst is not None else _nl()).alias("list"))
+
+
+def nas_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NAS operation specs per experiment: (experiment, op_pos, op_type, params)."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    fs = F.when(k % 2 == 1, _arr("3", "5", "7")).otherwise(_arr("3", "5"))
+    nf = F.when(k % 3 == 0, _arr("32", "48", "64")).otherwise(_arr("32", "48"))
+    ptype = "struct<name:string,type:string,min:string,max:string,step:string,list:array<string>>"
+    ops = F.array(
+        F.struct(F.lit(0).alias("op_pos"), F.lit("convolution").alias("op_type"),
+                 F.array(_p("filter_size", "categorical", lst=fs), _p("num_filter", "categorical", lst=nf)).alias("params")),
+        F.struct(F.lit(1).alias("op_pos"), F.lit("separable_convolution").alias("op_type"),
+                 F.array(_p("filter_size", "categorical", lst=_arr("3", "5"))).alias("params")),
+        F.struct(F.lit(2).alias("op_pos"), F.lit("reduction").alias("op_type"),
+                 F.array(_p("reduction_type", "categorical", lst=_arr("max_pooling", "avg_pooling")),
+                         _p("pool_size", "int", F.lit("2"), F.lit("3"), F.lit("1"))).alias("params")),
+        F.struct(F.lit(3).alias("op_pos"), F.lit("skip_connection").alias("op_type"),
+                 F.array().cast(f"array<{ptype}>").alias("params")),
+    )
+    return n.select(F.concat(F.lit("exp-"), k.cast("string")).alias("experiment"), F.explode(ops).alias("o")).select(
+        "experiment", "o.*")
+
+
+def _kv(name, value):
+    return F.struct(F.lit(name).alias("name"), value.alias("value"))
+
+
+def settings_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    arr = F.array(_kv("random_state", k.cast("string")), _kv("n_startup_trials", F.lit("10")), _kv("gamma", F.lit("0.25")))
+    return n.select(F.concat(F.lit("exp-"), k.cast("string")).alias("experiment"), F.posexplode(arr).alias("pos", "s")).select(
+        "experiment", F.col("pos").cast("int").alias("pos"), "s.name", "s.value")
+
+
+def settings_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    arr = F.filter(F.array(F.when(k % 2 == 1, _kv("gamma", F.lit("0.1"))),
+                           F.when(k % 3 == 0, _kv("prior_weight", F.lit("1.0")))), lambda x: x.isNotNull())
+    return n.select(F.concat(F.lit("exp-"), k.cast("string")).alias("experiment"), F.posexplode(arr).alias("pos", "s")).select(
+        "experiment", F.col("pos").cast("int").alias("pos"), "s.name", "s.value")
+
+
+TEMPLATE = ("apiVersion: batch/v1\nkind: Job\nspec: train --lr=${trialParameters.learningRate} "
+            "--ne=${trialParameters.numEstimators} --booster=${trialParameters.booster} "
+            "--depth=${trialParameters.depth} --name=${trialParameters.trialName} "
+            "--ns=${trialParameters.trialNs} --kind=${trialParameters.kind} --team=${trialParameters.team}")
+
+
+def templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trial templates: fixed text; trial parameters vary with the key
+    (an unknown assignment every 5th, a missing depth every 7th+3, an
+    unknown label every 9th+4)."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+
+    def tp(name, ref):
+        return F.struct(F.lit(name).alias("name"), (ref if not isinstance(ref, str) else F.lit(ref)).alias("reference"))
+
+    params = F.array(
+        tp("learningRate", "lr"), tp("numEstimators", "ne"), tp("booster", "booster"),
+        F.when(k % 7 != 3, tp("depth", "depth")),
+        tp("trialName", "${trialSpec.Name}"), tp("trialNs", "${trialSpec.Namespace}"), tp("kind", "${trialSpec.Kind}"),
+        tp("team", F.when(k % 9 == 4, F.lit("${trialSpec.Labels[owner]}")).otherwise(F.lit("${trialSpec.Labels[team]}"))),
+        F.when(k % 5 == 0, tp("momentum", "momentum")),
+    )
+    return n.select(F.concat(F.lit("exp-"), k.cast("string")).alias("experiment"), F.lit(TEMPLATE).alias("template"),
+                    F.lit("Job").alias("kind"), F.lit("batch/v1").alias("api_version"),
+                    F.filter(params, lambda x: x.isNotNull()).alias("trial_parameters"))
+
+
+def trial_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(experiment, trial, namespace, assignments, labels, annotations)."""
+    a = assignments(spark, sf_dir)
+    c = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("trial-"), F.col("c_custkey").cast("string")).alias("trial"),
+        F.concat(F.lit("ns-"), (F.col("c_nationkey") % 3).cast("string")).alias("namespace"),
+        F.create_map(F.lit("team"), F.concat(F.lit("team-"), (F.col("c_custkey") % 4).cast("string"))).alias("labels"),
+        F.create_map().cast("map<string,string>").alias("annotations"))
+    return a.join(c, "trial")
