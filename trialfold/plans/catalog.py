@@ -249,3 +249,4 @@ def q_algorithm_input(spark, d):
 # more registered queries live in sibling modules
 from trialfold.plans import q_sources  # noqa: E402,F401
 from trialfold.plans import q_space  # noqa: E402,F401
+from trialfold.plans import q_guide  # noqa: E402,F401

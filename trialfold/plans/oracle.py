@@ -51,7 +51,14 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         (CASE WHEN n_nationkey % 4 = 3 THEN NULL ELSE 5 + n_nationkey END)::INTEGER AS max_failed_trial_count,
         ['Never', 'LongRunning', 'FromVolume'][n_nationkey % 3 + 1] AS resume_policy,
         ['random', 'grid', 'hyperband', 'tpe', 'bayesianoptimization', 'cmaes', 'pbt', 'enas'][n_nationkey % 8 + 1] AS algorithm,
-        n_nationkey % 6 = 5 AS suggestions_ended
+        n_nationkey % 6 = 5 AS suggestions_ended,
+        CASE WHEN n_nationkey % 4 = 1 THEN 2 ELSE 3 END AS hb_eta,
+        CAST(9 * (1 + n_nationkey % 3) AS INTEGER) AS hb_r,
+        CASE n_nationkey % 3 WHEN 0 THEN 0.2 WHEN 1 THEN 0.3 ELSE 0.4 END::DOUBLE AS pbt_tau,
+        CASE WHEN n_nationkey % 2 = 1 THEN 0.3 END::DOUBLE AS pbt_resample_p,
+        CAST(2 + n_nationkey % 3 AS INTEGER) AS ms_start_step,
+        3 AS ms_min_trials,
+        0.25::DOUBLE AS tpe_gamma
       FROM nation""", []),
     "assignments": ("""SELECT 'trial-' || c_custkey AS trial, 'exp-' || c_nationkey AS experiment,
         [{'name': 'lr', 'value': '0.' || lpad(CAST(c_custkey % 97 + 1 AS VARCHAR), 3, '0')},
@@ -122,6 +129,15 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
               CASE WHEN n_nationkey % 2 = 1 THEN {'name': 'gamma', 'value': '0.1'} END,
               CASE WHEN n_nationkey % 3 = 0 THEN {'name': 'prior_weight', 'value': '1.0'} END], lambda x: x IS NOT NULL) AS l
             FROM nation)""", []),
+    "population": ("""SELECT 'trial-' || c_custkey AS trial, 'exp-' || c_nationkey AS experiment,
+        CAST(floor(c_custkey / 500) AS INTEGER) AS generation,
+        CASE WHEN floor(c_custkey / 500) > 0 THEN 'trial-' || (c_custkey - 500) END AS parent FROM customer""", []),
+    "stop_rules": ("""SELECT 'exp-' || n_nationkey AS experiment, 0 AS rule, 'purchase' AS metric,
+          CASE WHEN n_nationkey % 2 = 1 THEN '50' ELSE '20' END AS rule_value,
+          CASE WHEN n_nationkey % 2 = 1 THEN 'greater' ELSE 'less' END AS comparison,
+          CAST(2 + n_nationkey % 3 AS INTEGER) AS start_step FROM nation
+      UNION ALL
+      SELECT 'exp-' || n_nationkey, 1, 'view', '100', 'less', 1 FROM nation WHERE n_nationkey % 2 = 0""", []),
     # O23 default strategies
     "strategies": ("""SELECT experiment, pos, s.name AS metric, s.value AS strategy FROM (
       SELECT experiment, CAST(generate_subscripts(slist, 1) - 1 AS INTEGER) AS pos, unnest(slist) AS s

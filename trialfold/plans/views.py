@@ -100,6 +100,14 @@ def experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(k, ["Never", "LongRunning", "FromVolume"]).alias("resume_policy"),
         _pick(k, ALGORITHMS).alias("algorithm"),
         (k % 6 == 5).alias("suggestions_ended"),
+        # algorithm settings used by the guidance operators (O56a-h)
+        F.when(k % 4 == 1, F.lit(2)).otherwise(F.lit(3)).alias("hb_eta"),
+        (F.lit(9) * (F.lit(1) + k % 3)).cast("int").alias("hb_r"),
+        F.when(k % 3 == 0, F.lit(0.2)).when(k % 3 == 1, F.lit(0.3)).otherwise(F.lit(0.4)).alias("pbt_tau"),
+        F.when(k % 2 == 1, F.lit(0.3)).otherwise(F.lit(None).cast("double")).alias("pbt_resample_p"),
+        (F.lit(2) + k % 3).cast("int").alias("ms_start_step"),
+        F.lit(3).alias("ms_min_trials"),
+        F.lit(0.25).alias("tpe_gamma"),
     )
 
 
@@ -318,3 +326,31 @@ def trial_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map(F.lit("team"), F.concat(F.lit("team-"), (F.col("c_custkey") % 4).cast("string"))).alias("labels"),
         F.create_map().cast("map<string,string>").alias("annotations"))
     return a.join(c, "trial")
+
+
+def population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PBT lineage: generation = key // 500, parent = the trial 500 keys
+    earlier (none in generation 0)."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    gen = F.floor(k / 500).cast("int")
+    return c.select(F.concat(F.lit("trial-"), k.cast("string")).alias("trial"),
+                    F.concat(F.lit("exp-"), F.col("c_nationkey").cast("string")).alias("experiment"),
+                    gen.alias("generation"),
+                    F.when(gen > 0, F.concat(F.lit("trial-"), (k - 500).cast("string"))).alias("parent"))
+
+
+def stop_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early-stopping rules per experiment: (experiment, rule, metric,
+    rule_value, comparison, start_step)."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    odd = k % 2 == 1
+    r0 = F.struct(F.lit(0).alias("rule"), F.lit("purchase").alias("metric"),
+                  F.when(odd, F.lit("50")).otherwise(F.lit("20")).alias("rule_value"),
+                  F.when(odd, F.lit("greater")).otherwise(F.lit("less")).alias("comparison"),
+                  (F.lit(2) + k % 3).cast("int").alias("start_step"))
+    r1 = F.when(~odd, F.struct(F.lit(1).alias("rule"), F.lit("view").alias("metric"), F.lit("100").alias("rule_value"),
+                               F.lit("less").alias("comparison"), F.lit(1).alias("start_step")))
+    return n.select(F.concat(F.lit("exp-"), k.cast("string")).alias("experiment"),
+                    F.explode(F.filter(F.array(r0, r1), lambda x: x.isNotNull())).alias("r")).select("experiment", "r.*")
