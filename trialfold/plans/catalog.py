@@ -250,3 +250,4 @@ def q_algorithm_input(spark, d):
 from trialfold.plans import q_sources  # noqa: E402,F401
 from trialfold.plans import q_space  # noqa: E402,F401
 from trialfold.plans import q_guide  # noqa: E402,F401
+from trialfold.plans import q_report  # noqa: E402,F401

@@ -138,6 +138,14 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
           CAST(2 + n_nationkey % 3 AS INTEGER) AS start_step FROM nation
       UNION ALL
       SELECT 'exp-' || n_nationkey, 1, 'view', '100', 'less', 1 FROM nation WHERE n_nationkey % 2 = 0""", []),
+    "annotations": ("""SELECT 'trial-' || c_custkey AS trial,
+        CASE WHEN c_custkey % 6 = 0 THEN 'run-' || (c_custkey % 50) END AS kfp_run FROM customer""", []),
+    "architectures": ("""SELECT 'exp-' || c_nationkey AS experiment, 'trial-' || c_custkey AS trial,
+        '[' || array_to_string(list_transform(range(0, 2 + c_custkey % 3), lambda i: '[' || array_to_string(
+            [CAST((c_custkey * 7 + i * 3) % 11 AS VARCHAR)] || CASE WHEN i > 0 THEN list_transform(range(1, i + 1),
+              lambda j: CASE WHEN (c_custkey + i * j) % 3 = 0 THEN '1' ELSE '0' END) ELSE []::VARCHAR[] END, ', ') || ']'),
+          ', ') || ']' AS architecture
+      FROM customer WHERE c_nationkey % 8 = 7""", []),
     # O23 default strategies
     "strategies": ("""SELECT experiment, pos, s.name AS metric, s.value AS strategy FROM (
       SELECT experiment, CAST(generate_subscripts(slist, 1) - 1 AS INTEGER) AS pos, unnest(slist) AS s

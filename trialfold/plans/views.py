@@ -354,3 +354,21 @@ def stop_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                F.lit("less").alias("comparison"), F.lit(1).alias("start_step")))
     return n.select(F.concat(F.lit("exp-"), k.cast("string")).alias("experiment"),
                     F.explode(F.filter(F.array(r0, r1), lambda x: x.isNotNull())).alias("r")).select("experiment", "r.*")
+
+
+def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipeline run id annotation of every 6th trial."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(F.concat(F.lit("trial-"), k.cast("string")).alias("trial"),
+                    F.when(k % 6 == 0, F.concat(F.lit("run-"), (k % 50).cast("string"))).alias("kfp_run"))
+
+
+def architectures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NAS architecture of every trial of the NAS experiments (nation key %
+    8 == 7): (experiment, trial, architecture JSON text)."""
+    from trialfold.operators.report import architecture_json
+    c = table(spark, sf_dir, "customer").filter(F.col("c_nationkey") % 8 == 7)
+    return c.select(F.concat(F.lit("exp-"), F.col("c_nationkey").cast("string")).alias("experiment"),
+                    F.concat(F.lit("trial-"), F.col("c_custkey").cast("string")).alias("trial"),
+                    architecture_json(F.col("c_custkey")).alias("architecture"))
