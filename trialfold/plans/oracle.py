@@ -146,6 +146,20 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
               lambda j: CASE WHEN (c_custkey + i * j) % 3 = 0 THEN '1' ELSE '0' END) ELSE []::VARCHAR[] END, ', ') || ']'),
           ', ') || ']' AS architecture
       FROM customer WHERE c_nationkey % 8 = 7""", []),
+    "dataset": ("""SELECT o_orderkey AS id,
+        CASE WHEN o_orderkey % 11 = 0 THEN 'Other' WHEN o_orderkey % 11 = 1 THEN NULL WHEN o_orderkey % 11 = 2 THEN 'Unknown'
+             WHEN o_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
+        CASE WHEN o_orderkey % 13 = 0 THEN 'No Info' WHEN o_orderkey % 17 = 0 THEN NULL
+             ELSE CAST(18 + o_orderkey % 60 AS VARCHAR) END AS age,
+        CASE WHEN o_orderkey % 19 = 0 THEN 'No Info' WHEN o_orderkey % 23 = 0 THEN NULL
+             ELSE CAST(15 + o_orderkey % 25 AS VARCHAR) || '.' || CAST(o_orderkey % 10 AS VARCHAR) END AS bmi,
+        CASE WHEN o_orderkey % 29 = 0 THEN 'No Info' WHEN o_orderkey % 31 = 0 THEN NULL
+             ELSE CAST(4 + o_orderkey % 5 AS VARCHAR) || '.' || CAST(o_orderkey % 7 AS VARCHAR) END AS "HbA1c_level",
+        CASE WHEN o_orderkey % 37 = 0 THEN 'No Info' WHEN o_orderkey % 41 = 0 THEN NULL
+             ELSE CAST(80 + (o_orderkey * 7) % 220 AS VARCHAR) END AS blood_glucose_level,
+        CASE WHEN o_orderkey % 43 = 0 THEN 'No Info' WHEN o_orderkey % 47 = 0 THEN NULL
+             WHEN (4 + o_orderkey % 5) + (80 + (o_orderkey * 7) % 220) / 100.0 >= 8.0 THEN '1' ELSE '0' END AS diabetes
+      FROM orders""", []),
     # O23 default strategies
     "strategies": ("""SELECT experiment, pos, s.name AS metric, s.value AS strategy FROM (
       SELECT experiment, CAST(generate_subscripts(slist, 1) - 1 AS INTEGER) AS pos, unnest(slist) AS s

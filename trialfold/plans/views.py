@@ -372,3 +372,27 @@ def architectures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.concat(F.lit("exp-"), F.col("c_nationkey").cast("string")).alias("experiment"),
                     F.concat(F.lit("trial-"), F.col("c_custkey").cast("string")).alias("trial"),
                     architecture_json(F.col("c_custkey")).alias("architecture"))
+
+
+def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tabular dataset (one row per order): text columns with the 'No Info'
+    marker and NULLs injected by key, label learnable from two columns."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    k = F.col("o_orderkey")
+
+    def marked(every_marker, every_null, value):
+        return F.when(k % every_marker == 0, F.lit("No Info")).when(k % every_null == 0, F.lit(None).cast("string")).otherwise(value)
+
+    hb = F.lit(4) + k % 5
+    gl = F.lit(80) + (k * 7) % 220
+    label = F.when((hb + gl / 100.0) >= 8.0, F.lit("1")).otherwise(F.lit("0"))
+    gender = (F.when(k % 11 == 0, F.lit("Other")).when(k % 11 == 1, F.lit(None).cast("string"))
+              .when(k % 11 == 2, F.lit("Unknown"))
+              .otherwise(F.when(F.col("o_custkey") % 2 == 0, F.lit("Male")).otherwise(F.lit("Female"))))
+    return o.select(
+        k.alias("id"), gender.alias("gender"),
+        marked(13, 17, (F.lit(18) + k % 60).cast("string")).alias("age"),
+        marked(19, 23, F.concat((F.lit(15) + k % 25).cast("string"), F.lit("."), (k % 10).cast("string"))).alias("bmi"),
+        marked(29, 31, F.concat(hb.cast("string"), F.lit("."), (k % 7).cast("string"))).alias("HbA1c_level"),
+        marked(37, 41, gl.cast("string")).alias("blood_glucose_level"),
+        marked(43, 47, label).alias("diabetes"))
