@@ -252,3 +252,4 @@ from trialfold.plans import q_space  # noqa: E402,F401
 from trialfold.plans import q_guide  # noqa: E402,F401
 from trialfold.plans import q_report  # noqa: E402,F401
 from trialfold.plans import q_pipeline  # noqa: E402,F401
+from trialfold.plans import q_models  # noqa: E402,F401
