@@ -254,3 +254,4 @@ from trialfold.plans import q_report  # noqa: E402,F401
 from trialfold.plans import q_pipeline  # noqa: E402,F401
 from trialfold.plans import q_models  # noqa: E402,F401
 from trialfold.plans import q_stream  # noqa: E402,F401
+from trialfold.plans import q_validate  # noqa: E402,F401

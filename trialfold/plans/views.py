@@ -396,3 +396,38 @@ def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         marked(29, 31, F.concat(hb.cast("string"), F.lit("."), (k % 7).cast("string"))).alias("HbA1c_level"),
         marked(37, 41, gl.cast("string")).alias("blood_glucose_level"),
         marked(43, 47, label).alias("diabetes"))
+
+
+def experiment_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Experiment specifications as submitted, with deliberate mistakes by
+    nation key (bad name, zero max trials, oversized parallelism, negative
+    failure budget, misspelt objective type, objective among additional
+    metrics, missing algorithm, unknown resume policy, list on an int
+    parameter, min on a categorical one, a duplicated parameter)."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    exp = F.concat(F.lit("exp-"), k.cast("string"))
+    ps = param_specs(spark, sf_dir).withColumn("k", F.substring("experiment", 5, 10).cast("int"))
+    kk = F.col("k")
+    ps = (ps.withColumn("list", F.when((F.col("name") == "ne") & (kk % 6 == 1), F.array(F.lit("1"))).otherwise(F.col("list")))
+            .withColumn("min", F.when((F.col("name") == "booster") & (kk % 10 == 3), F.lit("0")).otherwise(F.col("min"))))
+    dup = ps.filter((F.col("name") == "lr") & (kk % 14 == 13)).withColumn("pos", F.lit(4))
+    ps = ps.unionByName(dup)
+    params = ps.groupBy("experiment").agg(F.sort_array(F.collect_list(F.struct(
+        "pos", "name", "type", "min", "max", "step", "list"))).alias("p"))
+    params = params.select("experiment", F.transform("p", lambda x: x.dropFields("pos")).alias("params"))
+    odd = k % 2 == 1
+    e = n.select(
+        exp.alias("experiment"),
+        F.when(k % 9 == 4, F.concat(F.lit("Exp-"), k.cast("string"))).otherwise(exp).alias("name"),
+        F.when(k % 11 == 3, F.lit(0)).otherwise(F.lit(20) + k * 3).cast("int").alias("max_trial_count"),
+        F.when(k % 7 == 2, F.lit(100)).otherwise(F.lit(3) + k % 5).cast("int").alias("parallel_trial_count"),
+        F.when(k % 13 == 5, F.lit(-1)).otherwise(F.lit(5) + k).cast("int").alias("max_failed_trial_count"),
+        F.when(k % 12 == 6, F.lit("maximise")).when(odd, F.lit("minimize")).otherwise(F.lit("maximize")).alias("objective_type"),
+        F.when(k % 10 == 8, F.lit("")).otherwise(F.lit("purchase")).alias("objective_metric"),
+        F.when(k % 8 == 7, F.array(F.lit("purchase"))).when(odd, F.array(F.lit("error")))
+         .otherwise(F.array(F.lit("view"), F.lit("click"))).alias("additional_metrics"),
+        F.when(k % 15 == 14, F.lit("")).otherwise(_pick(k, ALGORITHMS)).alias("algorithm"),
+        F.when(k % 10 == 9, F.lit("Sometimes")).otherwise(_pick(k, ["Never", "LongRunning", "FromVolume"])).alias("resume_policy"),
+        (k % 8 == 7).alias("is_nas"))
+    return e.join(params, "experiment", "left")
