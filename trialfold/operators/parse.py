@@ -148,7 +148,7 @@ def json_timestamp(tsv: Column, compat: str = "literal") -> tuple[Column, Column
     is_num = kind.startswith("BIGINT") | kind.startswith("DECIMAL") | kind.startswith("DOUBLE")
     txt = F.when(F.lower(s).contains("e"), s.cast("decimal(38,9)").cast("string")).otherwise(s)
     sec = F.split(txt, r"\.").getItem(0).try_cast("long")
-    frac = F.regexp_replace(F.coalesce(F.split(txt, r"\.").getItem(1), F.lit("")), "0+$", "")
+    frac = F.regexp_replace(F.coalesce(F.try_element_at(F.split(txt, r"\."), F.lit(2)), F.lit("")), "0+$", "")
     if compat == "literal":
         fn = F.when(frac == "", F.lit(0)).otherwise(frac.try_cast("long"))
     else:

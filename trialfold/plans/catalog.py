@@ -246,6 +246,30 @@ def q_algorithm_input(spark, d):
     return state.algorithm_input(c.trials_state, c.available, c.picked, c.experiments)
 
 
+
+def _hc(t: str) -> str:
+    return f"coalesce(list_filter(t.conditions, lambda c: c.type = '{t}')[1].status = 'True', false)"
+
+
+@register("o39b_job_outcome", with_views(f"""
+SELECT trial, job_condition, CASE
+    WHEN job_condition = 'Succeeded' THEN CASE
+      WHEN available AND NOT {_hc('Succeeded')} THEN CASE WHEN NOT {_hc('EarlyStopped')} THEN 'Succeeded' END
+      WHEN NOT {_hc('MetricsUnavailable')} THEN 'MetricsUnavailable' END
+    WHEN job_condition = 'Failed' AND NOT {_hc('Failed')} AND NOT {_hc('EarlyStopped')} THEN 'Failed'
+    WHEN job_condition = 'Running' AND NOT {_hc('Running')} AND NOT {_hc('EarlyStopped')} THEN 'Running'
+  END AS new_state
+FROM (SELECT t.trial, t.conditions, a.available, CASE
+        WHEN len(list_filter(j.job_conditions, lambda c: c.type = 'Failed' AND c.status = 'True')) > 0 THEN 'Failed'
+        WHEN len(list_filter(j.job_conditions, lambda c: (c.type = 'Complete' OR c.type = 'Succeeded') AND c.status = 'True')) > 0
+          THEN 'Succeeded'
+        WHEN NOT {_hc('Running')} AND coalesce(j.job_name, '') <> '' THEN 'Running' END AS job_condition
+      FROM trials_state t JOIN jobs j USING (trial) JOIN available a USING (trial)) t""", "trials_state", "jobs", "available"))
+def q_job_outcome(spark, d):
+    c = Ctx(spark, d)
+    return state.job_outcome(c.trials_state, views.jobs(spark, d), c.available)
+
+
 # more registered queries live in sibling modules
 from trialfold.plans import q_sources  # noqa: E402,F401
 from trialfold.plans import q_space  # noqa: E402,F401

@@ -160,6 +160,10 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         CASE WHEN o_orderkey % 43 = 0 THEN 'No Info' WHEN o_orderkey % 47 = 0 THEN NULL
              WHEN (4 + o_orderkey % 5) + (80 + (o_orderkey * 7) % 220) / 100.0 >= 8.0 THEN '1' ELSE '0' END AS diabetes
       FROM orders""", []),
+    "jobs": ("""SELECT 'trial-' || c_custkey AS trial, CASE WHEN c_custkey % 9 = 0 THEN '' ELSE 'job-trial-' || c_custkey END AS job_name,
+        CASE c_custkey % 4 WHEN 0 THEN [{'type': 'Complete', 'status': 'True'}] WHEN 1 THEN [{'type': 'Failed', 'status': 'True'}]
+             WHEN 2 THEN [{'type': 'Running', 'status': 'True'}] ELSE []::STRUCT(type VARCHAR, status VARCHAR)[] END AS job_conditions
+      FROM customer""", []),
     # O23 default strategies
     "strategies": ("""SELECT experiment, pos, s.name AS metric, s.value AS strategy FROM (
       SELECT experiment, CAST(generate_subscripts(slist, 1) - 1 AS INTEGER) AS pos, unnest(slist) AS s

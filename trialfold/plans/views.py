@@ -431,3 +431,18 @@ def experiment_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 10 == 9, F.lit("Sometimes")).otherwise(_pick(k, ["Never", "LongRunning", "FromVolume"])).alias("resume_policy"),
         (k % 8 == 7).alias("is_nas"))
     return e.join(params, "experiment", "left")
+
+
+def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deployed job of every trial: (trial, job_name, job_conditions)."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+
+    def cond(t):
+        return F.array(F.struct(F.lit(t).alias("type"), F.lit("True").alias("status")))
+
+    jc = (F.when(k % 4 == 0, cond("Complete")).when(k % 4 == 1, cond("Failed")).when(k % 4 == 2, cond("Running"))
+          .otherwise(F.array().cast("array<struct<type:string,status:string>>")))
+    trial = F.concat(F.lit("trial-"), k.cast("string"))
+    return c.select(trial.alias("trial"), F.when(k % 9 == 0, F.lit("")).otherwise(F.concat(F.lit("job-"), trial)).alias("job_name"),
+                    jc.alias("job_conditions"))
