@@ -11,19 +11,28 @@ the member count and radius are known, so for a query
 * no member of cell c is closer than ``d(q, p_c) - r_c`` -> cells whose
   lower bound exceeds U cannot hold a neighbour.
 
-Only (query, cell) pairs that survive are joined with the cell members
-(an equi join on the cell id), distances computed exactly, the k
-smallest kept per query, and the label voted (most frequent; ties ->
-smallest label; equal distances -> smaller reference id first).
+Surviving (query, cell) pairs are evaluated block-wise: a cell's members
+are cut into chunks of at most ``chunk`` rows and its candidate queries
+into blocks of at most ``qblock`` rows; each (cell, query block, chunk)
+group computes its distance matrix with numpy inside one task and keeps
+the k best per query.  Group sizes are bounded whatever the skew, and
+pairs never exist as rows.  A final per-query merge of the partial top-k
+lists (at most k rows per group) gives the exact neighbours; the label is
+voted (most frequent; ties -> smallest label; equal distances -> smaller
+reference id first).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialfold.functions.exprs import md5_long
 
+PARTIAL = "qid long, rid long, label int, dist double"
+
 
 def sq_dist(a: Column, b: Column) -> Column:
     """Squared Euclidean distance of two equal-length arrays (left fold)."""
@@ -31,11 +40,38 @@ def sq_dist(a: Column, b: Column) -> Column:
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
+def _block_topk(k: int):
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        q = pdf[pdf["kind"] == 0]
+        r = pdf[pdf["kind"] == 1]
+        if q.empty or r.empty:
+            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "rid": pd.Series(dtype="int64"),
+                                 "label": pd.Series(dtype="int32"), "dist": pd.Series(dtype="float64")})
+        Q = np.stack(q["vec"].to_numpy()).astype(np.float64)
+        R = np.stack(r["vec"].to_numpy()).astype(np.float64)
+        # left-to-right sum over dimensions: the same rounding as a fold
+        d2 = np.zeros((Q.shape[0], R.shape[0]))
+        for j in range(Q.shape[1]):
+            diff = Q[:, j][:, None] - R[:, j][None, :]
+            d2 += diff * diff
+        dist = np.sqrt(d2)
+        rid = r["id"].to_numpy()
+        lab = r["label"].to_numpy()
+        kk = min(k, R.shape[0])
+        out = []
+        for i, qid in enumerate(q["id"].to_numpy()):
+            order = np.lexsort((rid, dist[i]))[:kk]
+            out.append(pd.DataFrame({"qid": qid, "rid": rid[order], "label": lab[order], "dist": dist[i, order]}))
+        return pd.concat(out, ignore_index=True).astype({"qid": "int64", "rid": "int64", "label": "int32"})
+    return fn
+
+
 def knn_classify(refs: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int = 16,
-                 vec: str = "embedding", label: str = "label", rid: str = "vec_id") -> DataFrame:
+                 vec: str = "embedding", label: str = "label", rid: str = "vec_id",
+                 chunk: int = 4096, qblock: int = 1024) -> DataFrame:
     """Output (query id, predicted label)."""
-    R = refs.select(F.col(rid).alias("rid"), F.col(vec).alias("v"), F.col(label).alias("label"))
-    Q = queries.select(F.col(rid).alias("qid"), F.col(vec).alias("qv"))
+    R = refs.select(F.col(rid).alias("rid"), F.col(vec).cast("array<double>").alias("v"), F.col(label).cast("int").alias("label"))
+    Q = queries.select(F.col(rid).alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
     # pivots: the n_pivots references with the smallest md5 key (a fixed-size set)
     piv = (R.withColumn("_h", md5_long(F.lit("pivot"), F.col("rid"))).orderBy("_h", "rid").limit(n_pivots)
            .select(F.col("rid").alias("cell"), F.col("v").alias("pv")))
@@ -48,23 +84,35 @@ def knn_classify(refs: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int
                                                                         p["cell"].alias("cell")))).drop("pivots")
 
     # each reference to its nearest pivot
-    rcell = to_pivots(R, "v").select("rid", F.array_min("pd").alias("c")).select(
-        "rid", F.col("c.cell").alias("cell"), F.col("c.d").alias("dc"))
-    members = R.join(rcell, "rid")
-    cells = F.broadcast(rcell.groupBy("cell").agg(F.count("*").alias("cnt"), F.max("dc").alias("radius")))
+    rcell = to_pivots(R, "v").select("rid", "label", "v", F.array_min("pd").alias("c")).select(
+        "rid", "label", "v", F.col("c.cell").alias("cell"), F.col("c.d").alias("dc"))
+    cells = rcell.groupBy("cell").agg(F.count("*").alias("cnt"), F.max("dc").alias("radius"))
+    cells = F.broadcast(cells.withColumn("n_chunks", F.ceil(F.col("cnt") / chunk).cast("int")))  # <= n_pivots rows
     # query to every pivot: bounds per (query, cell)
     qp = (to_pivots(Q, "qv").select("qid", "qv", F.explode("pd").alias("p"))
           .select("qid", "qv", F.col("p.cell").alias("cell"), F.col("p.d").alias("dq")).join(cells, "cell"))
     qp = qp.withColumn("ub", F.col("dq") + F.col("radius")).withColumn("lb", F.greatest(F.col("dq") - F.col("radius"), F.lit(0.0)))
     w = Window.partitionBy("qid").orderBy("ub", "cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cov = qp.withColumn("covered", F.sum("cnt").over(w))
+    cov = qp.withColumn("covered", F.sum("cnt").over(w))  # n_pivots rows per query
     bound = cov.filter(F.col("covered") >= k).groupBy("qid").agg(F.min("ub").alias("U"))
     # a hair of slack keeps rounding in the bounds from pruning a tie
     slack = F.col("U") * F.lit(1e-9) + F.lit(1e-12)
-    cand = qp.join(bound, "qid", "left").filter(F.col("U").isNull() | (F.col("lb") <= F.col("U") + slack)).select("qid", "qv", "cell")
-    pairs = cand.join(members, "cell").select("qid", "rid", "label", F.sqrt(sq_dist("qv", "v")).alias("dist"))
+    cand = (qp.join(bound, "qid", "left").filter(F.col("U").isNull() | (F.col("lb") <= F.col("U") + slack))
+            .select("qid", "qv", "cell", "n_chunks"))
+    # query blocks per cell sized from the candidate count (n_pivots rows)
+    nq = F.broadcast(cand.groupBy("cell").agg(F.ceil(F.count("*") / qblock).cast("int").alias("n_qblocks")))
+    qside = (cand.join(nq, "cell")
+             .withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("n_qblocks")).cast("int"))
+             .select("cell", "qb", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("ch"),
+                     F.lit(0).alias("kind"), F.col("qid").alias("id"), F.lit(None).cast("int").alias("label"),
+                     F.col("qv").alias("vec")))
+    rside = (rcell.join(cells.select("cell", "n_chunks"), "cell").join(nq, "cell")
+             .withColumn("ch", F.pmod(F.xxhash64("rid"), F.col("n_chunks")).cast("int"))
+             .select("cell", F.explode(F.sequence(F.lit(0), F.col("n_qblocks") - 1)).alias("qb"), "ch",
+                     F.lit(1).alias("kind"), F.col("rid").alias("id"), "label", F.col("v").alias("vec")))
+    partial = qside.unionByName(rside).groupBy("cell", "qb", "ch").applyInPandas(_block_topk(k), PARTIAL)
     wk = Window.partitionBy("qid").orderBy("dist", "rid")
-    top = pairs.withColumn("r", F.row_number().over(wk)).filter(F.col("r") <= k)
+    top = partial.withColumn("r", F.row_number().over(wk)).filter(F.col("r") <= k)
     votes = top.groupBy("qid", "label").agg(F.count("*").alias("n"))
     pred = votes.groupBy("qid").agg(F.max_by("label", F.struct(F.col("n"), -F.col("label"))).alias("prediction"))
     return pred.select(F.col("qid").alias(rid), "prediction")

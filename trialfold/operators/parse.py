@@ -50,8 +50,9 @@ def leading_timestamp(line: Column) -> tuple[Column, Column, Column]:
 
 
 def extract_pairs(line: Column, filters: list[str] | None) -> Column:
-    """array<struct<name,value>> of all matches of all filters,
-    in filter order then match order, both groups trimmed."""
+    """O14/O15 as one array column: array<struct<name,value>> of all
+    matches of all filters, in filter order then match order, both groups
+    trimmed (``parse_text_lines`` uses the exploded form instead)."""
     pats = [re2_to_java(p) for p in (filters or [DEFAULT_FILTER]) if group_count(p) >= 2]
     parts = []
     for p in pats:
@@ -66,18 +67,33 @@ def extract_pairs(line: Column, filters: list[str] | None) -> Column:
 
 def parse_text_lines(lines: DataFrame, filters: list[str] | None = None,
                      line_col: str = "line", metrics_col: str = "metrics") -> DataFrame:
-    """O12–O16 over a table (trial, line_no, line, metrics)."""
+    """O12–O16 over a table (trial, line_no, line, metrics).  Each filter's
+    matches are exploded (``regexp_extract_all`` group 0) and the two groups
+    re-read from the matched text, which keeps the stage free of
+    interpreted higher-order functions; ``sub`` orders filters, then
+    matches."""
     l = keyword_prefilter(lines, line_col, metrics_col)
     ts_raw, ts, nanos = leading_timestamp(F.col(line_col))
-    l = l.select("trial", F.col("line_no").alias("seq"), F.col(metrics_col).alias("metrics"),
-                 ts_raw.alias("ts_raw"), ts.alias("ts"), nanos.alias("ts_nanos"),
-                 extract_pairs(F.col(line_col), filters).alias("pairs"))
-    x = l.select("trial", "seq", "ts_raw", "ts", "ts_nanos", "metrics",
-                 F.posexplode("pairs").alias("sub", "p"))
+    pats = [re2_to_java(p) for p in (filters or [DEFAULT_FILTER]) if group_count(p) >= 2]
+    base = l.select("trial", F.col("line_no").alias("seq"), F.col(metrics_col).alias("metrics"),
+                    ts_raw.alias("ts_raw"), ts.alias("ts"), nanos.alias("ts_nanos"), F.col(line_col).alias("line"))
+    parts = []
+    for i, p in enumerate(pats):
+        x = base.select("trial", "seq", "metrics", "ts_raw", "ts", "ts_nanos",
+                        F.posexplode(F.regexp_extract_all(F.col("line"), F.lit(p), 0)).alias("pos", "m"))
+        x = x.select("trial", "seq", "metrics", "ts_raw", "ts", "ts_nanos",
+                     (F.lit(i << 32) + F.col("pos")).cast("long").alias("sub"),
+                     F.trim(F.regexp_extract("m", p, 1)).alias("metric"), F.trim(F.regexp_extract("m", p, 2)).alias("value"))
+        parts.append(x)
+    if not parts:
+        return base.select("trial", "seq", F.lit(0).cast("long").alias("sub"), "ts_raw", "ts", "ts_nanos",
+                           F.lit(None).cast("string").alias("metric"), F.lit(None).cast("string").alias("value")).filter(F.lit(False))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
     # O16 whitelist: name must be one of the wanted metrics
-    x = x.filter(F.array_contains("metrics", F.col("p.name")))
-    return x.select("trial", "seq", F.col("sub").cast("long").alias("sub"), "ts_raw", "ts", "ts_nanos",
-                    F.col("p.name").alias("metric"), F.col("p.value").alias("value"))
+    out = out.filter(F.array_contains("metrics", F.col("metric")))
+    return out.select(*OBS_COLUMNS)
 
 
 def objective_fallback(rows: DataFrame, trial_list: DataFrame) -> DataFrame:

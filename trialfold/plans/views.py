@@ -30,6 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Log views stand for many log files; the driver's tables are single
+    row-group parquet files, so spread them over the cores (what a
+    multi-file source gives for free) before per-line parsing."""
+    return df.repartition(max(spark.sparkContext.defaultParallelism, 1))
+
+
 def _pick(key: Column, values: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values) + 1).cast("int"))
 
@@ -134,7 +141,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text training logs: one printed line per event, (trial, experiment,
     line_no, line).  Every 50th line has a broken time, every 70th no '='.
     The experiment plays the role of the log file's directory."""
-    e = table(spark, sf_dir, "events")
+    e = _spread(spark, table(spark, sf_dir, "events"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     eid = F.col("event_id")
     good = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -152,7 +159,7 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON-lines training logs (trial, experiment, line_no, line): epoch
     time every 3rd line, no time every 13th, a numeric (ignored) value every
     11th, a truncated object every 97th."""
-    e = table(spark, sf_dir, "events")
+    e = _spread(spark, table(spark, sf_dir, "events"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     eid = F.col("event_id")
     ts = F.col("ts").cast("timestamp")
