@@ -23,7 +23,6 @@ def default_strategies(experiments: DataFrame) -> DataFrame:
     dflt = F.when(t == "minimize", F.lit("min")).when(t == "maximize", F.lit("max")).otherwise(F.lit("latest"))
     explicit = F.coalesce(F.col("metric_strategies"), F.array().cast("array<struct<name:string,value:string>>"))
     names = F.transform(explicit, lambda s: s["name"])
-    wanted = F.concat(F.array("objective_metric"), F.coalesce(F.col("additional_metrics"), F.array().cast("array<string>")))
     # objective: default unless explicitly given; additional: unless explicitly
     # given for a non-objective name (the objective's explicit entry is not
     # counted for additional metrics, as in the reference)
@@ -34,7 +33,6 @@ def default_strategies(experiments: DataFrame) -> DataFrame:
                    lambda m: ~F.array_contains(other_names, m))
     add_default = F.transform(add, lambda m: F.struct(m.alias("name"), dflt.alias("value")))
     full = F.concat(explicit, F.coalesce(obj_default, F.array().cast("array<struct<name:string,value:string>>")), add_default)
-    _ = wanted
     return experiments.select("experiment", F.posexplode(full).alias("pos", "s")).select(
         "experiment", F.col("pos").cast("int").alias("pos"), F.col("s.name").alias("metric"),
         F.col("s.value").alias("strategy"))
@@ -54,9 +52,10 @@ def fold_observations(obs: DataFrame, trial_metrics: DataFrame) -> DataFrame:
     cols = obs.columns
     nanos = F.col("ts_nanos") if "ts_nanos" in cols else None
     sub = F.col("sub") if "sub" in cols else F.lit(0).cast("long")
-    o = (obs.join(trial_metrics.select("trial", "metric"), ["trial", "metric"], "left_semi")
-            .select("trial", "metric", "value", num("value").alias("num"),
-                    time_key(F.col("ts"), nanos).alias("tk"), F.col("seq").alias("seq"), sub.alias("sub")))
+    # aggregate first (partial aggregation map-side, so a hot trial is
+    # reduced on every task), join the wanted (trial, metric) list after
+    o = obs.select("trial", "metric", "value", num("value").alias("num"),
+                   time_key(F.col("ts"), nanos).alias("tk"), F.col("seq").alias("seq"), sub.alias("sub"))
     isnum = F.col("num").isNotNull()
     agg = o.groupBy("trial", "metric").agg(
         F.min_by("value", F.when(isnum, F.struct("num", "tk", "seq", "sub"))).alias("min"),

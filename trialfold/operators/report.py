@@ -48,20 +48,34 @@ def experiment_listing(experiments: DataFrame, conditions: DataFrame, namespaces
     return e.select("experiment", "namespace", typ.alias("type"), last_condition(F.col("conditions")).alias("last_condition"))
 
 
+def _direction_candidates(o: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the first value and the first minimum / maximum (earliest on
+    ties) — computed before the direction is known, so the aggregate runs
+    on the raw rows with map-side combine and the direction is applied
+    after the (much smaller) result is joined with the trials."""
+    isnum = F.col("x").isNotNull()
+    return o.groupBy(*keys).agg(
+        F.min_by("value", F.when(isnum, F.struct("x", "tk", "seq"))).alias("lo"),
+        F.min_by("value", F.when(isnum, F.struct((-F.col("x")).alias("nx"), "tk", "seq"))).alias("hi"),
+        F.min_by("value", F.struct("tk", "seq")).alias("first"))
+
+
+def _by_direction(objective_type: Column) -> Column:
+    return (F.when(objective_type == "minimize", F.coalesce("lo", "first"))
+             .when(objective_type == "maximize", F.coalesce("hi", "first")).otherwise(F.col("first")))
+
+
 def best_metric_values(obs: DataFrame, trials_state: DataFrame, experiments: DataFrame) -> DataFrame:
     """Per (trial, metric of the experiment) the best logged value in the
     objective's direction (first one on ties; a non-numeric log keeps the
     first value), only for Succeeded / EarlyStopped trials."""
+    o = obs.withColumn("x", num("value")).withColumn("tk", time_key(F.col("ts")))
+    g = _direction_candidates(o, ["trial", "metric"])
     e = small(experiments.select("experiment", "objective_type",
                                  F.concat(F.array("objective_metric"), F.col("additional_metrics")).alias("metrics")))
     t = trials_state.filter(F.col("state").isin("Succeeded", "EarlyStopped")).select("trial", "experiment").join(e, "experiment")
-    o = obs.join(t, "trial").filter(F.array_contains("metrics", F.col("metric")))
-    o = o.withColumn("x", num("value")).withColumn("tk", time_key(F.col("ts")))
-    sgn = F.when(F.col("objective_type") == "minimize", F.lit(1.0)).when(F.col("objective_type") == "maximize", F.lit(-1.0))
-    g = o.groupBy("trial", "metric").agg(
-        F.min_by("value", F.when(F.col("x").isNotNull() & sgn.isNotNull(), F.struct((sgn * F.col("x")).alias("k"), "tk", "seq"))).alias("best"),
-        F.min_by("value", F.struct("tk", "seq")).alias("first"))
-    return g.select("trial", "metric", F.coalesce("best", "first").alias("value"))
+    j = g.join(t, "trial").filter(F.array_contains("metrics", F.col("metric")))
+    return j.select("trial", "metric", _by_direction(F.col("objective_type")).alias("value"))
 
 
 def trial_table(trials_state: DataFrame, best: DataFrame, assignments: DataFrame, metric_names: list[str],
@@ -83,16 +97,14 @@ def per_second_curve(obs: DataFrame, trials: DataFrame, experiments: DataFrame)
     """Per (trial, metric) one point per second: the best value of that
     second in the objective's direction, first one on ties.  Output
     (trial, metric, second, value)."""
-    e = small(experiments.select("experiment", "objective_type"))
-    o = obs.join(trials.select("trial", "experiment"), "trial").join(e, "experiment")
-    o = o.withColumn("x", num("value")).filter(F.col("x").isNotNull())
+    o = obs.withColumn("x", num("value")).filter(F.col("x").isNotNull())
     o = o.withColumn("sec", F.coalesce(F.date_format(F.date_trunc("second", "ts"), "yyyy-MM-dd'T'HH:mm:ss"),
                                        F.lit("0001-01-01T00:00:00")))
     o = o.withColumn("tk", time_key(F.col("ts")))
-    sgn = F.when(F.col("objective_type") == "minimize", F.lit(1.0)).when(F.col("objective_type") == "maximize", F.lit(-1.0))
-    g = o.groupBy("trial", "metric", "sec").agg(
-        F.min_by("value", F.struct(F.coalesce(sgn * F.col("x"), F.lit(0.0)).alias("k"), "tk", "seq")).alias("value"))
-    return g.select("trial", "metric", F.col("sec").alias("second"), "value")
+    g = _direction_candidates(o, ["trial", "metric", "sec"])
+    e = small(experiments.select("experiment", "objective_type"))
+    j = g.join(trials.select("trial", "experiment"), "trial").join(e, "experiment")
+    return j.select("trial", "metric", F.col("sec").alias("second"), _by_direction(F.col("objective_type")).alias("value"))
 
 
 def curve_bounds(points: DataFrame) -> DataFrame:

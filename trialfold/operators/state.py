@@ -158,7 +158,9 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: Col
     is ranked by ``salts`` tasks first; the final window sees at most
     ``salts * k`` rows per group."""
     salt = F.pmod(F.xxhash64(*(salt_key if salt_key is not None else [F.col(c) for c in df.columns])), F.lit(salts))
-    d = df.withColumn("_k", k).withColumn("_salt", salt)
+    # an explicit shuffle on all keys: a child already hashed on ``group``
+    # alone would otherwise satisfy the window and defeat the salt
+    d = df.withColumn("_k", k).withColumn("_salt", salt).repartition(*[F.col(c) for c in group], F.col("_salt"))
     w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
     d = d.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= F.col("_k"))
     w2 = Window.partitionBy(*group).orderBy(*order)
