@@ -81,7 +81,12 @@ def _obs_stream(spark, p, max_files=None):
     return r.parquet(p)
 
 
-@register("o92_stop_rule_firing")
+def _stop_rules_sql() -> str:
+    from trialfold.plans.catalog import ORACLE
+    return f"SELECT trial, stop_seq FROM ({ORACLE['o56h_stop_rule_evaluation']}) WHERE stopped"
+
+
+@register("o92_stop_rule_firing", _stop_rules_sql())
 def q_stop_firing(spark, d):
     c = Ctx(spark, d)
     root = scratch(spark, "stop")
