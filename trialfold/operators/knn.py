@@ -58,11 +58,13 @@ def _block_topk(k: int):
         rid = r["id"].to_numpy()
         lab = r["label"].to_numpy()
         kk = min(k, R.shape[0])
-        out = []
-        for i, qid in enumerate(q["id"].to_numpy()):
-            order = np.lexsort((rid, dist[i]))[:kk]
-            out.append(pd.DataFrame({"qid": qid, "rid": rid[order], "label": lab[order], "dist": dist[i, order]}))
-        return pd.concat(out, ignore_index=True).astype({"qid": "int64", "rid": "int64", "label": "int32"})
+        # everything within each query's kk-th smallest distance (ties at the
+        # boundary included), then the exact (dist, rid) order picks kk
+        kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
+        qi, ri = np.nonzero(dist <= kth[:, None])
+        cand = pd.DataFrame({"qid": q["id"].to_numpy()[qi], "rid": rid[ri], "label": lab[ri], "dist": dist[qi, ri]})
+        cand = cand.sort_values(["qid", "dist", "rid"], kind="stable").groupby("qid", sort=False).head(kk)
+        return cand.astype({"qid": "int64", "rid": "int64", "label": "int32"})
     return fn
 
 
@@ -70,27 +72,49 @@ def knn_classify(refs: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int
                  vec: str = "embedding", label: str = "label", rid: str = "vec_id",
                  chunk: int = 4096, qblock: int = 1024) -> DataFrame:
     """Output (query id, predicted label)."""
-    R = refs.select(F.col(rid).alias("rid"), F.col(vec).cast("array<double>").alias("v"), F.col(label).cast("int").alias("label"))
-    Q = queries.select(F.col(rid).alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
+    R = refs.select(F.col(rid).cast("long").alias("rid"), F.col(vec).cast("array<double>").alias("v"),
+                    F.col(label).cast("int").alias("label"))
+    Q = queries.select(F.col(rid).cast("long").alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
     # pivots: the n_pivots references with the smallest md5 key (a fixed-size set)
     piv = (R.withColumn("_h", md5_long(F.lit("pivot"), F.col("rid"))).orderBy("_h", "rid").limit(n_pivots)
            .select(F.col("rid").alias("cell"), F.col("v").alias("pv")))
-    # all pivots as one array in a one-row table (size fixed by n_pivots)
-    parr = F.broadcast(piv.agg(F.collect_list(F.struct("cell", "pv")).alias("pivots")).withColumn("_one", F.lit(1)))
+    # the pivot set is n_pivots vectors: bounded, so it travels with the tasks
+    pv = piv.collect()
+    P = np.array([np.asarray(r["pv"], dtype=np.float64) for r in pv]) if pv else np.zeros((0, 0))
+    pcell = np.array([r["cell"] for r in pv], dtype=np.int64)
 
-    def to_pivots(df: DataFrame, v: str) -> DataFrame:
-        d = df.withColumn("_one", F.lit(1)).join(parr, "_one").drop("_one")
-        return d.withColumn("pd", F.transform("pivots", lambda p: F.struct(F.sqrt(sq_dist(F.col(v), p["pv"])).alias("d"),
-                                                                        p["cell"].alias("cell")))).drop("pivots")
+    def _dists(vecs) -> np.ndarray:
+        X = np.stack(vecs.to_numpy()).astype(np.float64)
+        d2 = np.zeros((X.shape[0], P.shape[0]))
+        for j in range(X.shape[1]):
+            diff = X[:, j][:, None] - P[:, j][None, :]
+            d2 += diff * diff
+        return np.sqrt(d2)
+
+    def nearest(it):
+        for pdf in it:
+            if pdf.empty:
+                continue
+            d = _dists(pdf["v"])
+            i = np.lexsort((np.broadcast_to(pcell, d.shape), d), axis=1)[:, 0]
+            yield pdf.assign(cell=pcell[i], dc=d[np.arange(len(i)), i])
+
+    def all_pivots(it):
+        for pdf in it:
+            if pdf.empty:
+                continue
+            d = _dists(pdf["qv"])
+            n = len(pdf)
+            yield pd.DataFrame({"qid": np.repeat(pdf["qid"].to_numpy(), len(pcell)),
+                                "qv": np.repeat(pdf["qv"].to_numpy(), len(pcell)),
+                                "cell": np.tile(pcell, n), "dq": d.reshape(-1)})
 
-    # each reference to its nearest pivot
-    rcell = to_pivots(R, "v").select("rid", "label", "v", F.array_min("pd").alias("c")).select(
-        "rid", "label", "v", F.col("c.cell").alias("cell"), F.col("c.d").alias("dc"))
+    # each reference to its nearest pivot (vectorised inside each task)
+    rcell = R.mapInPandas(nearest, "rid long, v array<double>, label int, cell long, dc double")
     cells = rcell.groupBy("cell").agg(F.count("*").alias("cnt"), F.max("dc").alias("radius"))
     cells = F.broadcast(cells.withColumn("n_chunks", F.ceil(F.col("cnt") / chunk).cast("int")))  # <= n_pivots rows
     # query to every pivot: bounds per (query, cell)
-    qp = (to_pivots(Q, "qv").select("qid", "qv", F.explode("pd").alias("p"))
-          .select("qid", "qv", F.col("p.cell").alias("cell"), F.col("p.d").alias("dq")).join(cells, "cell"))
+    qp = Q.mapInPandas(all_pivots, "qid long, qv array<double>, cell long, dq double").join(cells, "cell")
     qp = qp.withColumn("ub", F.col("dq") + F.col("radius")).withColumn("lb", F.greatest(F.col("dq") - F.col("radius"), F.lit(0.0)))
     w = Window.partitionBy("qid").orderBy("ub", "cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cov = qp.withColumn("covered", F.sum("cnt").over(w))  # n_pivots rows per query
