@@ -132,12 +132,25 @@ def architecture_json(k: Column, n_ops: int = 11) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(layers, layer), ", "), F.lit("]"))
 
 
+def with_list_index(df: DataFrame, group: str, order: str, bucket: int = 4096, name: str = "idx") -> DataFrame:
+    """Adds ``name`` = 0-based position of each row inside its group by the
+    unique ``order`` column, skew-safe: per-(group, bucket) counts, their
+    prefix sums per group (one row per bucket), and a row_number inside the
+    bucket (at most ``bucket`` rows)."""
+    b = df.withColumn("_bk", F.floor(F.col(order) / bucket))
+    counts = b.groupBy(group, "_bk").agg(F.count("*").alias("_n"))
+    wp = Window.partitionBy(group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wp), F.lit(0))).drop("_n")
+    wr = Window.partitionBy(group, "_bk").orderBy(order)
+    r = b.join(offs, [group, "_bk"]).withColumn(name, (F.col("_off") + F.row_number().over(wr) - 1).cast("long"))
+    return r.drop("_bk", "_off")
+
+
 def nas_trial_view(trials_state: DataFrame, obs: DataFrame, arch: DataFrame) -> DataFrame:
     """Succeeded trials with 'Generation i' (i = index in the trial
     list), architecture, and their metric log in long form (ordered by
     (ts, seq)); never packed into one row."""
-    w = Window.partitionBy("experiment").orderBy("pos")
-    t = trials_state.select("experiment", "trial", "state", (F.row_number().over(w) - 1).alias("idx"))
+    t = with_list_index(trials_state.select("experiment", "trial", "state", "pos"), "experiment", "pos")
     t = t.filter(F.col("state") == "Succeeded").join(arch, "trial")
     o = obs.join(t, "trial")
     return o.select("experiment", "trial", F.concat(F.lit("Generation "), F.col("idx").cast("string")).alias("generation"),
