@@ -119,7 +119,14 @@ def q_setting_validation(spark, d):
     return validate.setting_violations(ov.select("experiment", "name", "value"), c.experiments, validate.setting_rules(spark))
 
 
-@register("o08_run_config_route")
+@register("o08_run_config_route", """
+SELECT method, key, value FROM (
+  SELECT method, unnest(['datasets_from_pvc', 'learning_rate_min', 'max_trial_counts', 'n_estimators_min']) AS key,
+    unnest([CAST(pvc AS VARCHAR), CAST(lr AS VARCHAR), CAST(mt AS VARCHAR), CAST(ne AS VARCHAR)]) AS value
+  FROM (SELECT ['xgboost', 'random_forest', 'knn', 'lr', 'svm'][n_nationkey % 5 + 1] AS method,
+          0.2::DOUBLE + (n_nationkey % 5) * 0.1::DOUBLE AS lr, 1000 + n_nationkey * 10 AS ne,
+          n_nationkey % 2 = 0 AS pvc, 5 + n_nationkey AS mt FROM nation))
+WHERE method IN ('xgboost', 'random_forest', 'knn', 'lr')""")
 def q_run_config(spark, d):
     n = views.table(spark, d, "nation")
     k = F.col("n_nationkey")
