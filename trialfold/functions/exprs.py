@@ -71,7 +71,7 @@ def md5_long(*parts: Column) -> Column:
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of a plan (file sizes for scans)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # pragma: no cover - non-JVM backends
         return 1 << 62
 

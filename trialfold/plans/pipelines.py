@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trialfold.functions.exprs import small
 from trialfold.operators import fold, parse, state
 from trialfold.plans import views
+from trialfold.session import cut_lineage
 
 
 class Ctx:
@@ -56,7 +57,10 @@ class Ctx:
         """O12–O16 + O19 over the text logs."""
         def build():
             lines = parse.attach_metric_lists(views.log_lines(self.spark, self.sf_dir), self.experiments)
-            rows = parse.parse_text_lines(lines)
+            # the parsed log is read three times below (objective test, kept
+            # rows, fallback); materialise it once in the shared checkpoint
+            # folder, as the observation table it stands for
+            rows = cut_lineage(parse.parse_text_lines(lines))
             tl = self.trials.select("trial", "experiment").join(
                 small(self.experiments.select("experiment", F.col("objective_metric").alias("objective"))), "experiment")
             return parse.objective_fallback(rows, tl.select("trial", "objective"))
