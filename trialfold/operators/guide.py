@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from trialfold.functions.exprs import md5_uniform, num, small, time_key
 from trialfold.operators.state import top_k_per_group
+from trialfold.session import cut_lineage
 
 
 def hyperband_schedule(experiments: DataFrame) -> DataFrame:
@@ -45,6 +46,8 @@ def rung_promotion(objective: DataFrame, trials: DataFrame, assignments: DataFra
                            salt_key=[F.col("trial")])
     o = objective.select("trial", "state", "value")
     last = last.join(o, "trial").join(small(experiments.select("experiment", "objective_type")), "experiment")
+    # at most m rows per experiment, read twice below: materialise once
+    last = cut_lineage(last)
     chk = last.groupBy("experiment").agg(
         F.bool_and((F.col("state") == "Succeeded") & num("value").isNotNull()).alias("ok"))
     good = last.join(chk.filter("ok"), "experiment", "left_semi")
@@ -70,7 +73,9 @@ def pbt_split(pool: DataFrame, experiments: DataFrame, seed: int = 0) -> DataFra
     ``pool`` (experiment, trial, metric_value, count).
     Output (experiment, trial, metric_value, low, high, role, upper, kept)."""
     e = small(experiments.select("experiment", F.col("pbt_tau").alias("tau")))
-    p = pool.join(e, "experiment")
+    # the pool (one row per finished population member) is read several
+    # times: materialise it once
+    p = cut_lineage(pool.join(e, "experiment"))
     # pools are bounded by the population size setting, so the exact
     # rank-based quantile below sorts small groups only
     low, high = _quantiles(p)
@@ -119,6 +124,7 @@ def pbt_next_generation(split: DataFrame, assign_long: DataFrame, specs: DataFra
     set, resample it with that probability.  Generation + 1, parent = the
     replaced trial.  Output (experiment, parent, kind, generation, name,
     value_num, value_text)."""
+    split = cut_lineage(split)  # read four times below; one row per pool member
     kept = split.filter("kept")
     up = split.filter("upper").select("experiment", F.col("trial").alias("up_trial"),
                                       F.row_number().over(Window.partitionBy("experiment").orderBy("trial")).alias("up_idx"))
