@@ -70,6 +70,9 @@ def ingest_text_logs(spark: SparkSession, src: str, trials: DataFrame, experimen
                      side: str, checkpoint: str, max_files: int | None = None):
     """O90 + O95: run the ingest to completion (availableNow)."""
     rows = parse_stream(read_log_stream(spark, src, max_files), trials, experiments)
+    # Event-time watermark; a replayed line (same trial, seq, sub)
+    # arriving again within the watermark is dropped
+    rows = with_lateness(rows).dropDuplicatesWithinWatermark(["trial", "seq", "sub"])
 
     def sink(batch: DataFrame, batch_id: int):
         timed = split_untimed(batch, side, batch_id)
