@@ -212,6 +212,23 @@ def state_gauges(trials_state: DataFrame) -> DataFrame:
     return t.rollup("namespace", "last_condition").agg(F.count("*").alias("trials"))
 
 
+# Counter name by condition type.
+COUNTERS = [("Created", "created"), ("Succeeded", "succeeded"), ("Failed", "failed"), ("Killed", "deleted"),
+            ("MetricsUnavailable", "metrics_unavailable")]
+
+
+def state_change_totals(trials: DataFrame) -> DataFrame:
+    """O65 counters: per namespace the totals of state changes (a trial's
+    true conditions) as created / succeeded / failed / deleted /
+    metrics_unavailable — the batch form of the running counters."""
+    c = trials.select("namespace", F.explode("conditions").alias("c")).filter(F.col("c.status") == "True")
+    name = F.lit(None).cast("string")
+    for t, n in COUNTERS:
+        name = F.when(F.col("c.type") == t, F.lit(n)).otherwise(name)
+    return c.select("namespace", name.alias("counter")).filter(F.col("counter").isNotNull()).groupBy(
+        "namespace", "counter").agg(F.count("*").alias("total"))
+
+
 def status_headline(verdicts: DataFrame, conditions: DataFrame, experiments: DataFrame) -> DataFrame:
     """Message of the first true condition among Succeeded > Failed >
     Running > Restarting > Created, and the goal text 'metric > goal'

@@ -201,6 +201,15 @@ def q_exp_gauges(spark, d):
     return v.rollup("namespace", "status").agg(F.count("*").alias("experiments"))
 
 
+@register("o65c_state_change_totals", with_views("""
+SELECT namespace, counter, count(*) AS total FROM (
+  SELECT namespace, CASE c.type """ + " ".join(f"WHEN '{t}' THEN '{n}'" for t, n in report.COUNTERS) + """ END AS counter
+  FROM (SELECT namespace, unnest(conditions) AS c FROM trials) WHERE c.status = 'True')
+WHERE counter IS NOT NULL GROUP BY namespace, counter""", "trials"))
+def q_totals(spark, d):
+    return report.state_change_totals(Ctx(spark, d).trials)
+
+
 @register("o66_status_headline", with_views("""
 SELECT c.experiment,
   CASE WHEN list_filter(conditions, lambda x: x.type = 'Succeeded')[1].status = 'True' THEN list_filter(conditions, lambda x: x.type = 'Succeeded')[1].message

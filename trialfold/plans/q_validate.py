@@ -108,7 +108,23 @@ SELECT experiment, setting, message FROM (
   JOIN experiments e USING (experiment)
   LEFT JOIN rules r ON r.algorithm = s.algorithm AND r.setting = s.name,
   LATERAL (SELECT CASE WHEN r.kind = 'int' THEN CAST(TRY_CAST(s.value AS BIGINT) AS DOUBLE) ELSE TRY_CAST(s.value AS DOUBLE) END AS x))
-WHERE message IS NOT NULL""", "settings_base", "settings_over", "experiments", extra=[
+WHERE message IS NOT NULL
+UNION ALL
+SELECT experiment, '' AS setting, message FROM (
+  SELECT e.experiment, unnest([
+    CASE WHEN e.algorithm = 'cmaes' AND coalesce(nn.n_num, 0) < 2
+         THEN 'cmaes only supports two or more dimensional continuous search space.' END,
+    CASE WHEN e.algorithm = 'hyperband' AND len(list_filter(['r_l', 'resource_name'],
+           lambda x: NOT list_contains(coalesce(nm.names, []::VARCHAR[]), x))) > 0 THEN 'r_l and resource_name must be set.' END,
+    CASE WHEN e.algorithm = 'pbt' AND len(list_filter(['suggestion_trial_dir', 'n_population', 'truncation_threshold'],
+           lambda x: NOT list_contains(coalesce(nm.names, []::VARCHAR[]), x))) > 0
+         THEN 'Required params missing: ' || array_to_string(list_filter(['suggestion_trial_dir', 'n_population',
+           'truncation_threshold'], lambda x: NOT list_contains(coalesce(nm.names, []::VARCHAR[]), x)), ', ') END]) AS message
+  FROM experiments e
+  LEFT JOIN (SELECT experiment, list(DISTINCT name) AS names FROM overlay GROUP BY experiment) nm USING (experiment)
+  LEFT JOIN (SELECT experiment, count(*) AS n_num FROM param_specs WHERE type IN ('int', 'double') GROUP BY experiment) nn
+    USING (experiment))
+WHERE message IS NOT NULL""", "settings_base", "settings_over", "experiments", "param_specs", extra=[
     ("overlay", """SELECT experiment, name, value FROM (
         SELECT coalesce(b.experiment, o.experiment) AS experiment, coalesce(b.name, o.name) AS name, coalesce(o.value, b.value) AS value
         FROM settings_base b FULL OUTER JOIN settings_over o ON b.experiment = o.experiment AND b.name = o.name)"""),
@@ -116,7 +132,9 @@ WHERE message IS NOT NULL""", "settings_base", "settings_over", "experiments", e
 def q_setting_validation(spark, d):
     c = Ctx(spark, d)
     ov = space.settings_overlay(views.settings_base(spark, d), views.settings_over(spark, d))
-    return validate.setting_violations(ov.select("experiment", "name", "value"), c.experiments, validate.setting_rules(spark))
+    per_setting = validate.setting_violations(ov.select("experiment", "name", "value"), c.experiments, validate.setting_rules(spark))
+    per_algorithm = validate.algorithm_requirements(ov, c.experiments, views.param_specs(spark, d))
+    return per_setting.unionByName(per_algorithm)
 
 
 @register("o08_run_config_route", """
