@@ -94,3 +94,15 @@ def test_objective_missing_replaces_log(spark):
     got = _parse(spark, ["2024-03-04T17:55:08Z loss=0.3"], ["accuracy", "loss"], None)
     assert got == [(ZERO_TIME, "accuracy", "unavailable")]
     assert F is not None
+
+
+def test_filter_compile_check(spark):
+    df = spark.createDataFrame([("(a(b)",), (r"(\w+)=(\d+)",)], "filter string")
+    got = [(r.valid, r.reason) for r in parse.filter_pattern_check(df).collect()]
+    assert got[0] == (False, "filter does not compile") and got[1] == (True, None)
+
+
+def test_json_drop_file_mode(spark):
+    rows = [("t1", 0, '{"acc": "1"}', ["acc"]), ("t1", 1, '{"acc": ', ["acc"]), ("t2", 0, '{"acc": "2"}', ["acc"])]
+    df = spark.createDataFrame(rows, "trial string, line_no long, line string, metrics array<string>")
+    assert [r.trial for r in parse.parse_json_lines(df, mode="drop_file").collect()] == ["t2"]

@@ -21,3 +21,14 @@ def test_f5_range_read(spark):
     assert [x.value for x in r.collect()] == ["0.4", "0.3"]
     gone = store.delete_trials(s, spark.createDataFrame([("test1_trial1",)], "trial string"))
     assert gone.count() == 0
+
+
+def test_delete_rewrites_only_touched_partitions(spark):
+    rows = [("a", 0, 0, "2024-01-01T00:00:00Z", "m", "1"), ("b", 1, 0, "2024-01-01T01:00:00Z", "m", "2"),
+            ("c", 2, 0, "2024-01-02T00:00:00Z", "m", "3")]
+    df = spark.createDataFrame(rows, "trial string, seq long, sub long, ts_raw string, metric string, value string")
+    df = df.withColumn("ts", F.to_timestamp("ts_raw")).withColumn("ts_nanos", F.lit(0))
+    p = f"{checkpoint_dir(spark)}/test-store-{uuid.uuid4().hex}"
+    store.append_observations(df, p)
+    store.delete_and_rewrite(spark, p, spark.createDataFrame([("a",)], "trial string"))
+    assert sorted(r.trial for r in store.read_store(spark, p).collect()) == ["b", "c"]

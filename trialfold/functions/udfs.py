@@ -1,0 +1,26 @@
+"""Small Arrow-batched helpers (kept out of any hot log path)."""
+
+import re
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+_BRACE = re.compile(r"(?<!\\)\{(?!\d+(,\d*)?\})")
+
+
+def _ok(p) -> bool:
+    try:
+        re.compile(_BRACE.sub(r"\\{", p))
+        return True
+    except (re.error, TypeError):
+        return False
+
+
+def _compiles(patterns: pd.Series) -> pd.Series:
+    return pd.Series([_ok(p) for p in patterns])
+
+
+def pattern_compiles(col):
+    """Whether each regular expression compiles (braces escaped as for the
+    JVM engine); the UDF is built on first use, when a session exists."""
+    return F.pandas_udf(_compiles, "boolean")(col)

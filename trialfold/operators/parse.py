@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialfold.functions.exprs import DEFAULT_FILTER, UNAVAILABLE, ZERO_TIME, rfc3339_parts, small
+from trialfold.functions.udfs import pattern_compiles
 
 OBS_COLUMNS = ["trial", "seq", "sub", "ts_raw", "ts", "ts_nanos", "metric", "value"]
 
@@ -128,8 +129,13 @@ def parse_json_lines(lines: DataFrame, mode: str = "failfast", accept_numbers: b
     """JSON-lines logs.  Empty lines skipped.  A metric counts
     only when its JSON value is a string (Q2) unless ``accept_numbers``.
     ``mode='failfast'`` raises on a malformed line; ``'permissive'`` drops it
-    (see ``json_rejects``)."""
+    (see ``json_rejects``); ``'drop_file'`` drops every line of a trial that
+    has a malformed one."""
     l = lines.filter(F.length(line_col) > 0)
+    if mode == "drop_file":
+        # one corrupt line voids its whole log (as the reference's collector
+        # fails the file): drop every row of the affected trials
+        l = l.join(json_rejects(lines, line_col).select("trial").distinct(), "trial", "left_anti")
     v = F.parse_json(line_col) if mode == "failfast" else F.try_parse_json(line_col)
     l = l.select("trial", F.col("line_no").alias("seq"), F.col(metrics_col).alias("metrics"), v.alias("v"))
     l = l.filter(F.col("v").isNotNull())
@@ -185,8 +191,12 @@ def json_timestamp(tsv: Column, compat: str = "literal") -> tuple[Column, Column
 
 def filter_pattern_check(specs: DataFrame, pattern_col: str = "filter") -> DataFrame:
     """A collector filter must compile and hold at least two
-    parenthesised groups.  Output: (…, valid, reason)."""
+    parenthesised groups.  Output: (…, valid, reason).  Compilation is a
+    small Arrow-batched helper (one call per spec row, never in a log
+    path)."""
     p = F.col(pattern_col)
     two = p.rlike(r".*\(.*\).*\(.*\).*")
-    return specs.withColumn("valid", two).withColumn(
-        "reason", F.when(~two, F.lit("filter must have at least two capture groups")))
+    compiles = pattern_compiles(p)
+    return (specs.withColumn("valid", two & compiles)
+            .withColumn("reason", F.when(~compiles, F.lit("filter does not compile"))
+                        .when(~two, F.lit("filter must have at least two capture groups"))))
