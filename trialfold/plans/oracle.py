@@ -145,7 +145,8 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
             [CAST((c_custkey * 7 + i * 3) % 11 AS VARCHAR)] || CASE WHEN i > 0 THEN list_transform(range(1, i + 1),
               lambda j: CASE WHEN (c_custkey + i * j) % 3 = 0 THEN '1' ELSE '0' END) ELSE []::VARCHAR[] END, ', ') || ']'),
           ', ') || ']' AS architecture
-      FROM customer WHERE c_nationkey % 8 = 7""", []),
+      FROM customer WHERE 'exp-' || c_nationkey IN (SELECT experiment FROM experiments WHERE algorithm IN ('enas', 'darts'))""",
+                      ["experiments"]),
     "dataset": ("""SELECT o_orderkey AS id,
         CASE WHEN o_orderkey % 11 = 0 THEN 'Other' WHEN o_orderkey % 11 = 1 THEN NULL WHEN o_orderkey % 11 = 2 THEN 'Unknown'
              WHEN o_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,

@@ -372,10 +372,14 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def architectures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NAS architecture of every trial of the NAS experiments (nation key %
-    8 == 7): (experiment, trial, architecture JSON text)."""
-    from trialfold.operators.report import architecture_json
-    c = table(spark, sf_dir, "customer").filter(F.col("c_nationkey") % 8 == 7)
+    """NAS architecture of every trial whose experiment runs a NAS
+    algorithm: (experiment, trial, architecture JSON text)."""
+    from trialfold.functions.exprs import small
+    from trialfold.operators.report import NAS_ALGORITHMS, architecture_json
+    c = table(spark, sf_dir, "customer")
+    nas = experiments(spark, sf_dir).filter(F.col("algorithm").isin(NAS_ALGORITHMS)).select("experiment")
+    c = c.withColumn("experiment", F.concat(F.lit("exp-"), F.col("c_nationkey").cast("string"))).join(
+        small(nas), "experiment", "left_semi")
     return c.select(F.concat(F.lit("exp-"), F.col("c_nationkey").cast("string")).alias("experiment"),
                     F.concat(F.lit("trial-"), F.col("c_custkey").cast("string")).alias("trial"),
                     architecture_json(F.col("c_custkey")).alias("architecture"))
