@@ -194,7 +194,8 @@ def _tpe_inputs(spark, d, n_candidates: int = 8):
     val = F.coalesce(F.col("value_text"), F.col("value_num").cast("string"))
     ca = smp.groupBy("experiment", "sample").agg(
         F.sort_array(F.collect_list(F.struct("pos", F.struct(F.col("name"), val.alias("value")).alias("a")))).alias("l"))
-    ca = ca.select("experiment", F.concat(F.lit("cand-"), F.col("sample").cast("string")).alias("trial"),
+    # candidate ids are unique across experiments (the encoder joins on the id)
+    ca = ca.select("experiment", F.concat(F.lit("cand-"), F.col("experiment"), F.lit("-"), F.col("sample").cast("string")).alias("trial"),
                    F.transform("l", lambda z: z["a"]).alias("assignments"))
     cobj = ca.select("trial", F.lit("0").alias("value"))
     cenc = space.encode_trials(ca, cobj, specs, c.experiments)
@@ -203,7 +204,56 @@ def _tpe_inputs(spark, d, n_candidates: int = 8):
     return cs, tr
 
 
-@register("o56f_tpe_candidate_scoring")
+def _tpe_sql() -> str:
+    from trialfold.plans.catalog import ORACLE
+    from trialfold.plans.q_space import ENC_SQL
+    u = ORACLE["o43_o44_uniform_sample"]
+    body = "SELECT experiment, sample, pos, name," + u.split("\nSELECT experiment, sample, pos, name,", 1)[1]
+    body = body.replace("concat_ws('|', 0, s.experiment", "concat_ws('|', 7, s.experiment").replace(
+        "range(1, parallel_trial_count + 1)", "range(1, 9)")
+    bnd = """SELECT experiment, CAST(off AS INTEGER) AS dim,
+          CASE WHEN type = 'discrete' THEN list_min(list_transform(list, lambda v: TRY_CAST(v AS DOUBLE))) ELSE TRY_CAST(min AS DOUBLE) END AS lo,
+          CASE WHEN type = 'discrete' THEN list_max(list_transform(list, lambda v: TRY_CAST(v AS DOUBLE))) ELSE TRY_CAST(max AS DOUBLE) END AS hi
+        FROM sp WHERE type <> 'categorical'
+        UNION ALL
+        SELECT experiment, CAST(off + generate_subscripts(list, 1) - 1 AS INTEGER), 0.0, 1.0 FROM sp WHERE type = 'categorical'"""
+    scaled = "CASE WHEN b.hi - b.lo = 0 THEN 0.0 ELSE (e.x - b.lo) / (b.hi - b.lo) END"
+    return with_views("""
+SELECT experiment, candidate, round(score, 9) AS score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY score DESC, candidate) AS rank FROM (
+    SELECT cb.experiment, cb.candidate,
+      sum(ln((coalesce(h.cg, 0) + 1.0 / 20) / (ng.n_good + 1.0)) - ln((coalesce(h.cb, 0) + 1.0 / 20) / (ng.n_bad + 1.0))) AS score
+    FROM (SELECT experiment, id AS candidate, dim, CAST(least(floor(x * 20), 19) AS INTEGER) AS bin FROM cs) cb
+    LEFT JOIN h ON h.experiment = cb.experiment AND h.dim = cb.dim AND h.bin = cb.bin
+    JOIN ng ON ng.experiment = cb.experiment
+    GROUP BY cb.experiment, cb.candidate))
+WHERE rank <= 2""", "param_specs", "objective_values", "assignments", "experiments", extra=ENC_SQL + [
+        ("bnd", bnd),
+        ("tr", f"""SELECT e.experiment, e.trial AS id, e.dim, {scaled} AS x,
+                    CASE WHEN ex.objective_type = 'minimize' THEN -TRY_CAST(p.obj AS DOUBLE) ELSE TRY_CAST(p.obj AS DOUBLE) END AS y
+                  FROM enc e JOIN bnd b USING (experiment, dim) JOIN prior p ON p.trial = e.trial
+                  JOIN experiments ex ON ex.experiment = e.experiment"""),
+        ("trv", "SELECT * FROM tr WHERE y IS NOT NULL"),
+        ("smp", body),
+        ("cenc", """SELECT s.experiment, 'cand-' || s.experiment || '-' || s.sample AS id, CAST(sp.off AS INTEGER) AS dim,
+                      coalesce(s.value_num, TRY_CAST(s.value_text AS DOUBLE)) AS x
+                    FROM smp s JOIN sp ON sp.experiment = s.experiment AND sp.name = s.name WHERE sp.type <> 'categorical'
+                    UNION ALL
+                    SELECT s.experiment, 'cand-' || s.experiment || '-' || s.sample, CAST(sp.off + generate_subscripts(sp.list, 1) - 1 AS INTEGER),
+                      CASE WHEN unnest(sp.list) = s.value_text THEN 1.0 ELSE 0.0 END
+                    FROM smp s JOIN sp ON sp.experiment = s.experiment AND sp.name = s.name WHERE sp.type = 'categorical'"""),
+        ("cs", f"SELECT e.experiment, e.id, e.dim, least(greatest({scaled}, 0.0), 1.0) AS x FROM cenc e JOIN bnd b USING (experiment, dim)"),
+        ("ty", "SELECT DISTINCT experiment, id, y FROM trv"),
+        ("lab", """SELECT ty.experiment, ty.id, ty.y >= q.thr AS good FROM ty
+                   JOIN (SELECT experiment, quantile_cont(y, 0.75) AS thr FROM ty GROUP BY experiment) q USING (experiment)"""),
+        ("ng", """SELECT experiment, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE NOT good) AS n_bad
+                  FROM lab GROUP BY experiment"""),
+        ("h", """SELECT t.experiment, t.dim, CAST(least(floor(t.x * 20), 19) AS INTEGER) AS bin,
+                   count(*) FILTER (WHERE l.good) AS cg, count(*) FILTER (WHERE NOT l.good) AS cb
+                 FROM trv t JOIN lab l USING (experiment, id) GROUP BY ALL""")])
+
+
+@register("o56f_tpe_candidate_scoring", _tpe_sql())
 def q_tpe(spark, d):
     cand, tr = _tpe_inputs(spark, d)
     return guide.tpe_scores(cand, tr, gamma=0.25, top=2)
