@@ -118,7 +118,9 @@ STOP_STATE = "counts string, met string, fired boolean"
 
 
 def _stop_fn(key, pdfs, state):
-    """State per trial: rows seen per rule, rules met; emit once."""
+    """State per trial: rows seen per rule, first hit per rule; emit once,
+    when every rule has been met.  Vectorised over the trial's rows of the
+    micro-batch (cumulative counts per rule, first qualifying hit)."""
     if state.hasTimedOut:
         state.remove()
         return
@@ -127,31 +129,32 @@ def _stop_fn(key, pdfs, state):
         counts, met = json.loads(counts), json.loads(met)
     else:
         counts, met, fired = {}, {}, False
-    out = []
     pdf = pd.concat(list(pdfs), ignore_index=True)
     if fired or pdf.empty:
         state.update((json.dumps(counts), json.dumps(met), fired))
         return
-    pdf = pdf.sort_values(["tk", "seq"], kind="stable")
+    pdf = pdf.sort_values(["tk", "seq"], kind="stable").reset_index(drop=True)
+    rk = pdf["rule"].astype(str)
+    prior = rk.map(lambda k: counts.get(k, 0))
+    cnt = pdf.groupby(rk).cumcount() + 1 + prior
+    rv = pdf["rule_value"].astype(float)
+    x = pdf["x"].astype(float)
+    cmp = pdf["comparison"]
+    hit = ((cmp == "equal") & (x == rv)) | ((cmp == "less") & (x < rv)) | ((cmp == "greater") & (x > rv))
+    ok = hit & (cnt >= pdf["start_step"]) & x.notna() & ~rk.isin(list(met))
+    for k, row in pdf[ok].assign(rk=rk[ok]).groupby("rk").head(1).set_index("rk").iterrows():
+        met[k] = [int(row["tk"]), int(row["seq"])]
+    for k, n in rk.value_counts().items():
+        counts[k] = counts.get(k, 0) + int(n)
     n_rules = int(pdf["n_rules"].iloc[0])
-    for r in pdf.itertuples(index=False):
-        k = str(r.rule)
-        counts[k] = counts.get(k, 0) + 1
-        if k in met or counts[k] < r.start_step or r.x is None or pd.isna(r.x):
-            continue
-        rv = float(r.rule_value)
-        hit = (r.comparison == "equal" and r.x == rv) or (r.comparison == "less" and r.x < rv) or \
-              (r.comparison == "greater" and r.x > rv)
-        if hit:
-            met[k] = [int(r.tk), int(r.seq)]
-            if len(met) == n_rules:
-                fired = True
-                last = max(met.values())
-                out.append((key[0], last[1], last[0]))
-                break
+    out = None
+    if len(met) == n_rules:
+        fired = True
+        last = max(met.values())
+        out = pd.DataFrame([(key[0], last[1], last[0])], columns=["trial", "stop_seq", "stop_tk"])
     state.update((json.dumps(counts), json.dumps(met), fired))
-    if out:
-        yield pd.DataFrame(out, columns=["trial", "stop_seq", "stop_tk"])
+    if out is not None:
+        yield out
 
 
 def stop_rule_firing(rows: DataFrame, trials: DataFrame, rules: DataFrame, sink_path: str, checkpoint: str):
