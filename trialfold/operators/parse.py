@@ -139,11 +139,8 @@ def parse_json_lines(lines: DataFrame, mode: str = "failfast", accept_numbers: b
     v = F.parse_json(line_col) if mode == "failfast" else F.try_parse_json(line_col)
     l = l.select("trial", F.col("line_no").alias("seq"), F.col(metrics_col).alias("metrics"), v.alias("v"))
     l = l.filter(F.col("v").isNotNull())
-    m = F.col("v").try_cast("map<string,variant>")
-    tsv = F.element_at(m, F.lit("timestamp"))
-    ts_raw, ts, nanos = json_timestamp(tsv)
-    l = l.select("trial", "seq", "metrics", F.col("v").try_cast("map<string,variant>").alias("m"),
-                 ts_raw.alias("ts_raw"), ts.alias("ts"), nanos.alias("ts_nanos"))
+    l = l.select("trial", "seq", "metrics", F.col("v").try_cast("map<string,variant>").alias("m"))
+    l = add_json_time(l, F.element_at(F.col("m"), F.lit("timestamp")))
     x = l.select("trial", "seq", "m", "ts_raw", "ts", "ts_nanos", F.posexplode("metrics").alias("sub", "metric"))
     val = F.element_at(F.col("m"), F.col("metric"))
     kind = F.schema_of_variant(val)
@@ -160,6 +157,38 @@ def json_rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return lines.filter((F.length(line_col) > 0) & F.try_parse_json(line_col).isNull())
 
 
+def add_json_time(df: DataFrame, tsv: Column, compat: str = "literal") -> DataFrame:
+    """O18 in stages (each intermediate is computed once per row and
+    reused): adds ts_raw, ts, ts_nanos from the JSON timestamp value."""
+    d = df.withColumn("_tv", tsv)
+    d = d.withColumn("_tk", F.schema_of_variant("_tv")).withColumn("_ts", F.col("_tv").cast("string"))
+    s, kind = F.col("_ts"), F.col("_tk")
+    str_ts, str_nanos = rfc3339_parts(s)
+    d = d.withColumn("_st", str_ts).withColumn("_sn", str_nanos)
+    is_num = kind.startswith("BIGINT") | kind.startswith("DECIMAL") | kind.startswith("DOUBLE")
+    txt = F.when(F.lower(s).contains("e"), s.cast("decimal(38,9)").cast("string")).otherwise(s)
+    parts = F.split(txt, r"\.")
+    d = d.withColumn("_sec", F.when(is_num, parts.getItem(0).try_cast("long"))).withColumn(
+        "_frac", F.when(is_num, F.regexp_replace(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")), "0+$", "")))
+    frac = F.col("_frac")
+    if compat == "literal":
+        fn = F.when(frac == "", F.lit(0)).otherwise(frac.try_cast("long"))
+    else:
+        fn = F.when(frac == "", F.lit(0)).otherwise(F.rpad(F.substring(frac, 1, 9), 9, "0").cast("long"))
+    d = d.withColumn("_tot", F.col("_sec") * 1000000000 + fn)
+    d = d.withColumn("_nts", F.timestamp_micros(F.floor(F.col("_tot").cast("decimal(38,0)") / F.lit(1000)).cast("long"))) \
+         .withColumn("_nn", F.pmod(F.col("_tot"), F.lit(1000000000)).cast("int"))
+    ok_str = (kind == "STRING") & F.col("_st").isNotNull()
+    ok_num = is_num & F.col("_sec").isNotNull()
+    nn = F.col("_nn")
+    raw = F.when(ok_str, s).when(ok_num, F.concat(F.date_format("_nts", "yyyy-MM-dd'T'HH:mm:ss"),
+                                                    F.when(nn > 0, F.concat(F.lit("."), F.regexp_replace(F.lpad(nn.cast("string"), 9, "0"), "0+$", ""))).otherwise(F.lit("")),
+                                                    F.lit("Z"))).otherwise(F.lit(ZERO_TIME))
+    d = d.withColumn("ts_raw", raw).withColumn("ts", F.when(ok_str, F.col("_st")).when(ok_num, F.col("_nts"))).withColumn(
+        "ts_nanos", F.when(ok_str, F.col("_sn")).when(ok_num, nn))
+    return d.drop("_tv", "_tk", "_ts", "_st", "_sn", "_sec", "_frac", "_tot", "_nts", "_nn")
+
+
 def json_timestamp(tsv: Column, compat: str = "literal") -> tuple[Column, Column, Column]:
     """String -> must be RFC3339Nano; number -> decimal text split at
     '.', fraction digits read as nanoseconds as written (Q1,

@@ -15,11 +15,14 @@ from trialfold.functions.exprs import small
 STORE_COLUMNS = ["trial", "seq", "sub", "ts", "ts_nanos", "metric", "value"]
 
 
-def append_observations(rows: DataFrame, path: str) -> None:
+def append_observations(rows: DataFrame, path: str, writers_per_day: int = 16) -> None:
     """Rows with an empty time text are skipped; the rest appended."""
     r = rows.filter(F.coalesce(F.col("ts_raw"), F.lit("")) != "")
     r = r.select(*STORE_COLUMNS, F.coalesce(F.to_date("ts"), F.lit("0001-01-01").cast("date")).alias("day"))
-    (r.repartition("day").write.mode("append").partitionBy("day").parquet(path))
+    # a busy day is spread over ``writers_per_day`` tasks (and files) instead
+    # of one, so one day holding a third of the rows does not serialise the write
+    salt = F.pmod(F.xxhash64("trial", "seq", "sub"), F.lit(writers_per_day))
+    (r.repartition("day", salt).write.mode("append").partitionBy("day").parquet(path))
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
