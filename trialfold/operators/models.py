@@ -94,6 +94,15 @@ def tune(spark: SparkSession, train: DataFrame, test: DataFrame, assignments: li
     once ``max_trials`` ran, ``max_failed`` failed or the goal is reached.
     Returns metric-log rows (trial, seq, metric, value) for O21–O33."""
     train, test = train.cache(), test.cache()
+    try:
+        rows = _sweep(train, test, assignments, objective, max_trials, max_failed, parallel, goal)
+    finally:
+        train.unpersist()
+        test.unpersist()
+    return spark.createDataFrame(rows, "trial string, seq long, metric string, value string")
+
+
+def _sweep(train, test, assignments, objective, max_trials, max_failed, parallel, goal) -> list[tuple]:
     rows: list[tuple] = []
     failed, done, reached = 0, 0, False
     todo = list(enumerate(assignments[:max_trials]))
@@ -111,4 +120,4 @@ def tune(spark: SparkSession, train: DataFrame, test: DataFrame, assignments: li
                 except Exception:  # noqa: BLE001 - a failed trial is a result
                     failed += 1
                     rows.append((f"trial-{i}", i, "accuracy", "unavailable"))
-    return spark.createDataFrame(rows, "trial string, seq long, metric string, value string")
+    return rows
