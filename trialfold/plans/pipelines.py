@@ -68,7 +68,15 @@ class Ctx:
 
     @property
     def text_observation(self):
-        return self._get("text_observation", lambda: fold.fold_observations(self.text_obs, self.trial_metrics))
+        """O21 over the text logs with the O19 fallback folded in: the
+        parsed log is read once (no materialisation needed)."""
+        def build():
+            lines = parse.attach_metric_lists(views.log_lines(self.spark, self.sf_dir), self.experiments)
+            rows = parse.parse_text_lines(lines)
+            obj = self.trials.select("trial", "experiment").join(
+                small(self.experiments.select("experiment", F.col("objective_metric").alias("objective"))), "experiment")
+            return fold.fold_with_objective_fallback(rows, self.trial_metrics, obj.select("trial", "objective"))
+        return self._get("text_observation", build)
 
     @property
     def summary(self):
