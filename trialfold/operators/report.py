@@ -132,17 +132,18 @@ def architecture_json(k: Column, n_ops: int = 11) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(layers, layer), ", "), F.lit("]"))
 
 
-def with_list_index(df: DataFrame, group: str, order: str, bucket: int = 4096, name: str = "idx") -> DataFrame:
+def with_list_index(df: DataFrame, group, order: str, bucket: int = 4096, name: str = "idx") -> DataFrame:
     """Adds ``name`` = 0-based position of each row inside its group by the
     unique ``order`` column, skew-safe: per-(group, bucket) counts, their
     prefix sums per group (one row per bucket), and a row_number inside the
     bucket (at most ``bucket`` rows)."""
+    g = [group] if isinstance(group, str) else list(group)
     b = df.withColumn("_bk", F.floor(F.col(order) / bucket))
-    counts = b.groupBy(group, "_bk").agg(F.count("*").alias("_n"))
-    wp = Window.partitionBy(group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = b.groupBy(*g, "_bk").agg(F.count("*").alias("_n"))
+    wp = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wp), F.lit(0))).drop("_n")
-    wr = Window.partitionBy(group, "_bk").orderBy(order)
-    r = b.join(offs, [group, "_bk"]).withColumn(name, (F.col("_off") + F.row_number().over(wr) - 1).cast("long"))
+    wr = Window.partitionBy(*g, "_bk").orderBy(order)
+    r = b.join(offs, [*g, "_bk"]).withColumn(name, (F.col("_off") + F.row_number().over(wr) - 1).cast("long"))
     return r.drop("_bk", "_off")
 
 

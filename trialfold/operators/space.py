@@ -321,9 +321,9 @@ def fifo_match(suggestions: DataFrame, finished: DataFrame) -> DataFrame:
     same key (k-th finished with key K <- k-th oldest suggestion with K).
     Inputs (experiment, id/trial, order, key).  Output (experiment, trial,
     suggestion) with suggestion NULL = unknown trial (an error)."""
-    ws = Window.partitionBy("experiment", "key").orderBy("order")
-    s = suggestions.withColumn("rn", F.row_number().over(ws))
-    f = finished.withColumn("rn", F.row_number().over(ws))
+    from trialfold.operators.report import with_list_index  # skew-safe ranks inside (experiment, key)
+    s = with_list_index(suggestions, ["experiment", "key"], "order", name="rn")
+    f = with_list_index(finished, ["experiment", "key"], "order", name="rn")
     return f.join(s.select("experiment", "key", "rn", F.col("id").alias("suggestion")), ["experiment", "key", "rn"], "left").select(
         "experiment", "trial", "suggestion")
 
@@ -331,10 +331,10 @@ def fifo_match(suggestions: DataFrame, finished: DataFrame) -> DataFrame:
 def newest_running_match(suggestions: DataFrame, finished: DataFrame) -> DataFrame:
     """Like ``fifo_match`` but a trial maps to the newest still-running
     unmapped suggestion with equal parameters."""
-    ws = Window.partitionBy("experiment", "key").orderBy(F.col("order").desc())
-    wf = Window.partitionBy("experiment", "key").orderBy("order")
-    s = suggestions.filter(F.col("running")).withColumn("rn", F.row_number().over(ws))
-    f = finished.withColumn("rn", F.row_number().over(wf))
+    from trialfold.operators.report import with_list_index  # skew-safe ranks inside (experiment, key)
+    s = with_list_index(suggestions.filter(F.col("running")).withColumn("_neg", -F.col("order")),
+                        ["experiment", "key"], "_neg", name="rn")
+    f = with_list_index(finished, ["experiment", "key"], "order", name="rn")
     return f.join(s.select("experiment", "key", "rn", F.col("id").alias("suggestion")), ["experiment", "key", "rn"], "left").select(
         "experiment", "trial", "suggestion")
 
