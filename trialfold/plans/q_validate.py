@@ -82,6 +82,17 @@ def q_spec_validation(spark, d):
     return validate.spec_violations(views.experiment_specs(spark, d))
 
 
+def _first_error_sql() -> str:
+    from trialfold.plans.catalog import ORACLE
+    return f"SELECT experiment, arg_min(message, rule) AS first_error FROM ({ORACLE['o55_spec_validation']}) GROUP BY experiment"
+
+
+@register("o55b_spec_first_error", _first_error_sql())
+def q_first_error(spark, d):
+    """The error the reference's validator returns: the first failing rule."""
+    return validate.first_errors(validate.spec_violations(views.experiment_specs(spark, d)))
+
+
 def _rules_sql() -> str:
     def lit(v):
         if v is None:
