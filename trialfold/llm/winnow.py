@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from trialfold.llm.common import WORD, cut
 
-GRAM = 5
+GRAM = 4
 WINDOW = 8
+#: Positions count up to 2 ** POSITION_BITS words and start anew there.
+POSITION_BITS = 23
+_MASK = (1 << POSITION_BITS) - 1
 #: Pieces of the range of ids, cut at approximate quantiles.
 ID_PIECES = 64
 
@@ -34,51 +37,64 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
 
 
-def gram_hashes(words: Column, gram: int = GRAM) -> Column:
-    """Rolling hashes of all runs of ``gram`` word hashes (one of them all, if there are fewer)."""
-    size = F.size(words)
-
-    def rolled(i: Column) -> Column:
-        out = _rotated(F.get(words, i), gram - 1)
-        for k in range(1, gram):
-            out = out.bitwiseXOR(_rotated(F.get(words, i + k), gram - 1 - k))
-        return out
-
-    whole = F.aggregate(words, F.lit(0).cast("long"), lambda a, w: _rotated(a, 1).bitwiseXOR(w))
-    return (F.when(size == 0, F.array().cast("array<bigint>")).when(size < gram, F.array(whole))
-            .otherwise(F.transform(F.sequence(F.lit(0), F.greatest(size - gram, F.lit(0))), rolled)))
-
-
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once (a column used inside a
     lambda may be computed anew for each element)."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _doubled(values: Column, width: int, join) -> Column:
+    """For each element, ``join`` over it and the ``width - 1`` after it
+    (``width`` a power of two), in a pass for each doubling."""
+    if width == 1:
+        return values
+    half = width // 2
+    return _let(_doubled(values, half, join),
+                lambda a: F.zip_with(a, F.slice(a, F.lit(half + 1), F.size(a)), lambda x, y: join(x, y, half)))
+
+
+def gram_hashes(words: Column, gram: int = GRAM) -> Column:
+    """Rolling hashes of all runs of ``gram`` word hashes (one of them all, if
+    there are fewer): the exclusive or of the hashes, each rotated by its
+    distance from the run's end."""
+    size = F.size(words)
+    whole = F.aggregate(words, F.lit(0).cast("long"), lambda a, w: _rotated(a, 1).bitwiseXOR(w))
+    runs = _doubled(words, gram, lambda x, y, half: _rotated(x, half).bitwiseXOR(y))
+    return (F.when(size == 0, F.array().cast("array<bigint>")).when(size < gram, F.array(whole))
+            .otherwise(F.slice(runs, F.lit(1), F.greatest(size - gram + 1, F.lit(1)))))
+
+
 def selected(grams: Column, window: int = WINDOW) -> Column:
-    """(hash, position) of the smallest gram of each window, each once, in order.
+    """The keys of the smallest gram of each window, each once, in order.
 
-    Keys are (hash, -position), so the smallest key is the rightmost smallest hash."""
-    def lows(keys: Column) -> Column:
-        last = F.greatest(F.size(keys) - window, F.lit(0))
-        every = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_min(F.slice(keys, i + 1, window)))
-        return F.when(F.size(keys) == 0, keys).otherwise(_let(every, changes))
+    A key has the upper ``64 - POSITION_BITS - 1`` bits of a hash above the
+    inverted position, so the smallest key is the rightmost smallest hash."""
+    def keyed(h: Column, i: Column) -> Column:
+        return F.shiftleft(F.shiftrightunsigned(h, POSITION_BITS + 1), POSITION_BITS).bitwiseOR(F.lit(_MASK) - i.bitwiseAND(F.lit(_MASK)))
 
-    def changes(every: Column) -> Column:
-        # positions only go forward, so equal ones stand together
-        return F.filter(every, lambda p, i: (i == 0) | (p["at"] != F.get(every, F.greatest(i - 1, F.lit(0)))["at"]))
+    def lows(keys: Column) -> Column:
+        # a window that runs over the end has no more than another one before it, but if it is the only one
+        every = _doubled(keys, window, lambda x, y, _: F.least(x, y))
+        return F.array_distinct(F.slice(every, F.lit(1), F.greatest(F.size(keys) - window + 1, F.least(F.size(keys), F.lit(1)))))
 
-    return _let(F.transform(grams, lambda h, i: F.struct(h.alias("hash"), (-i).alias("at"))), lows)
+    return _let(F.transform(grams, keyed), lows)
 
 
 def winnowed(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """The kept (hash, -position) of a text."""
-    return _let(word_hashes(text), lambda words: selected(gram_hashes(words, gram), window))
+    """The kept keys of a text."""
+    return _let(word_hashes(text), lambda words: _let(gram_hashes(words, gram), lambda grams: selected(grams, window)))
+
+
+def hashes(picked: Column) -> Column:
+    return F.transform(picked, lambda k: F.shiftrightunsigned(k, POSITION_BITS))
 
 
 def fingerprint(picked: Column) -> Column:
     """The kept hashes with their positions (index of the gram's first word) as text."""
-    return F.array_join(F.transform(picked, lambda p: F.concat(F.lower(F.hex(p["hash"])), F.lit("@"), (-p["at"]).cast("string"))), " ")
+    def shown(k: Column) -> Column:
+        return F.concat(F.lower(F.hex(F.shiftrightunsigned(k, POSITION_BITS))), F.lit("@"), (F.lit(_MASK) - k.bitwiseAND(F.lit(_MASK))).cast("string"))
+
+    return F.array_join(F.transform(picked, shown), " ")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -126,7 +142,7 @@ def compared(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFra
     placed = neighbours(docs).repartition("_to")
     w = Window.partitionBy("_to").orderBy("_guest", "doc_id", F.xxhash64("text"))
     rows = placed.withColumn("_picked", winnowed(F.col("text"), gram, window))
-    rows = (rows.withColumn("next_text", F.lead("text").over(w)).withColumn("_next", F.lead(F.col("_picked.hash")).over(w))
+    rows = (rows.withColumn("next_text", F.lead("text").over(w)).withColumn("_next", F.lead(hashes(F.col("_picked"))).over(w))
             .where("_guest = 0"))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
@@ -135,5 +151,5 @@ def compared(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFra
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("_picked")).alias("fingerprint"), fingerprint(F.col("_edited")).alias("edited_fingerprint"),
-        likeness(F.col("_picked.hash"), F.col("_edited.hash")).alias("near_edited"),
-        likeness(F.col("_picked.hash"), F.col("_next")).alias("near_next"))
+        likeness(hashes(F.col("_picked")), hashes(F.col("_edited"))).alias("near_edited"),
+        likeness(hashes(F.col("_picked")), F.col("_next")).alias("near_next"))
