@@ -243,7 +243,7 @@ def _generated(rng: random.Random) -> tuple[str, list[tuple[int, int, int]]]:
         return rng.choice([
             lambda: card(False), lambda: num(rng.randint(1, 12)), lambda: f"{rng.randint(1, 9)}.{rng.randint(0, 99)}", lambda: num(rng.randint(20, 26)),
             lambda: f"{num(4)}-{num(2)}-{num(2)}", lambda: f"{num(2)}.{num(2)}.{num(4)}", lambda: f"{num(3)}-{num(4)}", lambda: f"({num(3)}) {num(3)}-{num(4)}",
-            lambda: f"{rng.randint(256, 999)}.{num(2)}.{num(2)}.{num(1)}", lambda: f"{num(1)}.{num(1)}.{num(2)}.{num(1)}.{num(1)}", lambda: f"{word()}{num(3)}{word()}{num(2)}", lambda: f"@{word()}",
+            lambda: f"{rng.randint(256, 999)}.{num(2)}.{num(2)}.{num(1)}", lambda: f"{num(1)}.{num(1)}.{num(2)}.{num(1)}.{num(1)}", lambda: f"{word()}{num(3)}{word()}{num(2)}", lambda: f"@{word()}", lambda: f"{word()}@{word()}",
             lambda: f"{word()}={num(6)}", lambda: f"+{num(2)}", lambda: f"{num(1)},{num(3)},{num(3)}", lambda: f"+{num(17)}"])()
 
     text, spans = "", []

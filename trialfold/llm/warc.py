@@ -26,6 +26,7 @@ import base64
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trialfold.llm.common import bounded, cut
 
@@ -36,7 +37,7 @@ HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
 STRETCH = 1 << 20
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def base32(digests: pd.Series) -> pd.Series:
     """SHA-1 in hex as base32."""
     return digests.map(lambda h: base64.b32encode(bytes.fromhex(h)).decode(), na_action="ignore")
