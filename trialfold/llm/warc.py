@@ -81,7 +81,7 @@ def write(pages: DataFrame, path: str, least: int = 0) -> None:
 # ---------------------------------------------------------------- reading
 
 def fragments(spark: SparkSession, path: str) -> DataFrame:
-    """(file, start, value): what follows each magic in a file, with the
+    """(file, _split, start, value): what follows each magic in a file, with the
     offset of that magic.
 
     A file that starts with the magic yields an empty fragment first, which
@@ -94,7 +94,7 @@ def fragments(spark: SparkSession, path: str) -> DataFrame:
     before = by_split.select("file", "_split", (F.sum("_sum").over(Window.partitionBy("file").orderBy("_split")) - F.col("_sum")).alias("_before"))
     inside = F.sum(size).over(Window.partitionBy("file", "_split").orderBy("_n")) - size
     return (raw.withColumn("_inside", inside).join(before, ["file", "_split"])
-            .select("file", (F.col("_before") + F.col("_inside") - len(MAGIC)).alias("start"), "value"))
+            .select("file", "_split", (F.col("_before") + F.col("_inside") - len(MAGIC)).alias("start"), "value"))
 
 
 def _field(head: Column, name: str) -> Column:
@@ -117,21 +117,32 @@ def parsed(rows: DataFrame) -> DataFrame:
 
 
 def chained(candidates: DataFrame) -> DataFrame:
-    """The (file, start) that the chains of (file, start, next) reach from 0."""
-    jump = cut(candidates.select("file", "start", "next"))
-    found = cut(jump.where("start = 0").select("file", "start"))
+    """The (file, start) that the chains of (file, _split, start, next) reach from 0.
+
+    Inside a split, candidates whose successor is the next candidate form a
+    run; the first jump of each goes to the end of its run at once, so that
+    the chain is as long as a file has splits and strays.  Jumps from the file
+    start find the places where the chain enters runs, and a run is reached
+    from its first entry on."""
+    inside = Window.partitionBy("file", "_split").orderBy("start")
+    ends = F.when(~F.lead("start").over(inside).eqNullSafe(F.col("next")), F.col("next"))
+    runs = cut(candidates.select("file", "_split", "start", ends.alias("_end"))
+               .select("file", "_split", "start", F.first("_end", ignorenulls=True).over(
+                   inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("next")))
+    found, jump = cut(runs.where("start = 0").select("file", "start")), runs.select("file", "start", "next")
     n = found.count()
     while n:
         # those reached so far jump to as many new ones, then every jump is doubled
-        more = found.join(jump, ["file", "start"]).select("file", F.col("next").alias("start"))
-        more = more.join(candidates.select("file", "start"), ["file", "start"], "left_semi")
+        more = (found.join(jump, ["file", "start"]).select("file", F.col("next").alias("start"))
+                .join(runs.select("file", "start"), ["file", "start"], "left_semi"))
         found = cut(found.unionByName(more).distinct())
         if (now := found.count()) == n:
             break
         n = now
         far = jump.select("file", F.col("start").alias("next"), F.col("next").alias("_far"))
         jump = cut(jump.join(far, ["file", "next"]).select("file", "start", F.col("_far").alias("next")))
-    return found
+    entries = (runs.join(found, ["file", "start"]).groupBy("file", "_split", "next").agg(F.min("start").alias("_entry")))
+    return runs.join(entries, ["file", "_split", "next"]).where("start >= _entry").select("file", "start")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -141,10 +152,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     # hash each fragment's payload where it is read; only stray fragments move as text
     data = _http_payload(F.col("_block"))
     slim = cut(rows.where("start >= 0").select(
-        "file", "start", "length", "next", "_kind", "_id", "_to", "_digest", "_whole",
+        "file", "_split", "start", "length", "next", "_kind", "_id", "_to", "_digest", "_whole",
         F.octet_length(data).cast("long").alias("size"), F.sha1(data).alias("sha")))
     candidates = slim.where("length is not null")
-    found = chained(candidates.select("file", "start", "next"))
+    found = chained(candidates)
     records = candidates.join(found, ["file", "start"])
     fields = ["_kind", "_id", "_to", "_digest", "size", "sha"]
     broken = cut(records.where("not _whole").select("file", "start", "next", "length", *fields[:4]))
