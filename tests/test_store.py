@@ -32,3 +32,15 @@ def test_delete_rewrites_only_touched_partitions(spark):
     store.append_observations(df, p)
     store.delete_and_rewrite(spark, p, spark.createDataFrame([("a",)], "trial string"))
     assert sorted(r.trial for r in store.read_store(spark, p).collect()) == ["b", "c"]
+
+
+def test_delete_empties_a_wholly_doomed_day(spark):
+    rows = [("a", 0, 0, "2024-01-01T00:00:00Z", "m", "1"), ("b", 1, 0, "2024-01-02T01:00:00Z", "m", "2")]
+    df = spark.createDataFrame(rows, "trial string, seq long, sub long, ts_raw string, metric string, value string")
+    df = df.withColumn("ts", F.to_timestamp("ts_raw")).withColumn("ts_nanos", F.lit(0))
+    p = f"{checkpoint_dir(spark)}/test-store-{uuid.uuid4().hex}"
+    store.append_observations(df, p)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    store.delete_and_rewrite(spark, p, spark.createDataFrame([("a",)], "trial string"))
+    assert [r.trial for r in store.read_store(spark, p).collect()] == ["b"]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode

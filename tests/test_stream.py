@@ -23,3 +23,16 @@ def test_incremental_fold_matches_batch(spark, sf_dir):
     b = fold.fold_observations(parse.parse_text_lines(lines), c.trial_metrics)
     assert sorted(s.collect()) == sorted(b.collect())
     assert F is not None
+
+
+def test_ingest_in_many_batches_loses_nothing(spark, sf_dir):
+    from trialfold.plans import q_stream
+    from trialfold.plans.pipelines import Ctx
+    from trialfold.streaming import streams
+
+    c, src, counts = Ctx(spark, sf_dir), q_stream._log_dir(spark, sf_dir), []
+    for most in (None, 20):
+        root = q_stream.scratch(spark, "ingest-test")
+        streams.ingest_text_logs(spark, src, c.trials, c.experiments, f"{root}/store", f"{root}/side", f"{root}/ckpt", most)
+        counts.append((spark.read.parquet(f"{root}/store").count(), spark.read.parquet(f"{root}/side").count()))
+    assert counts[0] == counts[1] and counts[0][0] > 0

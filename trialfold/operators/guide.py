@@ -177,22 +177,25 @@ def pbt_requeue(trials_state: DataFrame, population: DataFrame) -> DataFrame:
     return bad.join(population, "trial").select("experiment", "trial", "parent", "generation")
 
 
-def lineage_roots(population: DataFrame, max_doublings: int = 6, checkpoint=None) -> DataFrame:
+def lineage_roots(population: DataFrame, checkpoint=cut_lineage) -> DataFrame:
     """O56e lineage: root ancestor and depth of every trial by pointer
     jumping (each round doubles the jump), so depth d needs log2(d) joins
-    instead of d.  ``max_doublings`` bounds the depth at 2^rounds;
-    ``checkpoint`` (e.g. ``session.cut_lineage``) keeps the plan flat.
+    instead of d.  Rounds go on until no pointer moves, whatever the depth;
+    a chain that runs in a circle never ends and is an error.
+    ``checkpoint`` cuts the plan after each round.
     Output (trial, root, depth)."""
     cur = population.select("trial", F.col("parent").alias("anc"),
                             F.when(F.col("parent").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("depth"))
-    for _ in range(max_doublings):
+    for _ in range(64):
         nxt = cur.select(F.col("trial").alias("anc"), F.col("anc").alias("anc2"), F.col("depth").alias("d2"))
-        cur = (cur.join(nxt, "anc", "left")
-               .select("trial", F.coalesce("anc2", "anc").alias("anc"),
-                       (F.col("depth") + F.coalesce(F.col("d2"), F.lit(0))).alias("depth")))
-        if checkpoint is not None:  # each round reads the previous one twice: cut the lineage
-            cur = checkpoint(cur)
-    return cur.select("trial", F.coalesce("anc", "trial").alias("root"), "depth")
+        cur = checkpoint(cur.join(nxt, "anc", "left")
+                         .select("trial", F.coalesce("anc2", "anc").alias("anc"),
+                                 (F.col("depth") + F.coalesce(F.col("d2"), F.lit(0))).alias("depth"),
+                                 F.col("anc2").isNotNull().alias("moved")))
+        if cur.filter("moved").isEmpty():
+            return cur.select("trial", F.coalesce("anc", "trial").alias("root"), "depth")
+        cur = cur.drop("moved")
+    raise ValueError("the lineage runs in a circle")
 
 
 def tpe_scores(candidates: DataFrame, trials: DataFrame, gamma: float = 0.25, bins: int = 20,

@@ -23,6 +23,10 @@ def _d(c: str) -> Column:
     return F.col(c).try_cast("double")
 
 
+#: Values that one row may list.
+MAX_AXIS = 100_000_000
+
+
 def axis_values(specs: DataFrame) -> DataFrame:
     """Per (experiment, param) the grid values, in order.
     int: min..max by step (default 1) inclusive; double: arange(min,
@@ -31,9 +35,12 @@ def axis_values(specs: DataFrame) -> DataFrame:
     Output adds ``values`` array<struct<num:double,text:string>>, ``size``
     and ``error``."""
     t = F.col("type")
+    # a longer axis than an array can hold is that experiment's error, with its true size
     step_i = F.coalesce(F.nullif(F.col("step"), F.lit("")), F.lit("1")).try_cast("long")
     lo_i, hi_i = F.col("min").try_cast("long"), F.col("max").try_cast("long")
-    n_int = F.greatest(F.ceil((hi_i + 1 - lo_i) / step_i), F.lit(0)).cast("int")
+    n_all = F.greatest(F.ceil((hi_i + 1 - lo_i) / step_i), F.lit(0)).cast("long")
+    wide = (t == "int") & (n_all > MAX_AXIS)
+    n_int = F.when(n_all <= MAX_AXIS, n_all).otherwise(0).cast("int")
     lo_d, hi_d, st_d = _d("min"), _d("max"), _d("step")
     n_dbl_raw = F.greatest(F.ceil((hi_d + st_d - lo_d) / st_d), F.lit(0)).cast("int")
     # arange then drop the last value when it overshoots max
@@ -51,8 +58,10 @@ def axis_values(specs: DataFrame) -> DataFrame:
                       lambda v: F.struct(v.try_cast("double").alias("num"), v.alias("text")))
     values = (F.when(t == "int", ints).when(t == "double", F.when(st_d.isNotNull(), dbls))
               .when(t.isin("categorical", "discrete"), lst))
-    error = F.when((t == "double") & st_d.isNull(), F.lit("step is required for a double grid axis"))
-    return specs.withColumn("values", values).withColumn("size", F.coalesce(F.size("values"), F.lit(0))).withColumn("error", error)
+    error = (F.when((t == "double") & st_d.isNull(), F.lit("step is required for a double grid axis"))
+             .when(wide, F.lit("the grid axis has too many values to list")))
+    size = F.when(wide, n_all).otherwise(F.coalesce(F.size("values"), F.lit(0)))
+    return specs.withColumn("values", values).withColumn("size", size).withColumn("error", error)
 
 
 def grid_size(axes: DataFrame, experiments: DataFrame) -> DataFrame:

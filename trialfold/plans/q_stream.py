@@ -110,7 +110,7 @@ def q_history_avg(spark, d):
     root = scratch(spark, "history")
     s = _obs_stream(spark, _obs_dir(spark, d), max_files=32)
     streams.history_average(s, c.trials_state, c.experiments, f"{root}/table", f"{root}/ckpt")
-    t = spark.read.parquet(f"{root}/table")
+    t = streams.history_table(spark, f"{root}/table")
     return t.select("experiment", "trial", F.round("avg", 9).alias("avg"))
 
 

@@ -47,11 +47,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, configuring a scratch one only
-    when the session has none (local runs and tests)."""
+    """Return the shared checkpoint folder.  A session without one gets a
+    scratch folder if it runs on this machine alone; on a cluster that is an
+    error, as executors don't share a local folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    if not d and spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="trialfold-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)

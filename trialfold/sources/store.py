@@ -65,12 +65,19 @@ def delete_trials(store: DataFrame, doomed: DataFrame) -> DataFrame:
 def delete_and_rewrite(spark: SparkSession, path: str, doomed: DataFrame) -> None:
     """O05 applied to the table: only partitions holding doomed rows are
     rewritten (dynamic partition overwrite); the result is staged through a
-    checkpoint so the overwrite never reads what it replaces."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    checkpoint so the overwrite never reads what it replaces.  A day whose
+    rows are all doomed has nothing to overwrite it with, so its folder is
+    removed."""
     store = read_store(spark, path)
     touched = store.join(doomed.select("trial").distinct(), "trial", "left_semi").select("day").distinct()
     keep = delete_trials(store.join(touched, "day", "left_semi"), doomed).checkpoint(eager=True)
-    keep.write.mode("overwrite").partitionBy("day").parquet(path)
+    emptied = [r["day"] for r in touched.join(keep.select("day").distinct(), "day", "left_anti").collect()]
+    keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for day in emptied:
+        folder = hadoop.Path(f"{path}/day={day}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    spark.catalog.refreshByPath(path)
 
 
 def multi_metric_fetch(obs: DataFrame, trials: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -10,12 +10,12 @@
   state holds the step count and the met flag per rule, a trial is emitted
   once, when every rule is met.
 * O93 ``history_average``: per Succeeded trial the average of its first
-  ``start_step`` objective values, computed once and appended (never
-  recomputed); the rule value is the mean over the table.
+  ``start_step`` objective values, final once there are as many; the rule
+  value is the mean over ``history_table``.
 * O94 ``rolling_gauges``: latest state per trial from a stream of state
   changes, counted by (namespace, state).
-* O95 ``with_lateness``: event-time watermark, replay de-duplication and a
-  side table for rows without a time.
+* O95 ``split_untimed``: a side table for rows without a time; ``with_lateness``
+  sets the event-time watermark where a windowed aggregate follows.
 
 Checkpoints live under the session's shared ``spark.checkpoint.dir``.
 """
@@ -25,12 +25,13 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from trialfold.functions.exprs import UNAVAILABLE, num, small, time_key
 from trialfold.operators import parse
+from trialfold.session import cut_lineage
 
 WATERMARK = "10 minutes"
 
@@ -53,8 +54,7 @@ def parse_stream(lines: DataFrame, trials: DataFrame, experiments: DataFrame, fi
 
 
 def with_lateness(rows: DataFrame, side_path: str | None = None) -> DataFrame:
-    """Watermark on ts; replays of the same (trial, seq, sub) within
-    the watermark dropped.  Rows without a time cannot be ordered by event
+    """Watermark on ts.  Rows without a time cannot be ordered by event
     time, so ``split_untimed`` routes them to a side table."""
     return rows.withWatermark("ts", WATERMARK)
 
@@ -68,17 +68,25 @@ def split_untimed(batch: DataFrame, side_path: str, batch_id: int) -> DataFrame:
 
 def ingest_text_logs(spark: SparkSession, src: str, trials: DataFrame, experiments: DataFrame, store: str,
                      side: str, checkpoint: str, max_files: int | None = None):
-    """O90 + O95: run the ingest to completion (availableNow)."""
-    rows = parse_stream(read_log_stream(spark, src, max_files), trials, experiments)
-    # Event-time watermark; a replayed line (same trial, seq, sub)
-    # arriving again within the watermark is dropped
-    rows = with_lateness(rows).dropDuplicatesWithinWatermark(["trial", "seq", "sub"])
+    """O90 + O95: run the ingest to completion (availableNow).
+
+    A file belongs to one micro-batch, and a line is identified by its batch
+    and its place there (``line_no`` grows with the order in a file), so equal
+    lines stay apart.  A batch that runs again overwrites its own folders; no
+    row is dropped for being late."""
+    r = spark.readStream.format("text").option("lineSep", "\n")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    lines = r.load(src).select("trial", F.col("value").alias("line"))
 
     def sink(batch: DataFrame, batch_id: int):
-        timed = split_untimed(batch, side, batch_id)
+        placed = batch.withColumn("line_no", F.monotonically_increasing_id())
+        rows = parse_stream(placed, trials, experiments).persist()
+        timed = split_untimed(rows, side, batch_id)
         timed.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+        rows.unpersist()
 
-    q = (rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    q = (lines.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
@@ -177,31 +185,46 @@ def stop_rule_firing(rows: DataFrame, trials: DataFrame, rules: DataFrame, sink_
 
 
 def history_average(rows: DataFrame, trials_state: DataFrame, experiments: DataFrame, table_path: str, checkpoint: str):
-    """Per micro-batch, Succeeded trials not yet in the table get the
-    average of their first ``start_step`` objective values appended."""
+    """Succeeded trials get the average of their first ``start_step``
+    objective values.  Each batch keeps the rows that can be among them; a
+    trial's average covers those of all batches so far and stands once it has
+    ``start_step`` values.  A batch that runs again overwrites its own folders
+    and reads earlier batches only; ``history_table`` is the result."""
     spark = rows.sparkSession
     e = experiments.select("experiment", "objective_metric", "ms_start_step")
+    seen = f"{table_path}-rows"
+
+    def first_rows(df: DataFrame) -> DataFrame:
+        w = Window.partitionBy("trial").orderBy("tk", "batch", "seq")
+        return df.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= F.col("ms_start_step")).drop("rn")
 
     def sink(batch: DataFrame, batch_id: int):
         t = trials_state.filter(F.col("state") == "Succeeded").select("trial", "experiment").join(small(e), "experiment")
         b = batch.join(t, "trial").filter(F.col("metric") == F.col("objective_metric"))
-        try:
-            done = spark.read.parquet(table_path).select("trial")
-            b = b.join(done, "trial", "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            pass
-        b = b.withColumn("x", num("value")).filter(F.col("x").isNotNull()).withColumn("tk", time_key(F.col("ts")))
-        from pyspark.sql import Window
-        w = Window.partitionBy("trial").orderBy("tk", "seq")
-        first = b.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= F.col("ms_start_step"))
-        avg = first.groupBy("experiment", "trial").agg(F.avg("x").alias("avg"))
-        avg.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
+        b = (b.withColumn("x", num("value")).filter(F.col("x").isNotNull()).withColumn("tk", time_key(F.col("ts")))
+             .withColumn("batch", F.lit(batch_id)).select("experiment", "trial", "ms_start_step", "tk", "batch", "seq", "x"))
+        first_rows(b).drop("batch").write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+        every = spark.read.parquet(seen).filter(F.col("batch") <= batch_id)
+        open_ = every.filter(F.col("batch") == batch_id).select("trial").distinct()
+        folder = spark._jvm.org.apache.hadoop.fs.Path(table_path)
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            full = spark.read.parquet(table_path).filter((F.col("batch") < batch_id) & (F.col("n") >= F.col("ms_start_step")))
+            open_ = open_.join(full.select("trial"), "trial", "left_anti")
+        avg = (first_rows(every.join(open_, "trial", "left_semi")).groupBy("experiment", "trial", "ms_start_step")
+               .agg(F.avg("x").alias("avg"), F.count("*").alias("n")))
+        cut_lineage(avg).write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
 
     q = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
 
 
+def history_table(spark: SparkSession, table_path: str) -> DataFrame:
+    """(experiment, trial, avg) as of the last batch that touched a trial."""
+    return (spark.read.parquet(table_path).groupBy("experiment", "trial")
+            .agg(F.max_by("avg", "batch").alias("avg")))
+
+
 def rolling_gauges(changes: DataFrame, sink_path: str, checkpoint: str):
     """Stream of (trial, namespace, state, ord) state changes; each
     batch writes the newest change per trial it saw."""
