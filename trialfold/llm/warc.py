@@ -80,21 +80,23 @@ def write(pages: DataFrame, path: str, least: int = 0) -> None:
 
 # ---------------------------------------------------------------- reading
 
-def fragments(spark: SparkSession, path: str) -> DataFrame:
-    """(file, _split, start, value): what follows each magic in a file, with the
-    offset of that magic.
+def _scanned(spark: SparkSession, path: str) -> DataFrame:
+    """What follows each magic in the files (value), in the order of reading (file, _split, _n).
 
     A file that starts with the magic yields an empty fragment first, which
     stands for no record; its place is offset ``-len(MAGIC)``."""
-    raw = (spark.read.option("lineSep", MAGIC).text(path)
-           .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"),
-                   F.monotonically_increasing_id().alias("_n")))
-    size = F.octet_length("value") + len(MAGIC)
-    by_split = raw.groupBy("file", "_split").agg(F.sum(size).alias("_sum"))
+    return (spark.read.option("lineSep", MAGIC).text(path)
+            .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"),
+                    F.monotonically_increasing_id().alias("_n"), (F.octet_length("value") + len(MAGIC)).alias("_bytes")))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Fragments with ``start``, the offset of their magic in the file."""
+    by_split = rows.groupBy("file", "_split").agg(F.sum("_bytes").alias("_sum"))
     before = by_split.select("file", "_split", (F.sum("_sum").over(Window.partitionBy("file").orderBy("_split")) - F.col("_sum")).alias("_before"))
-    inside = F.sum(size).over(Window.partitionBy("file", "_split").orderBy("_n")) - size
-    return (raw.withColumn("_inside", inside).join(before, ["file", "_split"])
-            .select("file", "_split", (F.col("_before") + F.col("_inside") - len(MAGIC)).alias("start"), "value"))
+    inside = F.sum("_bytes").over(Window.partitionBy("file", "_split").orderBy("_n")) - F.col("_bytes")
+    return (rows.withColumn("_inside", inside).join(before, ["file", "_split"])
+            .withColumn("start", F.col("_before") + F.col("_inside") - len(MAGIC)).drop("_before", "_inside"))
 
 
 def _field(head: Column, name: str) -> Column:
@@ -102,14 +104,14 @@ def _field(head: Column, name: str) -> Column:
 
 
 def parsed(rows: DataFrame) -> DataFrame:
-    """Candidate records: offsets, successor, and what a whole fragment gives."""
+    """Candidate records: the way to the successor, and what a whole fragment gives."""
     head = F.substring_index("value", END, 1)
     length = F.when(_field(head, "Content-Length").rlike(r"^[0-9]{1,15}$"), _field(head, "Content-Length").cast("long"))
     begin = F.octet_length(head) + len(END)
     whole = F.octet_length("value") == begin + F.col("length") + len(END)
     block = F.substring(F.col("value").cast("binary"), (begin + 1).cast("int"), F.col("length").cast("int"))
     return (rows.withColumn("length", F.when(F.col("value").contains(END), length))
-            .withColumn("next", F.col("start") + len(MAGIC) + begin + F.col("length") + len(END))
+            .withColumn("_way", len(MAGIC) + begin + F.col("length") + len(END))
             .withColumn("_kind", F.lower(_field(head, "WARC-Type"))).withColumn("_id", _field(head, "WARC-Record-ID"))
             .withColumn("_to", _field(head, "WARC-Refers-To")).withColumn("_digest", _field(head, "WARC-Payload-Digest"))
             .withColumn("_whole", F.coalesce(whole, F.lit(False)))
@@ -148,19 +150,20 @@ def chained(candidates: DataFrame) -> DataFrame:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """id, kind, refers_to, declared digest, size and SHA-1 (hex) of the
     payload of each record that a chain reaches."""
-    rows = parsed(fragments(spark, path))
-    # hash each fragment's payload where it is read; only stray fragments move as text
+    scan = _scanned(spark, path)
+    # each fragment's payload is hashed where it is read: no text is shuffled for the offsets
     data = _http_payload(F.col("_block"))
-    slim = cut(rows.where("start >= 0").select(
-        "file", "_split", "start", "length", "next", "_kind", "_id", "_to", "_digest", "_whole",
+    slim = cut(_placed(parsed(scan).select(
+        "file", "_split", "_n", "_bytes", "length", "_way", "_kind", "_id", "_to", "_digest", "_whole",
         F.octet_length(data).cast("long").alias("size"), F.sha1(data).alias("sha")))
+        .where("start >= 0").withColumn("next", F.col("start") + F.col("_way")))
     candidates = slim.where("length is not null")
     found = chained(candidates)
     records = candidates.join(found, ["file", "start"])
     fields = ["_kind", "_id", "_to", "_digest", "size", "sha"]
     broken = cut(records.where("not _whole").select("file", "start", "next", "length", *fields[:4]))
     if not broken.isEmpty():
-        return records.where("_whole").select(*fields).unionByName(_joined(rows, broken).select(*fields))
+        return records.where("_whole").select(*fields).unionByName(_joined(scan, broken).select(*fields))
     return records.select(*fields)
 
 
@@ -170,8 +173,9 @@ def _http_payload(block: Column) -> Column:
     return F.substring(block, (at + 1).cast("int"), F.octet_length(block))
 
 
-def _joined(rows: DataFrame, broken: DataFrame) -> DataFrame:
-    """Records whose block holds the magic, put together from their fragments.
+def _joined(scan: DataFrame, broken: DataFrame) -> DataFrame:
+    """Records whose block holds the magic, put together from their fragments
+    (the texts of files without such records stay where they are).
 
     Fragments are matched to records by stretches of the file; a record's
     fragments meet in one task, as its payload must."""
@@ -180,7 +184,8 @@ def _joined(rows: DataFrame, broken: DataFrame) -> DataFrame:
 
     spans = broken.withColumn("_at", F.explode(F.sequence(stretch("start"), F.floor((F.col("next") - 1) / STRETCH))))
     spans = spans.select("file", "_at", F.col("start").alias("_start"), "next", "length", "_kind", "_id", "_to", "_digest")
-    parts = rows.select("file", "start", "value").withColumn("_at", stretch("start"))
+    files = bounded(cut(broken.select("file").distinct()))
+    parts = _placed(scan.join(files, "file", "left_semi")).select("file", "start", "value").withColumn("_at", stretch("start"))
     inside = (F.col("start") >= F.col("_start")) & (F.col("start") < F.col("next"))
     met = parts.join(bounded(spans), ["file", "_at"]).where(inside)
     names = ["file", "_start", "length", "_kind", "_id", "_to", "_digest"]
