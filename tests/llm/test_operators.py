@@ -215,8 +215,8 @@ def test_packing(spark, sf_dir):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    path = public_tokenizers.path(pack.TOKENIZER)
-    tokenizer = Tokenizer.from_file(path)
+    path = public_tokenizers.path(pack.RANKS)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(pack.TOKENIZER))
     for df in (docs(spark, sf_dir), odd(spark), empty(spark)):
         rows = pack.packed(df, path).collect()
         want = Counter((d, *p) for d, t in texts(df) for p in plain.token_pieces(tokenizer, t))

@@ -26,7 +26,7 @@ def prepare(spark: SparkSession) -> None:
 def tokenizer() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(pack.TOKENIZER)
+    return public_tokenizers.path(pack.RANKS)
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
