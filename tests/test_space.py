@@ -1,18 +1,16 @@
-"""Search-space properties (FIXTURES F6) and matching/template rules."""
+"""Search-space properties and matching/template rules."""
 
 from pyspark.sql import functions as F
 
 from trialfold.operators import space
 
-F6 = [("e", 0, "param-1", "int", "-10", "10", None, None),
-      ("e", 1, "param-2", "categorical", None, None, None, ["cat1", "cat2", "cat3"]),
-      ("e", 2, "param-3", "discrete", None, None, None, ["3", "2", "6"]),
-      ("e", 3, "param-4", "double", "-1.5", "5.5", None, None)]
+SPECS = [("e", 0, "layers", "int", "2", "9", None, None), ("e", 1, "act", "categorical", None, None, None, ["relu", "tanh"]),
+         ("e", 2, "width", "discrete", None, None, None, ["16", "64", "32", "8"]), ("e", 3, "decay", "double", "-0.25", "0.75", None, None)]
 SCHEMA = "experiment string, pos int, name string, type string, min string, max string, step string, list array<string>"
 
 
 def _specs(spark):
-    return spark.createDataFrame(F6, SCHEMA)
+    return spark.createDataFrame(SPECS, SCHEMA)
 
 
 def _counts(spark, n):
@@ -23,14 +21,12 @@ def test_uniform_samples_inside_space(spark):
     r = space.uniform_sample(_specs(spark), _counts(spark, 50)).collect()
     assert len(r) == 50 * 4
     for x in r:
-        if x.name == "param-1":
-            assert -10 <= x.value_num <= 10 and float(x.value_text) == x.value_num
-        elif x.name == "param-2":
-            assert x.value_text in ("cat1", "cat2", "cat3")
-        elif x.name == "param-3":
-            assert x.value_text in ("3", "2", "6")
+        _, _, _, _, lo, hi, _, values = next(spec for spec in SPECS if spec[2] == x.name)
+        if values:
+            assert x.value_text in values
         else:
-            assert -1.5 <= x.value_num <= 5.5
+            assert float(lo) <= x.value_num <= float(hi)
+        assert x.name != "layers" or float(x.value_text) == x.value_num
 
 
 def test_library_samples_inside_space(spark):
@@ -89,3 +85,15 @@ def test_template_substitution(spark):
         "trial_parameters array<struct<name:string,reference:string>>")
     r = space.substitute_template(trials, tmpl).collect()[0]
     assert r.rendered == "--lr=0.1 n=t1 t=x" and r.error is None
+
+
+def test_template_reference_forms(spark):
+    refs = ["lr", "${trialSpec.Kind}", "${trialSpec.Annotations[a/b]}", "${trialSpec.Labels}", "${trialSpec.Color}", "${trialSpec.Name"]
+    trials = spark.createDataFrame([(f"e{i}", "t1", "ns", [("lr", "0.1")] if r == "lr" else [], {"team": "x"}, {"a/b": "y"}) for i, r in enumerate(refs)],
+                                   "experiment string, trial string, namespace string, assignments array<struct<name:string,value:string>>, "
+                                   "labels map<string,string>, annotations map<string,string>")
+    tmpl = spark.createDataFrame([(f"e{i}", "<${trialParameters.p}>", "Job", "batch/v1", [("p", r)]) for i, r in enumerate(refs)],
+                                 "experiment string, template string, kind string, api_version string, "
+                                 "trial_parameters array<struct<name:string,reference:string>>")
+    got = {r.experiment: r.rendered for r in space.substitute_template(trials, tmpl).collect()}
+    assert got == {"e0": "<0.1>", "e1": "<Job>", "e2": "<y>", "e3": None, "e4": None, "e5": None}

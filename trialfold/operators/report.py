@@ -179,14 +179,10 @@ def architecture_graph(arch: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def node_label(op_type: Column, params: Column) -> Column:
-    """Quoted node label by operation type (filter size from params)."""
-    fs = F.regexp_extract(params, r"filter_size=([^;]*)", 1)
-    body = (F.when(op_type == "convolution", F.concat(fs, F.lit("x"), fs, F.lit(" conv\\n"), fs, F.lit(" channels")))
-            .when(op_type == "separable_convolution", F.concat(fs, F.lit("x"), fs, F.lit(" sep_conv\\n"), fs, F.lit(" channels")))
-            .when(op_type == "depthwise_convolution", F.concat(fs, F.lit("x"), fs, F.lit(" depth_conv\\n")))
-            .when(op_type == "reduction", F.lit("3x3 max_pooling"))
-            .otherwise(F.lit("")))
-    return F.concat(F.lit('"'), body, F.lit('"'))
+    """Quoted node label: the operation's type, then its parameters
+    ('name=value;...') on a line of their own, if it has any."""
+    detail = F.concat(F.lit("\\n"), F.replace(params, F.lit(";"), F.lit(", ")))
+    return F.concat(F.lit('"'), F.coalesce(op_type, F.lit("")), F.when(params != "", detail).otherwise(F.lit("")), F.lit('"'))
 
 
 def parallel_axes(table: DataFrame, specs: DataFrame, experiments: DataFrame) -> DataFrame:

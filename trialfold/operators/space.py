@@ -350,8 +350,22 @@ def newest_running_match(suggestions: DataFrame, finished: DataFrame) -> DataFra
 
 # ------------------------------------------------------------ templates
 
-META_RE = r"\$\{trialSpec\.(.+?)\}"
-INDEXED_RE = r"^(.+)\[(.+)]$"
+# Fixed syntax of a reference to trial metadata: this, a key, a closing brace.
+META_OPEN = "${trialSpec."
+
+
+def _meta_key(reference: Column) -> Column:
+    """The metadata key of a reference, empty for a parameter's name."""
+    inner = F.substring(reference, len(META_OPEN) + 1, 1 << 30)
+    return F.when(reference.startswith(META_OPEN) & reference.endswith("}"), F.rtrim(inner, F.lit("}"))).otherwise(F.lit(""))
+
+
+def _bracketed(key: Column) -> tuple[Column, Column]:
+    """``name[index]`` as (name, index); without brackets (key, empty)."""
+    name = F.substring_index(key, "[", 1)
+    index = F.substring_index(F.substring_index(key, "[", -1), "]", 1)
+    has = key.endswith("]") & key.contains("[")
+    return F.when(has, name).otherwise(key), F.when(has, index).otherwise(F.lit(""))
 
 
 def substitute_template(trials: DataFrame, templates: DataFrame) -> DataFrame:
@@ -365,12 +379,10 @@ def substitute_template(trials: DataFrame, templates: DataFrame) -> DataFrame:
     t = trials.join(small(templates), "experiment")
     amap = F.map_from_entries(F.col("assignments"))
     ref = lambda p: p["reference"]
-    meta = lambda p: F.regexp_extract(ref(p), META_RE, 1)
 
     def resolve(p):
-        key = meta(p)
-        base = F.when(key.rlike(INDEXED_RE), F.regexp_extract(key, INDEXED_RE, 1)).otherwise(key)
-        idx = F.regexp_extract(key, INDEXED_RE, 2)
+        key = _meta_key(ref(p))
+        base, idx = _bracketed(key)
         v = (F.when(key == "", F.element_at(amap, ref(p)))
              .when(base == "Name", F.col("trial")).when(base == "Namespace", F.col("namespace"))
              .when(base == "Kind", F.col("kind")).when(base == "APIVersion", F.col("api_version"))

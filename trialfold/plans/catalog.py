@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialfold.functions.exprs import ts_text
+from trialfold.functions.exprs import DEFAULT_FILTER, ts_text
 from trialfold.operators import fold, parse, state
 from trialfold.plans import views
 from trialfold.plans.oracle import num_sql, tk_sql, with_views
@@ -34,7 +34,7 @@ def register(key: str, sql: str | None = None):
 
 # ---------------------------------------------------------------- lambda log: rows
 
-_PAIR_RE = r"([\w|-]+)\s*=\s*([+-]?\d*(\.\d+)?([Ee][+-]?\d+)?)"
+_PAIR_RE = DEFAULT_FILTER
 TEXT_ROWS = [
     ("parsed", r"""
   SELECT l.trial, l.line_no AS seq, m.pos - 1 AS sub,

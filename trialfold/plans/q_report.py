@@ -135,18 +135,14 @@ def _nodes_sql() -> str:
     ops = ORACLE["o47_nas_operations"]
     head, body = ops.split("\nSELECT ids.experiment", 1)
     ops_ctes = head[len("WITH "):]
-    fs = "regexp_extract(o.params, 'filter_size=([^;]*)', 1)"
     return f"""WITH {ops_ctes},
 ops AS (SELECT ids.experiment{body}),
 {with_views("SELECT 1", "architectures")[len("WITH "):-len(chr(10) + "SELECT 1")]},
 nodes AS (SELECT a.experiment, a.trial, CAST(x.i AS BIGINT) AS node, a.m[x.i][1] AS op_id
           FROM (SELECT experiment, trial, CAST(json(architecture) AS INTEGER[][]) AS m FROM architectures) a,
                LATERAL (SELECT unnest(range(1, len(a.m) + 1)) AS i) x)
-SELECT n.trial, n.node, n.op_id, '"' || CASE o.op_type
-    WHEN 'convolution' THEN {fs} || 'x' || {fs} || ' conv\\n' || {fs} || ' channels'
-    WHEN 'separable_convolution' THEN {fs} || 'x' || {fs} || ' sep_conv\\n' || {fs} || ' channels'
-    WHEN 'depthwise_convolution' THEN {fs} || 'x' || {fs} || ' depth_conv\\n'
-    WHEN 'reduction' THEN '3x3 max_pooling' ELSE '' END || '"' AS label
+SELECT n.trial, n.node, n.op_id, '"' || coalesce(o.op_type, '')
+    || CASE WHEN o.params <> '' THEN '\\n' || replace(o.params, ';', ', ') ELSE '' END || '"' AS label
 FROM nodes n LEFT JOIN ops o ON o.experiment = n.experiment AND o.op_id = n.op_id"""
 
 

@@ -300,15 +300,15 @@ FROM (SELECT *, CASE WHEN len(list_filter(resolved, lambda r: r.value IS NULL))
         END AS err
   FROM (SELECT a.experiment, a.trial, a.assignments, list_transform(tp, lambda p: {{
             'name': p.name,
-            'value': CASE WHEN regexp_extract(p.reference, '\\$\\{{trialSpec\\.(.+?)\\}}', 1) = ''
+            'value': CASE WHEN CASE WHEN starts_with(p.reference, '${{trialSpec.') THEN rtrim(p.reference[13:], '}}') ELSE '' END = ''
                             THEN list_filter(a.assignments, lambda x: x.name = p.reference)[1].value
-                          WHEN regexp_extract(p.reference, '\\$\\{{trialSpec\\.(.+?)\\}}', 1) = 'Name' THEN a.trial
-                          WHEN regexp_extract(p.reference, '\\$\\{{trialSpec\\.(.+?)\\}}', 1) = 'Namespace' THEN 'ns-' || (c.c_nationkey % 3)
-                          WHEN regexp_extract(p.reference, '\\$\\{{trialSpec\\.(.+?)\\}}', 1) = 'Kind' THEN 'Job'
-                          WHEN regexp_extract(p.reference, '\\$\\{{trialSpec\\.(.+?)\\}}', 1) = 'APIVersion' THEN 'batch/v1'
-                          WHEN regexp_extract(p.reference, '\\$\\{{trialSpec\\.(.+?)\\}}', 1) = 'Labels[team]'
+                          WHEN CASE WHEN starts_with(p.reference, '${{trialSpec.') THEN rtrim(p.reference[13:], '}}') ELSE '' END = 'Name' THEN a.trial
+                          WHEN CASE WHEN starts_with(p.reference, '${{trialSpec.') THEN rtrim(p.reference[13:], '}}') ELSE '' END = 'Namespace' THEN 'ns-' || (c.c_nationkey % 3)
+                          WHEN CASE WHEN starts_with(p.reference, '${{trialSpec.') THEN rtrim(p.reference[13:], '}}') ELSE '' END = 'Kind' THEN 'Job'
+                          WHEN CASE WHEN starts_with(p.reference, '${{trialSpec.') THEN rtrim(p.reference[13:], '}}') ELSE '' END = 'APIVersion' THEN 'batch/v1'
+                          WHEN CASE WHEN starts_with(p.reference, '${{trialSpec.') THEN rtrim(p.reference[13:], '}}') ELSE '' END = 'Labels[team]'
                             THEN 'team-' || (c.c_custkey % 4) END,
-            'plain': regexp_extract(p.reference, '\\$\\{{trialSpec\\.(.+?)\\}}', 1) = '',
+            'plain': CASE WHEN starts_with(p.reference, '${{trialSpec.') THEN rtrim(p.reference[13:], '}}') ELSE '' END = '',
             'reference': p.reference}}) AS resolved
         FROM assignments a JOIN customer c ON a.trial = 'trial-' || c.c_custkey JOIN tmpl t USING (experiment)))"""
 

@@ -36,41 +36,34 @@ SPECS_SQL = [
         CASE WHEN k % 10 = 9 THEN 'Sometimes' ELSE ['Never', 'LongRunning', 'FromVolume'][k % 3 + 1] END AS resume_policy,
         k % 8 = 7 AS is_nas, pl.params
       FROM (SELECT n_nationkey AS k FROM nation) LEFT JOIN pl ON pl.experiment = 'exp-' || k"""),
-    ("pm", """SELECT experiment, list_filter(list_transform(params, lambda x, i: CASE
-          WHEN x.type NOT IN ('int', 'double', 'categorical', 'discrete', 'unknown')
-            THEN 'parameterType: ' || x.type || ' is not supported in spec.parameters[' || (i - 1) || ']'
-          WHEN coalesce(x.min, '') = '' AND coalesce(x.max, '') = '' AND coalesce(len(x.list), 0) = 0 AND coalesce(x.step, '') = ''
-            THEN 'feasibleSpace must be specified in spec.parameters[' || (i - 1) || ']'
-          WHEN x.type IN ('int', 'double') AND coalesce(len(x.list), 0) > 0
-            THEN 'feasibleSpace.list is not supported for parameterType: ' || x.type || ' in spec.parameters[' || (i - 1) || ']'
-          WHEN x.type IN ('int', 'double') AND coalesce(x.min, '') = '' AND coalesce(x.max, '') = ''
-            THEN 'feasibleSpace.max or feasibleSpace.min must be specified for parameterType: ' || x.type
-                 || ' in spec.parameters[' || (i - 1) || ']'
-          WHEN x.type IN ('categorical', 'discrete') AND (coalesce(x.min, '') <> '' OR coalesce(x.max, '') <> ''
-               OR coalesce(x.step, '') <> '')
-            THEN 'feasibleSpace .max, .min and .step is not supported for parameterType: ' || x.type
-                 || ' in spec.parameters[' || (i - 1) || ']' END), lambda m: m IS NOT NULL)[1] AS first_param,
+    ("pm", """SELECT experiment, list_filter(list_transform(params, lambda x, i: 'parameter ' || (i - 1) || ': ' || CASE
+          WHEN x.type NOT IN ('int', 'double', 'categorical', 'discrete', 'unknown') THEN 'type not known: ' || x.type
+          WHEN concat(x.min, x.max, x.step) = '' AND coalesce(len(x.list), 0) = 0 THEN 'nothing to search'
+          WHEN x.type IN ('int', 'double') AND len(x.list) > 0 THEN 'a range takes no list'
+          WHEN x.type IN ('int', 'double') AND concat(x.min, x.max) = '' THEN 'a range needs a bound'
+          WHEN x.type IN ('categorical', 'discrete') AND concat(x.min, x.max, x.step) <> '' THEN 'a list takes no range' END),
+          lambda m: m IS NOT NULL)[1] AS first_param,
         list_filter(list_transform(params, lambda x: x.name), lambda nm, i: len(list_filter(list_transform(params, lambda y: y.name),
           lambda m: m = nm)) > 1 AND list_position(list_transform(params, lambda y: y.name), nm) = i) AS dup
       FROM specs"""),
 ]
 
 RULES_SQL = """[
-  CASE WHEN NOT regexp_matches(name, '^[a-z]([-a-z0-9]*[a-z0-9])?') THEN 'name must consist of lower case alphanumeric characters or ''-'', start with an alphabetic character, and end with an alphanumeric character' END,
-  CASE WHEN max_failed_trial_count < 0 THEN 'spec.maxFailedTrialCount should not be less than 0' END,
-  CASE WHEN max_trial_count <= 0 THEN 'spec.maxTrialCount must be greater than 0' END,
-  CASE WHEN parallel_trial_count <= 0 THEN 'spec.parallelTrialCount must be greater than 0' END,
-  CASE WHEN max_failed_trial_count > max_trial_count THEN 'spec.maxFailedTrialCount should be less than or equal to spec.maxTrialCount' END,
-  CASE WHEN parallel_trial_count > max_trial_count THEN 'spec.paralelTrialCount should be less than or equal to spec.maxTrialCount' END,
-  CASE WHEN objective_type NOT IN ('minimize', 'maximize') THEN 'spec.objective.type must be minimize or maximize' END,
-  CASE WHEN coalesce(objective_metric, '') = '' THEN 'no spec.objective.objectiveMetricName specified' END,
-  CASE WHEN list_contains(additional_metrics, objective_metric) THEN 'spec.objective.additionalMetricNames should not contain spec.objective.objectiveMetricName' END,
-  CASE WHEN coalesce(algorithm, '') = '' THEN 'no spec.algorithm.name specified' END,
-  CASE WHEN coalesce(resume_policy, '') NOT IN ('', 'Never', 'LongRunning', 'FromVolume') THEN 'invalid ResumePolicyType ' || resume_policy END,
-  CASE WHEN coalesce(len(params), 0) = 0 AND NOT is_nas THEN 'spec.parameters or spec.nasConfig must be specified' END,
-  CASE WHEN coalesce(len(params), 0) > 0 AND is_nas THEN 'only one of spec.parameters and spec.nasConfig can be specified' END,
+  CASE WHEN NOT regexp_matches(name, '^[a-z]([-a-z0-9]*[a-z0-9])?') THEN 'name: malformed' END,
+  CASE WHEN max_failed_trial_count < 0 THEN 'failed limit: negative' END,
+  CASE WHEN max_trial_count <= 0 THEN 'trial limit: not positive' END,
+  CASE WHEN parallel_trial_count <= 0 THEN 'parallel limit: not positive' END,
+  CASE WHEN max_failed_trial_count > max_trial_count THEN 'failed limit: above the trial limit' END,
+  CASE WHEN parallel_trial_count > max_trial_count THEN 'parallel limit: above the trial limit' END,
+  CASE WHEN objective_type NOT IN ('minimize', 'maximize') THEN 'objective: no direction' END,
+  CASE WHEN coalesce(objective_metric, '') = '' THEN 'objective: no metric' END,
+  CASE WHEN list_contains(additional_metrics, objective_metric) THEN 'objective: its metric is listed twice' END,
+  CASE WHEN coalesce(algorithm, '') = '' THEN 'algorithm: missing' END,
+  CASE WHEN coalesce(resume_policy, '') NOT IN ('', 'Never', 'LongRunning', 'FromVolume') THEN 'resume policy: not known: ' || resume_policy END,
+  CASE WHEN coalesce(len(params), 0) = 0 AND NOT is_nas THEN 'search space: missing' END,
+  CASE WHEN coalesce(len(params), 0) > 0 AND is_nas THEN 'search space: given twice' END,
   first_param,
-  CASE WHEN len(dup) > 0 THEN 'duplicate parameter names: ' || array_to_string(dup, ',') END]"""
+  CASE WHEN len(dup) > 0 THEN 'parameter names: repeated: ' || array_to_string(dup, ',') END]"""
 
 
 @register("o55_spec_validation", with_views(f"""
@@ -93,43 +86,48 @@ def q_first_error(spark, d):
     return validate.first_errors(validate.spec_violations(views.experiment_specs(spark, d)))
 
 
-def _rules_sql() -> str:
-    def lit(v):
-        if v is None:
-            return "NULL"
-        if isinstance(v, bool):
-            return "true" if v else "false"
-        if isinstance(v, float):
-            return repr(v)
-        return "'" + str(v) + "'"
-    rows = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in validate.SETTING_RULES)
-    return f"""SELECT * FROM (VALUES {rows}) t(algorithm, setting, kind, lo, lo_inclusive, hi, hi_inclusive, allowed)"""
-
-
-@register("o56_algorithm_setting_validation", with_views("""
+# The rules as conditions under which a setting is at fault, apart from the operator's table.
+_FAULT = """CASE
+  WHEN algorithm IN ('tpe', 'multivariate-tpe') AND name IN ('n_startup_trials', 'n_ei_candidates', 'random_state')
+    OR algorithm IN ('random', 'grid', 'cmaes', 'bayesianoptimization') AND name = 'random_state'
+    OR algorithm = 'bayesianoptimization' AND name = 'n_initial_points'
+    THEN CASE WHEN i IS NULL THEN nan WHEN i < 0 THEN far END
+  WHEN algorithm = 'tpe' AND name = 'n_EI_candidates' OR algorithm = 'medianstop' AND name IN ('min_trials_required', 'start_step')
+    THEN CASE WHEN i IS NULL THEN nan WHEN i < 1 THEN far END
+  WHEN algorithm = 'tpe' AND name = 'gamma' THEN CASE WHEN x IS NULL THEN nan WHEN x <= 0 OR x >= 1 THEN far END
+  WHEN algorithm = 'tpe' AND name = 'prior_weight' THEN CASE WHEN x IS NULL THEN nan WHEN x <= 0 THEN far END
+  WHEN algorithm = 'cmaes' AND name = 'sigma' OR algorithm = 'hyperband' AND name = 'r_l'
+    THEN CASE WHEN x IS NULL THEN nan WHEN x < 0 THEN far END
+  WHEN algorithm = 'hyperband' AND name = 'eta' THEN CASE WHEN x IS NULL THEN nan END
+  WHEN algorithm = 'pbt' AND name = 'n_population' THEN CASE WHEN i IS NULL THEN nan WHEN i < 5 THEN far END
+  WHEN algorithm = 'pbt' AND name IN ('truncation_threshold', 'resample_probability')
+    THEN CASE WHEN x IS NULL THEN nan WHEN x < 0 OR x > 1 THEN far END
+  WHEN algorithm = 'cmaes' AND name = 'restart_strategy' THEN CASE WHEN value NOT IN ('ipop', 'None', 'none') THEN other END
+  WHEN algorithm = 'bayesianoptimization' AND name = 'base_estimator' THEN CASE WHEN value NOT IN ('GP', 'RF', 'ET', 'GBRT') THEN other END
+  WHEN algorithm = 'bayesianoptimization' AND name = 'acq_func'
+    THEN CASE WHEN value NOT IN ('gp_hedge', 'LCB', 'EI', 'PI', 'EIps', 'PIps') THEN other END
+  WHEN algorithm = 'bayesianoptimization' AND name = 'acq_optimizer' THEN CASE WHEN value NOT IN ('auto', 'sampling', 'lbfgs') THEN other END
+  WHEN algorithm NOT IN ('hyperband', 'pbt', 'enas', 'darts', 'sobol') THEN 'not a setting of ' || algorithm END"""
+
+
+@register("o56_algorithm_setting_validation", with_views(f"""
 SELECT experiment, setting, message FROM (
-  SELECT s.experiment, s.name AS setting, CASE
-      WHEN r.setting IS NULL THEN 'unknown setting ' || s.name || ' for algorithm ' || e.algorithm
-      WHEN r.kind IN ('int', 'float') AND x IS NULL THEN 'failed to validate ' || s.name || '(' || s.value || ')'
-      WHEN (r.lo IS NOT NULL AND CASE WHEN r.lo_inclusive THEN x < r.lo ELSE x <= r.lo END)
-        OR (r.hi IS NOT NULL AND CASE WHEN r.hi_inclusive THEN x > r.hi ELSE x >= r.hi END) THEN s.name || ' is out of range'
-      WHEN r.kind = 'enum' AND NOT list_contains(string_split(r.allowed, ','), s.value) THEN s.name || ' ' || s.value || ' is not supported'
-    END AS message
-  FROM (SELECT so.*, e2.algorithm FROM overlay so JOIN experiments e2 USING (experiment)) s
-  JOIN experiments e USING (experiment)
-  LEFT JOIN rules r ON r.algorithm = s.algorithm AND r.setting = s.name,
-  LATERAL (SELECT CASE WHEN r.kind = 'int' THEN CAST(TRY_CAST(s.value AS BIGINT) AS DOUBLE) ELSE TRY_CAST(s.value AS DOUBLE) END AS x))
+  SELECT experiment, name AS setting, {_FAULT} AS message
+  FROM (SELECT o.*, e.algorithm, TRY_CAST(o.value AS BIGINT) AS i, TRY_CAST(o.value AS DOUBLE) AS x, 'not a number: ' || o.value AS nan,
+          'outside its range: ' || o.value AS far, 'not a choice: ' || o.value AS other
+        FROM overlay o JOIN experiments e USING (experiment)))
 WHERE message IS NOT NULL
 UNION ALL
 SELECT experiment, '' AS setting, message FROM (
   SELECT e.experiment, unnest([
     CASE WHEN e.algorithm = 'cmaes' AND coalesce(nn.n_num, 0) < 2
-         THEN 'cmaes only supports two or more dimensional continuous search space.' END,
+         THEN 'cmaes: fewer than two numeric parameters' END,
     CASE WHEN e.algorithm = 'hyperband' AND len(list_filter(['r_l', 'resource_name'],
-           lambda x: NOT list_contains(coalesce(nm.names, []::VARCHAR[]), x))) > 0 THEN 'r_l and resource_name must be set.' END,
+           lambda x: NOT list_contains(coalesce(nm.names, []::VARCHAR[]), x))) > 0 THEN 'hyperband: lacks ' || array_to_string(list_filter(['r_l', 'resource_name'],
+           lambda x: NOT list_contains(coalesce(nm.names, []::VARCHAR[]), x)), ', ') END,
     CASE WHEN e.algorithm = 'pbt' AND len(list_filter(['suggestion_trial_dir', 'n_population', 'truncation_threshold'],
            lambda x: NOT list_contains(coalesce(nm.names, []::VARCHAR[]), x))) > 0
-         THEN 'Required params missing: ' || array_to_string(list_filter(['suggestion_trial_dir', 'n_population',
+         THEN 'pbt: lacks ' || array_to_string(list_filter(['suggestion_trial_dir', 'n_population',
            'truncation_threshold'], lambda x: NOT list_contains(coalesce(nm.names, []::VARCHAR[]), x)), ', ') END]) AS message
   FROM experiments e
   LEFT JOIN (SELECT experiment, list(DISTINCT name) AS names FROM overlay GROUP BY experiment) nm USING (experiment)
@@ -138,8 +136,7 @@ SELECT experiment, '' AS setting, message FROM (
 WHERE message IS NOT NULL""", "settings_base", "settings_over", "experiments", "param_specs", extra=[
     ("overlay", """SELECT experiment, name, value FROM (
         SELECT coalesce(b.experiment, o.experiment) AS experiment, coalesce(b.name, o.name) AS name, coalesce(o.value, b.value) AS value
-        FROM settings_base b FULL OUTER JOIN settings_over o ON b.experiment = o.experiment AND b.name = o.name)"""),
-    ("rules", _rules_sql())]))
+        FROM settings_base b FULL OUTER JOIN settings_over o ON b.experiment = o.experiment AND b.name = o.name)""")]))
 def q_setting_validation(spark, d):
     c = Ctx(spark, d)
     ov = space.settings_overlay(views.settings_base(spark, d), views.settings_over(spark, d))
