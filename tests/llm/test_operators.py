@@ -440,5 +440,16 @@ def test_pipeline_stages_take_odd_and_empty_rows(spark, sf_dir):
             stage(spark, df, sf_dir).count()
 
 
+def test_pipeline_stages_keep_columns_of_any_name(spark, sf_dir):
+    import corpus_pipeline
+
+    names = ["_key", "_lang", "_source", "_passes", "_cut", "_part", "_take", "_id"]
+    df = odd(spark).withColumns({n: F.lit(n) for n in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = common.cut(stage(spark, df, sf_dir))
+        assert out.columns == df.columns and out.count()
+        assert out.select(*names).distinct().collect() == [tuple(names)]
+
+
 def test_queries_have_the_contract_columns(spark, sf_dir):
     assert set(queries.ORACLE) <= set(queries.QUERIES) and len(queries.QUERIES) == 10

@@ -31,6 +31,17 @@ def bounded(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(side) if side.count() <= rows else side
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened where ``docs`` has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -70,10 +81,11 @@ def keep_one(docs: DataFrame, key: Column, decided: DataFrame) -> DataFrame:
     ``decided`` has a row (doc_id, _key, _group) for each document: the one
     whose id is ``_group`` stays, the others go.  Rows that repeat the id and
     the key of the one that stays are one document; one of them stays."""
-    own = docs.withColumn("_key", key)
+    own_key, = unused(docs, "_key")
+    own = docs.withColumn(own_key, key)
 
     def same(side: DataFrame) -> Column:
-        return own["doc_id"].eqNullSafe(side["_id"]) & own["_key"].eqNullSafe(side["_k"])
+        return own["doc_id"].eqNullSafe(side["_id"]) & own[own_key].eqNullSafe(side["_k"])
 
     stays = F.col("doc_id").eqNullSafe(F.col("_group"))
     fate = cut(decided.groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"))
@@ -82,6 +94,6 @@ def keep_one(docs: DataFrame, key: Column, decided: DataFrame) -> DataFrame:
     again = cut(fate.where("stays").select("_id", "_k"))
     out = own.join(bounded(gone), same(gone), "left_anti")
     if not again.isEmpty():
-        once = own.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "_key"])
-        out = out.join(again, out["doc_id"].eqNullSafe(again["_id"]) & out["_key"].eqNullSafe(again["_k"]), "left_anti").unionByName(once)
+        once = own.join(again, same(again), "left_semi").dropDuplicates(["doc_id", own_key])
+        out = out.join(again, out["doc_id"].eqNullSafe(again["_id"]) & out[own_key].eqNullSafe(again["_k"]), "left_anti").unionByName(once)
     return out.select(*docs.columns)

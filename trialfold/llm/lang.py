@@ -20,15 +20,15 @@ result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialfold.llm.common import SPACE
+from trialfold.llm.common import SPACE, unused
 
 HIDDEN = 16
 WINDOW = 32
@@ -41,7 +41,7 @@ MEMORY = 250_000
 #: Bytes of text worked on at once.
 BLOCK = 1 << 20
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -250,15 +250,15 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAM
     return Model(train(words, np.array(labels), np.array(weights), langs, steps), langs)
 
 
-def labelled(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a struct column ``_lang`` (lang_pred, score, positions, label_share)."""
+def labelled(docs: DataFrame, model: Model, name: str = "_lang") -> DataFrame:
+    """``docs`` with a struct column ``name`` (lang_pred, score, positions, label_share)."""
     label = model.label
 
     @F.pandas_udf("lang_pred string, score double, positions long, label_share double")
     def run(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield from label(frames)
 
-    return docs.withColumn("_lang", run("text"))
+    return docs.withColumn(name, run("text"))
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -273,5 +273,7 @@ MIN_SCORE = 0.35
 
 def accepted(docs: DataFrame, min_score: float = MIN_SCORE, model: Model | None = None) -> DataFrame:
     """The documents in a learned language, in all their columns."""
-    rows = labelled(docs, model or fit(docs))
-    return rows.where((F.col("_lang.lang_pred") != UNKNOWN) & (F.col("_lang.score") >= min_score)).select(*docs.columns)
+    name, = unused(docs, "_lang")
+    found = F.col(name)
+    return (labelled(docs, model or fit(docs), name)
+            .where((found["lang_pred"] != UNKNOWN) & (found["score"] >= min_score)).select(*docs.columns))

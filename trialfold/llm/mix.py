@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialfold.llm.common import bounded, cut, hash_parts, ranked, word_count
+from trialfold.llm.common import bounded, cut, hash_parts, ranked, unused, word_count
 
 WEIGHTS = (1, 2, 3)
 MAX_PASSES = 3
@@ -105,18 +105,19 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, max_passes: int =
     cuts = cut(rows.groupBy("source").agg(
         F.max("passes").alias("_passes"), F.min(F.when(inside, at)).alias("_cut"),
         F.max(F.when(inside, F.col("_last"))).alias("_part")))
-    side = cuts.select(F.col("source").alias("_source"), "_passes", "_cut", "_part")
+    by, passes, at_cut, of_cut, take = unused(docs, "_source", "_passes", "_cut", "_part", "_take")
+    side = cuts.select(F.col("source").alias(by), F.col("_passes").alias(passes), F.col("_cut").alias(at_cut), F.col("_part").alias(of_cut))
     hi, lo = hash_parts(_key(seed))
     own = F.struct(hi.alias("_hi"), lo.alias("_lo"), F.col("doc_id").alias("doc_id"))
-    whole = F.col("_passes") + F.when(own < F.col("_cut"), 1).otherwise(0)
-    part = F.when(own.eqNullSafe(F.col("_cut")), F.col("_part")).otherwise(0).cast("int")
+    whole = F.col(passes) + F.when(own < F.col(at_cut), 1).otherwise(0)
+    part = F.when(own.eqNullSafe(F.col(at_cut)), F.col(of_cut)).otherwise(0).cast("int")
     words = F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     parts = F.concat(F.array_repeat(F.lit(-1), whole.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    out = (docs.join(bounded(side), F.col("source").eqNullSafe(F.col("_source")))
-           .withColumn("_take", F.explode(parts))
-           .withColumn("text", F.when(F.col("_take") < 0, F.col("text"))
-                       .otherwise(F.array_join(F.slice(words, 1, F.greatest(F.col("_take"), F.lit(1))), ""))))
+    out = (docs.join(bounded(side), F.col("source").eqNullSafe(F.col(by)))
+           .withColumn(take, F.explode(parts))
+           .withColumn("text", F.when(F.col(take) < 0, F.col("text"))
+                       .otherwise(F.array_join(F.slice(words, 1, F.greatest(F.col(take), F.lit(1))), ""))))
     if "n_chars" in docs.columns:
         n = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_take") < 0, F.col("n_chars")).otherwise(F.length("text")).cast(n))
+        out = out.withColumn("n_chars", F.when(F.col(take) < 0, F.col("n_chars")).otherwise(F.length("text")).cast(n))
     return out.select(*docs.columns)
