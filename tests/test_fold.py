@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trialfold.functions.exprs import rfc3339_parts
+from trialfold.functions.exprs import num, rfc3339_parts
 from trialfold.operators import fold
 
 #: (time, metric, value): out of order, two rows at the last time, zones that differ, a text among numbers.
@@ -52,3 +52,21 @@ def test_numeric_guard(spark):
     from trialfold.functions.exprs import num
     df = spark.createDataFrame([("1d",), (" 1",), ("NaN",), ("1e5",), (".5",)], "v string")
     assert [r.x for r in df.select(num("v").alias("x")).collect()] == [None, None, None, 100000.0, 0.5]
+
+
+def test_number_texts(spark):
+    """Infinities and hexadecimal floats are numbers, what 64 bits can't hold isn't."""
+    texts = {"inf": float("inf"), "-Infinity": float("-inf"), "+INF": float("inf"), "1e400": None, "-1e999": None, "0x1.8p3": 12.0,
+             "-0X.8P1": -1.0, "0x10": None, "NaN": None, "12d": None, "1f": None, " 1": None, "+.5": 0.5, "5.": 5.0, "": None, "infinit": None, "1e-400": 0.0}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.x for r in df.select("t", num("t").alias("x")).collect()} == texts
+
+
+def test_last_listed_value_is_the_last_in_the_list(spark):
+    tm = spark.createDataFrame([("t1", 0, "loss", "min"), ("t1", 1, "recall", "max"), ("t1", 2, "loss", "latest")],
+                               "trial string, pos int, metric string, strategy string")
+    trials = spark.createDataFrame([("t1", "e")], "trial string, experiment string")
+    exps = spark.createDataFrame([("e", "loss")], "experiment string, objective_metric string")
+    folded = fold.fold_observations(_obs(spark), tm.select("trial", "metric").distinct())
+    got = fold.last_listed_value(fold.picked_values(folded, tm, listed=True), trials, exps).collect()
+    assert [(r.value, r.parse_error) for r in got] == [(3.25, False)]

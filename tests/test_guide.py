@@ -1,6 +1,7 @@
 """Guidance operators: hyperband formulas, TPE scoring, lineage."""
 
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -40,3 +41,23 @@ def test_lineage_of_a_long_chain(spark):
     pop = spark.createDataFrame([(f"t{i}", f"t{i - 1}" if i else None) for i in range(100)], "trial string, parent string")
     got = {r.trial: (r.root, r.depth) for r in guide.lineage_roots(pop).collect()}
     assert got == {f"t{i}": ("t0", i) for i in range(100)}
+
+
+def test_stop_rules_against_plain_python(spark):
+    """One pass over the log gives what walking it row by row gives."""
+    rng = random.Random(5)
+    log = [(f"t{i % 7}", i, None, rng.choice("ab"), str(rng.randint(0, 9))) for i in range(400)]
+    rules = [("e", 0, "a", "8", "greater", 4), ("e", 1, "b", "3", "less", 1), ("e", 2, "b", "9", "equal", 0)]
+    obs = spark.createDataFrame(log, "trial string, seq long, ts timestamp, metric string, value string")
+    trials = spark.createDataFrame([(f"t{i}", "e") for i in range(8)], "trial string, experiment string")
+    r = spark.createDataFrame(rules, "experiment string, rule int, metric string, rule_value string, comparison string, start_step int")
+    want = {}
+    for t in (f"t{i}" for i in range(8)):
+        firsts = []
+        for _, _, metric, value, how, start in rules:
+            rows = [(seq, int(v)) for tr, seq, _, m, v in log if tr == t and m == metric][max(start, 1) - 1:]
+            test = {"greater": lambda x: x > int(value), "less": lambda x: x < int(value), "equal": lambda x: x == int(value)}[how]
+            firsts.append(next((seq for seq, x in rows if test(x)), None))
+        want[t] = None if None in firsts else max(firsts)
+    got = {x.trial: (x.stop_seq if x.stopped else None) for x in guide.evaluate_stop_rules(obs, trials, r, salts=3).collect()}
+    assert got == want and any(v is not None for v in got.values())

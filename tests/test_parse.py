@@ -97,3 +97,15 @@ def test_json_drop_file_mode(spark):
     rows = [("t1", 0, '{"acc": "1"}', ["acc"]), ("t1", 1, '{"acc": ', ["acc"]), ("t2", 0, '{"acc": "2"}', ["acc"])]
     df = spark.createDataFrame(rows, "trial string, line_no long, line string, metrics array<string>")
     assert [r.trial for r in parse.parse_json_lines(df, mode="drop_file").collect()] == ["t2"]
+
+
+def test_each_experiment_has_its_own_filters(spark):
+    rows = [("a", "t1", 0, "loss=1.5 recall {7}"), ("b", "t2", 0, "loss=1.5 recall {7}"), ("c", "t3", 0, "loss=1.5 recall {7}"),
+            ("d", "t4", 0, "loss=1.5 recall {7}")]
+    lines = spark.createDataFrame([(*r, ["loss", "recall"]) for r in rows], "experiment string, trial string, line_no long, line string, metrics array<string>")
+    filters = spark.createDataFrame([("b", 0, r"(\w+) {(\d+)}"), ("b", 1, r"(\w+)=(\d)"), ("c", 0, "loss=(.*)"), ("c", 1, "([a-z"),
+                                     ("d", 0, r"(?P<name>[(a-z]+)=(?P<value>\S+)")], "experiment string, pos int, pattern string")
+    got = {}
+    for r in parse.parse_by_filters(lines, filters).orderBy("trial", "sub").collect():
+        got.setdefault(r.trial, []).append((r.metric, r.value))
+    assert got == {"t1": [("loss", "1.5")], "t2": [("recall", "7"), ("loss", "1")], "t4": [("loss", "1.5")]}

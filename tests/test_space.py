@@ -1,5 +1,6 @@
 """Search-space properties and matching/template rules."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from trialfold.operators import space
@@ -97,3 +98,34 @@ def test_template_reference_forms(spark):
                                  "trial_parameters array<struct<name:string,reference:string>>")
     got = {r.experiment: r.rendered for r in space.substitute_template(trials, tmpl).collect()}
     assert got == {"e0": "<0.1>", "e1": "<Job>", "e2": "<y>", "e3": None, "e4": None, "e5": None}
+
+
+def test_sobol_dimensions_are_balanced_and_paired():
+    """Every dimension has one of the first 64 points in each 64th, and the
+    first ones fill the boxes of the plane two by two."""
+    v = np.array(space.sobol_directions(40), dtype=object)
+    points = np.zeros((40, 1024), dtype=np.int64)
+    for n in range(1024):
+        gray, x = n ^ n >> 1, np.zeros(40, dtype=object)
+        for k in range(10):
+            if gray >> k & 1:
+                x ^= v[:, k]
+        points[:, n] = x
+    for row in points:
+        assert sorted(row[:64] >> 26) == list(range(64))
+        assert sorted(row >> 22) == list(range(1024))
+    for a, b in [(0, 1), (0, 2), (1, 2), (2, 3), (3, 4)]:  # 1024 points over 8 x 8 boxes
+        assert set(np.bincount((points[a] >> 29) * 8 + (points[b] >> 29), minlength=64)) == {16}
+    assert len({tuple(r) for r in v}) == 40
+
+
+def test_sobol_covers_every_parameter(spark):
+    rows = [("e", i, f"p{i}", "double", "0", "1", None, None) for i in range(5)]
+    rows += [("e", 5, "kind", "categorical", None, None, None, ["a", "b", "c"]), ("e", 6, "n", "int", "1", "9", "2", None),
+             ("none", 0, "x", "double", "0", "1", None, None)]
+    counts = spark.createDataFrame([("e", 16), ("none", 0)], "experiment string, n int")
+    got = space.sobol_sample(spark.createDataFrame(rows, SCHEMA), counts).collect()
+    assert len(got) == 16 * 7
+    assert {r.value_text for r in got if r.name == "kind"} == {"a", "b", "c"}
+    assert {r.value_num for r in got if r.name == "n"} <= {1.0, 3.0, 5.0, 7.0, 9.0}
+    assert len({(r.name, r.u) for r in got if r.name == "p4"}) == 16

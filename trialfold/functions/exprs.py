@@ -12,9 +12,11 @@ DEFAULT_FILTER = r"([\w|-]+)\s*=\s*([+-]?\d*(\.\d+)?([Ee][+-]?\d+)?)"
 # Go zero time, printed back for rows without a timestamp.
 ZERO_TIME = "0001-01-01T00:00:00Z"
 
-# A decimal float lexeme as a 64-bit float parse accepts it (NaN excluded,
-# see quirk Q4: Spark's own cast would also take '1d' and ' 1').
-FLOAT_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# A float lexeme, decimal or hexadecimal, as a 64-bit float parse accepts it
+# (NaN excluded, see quirk Q4: Spark's own cast would also take '1d' and ' 1').
+FLOAT_RE = (r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
+            r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?\d+)$")
+INFINITE_RE = r"^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
 # Strict RFC3339 with optional fraction and mandatory zone.
 RFC3339_RE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 
@@ -23,9 +25,12 @@ NO_TIME_KEY = -(2**62)
 
 
 def num(c: Column | str) -> Column:
-    """Guarded float parse: NULL unless the text is a plain decimal float."""
+    """Guarded float parse: NULL unless the text is a float.  A named
+    infinity is a number; finite digits beyond the range of 64 bits aren't."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.rlike(FLOAT_RE), c.try_cast("double"))
+    x = c.try_cast("double")
+    finite = F.abs(x) < F.lit(float("inf"))
+    return F.when(c.rlike(FLOAT_RE), F.when(finite, x)).when(c.rlike(INFINITE_RE), x)
 
 
 def rfc3339_parts(tok: Column) -> tuple[Column, Column]:

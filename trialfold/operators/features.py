@@ -79,8 +79,9 @@ def exact_split(df: DataFrame, key: str = "id", test_size: float = TEST_SIZE, se
     """Row-exact test set = the ceil(test_size * n) rows with the
     smallest md5 rank.  Exact selection without a global sort: count rows
     per rank bucket (partially aggregated, at most 2^bucket_bits rows reach
-    the driver), then rank only inside the one boundary bucket.
-    Adds ``is_test``."""
+    the driver), rank only inside the one boundary bucket, and compare every
+    row with the (rank, key) pair found there: no join, no shuffle.  Rows
+    that repeat the last key go together.  Adds ``is_test``."""
     d = df.withColumn("_h", split_key(F.col(key), seed)).withColumn("_b", F.shiftright("_h", 60 - bucket_bits))
     counts = d.groupBy("_b").count().orderBy("_b").collect()  # bounded: <= 2^bucket_bits rows
     n = sum(r["count"] for r in counts)
@@ -93,11 +94,13 @@ def exact_split(df: DataFrame, key: str = "id", test_size: float = TEST_SIZE, se
         acc += r["count"]
     if cut is None or k == 0:  # empty input or no test rows
         return d.withColumn("is_test", F.lit(False)).drop("_h", "_b")
+    # the last test row is one (rank, key) pair of the boundary bucket
     w = Window.partitionBy("_b").orderBy("_h", key)
-    edge = d.filter(F.col("_b") == cut).withColumn("_r", F.row_number().over(w)).select(key, (F.col("_r") <= rest).alias("_edge"))
-    out = d.join(edge, key, "left")
-    is_test = (F.col("_b") < cut) | F.coalesce(F.col("_edge"), F.lit(False))
-    return out.withColumn("is_test", is_test).drop("_h", "_b", "_edge")
+    last = (d.filter(F.col("_b") == cut).select("_b", "_h", key).withColumn("_r", F.row_number().over(w))
+            .filter(F.col("_r") == rest).first())
+    upto = (F.col("_h") < last["_h"]) | ((F.col("_h") == last["_h"]) & (F.col(key) <= F.lit(last[key])))
+    is_test = (F.col("_b") < cut) | ((F.col("_b") == cut) & upto)
+    return d.withColumn("is_test", is_test).drop("_h", "_b")
 
 
 def class_weight(train: DataFrame, compat: bool = False, label: str = LABEL) -> DataFrame:

@@ -104,10 +104,12 @@ def pick(strategy: Column, mn: Column, mx: Column, latest: Column) -> Column:
              .when(strategy == "latest", latest))
 
 
-def picked_values(observation: DataFrame, trial_metrics: DataFrame) -> DataFrame:
-    """O22 over tables: (trial, metric, strategy, value)."""
-    return observation.join(trial_metrics.select("trial", "metric", "strategy"), ["trial", "metric"]).select(
-        "trial", "metric", "strategy",
+def picked_values(observation: DataFrame, trial_metrics: DataFrame, listed: bool = False) -> DataFrame:
+    """O22 over tables: (trial, metric, strategy, value), with the place in
+    the metric list (``pos``) where ``trial_metrics`` has it and ``listed``."""
+    place = ["pos"] if listed else []
+    return observation.join(trial_metrics.select("trial", "metric", "strategy", *place), ["trial", "metric"]).select(
+        "trial", "metric", "strategy", *place,
         pick(F.col("strategy"), F.col("min"), F.col("max"), F.col("latest")).alias("value"))
 
 
@@ -136,12 +138,12 @@ def target_split(picked: DataFrame, trials: DataFrame, experiments: DataFrame) -
 
 
 def last_listed_value(picked: DataFrame, trials: DataFrame, experiments: DataFrame) -> DataFrame:
-    """The objective's value scanning the metric list from its end; it
-    must parse as a float (else NULL + error flag)."""
+    """The objective's value scanning the metric list (``pos``) from its
+    end; it must parse as a float (else NULL + error flag)."""
     obj = small(experiments.select("experiment", F.col("objective_metric").alias("objective")))
     p = (picked.join(trials.select("trial", "experiment"), "trial").join(obj, "experiment")
          .filter(F.col("metric") == F.col("objective")))
-    g = p.groupBy("trial").agg(F.max_by("value", "metric").alias("raw"))
+    g = p.groupBy("trial").agg(F.max_by("value", "pos").alias("raw"))
     return g.select("trial", num("raw").alias("value"), num("raw").isNull().alias("parse_error"))
 
 

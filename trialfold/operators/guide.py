@@ -250,7 +250,7 @@ def median_stop_rule(obs: DataFrame, trials_state: DataFrame, experiments: DataF
                     cmp.alias("comparison"))
 
 
-def evaluate_stop_rules(obs: DataFrame, trials: DataFrame, rules: DataFrame) -> DataFrame:
+def evaluate_stop_rules(obs: DataFrame, trials: DataFrame, rules: DataFrame, salts: int = 16) -> DataFrame:
     """O56h: a trial stops when every rule of its experiment is met.  A
     rule (metric, value, comparison, start_step) is met by the first log
     row of its metric, from the start_step-th on, whose value compares
@@ -260,17 +260,22 @@ def evaluate_stop_rules(obs: DataFrame, trials: DataFrame, rules: DataFrame) ->
     t = trials.select("trial", "experiment")
     o = obs.join(t, "trial").join(r, ["experiment", "metric"])
     o = o.withColumn("x", num("value")).withColumn("tk", time_key(F.col("ts")))
-    # key of the start_step-th row of each (trial, rule): rows before it do not count
-    nth = top_k_per_group(o.select("trial", "rule", "tk", "seq", "start_step"), ["trial", "rule"],
-                          [F.col("tk"), F.col("seq")], F.col("start_step"), salt_key=[F.col("seq")])
-    nth = nth.filter(F.col("rank") == F.col("start_step")).select("trial", "rule", F.col("tk").alias("tk0"), F.col("seq").alias("seq0"))
-    o = o.join(nth, ["trial", "rule"])
-    after = (F.col("tk") > F.col("tk0")) | ((F.col("tk") == F.col("tk0")) & (F.col("seq") >= F.col("seq0")))
     rv = F.col("rule_value").try_cast("double")
     hit = (F.when(F.col("comparison") == "equal", F.col("x") == rv)
            .when(F.col("comparison") == "less", F.col("x") < rv)
            .when(F.col("comparison") == "greater", F.col("x") > rv))
-    met = o.filter(after & F.coalesce(hit, F.lit(False))).groupBy("trial", "rule").agg(
+    o = o.select("trial", "rule", F.greatest("start_step", F.lit(1)).alias("start_step"), "tk", "seq", F.coalesce(hit, F.lit(False)).cast("int").alias("hit"))
+    # fewer than start_step hits stand before the start_step-th row, so the
+    # answer is among the first start_step rows and the first start_step hits
+    salt = F.pmod(F.xxhash64("seq"), F.lit(salts))
+    o = o.withColumn("_salt", salt).repartition("trial", "rule", "_salt")
+    for keys in (["trial", "rule", "_salt"], ["trial", "rule"]):
+        w = Window.partitionBy(*keys).orderBy("tk", "seq")
+        so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        o = (o.withColumn("rn", F.row_number().over(w)).withColumn("hits", F.sum("hit").over(so_far))
+             .filter((F.col("rn") <= F.col("start_step")) | ((F.col("hit") == 1) & (F.col("hits") <= F.col("start_step")))))
+    # the first start_step rows are all kept, so ranks up to it are exact
+    met = o.filter((F.col("hit") == 1) & (F.col("rn") >= F.col("start_step"))).groupBy("trial", "rule").agg(
         F.min(F.struct("tk", "seq")).alias("first"))
     n_rules = r.groupBy("experiment").agg(F.count("*").alias("n_rules"))
     per = met.join(t, "trial").groupBy("trial", "experiment").agg(F.count("*").alias("n_met"), F.max("first").alias("last"))

@@ -97,6 +97,38 @@ def parse_text_lines(lines: DataFrame, filters: list[str] | None = None,
     return out.select(*OBS_COLUMNS)
 
 
+def usable_filters(filters: DataFrame) -> DataFrame:
+    """(experiment, pos, pattern) as the JVM engine takes them.  The pattern is
+    NULL where the filter doesn't compile or has less than two groups: it
+    finds nothing.  Python sees the distinct specs only, never a log line."""
+    p = F.col("pattern")
+    bare = F.regexp_replace(F.regexp_replace(p, r"\\.", ""), r"\[[^\]]*\]", "")
+    groups = F.regexp_count(bare, F.lit(r"\((?!\?)|\(\?P?<"))
+    java = F.regexp_replace(F.regexp_replace(p, r"(?<!\\)\{(?!\d+(,\d*)?\})", r"\\{"), r"\(\?P<", "(?<")
+    return filters.select("experiment", "pos", F.when(pattern_compiles(p) & (groups >= 2), java).alias("pattern"))
+
+
+def parse_by_filters(lines: DataFrame, filters: DataFrame, line_col: str = "line", metrics_col: str = "metrics") -> DataFrame:
+    """O12–O16 with each experiment's own filters: ``filters`` is a table
+    (experiment, pos, pattern), ``lines`` carries ``experiment``.  An experiment
+    without a row there has the default filter; ``sub`` orders filters, then
+    matches.  Groups are read where they match, so anchors keep their sense."""
+    l = keyword_prefilter(lines, line_col, metrics_col)
+    ts_raw, ts, nanos = leading_timestamp(F.col(line_col))
+    head = ["seq", "metrics", "ts_raw", "ts", "ts_nanos"]
+    base = l.select("experiment", "trial", F.col("line_no").alias("seq"), F.col(metrics_col).alias("metrics"),
+                    ts_raw.alias("ts_raw"), ts.alias("ts"), nanos.alias("ts_nanos"), F.col(line_col).alias("line"))
+    j = base.join(small(usable_filters(filters)), "experiment", "left")
+    p = F.when(F.col("pos").isNull(), F.lit(re2_to_java(DEFAULT_FILTER))).otherwise(F.col("pattern"))
+    j = j.withColumn("pattern", p).filter(F.col("pattern").isNotNull())
+    found = F.arrays_zip(F.regexp_extract_all("line", "pattern", F.lit(1)).alias("n"),
+                         F.regexp_extract_all("line", "pattern", F.lit(2)).alias("v"))
+    x = j.select("trial", *head, F.coalesce("pos", F.lit(0)).cast("long").alias("filter_pos"), F.posexplode(found).alias("at", "m"))
+    return (x.select("trial", *head, (F.shiftleft("filter_pos", 32) + F.col("at")).alias("sub"),
+                     F.trim(F.col("m")["n"]).alias("metric"), F.trim(F.col("m")["v"]).alias("value"))
+            .filter(F.array_contains("metrics", F.col("metric"))).select(*OBS_COLUMNS))
+
+
 def objective_fallback(rows: DataFrame, trial_list: DataFrame) -> DataFrame:
     """Trials whose log has no objective row get their whole log
     replaced by one (zero time, objective, 'unavailable') row.

@@ -110,10 +110,11 @@ def per_second_curve(obs: DataFrame, trials: DataFrame, experiments: DataFrame)
 def curve_bounds(points: DataFrame) -> DataFrame:
     """Per trial the number of points per metric and the chart's y
     range: minimum floored and maximum ceiled to 0.1."""
-    x = points.withColumn("x", num("value"))
-    per = points.groupBy("trial").agg(F.count("*").alias("n_points"), F.count_distinct("metric").alias("n_series"))
-    b = x.groupBy("trial").agg((F.floor(F.min("x") * 10) / 10).alias("y_min"), (F.ceil(F.max("x") * 10) / 10).alias("y_max"))
-    return per.join(b, "trial")
+    series = points.select("trial", "metric", num("value").alias("x")).groupBy("trial", "metric").agg(
+        F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    return series.groupBy("trial").agg(F.sum("n").alias("n_points"), F.count("*").alias("n_series"),
+                                       (F.floor(F.min("lo") * 10) / 10).alias("y_min"),
+                                       (F.ceil(F.max("hi") * 10) / 10).alias("y_max"))
 
 
 def architecture_json(k: Column, n_ops: int = 11) -> Column:

@@ -11,6 +11,9 @@ many tasks.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,11 +157,15 @@ def library_sample(specs: DataFrame, counts: DataFrame, library: str, seed: int
     s = counts.select("experiment", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("sample"))
     j = s.join(small(specs.select("experiment", "pos", "name", "type", "min", "max", "step", "list")), "experiment")
     u = md5_uniform(F.lit(seed), F.lit(library), F.col("experiment"), F.col("sample"), F.col("pos"))
+    return _drawn(j.withColumn("mode", mode), u).select("experiment", "sample", "pos", "name", "mode", "value_num", "value_text")
+
+
+def _drawn(j: DataFrame, u: Column) -> DataFrame:
+    """``value_num`` and ``value_text`` of the point ``u`` by each row's ``mode``."""
+    t, m = F.col("type"), F.col("mode")
     lo, hi = _d("min"), _d("max")
     q = F.coalesce(F.nullif(F.col("step"), F.lit("")).try_cast("double"), F.lit(1.0))
     has_step = F.coalesce(F.col("step"), F.lit("")) != ""
-    m = F.col("mode")
-    n_list = F.size("list")
     x = (F.when(m == "uniform", lo + u * (hi - lo))
          .when(m == "int_uniform", lo + F.floor(u * (hi - lo + 1)))
          .when(m == "quantised", F.round((lo + u * (hi - lo)) / q) * q)
@@ -166,56 +173,80 @@ def library_sample(specs: DataFrame, counts: DataFrame, library: str, seed: int
          .when((m == "stepped") & has_step, lo + F.floor(u * (F.floor((hi - lo) / q) + 1)) * q)
          .when((m == "stepped") & (t == "int"), lo + F.floor(u * (hi - lo + 1)))
          .when(m == "stepped", lo + u * (hi - lo)))
-    choice = F.element_at(F.col("list"), (F.floor(u * n_list) + 1).cast("int"))
-    j = j.withColumn("mode", mode)
-    return j.select("experiment", "sample", "pos", "name", "mode",
-                    F.round(F.when(m == "choice", choice.try_cast("double")).otherwise(x), 9).alias("value_num"),
-                    F.when(m == "choice", choice).alias("value_text"))
-
-
-def _pow2(e: Column) -> Column:
-    return F.pow(F.lit(2.0), e).cast("long")
-
-
-def _bit(x: Column, i: Column) -> Column:
-    """Bit ``i`` (0 = lowest) of a non-negative integer below 2^53."""
-    return (F.floor(x / F.pow(F.lit(2.0), i)) % 2).cast("int")
-
-
-def _sobol_direction(dim: int, k: Column) -> Column:
-    """Direction number v_k (k = 1..32) of Sobol dimension 1 or 2, as a
-    32-bit integer.  Dimension 1: 2^(32-k).  Dimension 2 (degree-1
-    primitive polynomial, v_k = v_{k-1} xor v_{k-1}/2): bit 31-j is set
-    for each j < k with C(k-1, j) odd, i.e. (k-1) & j == j."""
-    if dim == 1:
-        return _pow2(32 - k)
-    return F.aggregate(F.sequence(F.lit(0), k - 1), F.lit(0).cast("long"),
-                       lambda acc, j: acc + F.when((k - 1).cast("long").bitwiseAND(j.cast("long")) == j,
-                                                   _pow2(31 - j)).otherwise(F.lit(0).cast("long")))
+    choice = F.try_element_at(F.col("list"), (F.floor(u * F.size("list")) + 1).cast("int"))
+    return (j.withColumn("value_num", F.round(F.when(m == "choice", choice.try_cast("double")).otherwise(x), 9))
+            .withColumn("value_text", F.when(m == "choice", choice)))
+
+
+# The published first direction integers (Joe and Kuo, 2008) of
+# Sobol dimensions 2 to 21, in the order of their primitive polynomials.
+FIRST_DIRECTIONS = [
+    (1,), (1, 3), (1, 3, 1), (1, 1, 1), (1, 1, 3, 3), (1, 3, 5, 13), (1, 1, 5, 5, 17), (1, 1, 5, 5, 5), (1, 1, 7, 11, 19),
+    (1, 1, 5, 1, 1), (1, 1, 1, 3, 11), (1, 3, 5, 5, 31), (1, 3, 3, 9, 7, 49), (1, 1, 1, 15, 21, 21), (1, 3, 1, 13, 27, 49),
+    (1, 1, 1, 15, 7, 5), (1, 3, 1, 15, 13, 25), (1, 1, 5, 5, 19, 61), (1, 3, 7, 11, 23, 15, 103), (1, 3, 7, 13, 13, 15, 69)]
+SOBOL_BITS = 32
+
+
+def _primitive_polynomials() -> Iterator[tuple[int, int]]:
+    """(degree, polynomial as bits) over two elements, by degree, then value:
+    those for which the powers of x run through all residues."""
+    degree = 0
+    while True:
+        degree += 1
+        for poly in range((1 << degree) | 1, 2 << degree, 2):
+            x, order = 1, 0
+            while True:
+                x <<= 1
+                x ^= poly * (x >> degree & 1)
+                order += 1
+                if x <= 1:
+                    break
+            if x == 1 and order == (1 << degree) - 1:
+                yield degree, poly
+
+
+def sobol_directions(dims: int) -> list[list[int]]:
+    """The 32 direction numbers of each dimension.  Beyond the published first
+    integers, odd ones come from a hash of the dimension."""
+    out = [[1 << (SOBOL_BITS - k) for k in range(1, SOBOL_BITS + 1)]]
+    for dim, (degree, poly) in zip(range(2, dims + 1), _primitive_polynomials(), strict=False):
+        if dim - 2 < len(FIRST_DIRECTIONS):
+            first = FIRST_DIRECTIONS[dim - 2]
+        else:
+            first = [int(hashlib.md5(f"{dim}|{k}".encode()).hexdigest(), 16) % (1 << k) | 1 for k in range(1, degree + 1)]
+        v = [m << (SOBOL_BITS - k) for k, m in enumerate(first, 1)]
+        while len(v) < SOBOL_BITS:
+            new = v[-degree] ^ (v[-degree] >> degree)
+            for i in range(1, degree):
+                new ^= v[-i] * (poly >> (degree - i) & 1)
+            v.append(new)
+        out.append(v)
+    return out[:dims]
 
 
 def sobol_sample(specs: DataFrame, counts: DataFrame) -> DataFrame:
-    """Sobol points (gray-code order, dimensions 1 and 2 mapped to the
-    first two numeric parameters), scaled to [min, max].
-    Output (experiment, sample, pos, name, u, value_num)."""
-    num = specs.filter(F.col("type").isin("int", "double"))
+    """Sobol points in gray-code order, one dimension for each parameter
+    in the order of the space.  Numbers are scaled to [min, max] and kept on
+    their step, integers are whole, lists are chosen by index (as O45's
+    ``stepped`` and ``choice``).  The widest space decides how many direction
+    numbers are made (one aggregate over the specs).
+    Output (experiment, sample, pos, name, u, value_num, value_text)."""
+    mode = F.when(F.col("type").isin("int", "double"), F.lit("stepped")).otherwise(F.lit("choice"))
+    dims = specs.groupBy("experiment").count().agg(F.max("count")).first()[0] or 0
     w = Window.partitionBy("experiment").orderBy("pos")
-    num = num.withColumn("dim", F.row_number().over(w)).filter(F.col("dim") <= 2)
-    s = counts.select("experiment", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("sample"))
-    j = s.join(small(num.select("experiment", "pos", "name", "dim", "min", "max")), "experiment")
-    g = F.col("sample").cast("long").bitwiseXOR(F.floor(F.col("sample") / 2).cast("long"))
-    bits = F.sequence(F.lit(1), F.lit(32))
-
-    def xor_dim(dim):
-        return F.aggregate(bits, F.lit(0).cast("long"),
-                           lambda acc, k: F.when(_bit(g, k - 1) == 1,
-                                                 acc.bitwiseXOR(_sobol_direction(dim, k))).otherwise(acc))
-
-    xi = F.when(F.col("dim") == 1, xor_dim(1)).otherwise(xor_dim(2))
-    u = xi.cast("double") / F.lit(4294967296.0)
-    lo, hi = _d("min"), _d("max")
-    return j.select("experiment", "sample", "pos", "name", F.round(u, 12).alias("u"),
-                    F.round(lo + u * (hi - lo), 9).alias("value_num"))
+    axes = specs.withColumn("dim", F.row_number().over(w)).withColumn("mode", mode)
+    rows = [(i, v) for i, v in enumerate(sobol_directions(dims), 1)] if dims else []
+    table = specs.sparkSession.createDataFrame(rows, "dim int, v array<long>")
+    axes = axes.join(F.broadcast(table), "dim")  # one row for each parameter of the widest space
+    s = counts.filter(F.col("n") > 0).select(
+        "experiment", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("sample"))
+    j = s.join(small(axes), "experiment")
+    n = F.col("sample").cast("long")
+    gray = n.bitwiseXOR(F.shiftright(n, 1))
+    xi = F.aggregate(F.sequence(F.lit(0), F.lit(SOBOL_BITS - 1)), F.lit(0).cast("long"),
+                     lambda acc, k: F.when(F.getbit(gray, k) == 1, acc.bitwiseXOR(F.element_at("v", k + 1))).otherwise(acc))
+    j = j.withColumn("u", xi.cast("double") / F.lit(float(1 << SOBOL_BITS)))
+    return _drawn(j, F.col("u")).select("experiment", "sample", "pos", "name", F.round("u", 12).alias("u"), "value_num", "value_text")
 
 
 # ---------------------------------------------------------------- NAS spaces

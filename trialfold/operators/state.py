@@ -187,6 +187,11 @@ def new_assignments(suggestions: DataFrame, trials: DataFrame) -> DataFrame:
     return suggestions.join(trials.select("experiment", "trial"), ["experiment", "trial"], "left_anti")
 
 
+def remaining_suggestions(suggestions: DataFrame, deleted: DataFrame) -> DataFrame:
+    """Suggestions without those whose trial was deleted."""
+    return suggestions.join(deleted.select("experiment", "trial"), ["experiment", "trial"], "left_anti")
+
+
 def request_count(summary: DataFrame, budget: DataFrame, trials_state: DataFrame, available: DataFrame) -> DataFrame:
     """Trials + add - early-stopped trials without observation."""
     es = (trials_state.filter(F.col("state") == "EarlyStopped").join(available, "trial")

@@ -83,6 +83,9 @@ def q_fallback(spark, d):
 
 # ------------------------------------------------------------------ folding
 
+#: Texts in the place of the values of every 13 log rows (None: as they are).
+NUMBER_TEXTS = [None, "inf", "-Infinity", "1e400", "0x1.8p3", "NaN", "12d", " 1", "+.5", None, None, None, None]
+
 @register("o23_default_strategies", with_views("SELECT * FROM strategies", "strategies"))
 def q_strategies(spark, d):
     return Ctx(spark, d).strategies
@@ -108,6 +111,29 @@ def q_text_fold(spark, d):
     return Ctx(spark, d).text_observation
 
 
+@register("o21c_number_texts", with_views("""
+SELECT tm.trial, tm.metric, coalesce(a.min, 'unavailable') AS min, coalesce(a.max, 'unavailable') AS max,
+       coalesce(a.latest, 'unavailable') AS latest
+FROM trial_metrics tm LEFT JOIN (
+  SELECT trial, metric,
+    arg_min(value, row(num, tk, seq)) FILTER (WHERE num IS NOT NULL) AS min,
+    arg_max(value, row(num, -tk, -seq)) FILTER (WHERE num IS NOT NULL) AS max,
+    arg_max(value, row(tk, seq)) AS latest
+  FROM (SELECT 'trial-' || user_id AS trial, event_type AS metric, event_id AS seq, epoch_us(ts) * 1000 AS tk,
+          CASE event_id % 13 WHEN 1 THEN 'inf' WHEN 2 THEN '-Infinity' WHEN 3 THEN '1e400' WHEN 4 THEN '0x1.8p3'
+               WHEN 5 THEN 'NaN' WHEN 6 THEN '12d' WHEN 7 THEN ' 1' WHEN 8 THEN '+.5' ELSE CAST(value AS VARCHAR) END AS value,
+          CASE event_id % 13 WHEN 1 THEN 'infinity'::DOUBLE WHEN 2 THEN '-infinity'::DOUBLE WHEN 3 THEN NULL WHEN 4 THEN 12.0
+               WHEN 5 THEN NULL WHEN 6 THEN NULL WHEN 7 THEN NULL WHEN 8 THEN 0.5 ELSE value END AS num
+        FROM events)
+  GROUP BY trial, metric) a USING (trial, metric)""", "trial_metrics"))
+def q_number_texts(spark, d):
+    c = Ctx(spark, d)
+    text, kind = F.col("value"), F.col("seq") % len(NUMBER_TEXTS)
+    for i, t in enumerate(NUMBER_TEXTS):
+        text = F.when(kind == i, F.lit(t)).otherwise(text) if t else text
+    return fold.fold_observations(c.obs.withColumn("value", text), c.trial_metrics)
+
+
 @register("o22_strategy_pick", with_views("SELECT * FROM picked", "picked"))
 def q_pick(spark, d):
     return Ctx(spark, d).picked
@@ -136,7 +162,7 @@ FROM picked p JOIN trials t USING (trial) JOIN experiments e USING (experiment)
 WHERE p.metric = e.objective_metric""", "picked", "trials", "experiments"))
 def q_last_listed(spark, d):
     c = Ctx(spark, d)
-    return fold.last_listed_value(c.picked, c.trials, c.experiments)
+    return fold.last_listed_value(fold.picked_values(c.observation, c.trial_metrics, listed=True), c.trials, c.experiments)
 
 
 @register("o27_completed_mean", with_views(f"""
@@ -172,6 +198,11 @@ def q_summary(spark, d):
     return Ctx(spark, d).summary
 
 
+@register("o30b_state_lists", with_views("SELECT experiment, state, pos, trial FROM trials_state", "trials_state"))
+def q_state_lists(spark, d):
+    return state.state_lists(Ctx(spark, d).trials_state)
+
+
 @register("o31_o32_optimal_trial", with_views("SELECT * FROM best", "best"))
 def q_best(spark, d):
     return Ctx(spark, d).best()
@@ -208,6 +239,18 @@ def q_new_assignments(spark, d):
     return state.new_assignments(views.assignments(spark, d).select("experiment", "trial"), created)
 
 
+@register("o36b_remaining_suggestions", with_views("""
+SELECT a.experiment, a.trial FROM assignments a LEFT JOIN (
+  SELECT t.experiment, t.trial, b.delete_count,
+    row_number() OVER (PARTITION BY t.experiment ORDER BY t.created DESC, t.pos DESC) AS rank
+  FROM trials_state t JOIN budget b USING (experiment)) x ON x.experiment = a.experiment AND x.trial = a.trial
+WHERE NOT coalesce(x.rank <= x.delete_count, false)""", "assignments", "trials_state", "budget"))
+def q_remaining(spark, d):
+    c = Ctx(spark, d)
+    return state.remaining_suggestions(views.assignments(spark, d).select("experiment", "trial"),
+                                       state.excess_trials(c.trials_state, c.budget))
+
+
 @register("o37_request_count", with_views("""
 SELECT s.experiment, s.trials + b.add_count - coalesce(es.n, 0) AS requests
 FROM summary s JOIN budget b USING (experiment)

@@ -123,6 +123,43 @@ def q_regex_extract(spark, d):
                     F.col("p.name").alias("name"), F.col("p.value").alias("value"))
 
 
+#: Filter lists of the experiments by nation key % 4 (none: the default filter).
+#: The list of the last has one group, a broken pattern and a literal brace.
+FILTER_LISTS = [[], [r"(\w+)\s*=\s*(\d+\.\d)"], [r"([a-z]+)=(\d+)", r"INFO (\w+).(\d+\.\d+)$"],
+                [r"accuracy=(\d+)", r"([a-z", r"(\w+) {(\d+)}", r"^(?:\S+ )+?([a-z]+)=(-?\d*\.?\d*)"]]
+
+
+def experiment_filters(spark, d):
+    k = F.col("n_nationkey")
+    lists = F.array(*[F.array(*[F.lit(p) for p in ps]).cast("array<string>") for ps in FILTER_LISTS])
+    return views.table(spark, d, "nation").select(
+        F.concat(F.lit("exp-"), k.cast("string")).alias("experiment"),
+        F.posexplode(F.element_at(lists, (k % len(FILTER_LISTS) + 1).cast("int"))).alias("pos", "pattern"))
+
+
+def _own_filters_sql() -> str:
+    found = "\nUNION ALL\n".join(
+        f"SELECT trial, line_no, metrics, {pos} AS pos, list_zip(regexp_extract_all(line, '{p}', 1), regexp_extract_all(line, '{p}', 2)) AS ms "
+        f"FROM wanted WHERE k % 4 = {k}"
+        for k, pos, p in [(0, 0, DEFAULT_FILTER), (1, 0, FILTER_LISTS[1][0]), (2, 0, FILTER_LISTS[2][0]), (2, 1, FILTER_LISTS[2][1]),
+                          (3, 3, FILTER_LISTS[3][3])])
+    return f"""
+SELECT trial, seq, sub, metric, value FROM (
+  SELECT trial, line_no AS seq, metrics, pos * 4294967296 + generate_subscripts(ms, 1) - 1 AS sub,
+    trim(unnest(ms)[1]) AS metric, trim(unnest(ms)[2]) AS value FROM ({found}))
+WHERE list_contains(metrics, metric)"""
+
+
+@register("o14b_experiment_filters", with_views(_own_filters_sql(), "log_lines", "experiments", extra=[("wanted", """
+  SELECT l.trial, l.line_no, l.line, CAST(replace(e.experiment, 'exp-', '') AS BIGINT) AS k,
+    [e.objective_metric] || e.additional_metrics AS metrics
+  FROM log_lines l JOIN experiments e USING (experiment)
+  WHERE len(list_filter([e.objective_metric] || e.additional_metrics, lambda m: contains(l.line, m))) > 0""")]))
+def q_experiment_filters(spark, d):
+    lines = parse.attach_metric_lists(views.log_lines(spark, d), Ctx(spark, d).experiments)
+    return parse.parse_by_filters(lines, experiment_filters(spark, d)).select("trial", "seq", "sub", "metric", "value")
+
+
 # O16's whitelist is the last step of the full text parse registered as
 # o12_o16_text_log_parse in catalog.py.
 

@@ -126,18 +126,30 @@ def q_library_sample(spark, d):
     return out.withColumn("sample", F.col("sample").cast("long"))
 
 
+#: Direction integers of the first four dimensions, by each one's own recurrence.
+SOBOL_SQL = ("direction", """SELECT dim, k, m FROM (
+    WITH RECURSIVE r AS (
+      SELECT 1 AS k, 1::BIGINT AS a1, 0::BIGINT AS a2, 1::BIGINT AS b1, 0::BIGINT AS b2, 1::BIGINT AS c1, 3::BIGINT AS c2, 1::BIGINT AS c3
+      UNION ALL
+      SELECT k + 1, xor(2 * a1, a1), a2, CASE WHEN k = 1 THEN 3 ELSE xor(xor(2 * b1, 4 * b2), b2) END, b1,
+             c2, c3, xor(xor(4 * c2, 8 * c1), c1) FROM r WHERE k < 16)
+    SELECT 1 AS dim, k, 1::BIGINT AS m FROM r UNION ALL SELECT 2, k, a1 FROM r UNION ALL SELECT 3, k, b1 FROM r
+    UNION ALL SELECT 4, k, c1 FROM r)""")
+
+
 @register("o46_sobol_sample", with_views("""
-SELECT experiment, sample, pos, name, round(u, 12) AS u, round(lo + u * (hi - lo), 9) AS value_num FROM (
-  SELECT *, list_reduce(list_transform(range(32), lambda k0: CASE WHEN (g >> k0) & 1 = 1 THEN
-      CAST(CASE WHEN dim = 1 THEN (1::BIGINT << (31 - k0))
-           ELSE list_sum(list_transform(range(k0 + 1), lambda jj: CASE WHEN (k0 & jj) = jj THEN (1::BIGINT << (31 - jj))
-                                                                         ELSE 0::BIGINT END)) END AS BIGINT)
-      ELSE 0::BIGINT END), lambda a, b: xor(a, b)) / 4294967296.0 AS u,
-    TRY_CAST(min AS DOUBLE) AS lo, TRY_CAST(max AS DOUBLE) AS hi
-  FROM (SELECT s.experiment, s.sample, n.pos, n.name, n.dim, n.min, n.max, xor(s.sample, s.sample >> 1) AS g
-        FROM (SELECT experiment, unnest(range(parallel_trial_count)) AS sample FROM experiments) s
-        JOIN (SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY pos) AS dim FROM param_specs
-              WHERE type IN ('int', 'double')) n USING (experiment) WHERE n.dim <= 2))""", "param_specs", "experiments"))
+SELECT experiment, sample, pos, name, round(u, 12) AS u,
+  round(CASE WHEN type IN ('categorical', 'discrete') THEN TRY_CAST(list[CAST(floor(u * len(list)) + 1 AS BIGINT)] AS DOUBLE)
+             ELSE lo + floor(u * (floor((hi - lo) / st) + 1)) * st END, 9) AS value_num,
+  CASE WHEN type IN ('categorical', 'discrete') THEN list[CAST(floor(u * len(list)) + 1 AS BIGINT)] END AS value_text
+FROM (SELECT s.experiment, s.sample, p.pos, p.name, p.type, p.list, TRY_CAST(p.min AS DOUBLE) AS lo, TRY_CAST(p.max AS DOUBLE) AS hi,
+        TRY_CAST(p.step AS DOUBLE) AS st, coalesce(x.xi, 0) / 4294967296.0 AS u
+      FROM (SELECT experiment, unnest(range(parallel_trial_count)) AS sample FROM experiments) s
+      JOIN param_specs p USING (experiment)
+      LEFT JOIN (SELECT n.sample, d.dim, bit_xor(d.m << (32 - d.k)) AS xi
+                 FROM (SELECT unnest(range(64)) AS sample) n JOIN direction d
+                 ON (xor(n.sample, n.sample >> 1) >> (d.k - 1)) & 1 = 1 GROUP BY n.sample, d.dim) x
+        ON x.sample = s.sample AND x.dim = p.pos + 1)""", "param_specs", "experiments", extra=[SOBOL_SQL]))
 def q_sobol(spark, d):
     c = Ctx(spark, d)
     r = space.sobol_sample(_specs(spark, d), _counts(c))

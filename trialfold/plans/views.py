@@ -31,10 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Log views stand for many log files; the driver's tables are single
-    row-group parquet files, so spread them over the cores (what a
-    multi-file source gives for free) before per-line parsing."""
-    return df.repartition(max(spark.sparkContext.defaultParallelism, 1))
+    """Log views stand for many log files.  A table of fewer splits than
+    cores (one row group, in the smallest data) is spread over the cores
+    before per-line parsing; any other is read as it is, without a shuffle."""
+    cores = max(spark.sparkContext.defaultParallelism, 1)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def _pick(key: Column, values: list[str]) -> Column:

@@ -48,8 +48,11 @@ def read_log_stream(spark: SparkSession, path: str, max_files: int | None = None
 
 def parse_stream(lines: DataFrame, trials: DataFrame, experiments: DataFrame, filters=None) -> DataFrame:
     """O90 transform: stream-static joins attach the experiment's metric
-    list, then the batch parser (O12–O16) runs unchanged."""
+    list, then the batch parser (O12–O16) runs unchanged; ``filters`` is one
+    list for all experiments or a table (experiment, pos, pattern)."""
     t = lines.join(trials.select("trial", "experiment"), "trial")
+    if isinstance(filters, DataFrame):
+        return parse.parse_by_filters(parse.attach_metric_lists(t, experiments), filters)
     return parse.parse_text_lines(parse.attach_metric_lists(t, experiments), filters)
 
 
