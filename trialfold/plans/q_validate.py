@@ -164,3 +164,106 @@ def q_run_config(spark, d):
     # the configuration document is one JSON array, written as one text file
     cfg.agg(F.to_json(F.collect_list(F.struct(*cfg.columns))).alias("value")).write.text(p)
     return files.read_run_config(spark, p)
+
+
+# ------------------------------------------- templates, collectors and edits
+
+def _job(k):
+    return F.concat(F.lit("job-"), k.cast("string"))
+
+
+def _job_templates(spark, d):
+    """A template for each customer, with a fault by the key."""
+    k = F.col("c_custkey")
+
+    def tp(name, reference):
+        return F.struct(F.lit(name).alias("name"), F.lit(reference).alias("reference"))
+
+    more = (F.when(k % 7 == 1, tp("", "ne")).when(k % 7 == 2, tp("rate", "ne")).when(k % 7 == 3, tp("steps", "lr"))
+            .when(k % 7 == 4, tp("steps", "momentum")).when(k % 7 == 5, tp("unused", "ne"))
+            .when(k % 7 == 6, tp("steps", "${trialSpec.Labels[team]}")).otherwise(tp("steps", "ne")))
+    text = F.concat(F.lit("run --lr=${trialParameters.rate} --ne=${trialParameters.steps}"),
+                    F.when(k % 5 == 0, F.lit(" --x=${trialParameters.ghost}")).otherwise(F.lit("")))
+    return views.table(spark, d, "customer").select(_job(k).alias("experiment"), text.alias("template"),
+                                                    F.array(tp("rate", "lr"), more).alias("trial_parameters"))
+
+
+def _job_specs(spark, d):
+    k = F.col("c_custkey")
+    return views.table(spark, d, "customer").filter(k % 6 != 0).select(
+        _job(k).alias("experiment"), F.explode(F.array(F.lit("lr"), F.lit("ne"))).alias("name"))
+
+
+@register("o55c_template_validation", """
+WITH p AS (
+  SELECT 'job-' || c_custkey AS experiment, c_custkey % 6 <> 0 AS has_space, c_custkey % 5 = 0 AS ghost, 0 AS place, 'rate' AS name, 'lr' AS ref
+  FROM customer
+  UNION ALL
+  SELECT 'job-' || c_custkey, c_custkey % 6 <> 0, c_custkey % 5 = 0, 1, ['steps', '', 'rate', 'steps', 'steps', 'unused', 'steps'][c_custkey % 7 + 1],
+    ['ne', 'ne', 'ne', 'lr', 'momentum', 'ne', '${trialSpec.Labels[team]}'][c_custkey % 7 + 1] FROM customer),
+r AS (SELECT *, row_number() OVER (PARTITION BY experiment, name ORDER BY place) AS nth_name,
+        row_number() OVER (PARTITION BY experiment, ref ORDER BY place) AS nth_ref FROM p)
+SELECT * FROM (SELECT experiment, place, CASE WHEN name = '' THEN 'name or reference malformed' WHEN nth_name > 1 THEN 'name repeated: ' || name
+    WHEN nth_ref > 1 THEN 'reference repeated' WHEN has_space AND ref NOT IN ('lr', 'ne') AND NOT starts_with(ref, '$') THEN 'refers to nothing: ' || ref
+    WHEN name NOT IN ('rate', 'steps', CASE WHEN ghost THEN 'ghost' ELSE 'rate' END) THEN 'not in the template: ' || name END AS message FROM r)
+WHERE message IS NOT NULL
+UNION ALL
+SELECT experiment, -1, 'placeholders without a parameter: ' || string_agg(t, ',' ORDER BY t) FROM (
+  SELECT DISTINCT experiment, unnest(CASE WHEN ghost THEN ['rate', 'steps', 'ghost'] ELSE ['rate', 'steps'] END) AS t FROM p) u
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.experiment = u.experiment AND p.name = u.t) GROUP BY experiment""")
+def q_template_validation(spark, d):
+    return validate.template_violations(_job_templates(spark, d), _job_specs(spark, d))
+
+
+_KINDS = ["None", "StdOut", "File", "TensorFlowEvent", "PrometheusMetric", "Custom", "Socket"]
+
+
+@register("o55d_collector_validation", """
+SELECT * FROM (SELECT experiment, unnest([
+    CASE WHEN kind = 'Socket' THEN 'collector: kind not known' END,
+    CASE WHEN kind = 'File' AND (src <> 'File' OR path NOT LIKE '/%') THEN 'collector: needs the absolute path of a file' END,
+    CASE WHEN kind = 'File' AND form NOT IN ('TEXT', 'JSON') THEN 'collector: file format not known' END,
+    CASE WHEN kind = 'File' AND form = 'JSON' AND filtered THEN 'collector: JSON takes no filter' END,
+    CASE WHEN kind = 'TensorFlowEvent' AND (src <> 'Directory' OR path NOT LIKE '/%') THEN 'collector: needs the absolute path of a folder' END,
+    CASE WHEN kind = 'TensorFlowEvent' AND form <> '' THEN 'collector: events take no format' END,
+    CASE WHEN kind = 'PrometheusMetric' AND k % 4 < 3 THEN 'collector: port not positive' END,
+    CASE WHEN kind = 'PrometheusMetric' AND path NOT LIKE '/%' THEN 'collector: path must start with a slash' END,
+    CASE WHEN kind = 'Custom' AND k % 2 = 0 THEN 'collector: custom container missing' END,
+    CASE WHEN kind = 'Custom' AND src <> '' AND (path NOT LIKE '/%' OR src = 'Socket') THEN 'collector: custom source malformed' END,
+    CASE WHEN k % 13 = 1 THEN 'early stopping: algorithm missing' WHEN k % 13 = 2 THEN 'early stopping: algorithm not known' END]) AS message
+  FROM (SELECT c_custkey AS k, 'job-' || c_custkey AS experiment,
+          ['None', 'StdOut', 'File', 'TensorFlowEvent', 'PrometheusMetric', 'Custom', 'Socket'][c_custkey % 7 + 1] AS kind,
+          ['File', 'Directory', 'Socket', ''][c_custkey % 4 + 1] AS src, CASE WHEN c_custkey % 3 = 0 THEN 'logs/out' ELSE '/logs/out' END AS path,
+          ['TEXT', 'JSON', '', 'CSV', ''][c_custkey % 5 + 1] AS form, c_custkey % 2 = 1 AS filtered FROM customer))
+WHERE message IS NOT NULL""")
+def q_collector_validation(spark, d):
+    k = F.col("c_custkey")
+    c = views.table(spark, d, "customer").select(
+        _job(k).alias("experiment"), views._pick(k, _KINDS).alias("kind"),
+        F.when(k % 4 < 3, views._pick(k % 4, ["File", "Directory", "Socket"])).alias("source_kind"),
+        F.when(k % 3 == 0, F.lit("logs/out")).otherwise(F.lit("/logs/out")).alias("path"),
+        F.when(k % 5 != 4, views._pick(k % 5, ["TEXT", "JSON", "", "CSV"])).alias("format"),
+        F.when(k % 2 == 1, F.array(F.lit(r"(\w+)=(\d+)"))).alias("filters"),
+        views._pick(k % 4, ["0", "-1", "http", "8080"]).alias("port"), F.when(k % 2 == 1, F.lit(True)).alias("custom"),
+        F.when(k % 13 == 0, F.lit("medianstop")).when(k % 13 == 1, F.lit("")).when(k % 13 == 2, F.lit("asha")).alias("stopping"))
+    return validate.collector_violations(c)
+
+
+@register("o55e_edit_validation", """
+SELECT * FROM (SELECT 'job-' || k AS experiment, unnest([
+    CASE WHEN edit > 0 AND k % 3 = 0 AND k % 2 = 1 THEN 'edit: completed and not restartable' END,
+    CASE WHEN edit > 0 AND (CASE WHEN edit = 1 THEN 40 ELSE 10 END) <= k % 50 THEN 'edit: trial limit not above the trials' END,
+    CASE WHEN edit = 3 THEN 'edit: only the limits may change' END]) AS message
+  FROM (SELECT c_custkey AS k, c_custkey % 4 AS edit FROM customer))
+WHERE message IS NOT NULL""")
+def q_edit_validation(spark, d):
+    """Nothing changes, the trial limit, the parallel limit or the algorithm."""
+    k = F.col("c_custkey")
+    c = views.table(spark, d, "customer").withColumn("experiment", _job(k))
+    old = c.select("experiment", F.lit(10).alias("max_trial_count"), F.lit(2).alias("parallel_trial_count"),
+                   F.lit(None).cast("int").alias("max_failed_trial_count"), F.lit("random").alias("algorithm"))
+    new = c.select("experiment", F.when(k % 4 == 1, 40).otherwise(10).alias("max_trial_count"),
+                   F.when(k % 4 == 2, 3).otherwise(2).alias("parallel_trial_count"),
+                   F.lit(None).cast("int").alias("max_failed_trial_count"), F.when(k % 4 == 3, "tpe").otherwise("random").alias("algorithm"))
+    status = c.select("experiment", (k % 3 == 0).alias("completed"), (k % 2 == 0).alias("restartable"), (k % 50).alias("trials"))
+    return validate.edit_violations(old, new, status)
