@@ -307,12 +307,16 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def sample(docs: DataFrame, text: Column, most: int = SAMPLE_ISLANDS) -> list[str]:
-    """At most ``most`` islands of the corpus, drawn by hash, cut at 200 characters."""
+    """At most ``most`` islands of the corpus, drawn by hash, cut at 200
+    characters.  The bar that ``most`` documents stay below is found on hashes
+    alone, so that only their texts leave the scan."""
     @F.pandas_udf("array<string>")
     def found(texts: pd.Series) -> pd.Series:
         return pd.Series([[t[a:b] for a, b in islands(t) if b - a <= 200][:3] for t in texts])
 
-    some = (docs.where(text.rlike("[0-9@]")).orderBy(F.xxhash64(text)).limit(most).select(text.alias("t")))
+    drawn = docs.where(text.rlike("[0-9@]")).select(F.xxhash64("doc_id", text).alias("draw"), text.alias("t"))
+    bar = drawn.select("draw").orderBy("draw").limit(most).agg(F.max("draw")).first()[0]
+    some = drawn.where(F.col("draw") <= bar).select("t").limit(most)
     rows = some.select(F.explode(found("t")).alias("s")).distinct().orderBy(F.xxhash64("s")).limit(most).collect()
     return sorted(r["s"] for r in rows)
 
