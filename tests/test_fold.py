@@ -70,3 +70,9 @@ def test_last_listed_value_is_the_last_in_the_list(spark):
     folded = fold.fold_observations(_obs(spark), tm.select("trial", "metric").distinct())
     got = fold.last_listed_value(fold.picked_values(folded, tm, listed=True), trials, exps).collect()
     assert [(r.value, r.parse_error) for r in got] == [(3.25, False)]
+
+
+def test_bad_times(spark):
+    times = ["2023-06-01T10:00:05Z", "2023-06-01 10:00:05", "2023-13-01T10:00:05Z", "", None, "0001-01-01T00:00:00Z", "2023-06-01T10:00:05"]
+    df = spark.createDataFrame([("t", i, "loss", t) for i, t in enumerate(times)], "trial string, seq long, metric string, ts_raw string")
+    assert sorted(r.seq for r in fold.bad_times(df).collect()) == [1, 2, 6]

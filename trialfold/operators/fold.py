@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialfold.functions.exprs import UNAVAILABLE, num, small, time_key
+from trialfold.functions.exprs import UNAVAILABLE, num, rfc3339_parts, small, time_key
 
 
 def default_strategies(experiments: DataFrame) -> DataFrame:
@@ -64,6 +64,14 @@ def fold_observations(obs: DataFrame, trial_metrics: DataFrame) -> DataFrame:
                     F.coalesce("latest", F.lit(UNAVAILABLE)).alias("latest")))
 
 
+def bad_times(rows: DataFrame) -> DataFrame:
+    """O21's error side: log rows with a time that is no RFC3339 time.  The
+    fold ranks them as untimed; this names them.  Rows without a time aren't
+    at fault.  Output (trial, seq, metric, ts_raw)."""
+    ts, _ = rfc3339_parts(F.col("ts_raw"))
+    return rows.filter((F.col("ts_raw") != "") & ts.isNull()).select("trial", "seq", "metric", "ts_raw")
+
+
 def _aggregate(o: DataFrame) -> DataFrame:
     isnum = F.col("num").isNotNull()
     return o.groupBy("trial", "metric").agg(

@@ -134,6 +134,18 @@ def q_number_texts(spark, d):
     return fold.fold_observations(c.obs.withColumn("value", text), c.trial_metrics)
 
 
+@register("o21d_bad_times", """
+SELECT 'trial-' || user_id AS trial, event_id AS seq, event_type AS metric,
+  CASE WHEN event_id % 50 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE '2024-02-30T00:00:00Z' END AS ts_raw
+FROM events WHERE event_id % 50 = 0 OR event_id % 50 = 7""")
+def q_bad_times(spark, d):
+    kind = F.col("seq") % 50
+    raw = (F.when(kind == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).when(kind == 7, F.lit("2024-02-30T00:00:00Z"))
+           .when(kind == 9, F.lit("")).when(kind == 11, F.lit(None).cast("string"))
+           .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")))
+    return fold.bad_times(Ctx(spark, d).obs.withColumn("ts_raw", raw))
+
+
 @register("o22_strategy_pick", with_views("SELECT * FROM picked", "picked"))
 def q_pick(spark, d):
     return Ctx(spark, d).picked
