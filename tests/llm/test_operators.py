@@ -376,6 +376,19 @@ def test_warc_magic_in_payloads(spark, tmp_path):
     assert got == plain.warc_rows([(r[0], r[2]) for r in rows])
 
 
+def test_warc_records_that_end_with_the_record_around_them(spark, tmp_path):
+    def inner(page, block):
+        return f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{page}>\r\nContent-Length: {len(block)}\r\n\r\n{block}"
+
+    last = [(1, "u", "a"), (2, "u", "b" + inner(98, "abc"))]  # the closing blank lines are those of the record around it
+    deep = [(1, "u", "a"), (2, "u", "b" + inner(97, "c" + inner(98, "de"))), (3, "u", "f"), (4, "u", inner(96, inner(95, "")))]
+    for name, rows in (("last", last), ("deep", deep)):
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+        warc.write(df, str(tmp_path / name))
+        got = sorted(tuple(r) for r in warc.records(spark, str(tmp_path / name)).collect())
+        assert got == sorted(plain.warc_rows([(r[0], r[2]) for r in rows])), name
+
+
 def test_warc_odd_rows(spark, tmp_path):
     _, got = warc_of(spark, [(None, "u", "x"), (3, "u", "x"), (3, "u", "x"), (4, "u", "x")], tmp_path)
     assert {(p, k, t) for p, _, _, k, t in got} == {(3, "response", None), (None, "revisit", 3), (4, "revisit", 3)}

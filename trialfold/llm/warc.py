@@ -122,15 +122,17 @@ def chained(candidates: DataFrame) -> DataFrame:
     """The (file, start) that the chains of (file, _split, start, next) reach from 0.
 
     Inside a split, candidates whose successor is the next candidate form a
-    run; the first jump of each goes to the end of its run at once, so that
-    the chain is as long as a file has splits and strays.  Jumps from the file
-    start find the places where the chain enters runs, and a run is reached
-    from its first entry on."""
+    run, named by its last member (runs of equal targets are not one: a stray
+    may end where the record around it ends); the first jump of each goes to
+    the end of its run at once, so that the chain is as long as a file has
+    splits and strays.  Jumps from the file start find the places where the
+    chain enters runs, and a run is reached from its first entry on."""
     inside = Window.partitionBy("file", "_split").orderBy("start")
-    ends = F.when(~F.lead("start").over(inside).eqNullSafe(F.col("next")), F.col("next"))
+    ends = F.when(~F.lead("start").over(inside).eqNullSafe(F.col("next")), F.struct("start", "next"))
     runs = cut(candidates.select("file", "_split", "start", ends.alias("_end"))
                .select("file", "_split", "start", F.first("_end", ignorenulls=True).over(
-                   inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("next")))
+                   inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("_end"))
+               .select("file", "_split", "start", F.col("_end.start").alias("_last"), F.col("_end.next").alias("next")))
     found, jump = cut(runs.where("start = 0").select("file", "start")), runs.select("file", "start", "next")
     n = found.count()
     while n:
@@ -143,8 +145,8 @@ def chained(candidates: DataFrame) -> DataFrame:
         n = now
         far = jump.select("file", F.col("start").alias("next"), F.col("next").alias("_far"))
         jump = cut(jump.join(far, ["file", "next"]).select("file", "start", F.col("_far").alias("next")))
-    entries = (runs.join(found, ["file", "start"]).groupBy("file", "_split", "next").agg(F.min("start").alias("_entry")))
-    return runs.join(entries, ["file", "_split", "next"]).where("start >= _entry").select("file", "start")
+    entries = (runs.join(found, ["file", "start"]).groupBy("file", "_split", "_last").agg(F.min("start").alias("_entry")))
+    return runs.join(entries, ["file", "_split", "_last"]).where("start >= _entry").select("file", "start")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
