@@ -204,6 +204,20 @@ def test_one_of_each(spark):
     assert sorted(ids) == sorted(set(plain.near_components([(d, plain.simhash(t)) for d, t in texts(odd(spark))])))
 
 
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    rng = random.Random(8)
+    a, b, c, d, e, f, g = (" ".join(str(rng.getrandbits(30)) for _ in range(400)) for _ in range(7))
+    near = [a + " end", b + " end", e + " end", f + " end"]
+    assert all((plain.simhash(x) ^ plain.simhash(y)).bit_count() in (1, 2, 3) for x, y in zip((a, b, e, f), near, strict=True))
+    rows = [(None, a), (None, near[0]), (None, b), (None, c), (None, c), (2, near[1]),  # of b's group the row with an id stays
+            (5, d), (5, e), (5, near[2]), (5, d), (7, f), (7, near[3]), (8, f), (None, None), (None, "")]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+    out = texts(simhash.one_of_each(df.repartition(5)))
+    comps = [{a, near[0]}, {c}, {near[1]}, {d}, {e, near[2]}, {f, near[3]}, {None, ""}]
+    assert len(out) == len(comps) and all(sum(t in x for _, t in out) == 1 for x in comps)
+    assert {i for i, t in out if t in comps[2]} == {2} and {i for i, t in out if t in comps[5]} == {7}
+
+
 def test_components_of_a_chain(spark):
     rows = graph.components(spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))).collect()
     assert sorted((r["node"], r["root"]) for r in rows) == [(i, 0) for i in range(1, 201)]

@@ -78,18 +78,17 @@ def literal_table(spark: SparkSession, names: str, rows: list[tuple]) -> DataFra
 def keep_one(docs: DataFrame, key: Column, decided: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, in all their columns.
 
-    ``decided`` has a row (doc_id, _key, _group) for each document: the one
-    whose id is ``_group`` stays, the others go.  Rows that repeat the id and
-    the key of the one that stays are one document; one of them stays."""
+    ``decided`` has a row (doc_id, _key, _stays) for each document.  Rows that
+    repeat the id and the key of one that stays are one document; one of them
+    stays."""
     own_key, = unused(docs, "_key")
     own = docs.withColumn(own_key, key)
 
     def same(side: DataFrame) -> Column:
         return own["doc_id"].eqNullSafe(side["_id"]) & own[own_key].eqNullSafe(side["_k"])
 
-    stays = F.col("doc_id").eqNullSafe(F.col("_group"))
     fate = cut(decided.groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"))
-               .agg(F.bool_or(stays).alias("stays"), F.count("*").alias("n")).where("not stays or n > 1"))
+               .agg(F.bool_or("_stays").alias("stays"), F.count("*").alias("n")).where("not stays or n > 1"))
     gone = cut(fate.where("not stays").select("_id", "_k"))
     again = cut(fate.where("stays").select("_id", "_k"))
     out = own.join(bounded(gone), same(gone), "left_anti")

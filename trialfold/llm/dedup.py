@@ -107,5 +107,6 @@ def dedup(docs: DataFrame, snapshots: int = SNAPSHOTS) -> DataFrame:
 
 def deduplicated(docs: DataFrame, snapshots: int = SNAPSHOTS) -> DataFrame:
     """The documents that stay, in all their columns."""
-    decided = cut(grouped(docs, snapshots).select("doc_id", F.col("digest").alias("_key"), F.col("keep_id").alias("_group")))
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    decided = cut(grouped(docs, snapshots).select("doc_id", F.col("digest").alias("_key"), stays.alias("_stays")))
     return keep_one(docs, digest(F.col("text")), decided)

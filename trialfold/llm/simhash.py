@@ -17,8 +17,10 @@ large group of near copies makes no quadratic output.
 
 Defined results: a text without words (null, empty, white space) has the
 fingerprint zero, linked like any other; fewer words than a shingle are one
-shingle; null ids never name a component unless all its ids are null; rows
-that repeat an id are one document; an empty table gives an empty result.
+shingle; null ids never name a component unless all its ids are null; an empty
+table gives an empty result.  Of a component one row stays: that with its
+smallest id, among rows that repeat that id (or have none) the one with the
+smallest text digest.
 """
 
 from __future__ import annotations
@@ -156,14 +158,16 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
             .mapInPandas(lambda frames: _links(distance, frames), "a long, b long"))
 
 
-def near_groups(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """doc_id, fp (signed) and component_id (smallest id linked) of each row."""
-    slim = cut(docs.select("doc_id", fingerprints(F.col("text"), words).alias("fp")))
+def near_groups(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, *more: Column) -> DataFrame:
+    """doc_id, fp (signed), component_id (smallest id linked) and root (the
+    component's fingerprint) of each row, and ``more`` columns of it."""
+    slim = cut(docs.select("doc_id", fingerprints(F.col("text"), words).alias("fp"), *more))
     prints = cut(slim.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(prints.select("fp"), distance)).withColumnRenamed("node", "fp")
     placed = cut(prints.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    return slim.join(placed.join(names, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    own = [c for c in slim.columns if c not in ("doc_id", "fp")]
+    return slim.join(placed.join(names, "root").select("fp", "component_id", "root"), "fp").select("doc_id", "fp", "component_id", "root", *own)
 
 
 def near_dedup(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
@@ -173,6 +177,9 @@ def near_dedup(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) ->
 
 def one_of_each(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """One document of each group (the smallest id), in all its columns."""
-    decided = cut(near_groups(docs, words, distance)
-                  .select("doc_id", F.lit(0).alias("_key"), F.col("component_id").alias("_group")))
-    return keep_one(docs, F.lit(0), decided)
+    key = F.unhex(F.sha2("text", 256))  # cheaper to have again than the fingerprint
+    rows = cut(near_groups(docs, words, distance, key.alias("_key")))
+    named = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = rows.where(named).groupBy("root").agg(F.min("_key").alias("_first"))
+    stays = named & F.col("_key").eqNullSafe(F.col("_first"))
+    return keep_one(docs, key, cut(rows.join(first, "root").select("doc_id", "_key", stays.alias("_stays"))))
