@@ -286,6 +286,26 @@ def test_entropy_adds_and_allows():
         assert len(secret_scan.added_spans(text, secret_scan.base_spans(text))) == n, text
 
 
+def test_entropy_finds_keys_without_digits():
+    rng = random.Random(6)
+    for letters, least in (("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 0.95), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.97)):
+        keys = ["".join(rng.choice(letters) for _ in range(36)) for _ in range(300)]
+        assert sum(bool(secret_scan.added_spans(f"use {k} here", [])) for k in keys) >= least * len(keys)
+    for text in ("getElementsByTagNameAndClass", "thequickbrownfoxjumpsoverthelazydog", "Donaudampfschifffahrtsgesellschaftskapitaen", "CONGRATULATIONSANDWELCOMEHOME", "usr/local/share/documentation"):
+        assert secret_scan.added_spans(text, []) == [], text
+
+
+def test_allow_list_reaches_no_further_than_what_is_harmless():
+    key = "Zk3vQ9xT7bLm2Rw8Yc5Nf1Hd"
+    filler = "an/ordinary/path/of/words/that/goes/on/"
+    for text in (f"example/{filler}{key}", f"{key}/{filler}00000000", f"------{key}------", f"commit: {'a' * 130}/{key}", f"https://x.org/a?sig={key}",
+                 f"https://hooks.chat.org/services/{key}", f"https://{key}@x.org/a", f"https://me:{key}@x.org/a", f'{{"at":"https://x.org/a","k":"{key}"}}'):
+        found = secret_scan.added_spans(text, [])
+        assert any(a <= text.index(key) + 4 and b >= text.index(key) + len(key) - 4 for a, _, b in found), text
+    for text in (f"example-{key}", f"{key}xxxxxx", f"commit: {key}", f"https://x.org/a/{key}.html"):
+        assert secret_scan.added_spans(text, []) == [], text
+
+
 # ---------------------------------------------------------------- 7 exact dedup
 
 def test_exact_groups(spark, sf_dir):

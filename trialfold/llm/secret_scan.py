@@ -5,8 +5,17 @@ run of token characters of ``WINDOW`` or more; its character class (hex, upper
 case with digits, mixed) sets the entropy that a window must reach, and the
 windows' Shannon entropies come from counts that each step changes by the
 character that enters and the one that leaves.  Neighbouring windows above the
-bar are one span.  The allow list suppresses what is random by design but no
-secret (UUIDs, named digests, versions in addresses, placeholders, alphabets).
+bar are one span.  A span of fewer than three digits counts where its windows don't
+read like words (by the share of common letter pairs).
+
+The allow list suppresses what is random by design but no secret, in the run
+itself and no further: runs that are a UUID; of a run that a digest's name
+stands before, the first ``DIGEST`` characters; placeholders and alphabets with
+``WINDOW`` characters on both sides; rules of four or more equal signs, which
+part a run; host and path of a web address, unless a word in it names a hook or
+a credential (queries, fragments and what stands before an ``@`` are searched).
+Also not found: windows below their class's entropy, runs without a letter, and
+keys of fewer than three digits whose letters happen to pair like words.
 
 Defined results: a null text is empty; spans count code points, ends are
 exclusive; an added span that overlaps a base span is left out; an empty table
@@ -34,10 +43,24 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}")
-#: Harmless: whole candidates, and what may stand before one.
-_ALLOWED = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|.*example.*|.*(x{6}|0{8}|-{4}|_{4}|={4}).*|.*(abcdefgh|12345678|qwertyui).*")
-_NAMED = re.compile(r"(?i)(sha-?[0-9]+|md5|etag|digest|checksum|commit|integrity)[\"']?\s*[:=/-]\s*[\"']?$|https?://\S*$")
-
+#: Harmless: whole candidates, places in one (with a margin, without), and what may stand before one.
+_UUID = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+_PLACEHOLDER = re.compile(r"(?i)example|x{6,}|0{8,}|abcdefgh|12345678|qwertyui")
+_RULE = re.compile(r"-{4,}|_{4,}|={4,}")
+_NAMED = re.compile(r"(?i)(sha-?[0-9]+|md5|etag|digest|checksum|commit|integrity)[\"']?\s*[:=/-]\s*[\"']?$")
+_ADDRESS = re.compile(r"(?i)https?://([^\s\"'<>`{}|\\^]*)$")
+_USER = re.compile(r"[^\s/@]*@")
+#: What makes the path of an address worth a search.
+_HOOK = re.compile(r"(?i)hook|token|secret|api_?key|signature|/services/|/bot[0-9]")
+#: Characters of the longest digest (SHA-512 in hex).
+DIGEST = 128
+#: Letter pairs that are frequent in words of European languages, and their least share in a window that reads like words.
+_PAIRS = frozenset(
+    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be "
+    "ma si om ur ei ie ge un sc au ss ht da di eb ab el em us ai qu ui ue eu la ns os do ad ia ca ta pa po so ci na no ac ec mo lo pe pr tr pl "
+    "am ol ut ul et il ot tu su ct im mi ni ag ig id iv ke ly ow wh wa ho fo fi ex ap op up ir um ep br cr gr bl cl fr sp sh ck ee oo ay ry my "
+    "ty by ga go gi pi sa ru lu vi va bo bi ba du mp nc rt rs rd rm ld ts if ev av ov we wo ey ys fe fa ig ef im ob od ok og".split())
+LIKE_WORDS = 0.45
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) by start, then kind."""
@@ -76,24 +99,60 @@ def windows(s: str, bar: float, size: int = WINDOW) -> list[tuple[int, int]]:
     return out
 
 
+def unlike_words(s: str, a: int, b: int) -> list[tuple[int, int]]:
+    """The parts of ``s[a:b]`` that are covered by windows whose letter pairs aren't those of words."""
+    pairs, hits, out = [0], [0], []
+    for x, y in zip(s[a:b], s[a + 1:b], strict=False):
+        letters = x.isalpha() and y.isalpha()
+        pairs.append(pairs[-1] + letters)
+        hits.append(hits[-1] + (letters and (x + y).lower() in _PAIRS))
+    for i in range(b - a - WINDOW + 1):
+        j = i + WINDOW - 1
+        if hits[j] - hits[i] < LIKE_WORDS * (pairs[j] - pairs[i]):
+            if out and a + i <= out[-1][1]:
+                out[-1] = (out[-1][0], a + j + 1)
+            else:
+                out.append((a + i, a + j + 1))
+    return out
+
+
+def searched(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
+    """The parts of the run ``text[lo:hi]`` that the allow list leaves."""
+    s, before = text[lo:hi], text[max(0, lo - 200):lo]
+    if _UUID.fullmatch(s):
+        return []
+    address = _ADDRESS.search(before)
+    if address and not re.search("[?#@]", address[1]) and not _HOOK.search(address[1] + s):
+        if "/" in address[1] + s or not _USER.match(text, hi, hi + 200):
+            return []
+    gaps = [(lo, lo + DIGEST)] if _NAMED.search(before) else []
+    gaps += [(lo + m.start() - WINDOW, lo + m.end() + WINDOW) for m in _PLACEHOLDER.finditer(s)]
+    gaps += [(lo + m.start(), lo + m.end()) for m in _RULE.finditer(s)]
+    out = []
+    for a, b in sorted(gaps):
+        if a - lo >= WINDOW:
+            out.append((lo, a))
+        lo = max(lo, b)
+    return [*out, (lo, hi)] if hi - lo >= WINDOW else out
+
+
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     out, ends, top = [], [], -1
     for _, _, y in base:
         top = max(top, y)
         ends.append(top)
     starts = [x for x, _, _ in base]
-    for m in _CANDIDATE.finditer(text):
-        s = m[0]
-        if sum(map(str.isdigit, s)) < 3 or s.isdigit() or not re.search("[A-Za-z]", s):
-            continue
-        if _ALLOWED.fullmatch(s) or _NAMED.search(text[max(0, m.start() - 200):m.start()]):
+    for lo, hi in (part for m in _CANDIDATE.finditer(text) for part in searched(text, *m.span())):
+        s = text[lo:hi]
+        if not re.search("[A-Za-z]", s):
             continue
         bar = next(bits for _, chars, bits in CLASSES if chars.fullmatch(s))
-        for a, b in windows(s, bar):
-            a, b = a + m.start(), b + m.start()
-            before = bisect.bisect_left(starts, b)  # base spans that start before the window's end
-            if (not before or ends[before - 1] <= a) and sum(map(str.isdigit, text[a:b])) >= 3:
-                out.append((a, 3, b))
+        for x, y in windows(s, bar):
+            for a, b in [(x, y)] if sum(map(str.isdigit, s[x:y])) >= 3 else unlike_words(s, x, y):
+                a, b = a + lo, b + lo
+                before = bisect.bisect_left(starts, b)  # base spans that start before the window's end
+                if not before or ends[before - 1] <= a:
+                    out.append((a, 3, b))
     return out
 
 
