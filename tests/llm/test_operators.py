@@ -357,6 +357,22 @@ def test_language_odd_rows(spark):
     assert {r["lang_pred"] for r in untaught.collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, f"common words number {i}", "en") for i in range(3000)] + [(-i, f"seltene wörter {i}", "de") for i in range(1, 6)]
+    rows += [(None, "même texte", "fr")] * 400 + [(9000, " \n", "it"), (9001, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert lang.fit(df, sample_docs=30, sample_words=30, steps=1).langs == ["de", "en", "fr"]
+
+
+def test_all_windows_of_a_run_are_learned(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lang, "train", lambda words, labels, weights, langs, steps: seen.extend(zip(words, (langs[i] for i in labels), weights, strict=True)))
+    text = "日本語の文" * 40 + " ab " + "x" * 70
+    lang.fit(spark.createDataFrame([(None, text, "ja"), (None, "ab ab", "en")], "doc_id long, text string, lang string"))
+    want = Counter((w, k) for k, t in (("ja", text), ("en", "ab ab")) for w in lang.sequences(t.encode()))
+    assert {(w, k): n for w, k, n in seen} == want
+
+
 def test_gradients_by_differences():
     rng = np.random.default_rng(0)
     p = lang.train([b"ab", b"cd"], np.array([0, 1]), np.array([1, 1]), ["x", "y"], steps=1)

@@ -8,9 +8,12 @@ labels wherever it stands: a task reads each distinct one once, within a memory
 of bounded size.  Every byte of every text that isn't white space is labelled.
 
 The network is trained here, in numpy, by backpropagation through time on a
-bounded sample: about ``SAMPLE_DOCS`` labelled documents (drawn by a hash of
-the id), and of their sequences at most ``SAMPLE_WORDS`` distinct ones with
-their counts.  Language and id are used for that alone.
+bounded sample, drawn language by language, so that each one with a text is
+learned however rare it is: about ``SAMPLE_DOCS`` labelled documents in equal
+parts, those of the lowest hashes of id and text, and of their sequences (all
+windows of a run) about ``SAMPLE_WORDS`` distinct ones with their counts; of a
+language ``LEAST_DOCS`` and ``LEAST_WORDS`` at least, if there are many.
+Language and id are used for that alone.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
 so is every text if there is nothing to learn from; ties go to the first
@@ -28,12 +31,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialfold.llm.common import SPACE, unused
+from trialfold.llm.common import SPACE, WORD, bounded, cut, unused
 
 HIDDEN = 16
 WINDOW = 32
 SAMPLE_DOCS = 3000
 SAMPLE_WORDS = 40_000
+#: What a language is given at least, however many there are.
+LEAST_DOCS = 100
+LEAST_WORDS = 500
 STEPS = 700
 BATCH = 256
 #: Distinct sequences a worker remembers.
@@ -229,24 +235,33 @@ class Model:
         return self.langs[best], float(min(1.0, row[best] / n)), int(n), float(row[k + best] / n)
 
 
+def _drawn(rows: DataFrame, total: int, least: int, *by: str) -> DataFrame:
+    """About ``total`` of ``rows`` in equal parts for each lang (``least`` at
+    least), by a bar on the hashes of ``by``; the lowest hash of a lang is
+    always drawn.  Only counts are shuffled."""
+    key = F.shiftrightunsigned(F.xxhash64(F.lit(1), *by), 32)
+    langs = cut(rows.groupBy(F.col("lang").alias("_l")).agg(F.count("*").alias("_n"), F.min(key).alias("_low")))
+    each = max(least, total // max(langs.count(), 1))
+    bars = langs.select("_l", F.greatest("_low", (F.least(F.lit(1.0), each / F.col("_n")) * 2**32).cast("long")).alias("_bar"))
+    return rows.join(bounded(bars), F.col("lang") == F.col("_l")).where(key <= F.col("_bar")).drop("_l", "_bar")
+
+
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS, steps: int = STEPS) -> Model:
     """The model of a bounded sample of the documents that aren't held out."""
-    known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = known.count()
-    bar = int(2**32 * min(1.0, sample_docs / max(n, 1)))
-    rows = (known.where(F.shiftrightunsigned(F.xxhash64(F.lit(1), "doc_id"), 32) < bar)
-            .select("lang", F.explode(F.split("text", SPACE)).alias("word")).where("word != ''")
-            .groupBy("lang", F.substring("word", 1, WINDOW).alias("word")).count()
-            .orderBy(F.xxhash64("word", "lang"), "word", "lang").limit(sample_words).collect())
+    known = (docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(WORD))
+             .select("doc_id", "lang", "text"))
+    run = F.col("run")
+    window = F.explode(F.sequence(F.lit(1), F.octet_length(run), F.lit(WINDOW)))
+    words = cut(_drawn(known, sample_docs, LEAST_DOCS, "doc_id", "text")
+                .select("lang", F.explode(F.split("text", SPACE).cast("array<binary>")).alias("run")).where(F.octet_length(run) > 0)
+                .select("lang", "run", window.alias("at")).groupBy("lang", F.expr(f"substring(run, at, {WINDOW})").alias("word"))
+                .agg(F.count("*").alias("count")))
+    rows = _drawn(words, sample_words, LEAST_WORDS, "word", "lang").orderBy(F.xxhash64("word", "lang"), "word", "lang").collect()
     if not rows:
         return Model({}, [])
     langs = sorted({r["lang"] for r in rows})
-    words, labels, weights = [], [], []
-    for r in rows:
-        for w in sequences(r["word"].encode()):
-            words.append(w)
-            labels.append(langs.index(r["lang"]))
-            weights.append(r["count"])
+    at = {lang: i for i, lang in enumerate(langs)}
+    words, labels, weights = [bytes(r["word"]) for r in rows], [at[r["lang"]] for r in rows], [r["count"] for r in rows]
     return Model(train(words, np.array(labels), np.array(weights), langs, steps), langs)
 
 
