@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import trialfold
-from trialfold.llm import dedup, lang, mix, pack, pii, ring, secret_scan, simhash, warc, winnow
+from trialfold.llm import dedup, lang, mix, pack, pii, prefix_trie, ring, secret_scan, simhash, toxicity, variants, warc, winnow
 from trialfold.llm.common import table
 from trialfold.session import checkpoint_dir
 
@@ -73,8 +73,20 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compared(table(spark, sf_dir, "documents"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mix, op2_pii, op3_shards, op4_simhash, op5_packing, op6_secrets, op7_exact_dedup,
-                                   op8_language, op9_warc, op10_fingerprints)}
+                                   op8_language, op9_warc, op10_fingerprints, op11_variants, op12_prefix_trie, op13_toxicity)}
 
 #: DuckDB forms over the same tables.  The others have none: they rest on
 #: XXH64, models, tokenizers or archives, and are tested against plain Python.
