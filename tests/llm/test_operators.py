@@ -515,4 +515,4 @@ def test_pipeline_stages_keep_columns_of_any_name(spark, sf_dir):
 
 
 def test_queries_have_the_contract_columns(spark, sf_dir):
-    assert set(queries.ORACLE) <= set(queries.QUERIES) and len(queries.QUERIES) == 10
+    assert set(queries.ORACLE) <= set(queries.QUERIES) and len(queries.QUERIES) == 13

@@ -52,12 +52,16 @@ def bases(seed: int) -> tuple[int, ...]:
     return tuple(int.from_bytes(hashlib.sha256(f"{seed}:{p}".encode()).digest()[:8], "big") % (p - 2) + 2 for p in PRIMES)
 
 
-def power(x: int, exponent: Column, p: int, bits: int = LENGTH_BITS) -> Column:
-    """x^exponent mod p by the exponent's bits."""
-    out = F.lit(1).cast("long")
-    for b in range(bits):
-        out = out * F.when(F.shiftright(exponent, b) % 2 == 1, F.lit(pow(x, 1 << b, p)).cast("long")).otherwise(F.lit(1).cast("long")) % p
-    return out
+def power(x: int, exponent: str, p: int, bits: int = LENGTH_BITS) -> Column:
+    """x^exponent mod p for a column, by the exponent's bits."""
+    squares = ", ".join(f"{pow(x, 1 << b, p)}L" for b in range(bits))
+    return F.expr(f"aggregate(zip_with(array({squares}), sequence(0, {bits - 1}), (s, b) -> if(shiftright({exponent}, b) % 2 = 1, s, 1L)),"
+                  f" 1L, (a, s) -> a * s % {p})")
+
+
+def head_power(x: int, exponent: Column, p: int) -> Column:
+    """x^exponent mod p for exponents below HEADS."""
+    return F.get(F.expr(f"array({', '.join(f'{pow(x, e, p)}L' for e in range(HEADS))})"), exponent.cast("int"))
 
 
 def head_length(conv_id: Column) -> Column:
@@ -112,7 +116,7 @@ def members(turns: DataFrame, seed: int) -> DataFrame:
     def product(k: Column, which: int) -> Column:
         p, ref = PRIMES[which], f"r{which + 1}"
         return F.aggregate(F.slice("turns", F.lit(1), k), F.lit(0).cast("long"),
-                           lambda a, t: (a + t[ref] % p * power(x[which], t["i"], p, 3)) % p)
+                           lambda a, t: (a + t[ref] % p * head_power(x[which], t["i"], p)) % p)
 
     info = convs.join(heads, "base", "left").withColumn("turns", F.coalesce("turns", F.array().cast("array<struct<i:bigint,r1:bigint,r2:bigint,chars:bigint>>")))
     info = info.withColumn("k", F.least(F.col("h"), F.size("turns")).cast("int")).withColumn("size", F.col("k") + F.greatest(F.col("n") - F.col("h"), F.lit(0)))
@@ -120,7 +124,7 @@ def members(turns: DataFrame, seed: int) -> DataFrame:
 
     # tails: running products over a conversation's own turns after its head
     own = rows.where("i > h").withColumn("m", F.col("i") - F.col("h"))
-    own = own.withColumns({f"a{w + 1}": F.col(f"r{w + 1}") % p * power(x[w], F.col("m"), p) % p for w, p in enumerate(PRIMES)})
+    own = own.withColumns({f"a{w + 1}": F.col(f"r{w + 1}") % p * power(x[w], "m", p) % p for w, p in enumerate(PRIMES)})
     sums = cut(running(own, ["a1", "a2"], "position", total))
     starts = sums.where("m = 1").select("conv_id", *[((F.col(f"a{w}_sum") - F.col(f"a{w}") + PRIMES[w - 1]) % PRIMES[w - 1]).alias(f"s{w}") for w in (1, 2)])
     tails = sums.join(info.drop("turns").join(starts, "conv_id"), "conv_id")
@@ -128,7 +132,7 @@ def members(turns: DataFrame, seed: int) -> DataFrame:
     def joined(w: int, without_last: bool) -> Column:
         p = PRIMES[w - 1]
         tail = F.col(f"a{w}_sum") - F.col(f"s{w}") + p - (F.col(f"a{w}") if without_last else 0) + p
-        return (F.col(f"b{w}") + power(x[w - 1], F.col("k"), p, 3) * (tail % p)) % p
+        return (F.col(f"b{w}") + head_power(x[w - 1], F.col("k"), p) * (tail % p)) % p
 
     depth = F.col("k") + F.col("m")
     tails = tails.select("conv_id", depth.cast("long").alias("depth"), joined(1, False).alias("f1"), joined(2, False).alias("f2"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import trialfold
 from trialfold.llm import dedup, lang, mix, pack, pii, prefix_trie, ring, secret_scan, simhash, toxicity, variants, warc, winnow
 from trialfold.llm.common import table
+from trialfold.llm.oracle import ORACLE  # noqa: F401
 from trialfold.session import checkpoint_dir
 
 SHARDS = 24
@@ -87,13 +88,3 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mix, op2_pii, op3_shards, op4_simhash, op5_packing, op6_secrets, op7_exact_dedup,
                                    op8_language, op9_warc, op10_fingerprints, op11_variants, op12_prefix_trie, op13_toxicity)}
-
-#: DuckDB forms over the same tables.  The others have none: they rest on
-#: XXH64, models, tokenizers or archives, and are tested against plain Python.
-ORACLE = {
-    "op7_exact_dedup": r"""
-        WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
-             g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
-        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
-        FROM t JOIN g USING (body)""",
-}

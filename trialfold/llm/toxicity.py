@@ -100,14 +100,15 @@ def reported(state: int, symbol: str) -> tuple[int, str]:
 
 
 def target(state: int, symbol: str) -> tuple[int, str]:
-    """States 1 to SPAN: words that a target still reaches; beyond: words in
-    which a target would still belong to the insult before."""
+    """State: words that a target still reaches, and words in which a target
+    would still belong to the insult before."""
+    ahead, back = divmod(state, SPAN + 1)
     if symbol == "target":
-        return SPAN, "aimed before" if state > SPAN else "target"
+        return SPAN * (SPAN + 1), "aimed before" if back else "target"
+    left = max(ahead - 1, 0) * (SPAN + 1)
     if symbol == "insult":
-        return 2 * SPAN, "aimed insult" if 0 < state <= SPAN else "insult"
-    left = state - 1 if state not in (0, SPAN + 1) else 0
-    return left, symbol
+        return left + SPAN, "aimed insult" if ahead else "insult"
+    return left + max(back - 1, 0), symbol
 
 
 def threat(state: int, symbol: str) -> tuple[int, str]:
