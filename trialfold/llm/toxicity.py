@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialfold.llm.common import cut, unused
+from trialfold.llm.common import bounded, cut, unused
 
 #: Every 4th row by this remainder is held out.
 FOLDS, HELD_OUT = 4, 2
@@ -209,8 +209,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS)
     bar = F.lit(1.0)
     for label, count in n.items():
         bar = F.when(F.col("toxic") == label, min(1.0, sample / count)).otherwise(bar)
-    drawn = known.where(F.shiftrightunsigned("h", 11) < bar * float(1 << 53)).select(F.col("doc_id").alias("_id"), "toxic")
-    return docs.join(drawn, docs["doc_id"] == F.col("_id")).select(F.coalesce(docs["text"], F.lit("")).alias("text"), "toxic").distinct()
+    drawn = cut(known.where(F.shiftrightunsigned("h", 11) < bar * float(1 << 53)).select(F.col("doc_id").alias("_id"), "toxic"))
+    return docs.join(bounded(drawn), docs["doc_id"] == F.col("_id")).select(F.coalesce(docs["text"], F.lit("")).alias("text"), "toxic").distinct()
 
 
 #: A learned insult: so many surroundings in toxic documents, and so sure (standard errors) that it is so many times as frequent there.
