@@ -64,6 +64,28 @@ def ranked(df: DataFrame, order: list[Column], name: str = "position") -> DataFr
             .withColumn(name, F.col("_before") + F.col("_inside")).drop("_part", "_before", "_inside"))
 
 
+#: Copies of a row that one task makes at once.
+COPIES = 65_536
+
+
+def spread(df: DataFrame, times: str, index: str) -> DataFrame:
+    """Each row of ``df`` (already cut) ``times`` times, numbered from 0.  Rows
+    of more than COPIES copies are dealt out in portions, so that no task makes
+    more of one row."""
+    last = F.col(times).cast("long") - 1
+
+    def numbered(part: DataFrame) -> DataFrame:
+        upto = F.least(F.col("_from") + COPIES - 1, last)
+        return part.withColumn(index, F.explode(F.sequence("_from", upto))).drop("_from")
+
+    many = df.where(F.col(times) > COPIES)
+    first = F.lit(0).cast("long")
+    if many.isEmpty():
+        return numbered(df.where(F.col(times) > 0).withColumn("_from", first))
+    portions = many.withColumn("_from", F.explode(F.sequence(first, last, F.lit(COPIES).cast("long")))).repartition("_from")
+    return numbered(df.where(F.col(times).between(1, COPIES)).withColumn("_from", first).unionByName(portions))
+
+
 def literal_table(spark: SparkSession, names: str, rows: list[tuple]) -> DataFrame:
     """A small driver-side table (all longs) as a plan literal."""
     cols = [c.strip() for c in names.split(",")]

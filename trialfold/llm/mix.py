@@ -8,8 +8,10 @@ The budget of a source is a number of whole passes over it plus a remainder;
 the remainder cuts the sorted source exactly, inside a document if need be.
 
 Defined results: a null text has no words; a null source is a source of its
-own, last in order; rows that agree in id and text share what the cut leaves
-them evenly (rounded down); a source without words has the target 0; an empty
+own, last in order; rows that agree in source, id and text are one group that
+is counted before it is ordered, and what the cut leaves the group goes to its
+rows one after the other, so that a source of equal rows meets its target like
+any other; a source without words has the target 0; an empty
 table gives an empty result.  Names of other columns don't matter, as the
 operator works on its own projection.
 """
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialfold.llm.common import bounded, cut, hash_parts, ranked, unused, word_count
+from trialfold.llm.common import bounded, cut, hash_parts, ranked, spread, unused, word_count
 
 WEIGHTS = (1, 2, 3)
 MAX_PASSES = 3
@@ -55,14 +57,16 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, max_passes: int = MAX_
 
 
 def positions(docs: DataFrame, weights: tuple = WEIGHTS, max_passes: int = MAX_PASSES, seed: int = 0) -> DataFrame:
-    """One row for each document: its size, its source's size and target, the
-    words that stand ``before`` it in its source's random order, the whole
-    ``passes`` over the source, the ``rest`` that the last pass takes, and
-    ``taken``, the words that the mix takes of it."""
+    """One row for each group of equal documents (``n_rows`` of them): the size
+    of one, its source's size and target, the words that stand ``before`` the
+    group in its source's random order, the whole ``passes`` over the source,
+    the ``rest`` that the last pass takes, and ``here``, what it takes of the group."""
     hi, lo = hash_parts(F.col("_key"))
-    slim = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _key(seed).alias("_key"))
-               .select("doc_id", "source", "size", hi.alias("_hi"), lo.alias("_lo")))
-    stats = cut(targets(slim.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")),
+    slim = (docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _key(seed).alias("_key"))
+            .select("doc_id", "source", "size", hi.alias("_hi"), lo.alias("_lo")))
+    groups = cut(slim.groupBy("source", "doc_id", "size", "_hi", "_lo").agg(F.count("*").alias("n_rows"))
+                 .withColumn("_words", F.col("size") * F.col("n_rows")))
+    stats = cut(targets(groups.groupBy("source").agg(F.sum("n_rows").alias("n"), F.sum("_words").alias("source_size")),
                         weights, max_passes))
     budget = F.round("target").cast("long")
     side = stats.select(
@@ -70,25 +74,32 @@ def positions(docs: DataFrame, weights: tuple = WEIGHTS, max_passes: int = MAX_P
         F.ceil(F.sqrt("n")).cast("long").alias("_ranges"),
         F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long").alias("passes"),
         F.when(F.col("source_size") > 0, budget % F.col("source_size")).otherwise(0).cast("long").alias("rest"))
-    rows = (slim.join(bounded(side), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    rows = (groups.join(bounded(side), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
             .withColumn("_range", F.shiftright(F.col("_hi") * F.col("_ranges"), 32)))
-    sums = rows.groupBy("_s", "_range").agg(F.sum("size").alias("_sum"))
+    sums = rows.groupBy("_s", "_range").agg(F.sum("_words").alias("_sum"))
     before = sums.select("_s", "_range", (F.sum("_sum").over(Window.partitionBy("_s").orderBy("_range")) - F.col("_sum")).alias("_offset"))
-    w = Window.partitionBy("_s", "_range").orderBy("_hi", "_lo", "doc_id")  # equal rows are peers
-    rows = (rows.join(before, ["_s", "_range"])
-            .withColumn("_upto", F.sum("size").over(w))
-            .withColumn("_peers", F.count("*").over(w) - F.rank().over(w) + 1)
-            .withColumn("before", F.col("_offset") + F.col("_upto") - F.col("_peers") * F.col("size")))
-    last = F.floor((F.col("rest") - F.col("before")) / F.col("_peers")).cast("long")
-    return (rows.withColumn("_last", F.greatest(F.lit(0), F.least(F.col("size"), last)))
-            .withColumn("taken", F.col("passes") * F.col("size") + F.col("_last")))
+    w = Window.partitionBy("_s", "_range").orderBy("_hi", "_lo", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.join(before, ["_s", "_range"])
+            .withColumn("before", F.col("_offset") + F.coalesce(F.sum("_words").over(w), F.lit(0)))
+            .withColumn("here", F.greatest(F.lit(0), F.least(F.col("_words"), F.col("rest") - F.col("before")))))
+
+
+def _share(here: Column, size: Column, place: Column) -> Column:
+    """What the row at ``place`` gets of its group's words."""
+    return F.greatest(F.lit(0).cast("long"), F.least(size, here - place * size))
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_passes: int = MAX_PASSES, seed: int = 0) -> DataFrame:
     """What the mix takes of every document (doc_id, source, size,
     source_size, target, before, taken)."""
-    return positions(docs, weights, max_passes, seed).select(
-        "doc_id", "size", "source_size", "target", "taken", "source", "before")
+    groups = positions(docs, weights, max_passes, seed)
+    if not groups.where("n_rows > 1").isEmpty():
+        rows = spread(cut(groups), "n_rows", "_place")
+    else:
+        rows = groups.withColumn("_place", F.lit(0).cast("long"))
+    taken = F.col("passes") * F.col("size") + _share(F.col("here"), F.col("size"), F.col("_place"))
+    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source",
+                       (F.col("before") + F.col("_place") * F.col("size")).alias("before"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, max_passes: int = MAX_PASSES, seed: int = 0) -> DataFrame:
@@ -98,23 +109,36 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, max_passes: int =
     of the cut text).  A document left out by the mix has no row.
 
     Texts aren't shuffled: each source has one cut point (key, id), and each
-    document compares itself with that of its source."""
-    rows = positions(docs, weights, max_passes, seed)
+    document compares itself with that of its source.  Only where the cut falls
+    into a group of equal rows, these are numbered."""
+    groups = positions(docs, weights, max_passes, seed)
+    inside = (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("_words"))
     at = F.struct("_hi", "_lo", "doc_id")
-    inside = (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("_peers") * F.col("size"))
-    cuts = cut(rows.groupBy("source").agg(
+    cuts = cut(groups.groupBy("source").agg(
         F.max("passes").alias("_passes"), F.min(F.when(inside, at)).alias("_cut"),
-        F.max(F.when(inside, F.col("_last"))).alias("_part")))
-    by, passes, at_cut, of_cut, take = unused(docs, "_source", "_passes", "_cut", "_part", "_take")
-    side = cuts.select(F.col("source").alias(by), F.col("_passes").alias(passes), F.col("_cut").alias(at_cut), F.col("_part").alias(of_cut))
+        *[F.max(F.when(inside, F.col(c))).alias(f"_{c}") for c in ("here", "size", "n_rows")]))
+    names = ["_source", "_passes", "_cut", "_here", "_size", "_n_rows"]
+    renamed = unused(docs, *names, "_take", "_place", "_tie")
+    by, passes, at_cut, here, size, n_rows, take, place, tie = renamed
+    side = cuts.select(*[F.col("source" if c == "_source" else c).alias(r) for c, r in zip(names, renamed, strict=False)])
     hi, lo = hash_parts(_key(seed))
     own = F.struct(hi.alias("_hi"), lo.alias("_lo"), F.col("doc_id").alias("doc_id"))
-    whole = F.col(passes) + F.when(own < F.col(at_cut), 1).otherwise(0)
-    part = F.when(own.eqNullSafe(F.col(at_cut)), F.col(of_cut)).otherwise(0).cast("int")
+    rows = docs.join(bounded(side), F.col("source").eqNullSafe(F.col(by)))
+    shared = own.eqNullSafe(F.col(at_cut)) & (F.col(n_rows) > 1)
+    out = rows.withColumn(place, F.lit(0).cast("long"))
+    if not cuts.where("_n_rows > 1").isEmpty():
+        first, start = unused(rows, "_first", "_start")
+        numbered = cut(ranked(rows.where(shared).withColumn(tie, F.monotonically_increasing_id()), [F.col(by), F.col(tie)], place).drop(tie))
+        starts = numbered.groupBy(F.col(by).alias(first)).agg(F.min(place).alias(start))
+        numbered = (numbered.join(bounded(cut(starts)), F.col(by).eqNullSafe(F.col(first)))
+                    .withColumn(place, F.col(place) - F.col(start)).drop(first, start))
+        out = out.where(~F.coalesce(shared, F.lit(False))).unionByName(numbered)
+    part = F.when(own.eqNullSafe(F.col(at_cut)), _share(F.col(here), F.col(size), F.col(place))).otherwise(0).cast("int")
+    whole = F.col(passes) + F.when((own < F.col(at_cut)) | ((part > 0) & (part == F.col(size))), 1).otherwise(0)
     words = F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    parts = F.concat(F.array_repeat(F.lit(-1), whole.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    out = (docs.join(bounded(side), F.col("source").eqNullSafe(F.col(by)))
-           .withColumn(take, F.explode(parts))
+    parts = F.concat(F.array_repeat(F.lit(-1), whole.cast("int")),
+                     F.when((part > 0) & (part < F.col(size)), F.array(part)).otherwise(F.array().cast("array<int>")))
+    out = (out.withColumn(take, F.explode(parts))
            .withColumn("text", F.when(F.col(take) < 0, F.col("text"))
                        .otherwise(F.array_join(F.slice(words, 1, F.greatest(F.col(take), F.lit(1))), ""))))
     if "n_chars" in docs.columns:
