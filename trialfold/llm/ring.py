@@ -6,6 +6,10 @@ asks for it.  A shard takes rows up to its quota, the rest go on clockwise to
 the next node whose shard has room.  With quotas that sum up to the number of
 rows, counts differ by one at most.
 
+A node's place is the hash of its shard and its number there, so another shard
+takes nodes' cells only where its own nodes stand: with one more shard, rows go
+to it, and those that its taking or the smaller quotas push on.
+
 Which shard takes a row follows from the row's rank inside its arc (the cells
 between two nodes), so the walk around the ring needs the arcs' row counts
 alone: ``shards * nodes`` numbers, whatever the table's size.  It yields rank
@@ -18,20 +22,24 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from itertools import accumulate
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialfold.llm.common import cut, literal_table
+from trialfold.llm.common import cut, literal_table, ranked
 
 RING_BITS = 16
 NODES = 64
 
 
 def ring(spark: SparkSession, shards: int, nodes: int = NODES, seed: int = 0) -> list[tuple[int, int]]:
-    """Sorted (cell, shard) of the virtual nodes (bounded by the parameters)."""
-    found = (spark.range(shards * nodes)
-             .select(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id"), 64 - RING_BITS).alias("cell"),
-                     (F.col("id") % shards).alias("shard")).collect())
+    """Sorted (cell, shard) of the virtual nodes (bounded by the parameters).  A
+    node's cell follows from its shard and its number within the shard, so it
+    stays where it is whatever the number of shards."""
+    shard, replica = (F.col("id") % shards).alias("shard"), F.floor(F.col("id") / shards)
+    cell = F.shiftrightunsigned(F.xxhash64(F.lit(seed), shard.cast("long"), replica.cast("long")), 64 - RING_BITS)
+    found = spark.range(shards * nodes).select(cell.alias("cell"), shard).collect()
     return sorted((r["cell"], r["shard"]) for r in found)
 
 
@@ -86,19 +94,17 @@ def shard(docs: DataFrame, shards: int, nodes: int = NODES, balance: float = 1.0
             .select("_arc", F.explode(F.sequence("_from", "_to")).alias("_cell")))
     # ranks start after the last node, so that the wrapped cells come first
     turned = F.col("_cell") <= F.lit(cells[-1])
-    by_cell = cut(slim.groupBy("_cell").count().join(F.broadcast(arcs), "_cell")
-                  .withColumn("_before", F.sum("count").over(Window.partitionBy("_arc").orderBy(turned, "_cell")) - F.col("count")))
+    # equal rows may take each other's slots: their place tells them apart, so that no task gets all of them
+    rows = slim.withColumn("_tie", F.monotonically_increasing_id()).join(F.broadcast(arcs), "_cell")  # 2 ** RING_BITS cells
+    order = [F.col("_arc"), turned, F.col("_h"), F.col("doc_id"), F.col("text_crc32"), F.col("size"), F.col("_tie")]
+    rows = cut(ranked(rows, order, "_rank").select("doc_id", "size", "text_crc32", "_arc", "_rank"))
     counts = [0] * len(stops)
-    for r in by_cell.groupBy("_arc").agg(F.sum("count").alias("n")).collect():  # one row for each node at most
+    for r in rows.groupBy("_arc").agg(F.count("*").alias("n")).collect():  # one row for each node at most
         counts[r["_arc"]] = r["n"]
+    starts = list(accumulate(counts, initial=0))
     taken = walk(counts, [s for _, s in stops], quotas(sum(counts), shards, balance))
-    places = literal_table(spark, "_arc, _lo, _hi, _shard, _slot", taken)
-
-    rank = F.row_number().over(Window.partitionBy("_cell").orderBy("_h", "doc_id", "text_crc32", "size")) - 1
+    places = literal_table(spark, "_arc, _lo, _hi, _shard, _slot", [(arc, lo + starts[arc], hi + starts[arc], s, slot) for arc, lo, hi, s, slot in taken])
     at = (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi"))
-    return (slim.withColumn("_in", rank)
-            .join(F.broadcast(by_cell.select("_cell", "_arc", "_before")), "_cell")  # 2 ** RING_BITS rows at most
-            .withColumn("_rank", F.col("_before") + F.col("_in"))
-            .join(F.broadcast(places), "_arc").where(at)  # one row for each node and each filled shard or overflow
+    return (rows.join(F.broadcast(places), "_arc").where(at)  # one row for each node and each filled shard or overflow
             .select("doc_id", "size", "text_crc32", F.col("_shard").cast("int").alias("shard"),
                     (F.col("_slot") + F.col("_rank") - F.col("_lo")).alias("slot")))
