@@ -14,6 +14,7 @@ stands before, the first ``DIGEST`` characters; placeholders and alphabets with
 ``WINDOW`` characters on both sides; rules of four or more equal signs, which
 part a run; host and path of a web address, unless a word in it names a hook or
 a credential (queries, fragments and what stands before an ``@`` are searched).
+An address counts from its scheme on, however long it is.
 Also not found: windows below their class's entropy, runs without a letter, and
 keys of fewer than three digits whose letters happen to pair like words.
 
@@ -28,6 +29,8 @@ import bisect
 import hashlib
 import math
 import re
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -47,9 +50,8 @@ _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}")
 _UUID = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 _PLACEHOLDER = re.compile(r"(?i)example|x{6,}|0{8,}|abcdefgh|12345678|qwertyui")
 _RULE = re.compile(r"-{4,}|_{4,}|={4,}")
-_NAMED = re.compile(r"(?i)(sha-?[0-9]+|md5|etag|digest|checksum|commit|integrity)[\"']?\s*[:=/-]\s*[\"']?$")
-_ADDRESS = re.compile(r"(?i)https?://([^\s\"'<>`{}|\\^]*)$")
-_USER = re.compile(r"[^\s/@]*@")
+_NAMED = re.compile(r"(?i)(sha-?[0-9]+|md5|etag|digest|checksum|commit|integrity)$")
+_ADDRESS = re.compile(r"(?i)https?://([^\s\"'<>`{}|\\^]*)")
 #: What makes the path of an address worth a search.
 _HOOK = re.compile(r"(?i)hook|token|secret|api_?key|signature|/services/|/bot[0-9]")
 #: Characters of the longest digest (SHA-512 in hex).
@@ -61,6 +63,8 @@ _PAIRS = frozenset(
     "am ol ut ul et il ot tu su ct im mi ni ag ig id iv ke ly ow wh wa ho fo fi ex ap op up ir um ep br cr gr bl cl fr sp sh ck ee oo ay ry my "
     "ty by ga go gi pi sa ru lu vi va bo bi ba du mp nc rt rs rd rm ld ts if ev av ov we wo ey ys fe fa ig ef im ob od ok og".split())
 LIKE_WORDS = 0.45
+_MARK, _AT, _SLASH = re.compile("[?#@]"), re.compile("@"), re.compile("/")
+
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) by start, then kind."""
@@ -116,16 +120,61 @@ def unlike_words(s: str, a: int, b: int) -> list[tuple[int, int]]:
     return out
 
 
-def searched(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
-    """The parts of the run ``text[lo:hi]`` that the allow list leaves."""
-    s, before = text[lo:hi], text[max(0, lo - 200):lo]
-    if _UUID.fullmatch(s):
+class Address(NamedTuple):
+    """A web address: where its host begins and it ends, and the first places of
+    ``?``, ``#`` or ``@``, of ``@``, of a slash, and the end of a hook's name in it (or FAR)."""
+
+    body: int
+    end: int
+    mark: int
+    user: int
+    slash: int
+    hook: int
+
+
+FAR = 1 << 62
+
+
+def addresses(text: str) -> list[Address]:
+    """The web addresses of a text, each read once."""
+    def first(pattern: re.Pattern, m: re.Match, end: bool = False) -> int:
+        found = pattern.search(text, *m.span(1))
+        return FAR if not found else found.end() if end else found.start()
+
+    return [Address(*m.span(1), first(_MARK, m), first(_AT, m), first(_SLASH, m), first(_HOOK, m, True)) for m in _ADDRESS.finditer(text)] if "://" in text else []
+
+
+def harmless(address: Address, lo: int, hi: int) -> bool:
+    """Whether ``[lo, hi)`` is of the host or path, and no hook's name stands before its end."""
+    if address.mark < lo or address.hook <= hi:
+        return False
+    # without a slash so far it may be what stands before an @
+    return address.slash < hi or not hi <= address.user < address.slash
+
+
+def named(text: str, lo: int) -> bool:
+    """Whether a digest's name, an equals sign or the like, and blanks stand before ``lo``."""
+    def blanks(k: int) -> int:
+        while k and text[k - 1].isspace():
+            k -= 1
+        return k
+
+    def quote(k: int) -> int:
+        return k - (k > 0 and text[k - 1] in "\"'")
+
+    k = blanks(quote(lo))
+    if not k or text[k - 1] not in ":=/-":
+        return False
+    k = quote(blanks(k - 1))
+    return _NAMED.search(text[max(0, k - 16):k]) is not None
+
+
+def searched(text: str, lo: int, hi: int, address: Address | None = None) -> list[tuple[int, int]]:
+    """The parts of the run ``text[lo:hi]`` that the allow list leaves; ``address`` is the one that it stands in."""
+    s = text[lo:hi]
+    if _UUID.fullmatch(s) or address and harmless(address, lo, hi):
         return []
-    address = _ADDRESS.search(before)
-    if address and not re.search("[?#@]", address[1]) and not _HOOK.search(address[1] + s):
-        if "/" in address[1] + s or not _USER.match(text, hi, hi + 200):
-            return []
-    gaps = [(lo, lo + DIGEST)] if _NAMED.search(before) else []
+    gaps = [(lo, lo + DIGEST)] if named(text, lo) else []
     gaps += [(lo + m.start() - WINDOW, lo + m.end() + WINDOW) for m in _PLACEHOLDER.finditer(s)]
     gaps += [(lo + m.start(), lo + m.end()) for m in _RULE.finditer(s)]
     out = []
@@ -136,13 +185,24 @@ def searched(text: str, lo: int, hi: int) -> list[tuple[int, int]]:
     return [*out, (lo, hi)] if hi - lo >= WINDOW else out
 
 
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """The searched parts of all candidates, in order."""
+    known, at = addresses(text), 0
+    for m in _CANDIDATE.finditer(text):
+        lo, hi = m.span()
+        while at < len(known) and known[at].end < lo:
+            at += 1
+        inside = at < len(known) and known[at].body <= lo
+        yield from searched(text, lo, hi, known[at] if inside else None)
+
+
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     out, ends, top = [], [], -1
     for _, _, y in base:
         top = max(top, y)
         ends.append(top)
     starts = [x for x, _, _ in base]
-    for lo, hi in (part for m in _CANDIDATE.finditer(text) for part in searched(text, *m.span())):
+    for lo, hi in _runs(text):
         s = text[lo:hi]
         if not re.search("[A-Za-z]", s):
             continue
