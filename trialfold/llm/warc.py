@@ -31,6 +31,8 @@ from pyspark.sql import types as T
 from trialfold.llm.common import bounded, cut
 
 MAGIC = "WARC/1.0\r\n"
+#: What a revisit repeats: the payload, told by its digest.
+PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
 #: Bytes of a stretch of a file, to which the places of stray fragments are matched.
@@ -58,20 +60,25 @@ def _id(c: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
 
 
-def write(pages: DataFrame, path: str, least: int = 0) -> None:
+def write(pages: DataFrame, path: str, least: int = 0, date: Column | None = None) -> None:
     """Write a record for each page; equal payloads below ``least`` bytes
-    aren't looked for.  Texts are written by the task that read them."""
+    aren't looked for.  Texts are written by the task that read them.
+    ``date``: when a page was fetched (a timestamp; the time of writing, if unknown)."""
+    when = F.coalesce(date, F.current_timestamp()) if date is not None else F.current_timestamp()
     several = cut(verdicts(pages).where(F.col("_size") >= least).select(F.col("_sha").alias("_s"), F.col("_size").alias("_z"), "_first"))
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), *_payload(F.col("html")))
     rows = rows.join(bounded(several), (F.col("_sha") == F.col("_s")) & (F.col("_size") == F.col("_z")), "left")
     again = F.col("_s").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
     block = F.concat(F.lit(HTTP + END), F.when(again, F.lit("")).otherwise(F.col("html")))
     address = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20]", "")
+    address = F.when(address == "", F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))).otherwise(address)
     head = F.concat_ws(
         "\r\n", F.concat(F.lit("WARC-Type: "), F.when(again, "revisit").otherwise("response")),
         F.concat(F.lit("WARC-Record-ID: "), _id(F.col("page_id"))), F.concat(F.lit("WARC-Target-URI: "), address),
+        F.concat(F.lit("WARC-Date: "), F.date_format(F.to_utc_timestamp(when, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         F.when(again, F.concat(F.lit("WARC-Refers-To: "), _id(F.col("_first")))),
-        F.concat(F.lit("WARC-Payload-Digest: "), base32("_sha")),
+        F.when(again, F.lit(f"WARC-Profile: {PROFILE}")),
+        F.concat(F.lit("WARC-Payload-Digest: sha1:"), base32("_sha")),
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")))
     record = F.concat(F.lit(MAGIC), head, F.lit(END), block)
@@ -113,7 +120,8 @@ def parsed(rows: DataFrame) -> DataFrame:
     return (rows.withColumn("length", F.when(F.col("value").contains(END), length))
             .withColumn("_way", len(MAGIC) + begin + F.col("length") + len(END))
             .withColumn("_kind", F.lower(_field(head, "WARC-Type"))).withColumn("_id", _field(head, "WARC-Record-ID"))
-            .withColumn("_to", _field(head, "WARC-Refers-To")).withColumn("_digest", _field(head, "WARC-Payload-Digest"))
+            .withColumn("_to", _field(head, "WARC-Refers-To"))
+            .withColumn("_digest", F.regexp_replace(_field(head, "WARC-Payload-Digest"), "^(?i)sha1:", ""))
             .withColumn("_whole", F.coalesce(whole, F.lit(False)))
             .withColumn("_block", F.when(F.col("_whole"), block)))
 
