@@ -142,3 +142,28 @@ def winnow(hashes, gram=4, window=8):
 def edited(t, following):
     half = len(t) // 2
     return t[:len(t) - half] + following[:half]
+
+
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f"
+
+
+def units(t):
+    """Words, code by code where a script has no spaces or a run is long."""
+    words = re.findall(rf"[{UNSPACED}]|[^\x20\x09-\x0D{UNSPACED}]+", t)
+    return [u for w in words for u in (w if len(w) > 64 else [w])]
+
+
+def warc_parse(data):
+    """(headers, block) of each record of raw bytes, by the lengths alone."""
+    out, at = [], 0
+    while at < len(data):
+        end = data.index(b"\r\n\r\n", at)
+        version, *lines = data[at:end].decode().split("\r\n")
+        assert version == "WARC/1.0"
+        head = dict(line.split(": ", 1) for line in lines)
+        n = int(head["Content-Length"])
+        block = data[end + 4:end + 4 + n]
+        assert data[end + 4 + n:end + 8 + n] == b"\r\n\r\n"
+        out.append((head, block))
+        at = end + 8 + n
+    return out
