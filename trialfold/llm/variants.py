@@ -11,7 +11,8 @@ a bounded sample of the vocabulary (``SAMPLE`` words, of which only letter count
 are read).  A word goes as a native to its own cell and as a guest to every cell
 whose box it can reach.  A task streams a cell: natives come first and get a
 k-d tree of their own, guests search it batch by batch, and the letters' order
-is verified for what the boxes leave.  A pair is found once, by the smaller word
+is verified for what the boxes leave (of pairs one letter apart in length, after
+their letters' sums and sums of squares).  A pair is found once, by the smaller word
 or the shorter one, and counts for both; only a word's count and best near word
 leave the task.
 
@@ -40,10 +41,10 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MIN_LENGTH, MIN_COUNT, FORM_RATIO, DROP_EVERY = 5, 3, 2, 97
 #: Words whose letter counts the top trees are built from, and how many of them a leaf has at least.
 SAMPLE, LEAST_SAMPLE = 16_384, 8
-#: Bytes of natives that a cell is meant to hold, and words of a leaf inside a cell.
-CELL_BYTES, LEAF = 400_000, 16
-#: Letters compared at once.
-COMPARED = 4_000_000
+#: Bytes of letter counts that a cell is meant to hold, and words of a leaf inside a cell.
+CELL_BYTES, LEAF = 1_600_000, 96
+#: Letters compared at once, and rows and characters that a worker takes up at once.
+COMPARED, ROWS, CHARS = 4_000_000, 20_000, 4_000_000
 
 #: Letter of a Latin-1 byte: a to z, then the code points from 0xC0 on.
 LETTERS = 26 + 64
@@ -105,13 +106,15 @@ def grow(counts: np.ndarray, rows: np.ndarray, leaf: float, number) -> tuple:
     return None, number(rows)
 
 
-def reached(tree: tuple, counts: np.ndarray, up: np.ndarray, down: np.ndarray) -> Iterator[tuple]:
+def reached(tree: tuple, counts: np.ndarray, up: int, down: int) -> Iterator[tuple]:
     """(leaf, indices) of the leaves whose box has a point that lies at most
-    ``up`` counts above and ``down`` counts below the rows of ``counts``."""
-    zero = np.zeros(len(counts), np.int32)
-    todo = [(tree, np.arange(len(counts)), zero, zero, {})]
+    ``up`` counts above and ``down`` counts below the rows of ``counts``.  Where
+    both are one, the letter that is more must stand after the one that is less:
+    the word on the other side of the pair looks the other way."""
+    zero, none = np.zeros(len(counts), np.int32), np.full(len(counts), -1, np.int32)
+    todo = [(tree, np.arange(len(counts)), zero, zero, none, none, {})]
     while todo:
-        (d, *rest), alive, rise, fall, box = todo.pop()
+        (d, *rest), alive, rise, fall, more, less, box = todo.pop()
         if d is None:
             yield rest[0], alive
             continue
@@ -120,12 +123,13 @@ def reached(tree: tuple, counts: np.ndarray, up: np.ndarray, down: np.ndarray) -
         q = counts[alive, d]
         fell = fall - np.maximum(q - hi, 0) + np.maximum(q - bound, 0)
         rose = rise - np.maximum(lo - q, 0) + np.maximum(bound + 1 - q, 0)
-        ok = fell <= down[alive]
+        falls, rises = fell > fall, rose > rise
+        ok = (fell <= down) & ~(falls & (rise > 0) & (more < d))
         if ok.any():
-            todo.append((small, alive[ok], rise[ok], fell[ok], box | {d: (lo, min(hi, bound))}))
-        ok = rose <= up[alive]
+            todo.append((small, alive[ok], rise[ok], fell[ok], more[ok], np.where(falls, d, less)[ok], box | {d: (lo, min(hi, bound))}))
+        ok = (rose <= up) & ~(rises & (fall > 0) & (less > d))
         if ok.any():
-            todo.append((large, alive[ok], rose[ok], fall[ok], box | {d: (max(lo, bound + 1), hi)}))
+            todo.append((large, alive[ok], rose[ok], fall[ok], np.where(rises, d, more)[ok], less[ok], box | {d: (max(lo, bound + 1), hi)}))
 
 
 def top_trees(words: DataFrame, sample: int = SAMPLE) -> dict[int, tuple]:
@@ -153,24 +157,36 @@ def top_trees(words: DataFrame, sample: int = SAMPLE) -> dict[int, tuple]:
 
 # ---------------------------------------------------------------- search
 
+def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Arrow batches joined up to ROWS rows or CHARS characters of words."""
+    held, rows, chars = [], 0, 0
+    for b in batches:
+        held.append(b)
+        rows, chars = rows + len(b), chars + int(b["word"].str.len().sum())
+        if rows >= ROWS or chars >= CHARS:
+            yield pd.concat(held, ignore_index=True)
+            held, rows, chars = [], 0, 0
+    if rows:
+        yield pd.concat(held, ignore_index=True)
+
+
 def dealt(trees: dict[int, tuple]):
     """Batches of (word, n) to rows (length, cell, guest, word, n)."""
     one_cell = (None, 0)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b = b.reset_index(drop=True)
+        for b in gathered(batches):
             coded = [w.encode("latin-1") for w in b["word"]]
             counts, lengths = letter_counts(coded), np.fromiter(map(len, coded), np.int64, len(coded))
-            found = []
+            words, n = b["word"].to_numpy(), b["n"].to_numpy()
             for length in np.unique(lengths):
                 mine = np.flatnonzero(lengths == length)
+                own = counts[mine]
                 for guest, longer, down in ((0, 0, 0), (1, 0, 1), (1, 1, 0)):
-                    up = np.full(len(mine), guest, np.int32)
-                    for cell, at in reached(trees.get(length + longer, one_cell), counts[mine], up, np.full(len(mine), down, np.int32)):
-                        found.append(pd.DataFrame({"row": mine[at], "length": length + longer, "cell": cell, "guest": guest}))
-            to = pd.concat(found)
-            yield to.join(b, on="row")[["length", "cell", "guest", "word", "n"]]
+                    found = list(reached(trees.get(length + longer, one_cell), own, guest, down))
+                    at = mine[np.concatenate([x for _, x in found])]
+                    cells = np.repeat([c for c, _ in found], [len(x) for _, x in found])
+                    yield pd.DataFrame({"length": length + longer, "cell": cells, "guest": guest, "word": words[at], "n": n[at]})
 
     return deal
 
@@ -186,44 +202,62 @@ def one_inserted(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     return head + tail >= short.shape[1]
 
 
+def moments(codes: np.ndarray) -> np.ndarray:
+    """Sum of the letters and of their squares, by row."""
+    wide = codes.astype(np.int64)
+    return np.stack([wide.sum(axis=1), (wide * wide).sum(axis=1)])
+
+
 class Cell:
     """The natives of a cell (one length, ascending words) and their tree."""
 
     def __init__(self, words: list[bytes], n: list[int]):
         self.words, self.n = words, np.array(n, np.int64)
         self.codes = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
-        self.counts = letter_counts(words)
-        self.tree = grow(self.counts, np.arange(len(words)), LEAF, lambda rows: rows)
+        self.moments = moments(self.codes)
+        self.tree = grow(letter_counts(words), np.arange(len(words)), LEAF, lambda rows: rows)
+
+    def _replaced(self, codes: np.ndarray, at: np.ndarray, natives: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a, b = np.ascontiguousarray(codes[at].T), np.ascontiguousarray(self.codes[natives].T)
+        differ = np.zeros((len(at), len(natives)), np.int32 if len(a) > 255 else np.uint8)
+        for x, y in zip(a, b, strict=True):
+            differ += x[:, None] != y
+        g, x = np.nonzero(differ == 1)
+        g, x = at[g], natives[x]
+        # once, from the word that is smaller where they differ
+        smaller = (codes[g].astype(np.int16) - self.codes[x]).sum(axis=1) < 0
+        return g[smaller], x[smaller]
+
+    def _inserted(self, codes: np.ndarray, sums: np.ndarray, at: np.ndarray, natives: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # one more letter c adds c to the sum and c * c to the squares
+        more = self.moments[0][natives][None, :] - sums[0][at][:, None]
+        squares = self.moments[1][natives][None, :] - sums[1][at][:, None]
+        g, x = np.nonzero(more * more == squares)
+        g, x = at[g], natives[x]
+        wide = max(1, COMPARED // codes.shape[1])
+        ok = [one_inserted(codes[g[i:i + wide]], self.codes[x[i:i + wide]]) for i in range(0, len(g), wide)]
+        ok = np.concatenate(ok) if ok else np.zeros(0, bool)
+        return g[ok], x[ok]
 
     def near(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Index pairs (guest, native) one edit apart: natives that are longer, or larger words of the same length."""
         length = self.codes.shape[1]
         shorter = np.array([len(w) < length for w in words])
-        counts = letter_counts(words)
         first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for short in (False, True):
             mine = np.flatnonzero(shorter == short)
             if not len(mine):
                 continue
-            codes = np.frombuffer(b"".join(words[i] for i in mine), np.uint8).reshape(len(mine), -1)
-            down = np.full(len(mine), 0 if short else 1, np.int32)
-            for natives, at in reached(self.tree, counts[mine], np.ones(len(mine), np.int32), down):
-                step = max(1, COMPARED // (LETTERS * len(natives)))
+            own = [words[i] for i in mine]
+            codes = np.frombuffer(b"".join(own), np.uint8).reshape(len(mine), -1)
+            sums = moments(codes) if short else None
+            for natives, at in reached(self.tree, letter_counts(own), 1, 0 if short else 1):
+                step = max(1, COMPARED // (length * len(natives)))
                 for i in range(0, len(at), step):
                     part = at[i:i + step]
-                    apart = np.abs(counts[mine[part], None, :] - self.counts[None, natives, :]).sum(axis=2)
-                    g, x = np.nonzero(apart == (1 if short else 2))
-                    g, x = part[g], natives[x]
-                    wide = max(1, COMPARED // length)
-                    for j in range(0, len(g), wide):
-                        gj, xj = g[j:j + wide], x[j:j + wide]
-                        ok = (one_inserted if short else one_replaced)(codes[gj], self.codes[xj])
-                        gj, xj = mine[gj[ok]], xj[ok]
-                        if not short:  # once, from the smaller word
-                            ok = np.fromiter((words[a] < self.words[b] for a, b in zip(gj, xj, strict=True)), bool, len(gj))
-                            gj, xj = gj[ok], xj[ok]
-                        first.append(gj)
-                        second.append(xj)
+                    g, x = self._inserted(codes, sums, part, natives) if short else self._replaced(codes, part, natives)
+                    first.append(mine[g])
+                    second.append(x)
         return np.concatenate(first), np.concatenate(second)
 
 
@@ -237,14 +271,14 @@ def _best(of: np.ndarray, near: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
 def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows sorted by (length, cell, guest, word) to (word, n_near, near_n, near) of what was found here."""
     at, natives, sizes, cell = None, [], [], None
-    for b in batches:
+    for b in gathered(batches):
         coded = [w.encode("latin-1") for w in b["word"]]
-        keys = list(zip(b["length"], b["cell"], b["guest"], strict=True))
-        ends = [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]] + [len(keys)]
+        keys, sizes_here = b[["length", "cell", "guest"]].to_numpy(), b["n"].to_numpy()
+        ends = [*(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
         start = 0
-        for end in ends if keys else []:
-            length, number, guest = keys[start]
-            words, n = coded[start:end], b["n"].to_numpy()[start:end]
+        for end in ends:
+            length, number, guest = keys[start].tolist()
+            words, n = coded[start:end], sizes_here[start:end]
             start = end
             if at != (length, number):
                 at, natives, sizes, cell = (length, number), [], [], None
