@@ -1,23 +1,63 @@
-"""The pruned exact kNN equals brute force."""
+"""The exact kNN equals brute force, and opens a falling share of the pairs."""
 
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from trialfold.operators import knn
 
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def brute(refs, q, k=5):
+    d = sorted(((sum((a - b) ** 2 for a, b in zip(q[1], r[1])) ** 0.5, r[0], r[2]) for r in refs))[:k]
+    votes = {}
+    for _, _, lab in d:
+        votes[lab] = votes.get(lab, 0) + 1
+    return min(votes, key=lambda lab: (-votes[lab], lab))
+
+
+def predicted(spark, refs, qs, **more):
+    return {r.vec_id: r.prediction for r in knn.knn_classify(spark.createDataFrame(refs, SCHEMA), spark.createDataFrame(qs, SCHEMA), **more).collect()}
+
 
 def test_knn_equals_brute_force(spark):
     rnd = random.Random(3)
     pts = [(i, [rnd.random() for _ in range(8)], rnd.randrange(4)) for i in range(300)]
     refs, qs = pts[:240], pts[240:]
-    schema = "vec_id long, embedding array<double>, label int"
-    got = {r.vec_id: r.prediction for r in knn.knn_classify(spark.createDataFrame(refs, schema),
-                                                            spark.createDataFrame(qs, schema), k=5, n_pivots=6).collect()}
-
-    def brute(q):
-        d = sorted(((sum((a - b) ** 2 for a, b in zip(q[1], r[1])) ** 0.5, r[0], r[2]) for r in refs))[:5]
-        votes = {}
-        for _, _, lab in d:
-            votes[lab] = votes.get(lab, 0) + 1
-        return min(votes, key=lambda lab: (-votes[lab], lab))
-
-    assert got == {q[0]: brute(q) for q in qs}
+    want = {q[0]: brute(refs, q) for q in qs}
+    assert predicted(spark, refs, qs) == want
+    # several rounds, small blocks
+    assert predicted(spark, refs, qs, first=10, chunk=7, qblock=9) == want
+
+
+def test_equal_distances_take_the_smaller_id(spark):
+    """Points on a small grid: many references at one distance, repeated points, pivots that coincide."""
+    rnd = random.Random(5)
+    pts = [(i, [float(rnd.randrange(4)), float(rnd.randrange(4))], rnd.randrange(3)) for i in range(260)]
+    refs, qs = pts[:200], pts[200:]
+    assert predicted(spark, refs, qs, first=8) == {q[0]: brute(refs, q) for q in qs}
+
+
+def test_fewer_references_than_k_and_none(spark):
+    refs = [(1, [0.0, 0.0], 2), (2, [1.0, 0.0], 1)]
+    qs = [(5, [0.4, 0.0], 0)]
+    assert predicted(spark, refs, qs) == {5: 1}
+    assert predicted(spark, [], qs) == {}
+    assert predicted(spark, refs, []) == {}
+
+
+def test_the_share_of_evaluated_pairs_falls(spark):
+    rng = np.random.default_rng(1)
+    shares = []
+    for n in (500, 2000, 8000):
+        centres = rng.normal(0, 10, (40, 6))
+        x = centres[rng.integers(0, 40, n)] + rng.normal(0, 0.5, (n, 6))
+        refs = [(i, x[i].tolist(), i % 3) for i in range(n)]
+        qs = [(n + i, (centres[i % 40] + rng.normal(0, 0.5, 6)).tolist(), 0) for i in range(80)]
+        pairs = []
+        got = predicted(spark, refs, qs, first=64, watch=lambda opened: pairs.append(opened.agg(F.sum("n")).first()[0]))
+        assert got == {q[0]: brute(refs, q) for q in qs}
+        shares.append(sum(pairs) / (n * len(qs)))
+    assert shares[0] > shares[1] > shares[2] and shares[2] < 0.15, shares

@@ -1,37 +1,50 @@
-"""Exact k-nearest-neighbour classification (O80) without a query x
-reference cross product.
-
-References are grouped into cells around a few pivot points (a fixed,
-broadcast set whose size does not grow with the data).  For every cell
-the member count and radius are known, so for a query
-
-* every member of cell c lies within ``d(q, p_c) + r_c``  -> taking cells
-  by that upper bound until k members are covered gives a distance U that
-  the k-th neighbour cannot exceed;
-* no member of cell c is closer than ``d(q, p_c) - r_c`` -> cells whose
-  lower bound exceeds U cannot hold a neighbour.
-
-Surviving (query, cell) pairs are evaluated block-wise: a cell's members
-are cut into chunks of at most ``chunk`` rows and its candidate queries
-into blocks of at most ``qblock`` rows; each (cell, query block, chunk)
-group computes its distance matrix with numpy inside one task and keeps
-the k best per query.  Group sizes are bounded whatever the skew, and
-pairs never exist as rows.  A final per-query merge of the partial top-k
-lists (at most k rows per group) gives the exact neighbours; the label is
-voted (most frequent; ties -> smallest label; equal distances -> smaller
-reference id first).
+"""Exact k-nearest-neighbour classification (O80) by a pivot tree and
+best-first rounds, without a query x reference cross product.
+
+The tree has about sqrt(n) leaves (``MAX_LEAVES`` at most, so its pivots
+travel with the tasks): the pivots are references of smallest md5 keys, the
+first sqrt of them form the upper level, the others hang under the nearest of
+these, and a reference goes down to the nearest upper pivot and then to the
+nearest pivot under it.  Every leaf knows its size and the ring [rmin, rmax] of
+its members' distances to its pivot, so no member is closer to a query at
+distance d of the pivot than max(d - rmax, rmin - d, 0), and the pivots of
+an upper level bound all leaves under them alike.
+
+A query opens leaves in the order of that bound.  The first round opens
+leaves until ``FIRST`` members are covered; each following one opens
+``GROWTH`` times as many, but only leaves whose bound doesn't exceed the
+k-th distance that the rounds before have found, and a query without such a
+leaf is finished.  So every round tightens the bound before more leaves are
+opened, and what is evaluated falls as a share of all pairs as n grows
+(where the data have any structure that distances show; otherwise all
+leaves are opened, which is exact as well).
+
+(query, leaf) pairs are evaluated in blocks: a leaf's members are cut into
+chunks of at most ``chunk`` rows and its queries into blocks of at most
+``qblock``; each group computes its distances with numpy inside one task
+and gives at most k rows per query, none beyond the known k-th distance.
+Group sizes are bounded whatever the skew.  The label is voted (most
+frequent; ties -> smallest label; equal distances -> smaller reference id
+first).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialfold.functions.exprs import md5_long
+from trialfold.session import cut_lineage
 
 PARTIAL = "qid long, rid long, label int, dist double"
+MAX_LEAVES = 16_384
+FIRST, GROWTH = 2048, 4
+#: A hair of slack keeps rounding in the bounds from pruning a tie.
+SLACK = 1e-9
 
 
 def sq_dist(a: Column, b: Column) -> Column:
@@ -40,6 +53,68 @@ def sq_dist(a: Column, b: Column) -> Column:
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of all rows of ``a`` to all of ``b``, summed left to right over
+    the dimensions: the same rounding as a fold."""
+    out = np.zeros((len(a), len(b)))
+    for j in range(a.shape[1]):
+        diff = a[:, j][:, None] - b[:, j][None, :]
+        out += diff * diff
+    return np.sqrt(out)
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(np.float64)
+
+
+class PivotTree:
+    """Upper pivots, the leaves' pivots by parent, and later the leaves' sizes and rings."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+        self.upper = pivots[:int(np.ceil(np.sqrt(len(pivots))))]
+        parent = distances(pivots, self.upper).argmin(axis=1)
+        parent[:len(self.upper)] = np.arange(len(self.upper))  # equal pivots keep their places
+        self.children = [np.flatnonzero(parent == u) for u in range(len(self.upper))]
+        self.count = self.low = self.high = np.zeros(0)
+
+    def leaf_of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(leaf, distance to its pivot) of each row."""
+        top = distances(x, self.upper).argmin(axis=1)
+        leaf, dist = np.zeros(len(x), np.int64), np.zeros(len(x))
+        for u in np.unique(top):
+            mine = np.flatnonzero(top == u)
+            d = distances(x[mine], self.pivots[self.children[u]])
+            at = d.argmin(axis=1)
+            leaf[mine], dist[mine] = self.children[u][at], d[np.arange(len(mine)), at]
+        return leaf, dist
+
+    def measured(self, rows: list) -> None:
+        """Sizes and rings from (leaf, n, low, high) rows."""
+        n = len(self.pivots)
+        self.count, self.low, self.high = np.zeros(n, np.int64), np.full(n, np.inf), np.full(n, -np.inf)
+        for r in rows:
+            self.count[r["leaf"]], self.low[r["leaf"]], self.high[r["leaf"]] = r["n"], r["low"], r["high"]
+
+    def opened(self, x: np.ndarray, limit: np.ndarray, done: int, target: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(leaf, its queries) of the leaves that this round opens: in the order of
+        their bounds those that begin before ``target`` covered members, without
+        those that began before ``done``, and none whose bound is beyond the limit."""
+        d = distances(x, self.pivots)
+        bound = np.maximum(np.maximum(d - self.high, self.low - d), 0.0)
+        bound[:, self.count == 0] = np.inf
+        order = np.lexsort((d, bound), axis=1)
+        begins = np.cumsum(self.count[order], axis=1) - self.count[order]
+        near = np.take_along_axis(bound, order, axis=1) <= (limit + SLACK * (1 + limit))[:, None]
+        q, at = np.nonzero(near & (begins < target) & (begins >= done) & (self.count[order] > 0))
+        leaf = order[q, at]
+        by = np.argsort(leaf, kind="stable")
+        edges = np.flatnonzero(np.diff(leaf[by])) + 1
+        for part in np.split(by, edges):
+            if len(part):
+                yield leaf[part[0]], q[part]
+
+
 def _block_topk(k: int):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         q = pdf[pdf["kind"] == 0]
@@ -47,20 +122,12 @@ def _block_topk(k: int):
         if q.empty or r.empty:
             return pd.DataFrame({"qid": pd.Series(dtype="int64"), "rid": pd.Series(dtype="int64"),
                                  "label": pd.Series(dtype="int32"), "dist": pd.Series(dtype="float64")})
-        Q = np.stack(q["vec"].to_numpy()).astype(np.float64)
-        R = np.stack(r["vec"].to_numpy()).astype(np.float64)
-        # left-to-right sum over dimensions: the same rounding as a fold
-        d2 = np.zeros((Q.shape[0], R.shape[0]))
-        for j in range(Q.shape[1]):
-            diff = Q[:, j][:, None] - R[:, j][None, :]
-            d2 += diff * diff
-        dist = np.sqrt(d2)
-        rid = r["id"].to_numpy()
-        lab = r["label"].to_numpy()
-        kk = min(k, R.shape[0])
+        dist = distances(_matrix(q["vec"]), _matrix(r["vec"]))
+        rid, lab = r["id"].to_numpy(), r["label"].to_numpy()
+        kk = min(k, len(r))
         # everything within each query's kk-th smallest distance (ties at the
         # boundary included), then the exact (dist, rid) order picks kk
-        kth = np.partition(dist, kk - 1, axis=1)[:, kk - 1]
+        kth = np.minimum(np.partition(dist, kk - 1, axis=1)[:, kk - 1], q["limit"].to_numpy())
         qi, ri = np.nonzero(dist <= kth[:, None])
         cand = pd.DataFrame({"qid": q["id"].to_numpy()[qi], "rid": rid[ri], "label": lab[ri], "dist": dist[qi, ri]})
         cand = cand.sort_values(["qid", "dist", "rid"], kind="stable").groupby("qid", sort=False).head(kk)
@@ -68,75 +135,75 @@ def _block_topk(k: int):
     return fn
 
 
-def knn_classify(refs: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int = 16,
+def neighbours(refs: DataFrame, queries: DataFrame, k: int, leaves: int | None = None, chunk: int = 4096, qblock: int = 1024,
+               first: int = FIRST, watch: Callable[[DataFrame], None] | None = None) -> DataFrame:
+    """(qid, rid, label, dist): the k nearest of ``refs`` (rid, v, label) to
+    each of ``queries`` (qid, qv).  ``watch`` is shown the (qid, leaf, n) that
+    each round opens."""
+    spark = refs.sparkSession
+    n = refs.count()
+    if not n:
+        return spark.createDataFrame([], PARTIAL)
+    m = leaves or min(MAX_LEAVES, int(np.ceil(np.sqrt(n))))
+    # the m references of smallest md5 keys: sqrt(n) vectors, MAX_LEAVES at most
+    drawn = refs.withColumn("_h", md5_long(F.lit("pivot"), F.col("rid"))).orderBy("_h", "rid").limit(m).select("v").collect()
+    tree = PivotTree(np.array([r["v"] for r in drawn], dtype=np.float64))
+
+    def to_leaves(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            if len(pdf):
+                leaf, dist = tree.leaf_of(_matrix(pdf["v"]))
+                yield pdf.assign(leaf=leaf, dist=dist)
+
+    # written once: every round reads it
+    rows = cut_lineage(refs.mapInPandas(to_leaves, "rid long, v array<double>, label int, leaf long, dist double"))
+    tree.measured(rows.groupBy("leaf").agg(F.count("*").alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high")).collect())  # m rows
+
+    best = None
+    state = queries.select("qid", "qv", F.lit(float("inf")).alias("limit"))
+    done, target = 0, first
+    while True:
+        def to_open(it: Iterator[pd.DataFrame], done: int = done, target: int = target) -> Iterator[pd.DataFrame]:
+            for pdf in it:
+                if len(pdf):
+                    for leaf, q in tree.opened(_matrix(pdf["qv"]), pdf["limit"].to_numpy(), done, target):
+                        yield pdf.iloc[q].assign(leaf=leaf, n=tree.count[leaf])
+
+        opened = cut_lineage(state.mapInPandas(to_open, "qid long, qv array<double>, limit double, leaf long, n long"))
+        if opened.isEmpty():
+            break
+        if watch:
+            watch(opened.select("qid", "leaf", "n"))
+        # blocks of queries and chunks of members of the opened leaves: m rows
+        sizes = F.broadcast(opened.groupBy("leaf").agg(F.ceil(F.count("*") / qblock).cast("int").alias("blocks"),
+                                                       F.ceil(F.max("n") / chunk).cast("int").alias("chunks")))
+        q_side = (opened.join(sizes, "leaf").withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int"))
+                  .select("leaf", "qb", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("ch"), F.lit(0).alias("kind"),
+                          F.col("qid").alias("id"), F.lit(None).cast("int").alias("label"), F.col("qv").alias("vec"), "limit"))
+        r_side = (rows.join(sizes, "leaf").withColumn("ch", F.pmod(F.xxhash64("rid"), F.col("chunks")).cast("int"))
+                  .select("leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("qb"), "ch", F.lit(1).alias("kind"),
+                          F.col("rid").alias("id"), "label", F.col("v").alias("vec"), F.lit(None).cast("double").alias("limit")))
+        found = q_side.unionByName(r_side).groupBy("leaf", "qb", "ch").applyInPandas(_block_topk(k), PARTIAL)
+        w = Window.partitionBy("qid").orderBy("dist", "rid")
+        best = cut_lineage((best.unionByName(found) if best else found).withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).drop("r"))
+        if target >= n:
+            break
+        # a query without a leaf within its k-th distance so far opens none and is finished
+        limits = best.groupBy("qid").agg(F.count("*").alias("c"), F.max("dist").alias("far"))
+        state = (queries.join(limits, "qid", "left")
+                 .select("qid", "qv", F.when(F.col("c") >= k, F.col("far")).otherwise(float("inf")).alias("limit")))
+        done, target = target, target * GROWTH
+    return best if best is not None else spark.createDataFrame([], PARTIAL)
+
+
+def knn_classify(refs: DataFrame, queries: DataFrame, k: int = 5, leaves: int | None = None,
                  vec: str = "embedding", label: str = "label", rid: str = "vec_id",
-                 chunk: int = 4096, qblock: int = 1024) -> DataFrame:
+                 chunk: int = 4096, qblock: int = 1024, first: int = FIRST, watch: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """Output (query id, predicted label)."""
-    R = refs.select(F.col(rid).cast("long").alias("rid"), F.col(vec).cast("array<double>").alias("v"),
+    r = refs.select(F.col(rid).cast("long").alias("rid"), F.col(vec).cast("array<double>").alias("v"),
                     F.col(label).cast("int").alias("label"))
-    Q = queries.select(F.col(rid).cast("long").alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
-    # pivots: the n_pivots references with the smallest md5 key (a fixed-size set)
-    piv = (R.withColumn("_h", md5_long(F.lit("pivot"), F.col("rid"))).orderBy("_h", "rid").limit(n_pivots)
-           .select(F.col("rid").alias("cell"), F.col("v").alias("pv")))
-    # the pivot set is n_pivots vectors: bounded, so it travels with the tasks
-    pv = piv.collect()
-    P = np.array([np.asarray(r["pv"], dtype=np.float64) for r in pv]) if pv else np.zeros((0, 0))
-    pcell = np.array([r["cell"] for r in pv], dtype=np.int64)
-
-    def _dists(vecs) -> np.ndarray:
-        X = np.stack(vecs.to_numpy()).astype(np.float64)
-        d2 = np.zeros((X.shape[0], P.shape[0]))
-        for j in range(X.shape[1]):
-            diff = X[:, j][:, None] - P[:, j][None, :]
-            d2 += diff * diff
-        return np.sqrt(d2)
-
-    def nearest(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            d = _dists(pdf["v"])
-            i = np.lexsort((np.broadcast_to(pcell, d.shape), d), axis=1)[:, 0]
-            yield pdf.assign(cell=pcell[i], dc=d[np.arange(len(i)), i])
-
-    def all_pivots(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            d = _dists(pdf["qv"])
-            n = len(pdf)
-            yield pd.DataFrame({"qid": np.repeat(pdf["qid"].to_numpy(), len(pcell)),
-                                "qv": np.repeat(pdf["qv"].to_numpy(), len(pcell)),
-                                "cell": np.tile(pcell, n), "dq": d.reshape(-1)})
-
-    # each reference to its nearest pivot (vectorised inside each task)
-    rcell = R.mapInPandas(nearest, "rid long, v array<double>, label int, cell long, dc double")
-    cells = rcell.groupBy("cell").agg(F.count("*").alias("cnt"), F.max("dc").alias("radius"))
-    cells = F.broadcast(cells.withColumn("n_chunks", F.ceil(F.col("cnt") / chunk).cast("int")))  # <= n_pivots rows
-    # query to every pivot: bounds per (query, cell)
-    qp = Q.mapInPandas(all_pivots, "qid long, qv array<double>, cell long, dq double").join(cells, "cell")
-    qp = qp.withColumn("ub", F.col("dq") + F.col("radius")).withColumn("lb", F.greatest(F.col("dq") - F.col("radius"), F.lit(0.0)))
-    w = Window.partitionBy("qid").orderBy("ub", "cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cov = qp.withColumn("covered", F.sum("cnt").over(w))  # n_pivots rows per query
-    bound = cov.filter(F.col("covered") >= k).groupBy("qid").agg(F.min("ub").alias("U"))
-    # a hair of slack keeps rounding in the bounds from pruning a tie
-    slack = F.col("U") * F.lit(1e-9) + F.lit(1e-12)
-    cand = (qp.join(bound, "qid", "left").filter(F.col("U").isNull() | (F.col("lb") <= F.col("U") + slack))
-            .select("qid", "qv", "cell", "n_chunks"))
-    # query blocks per cell sized from the candidate count (n_pivots rows)
-    nq = F.broadcast(cand.groupBy("cell").agg(F.ceil(F.count("*") / qblock).cast("int").alias("n_qblocks")))
-    qside = (cand.join(nq, "cell")
-             .withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("n_qblocks")).cast("int"))
-             .select("cell", "qb", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("ch"),
-                     F.lit(0).alias("kind"), F.col("qid").alias("id"), F.lit(None).cast("int").alias("label"),
-                     F.col("qv").alias("vec")))
-    rside = (rcell.join(cells.select("cell", "n_chunks"), "cell").join(nq, "cell")
-             .withColumn("ch", F.pmod(F.xxhash64("rid"), F.col("n_chunks")).cast("int"))
-             .select("cell", F.explode(F.sequence(F.lit(0), F.col("n_qblocks") - 1)).alias("qb"), "ch",
-                     F.lit(1).alias("kind"), F.col("rid").alias("id"), "label", F.col("v").alias("vec")))
-    partial = qside.unionByName(rside).groupBy("cell", "qb", "ch").applyInPandas(_block_topk(k), PARTIAL)
-    wk = Window.partitionBy("qid").orderBy("dist", "rid")
-    top = partial.withColumn("r", F.row_number().over(wk)).filter(F.col("r") <= k)
+    q = queries.select(F.col(rid).cast("long").alias("qid"), F.col(vec).cast("array<double>").alias("qv"))
+    top = neighbours(r, q, k, leaves, chunk, qblock, first, watch)
     votes = top.groupBy("qid", "label").agg(F.count("*").alias("n"))
     pred = votes.groupBy("qid").agg(F.max_by("label", F.struct(F.col("n"), -F.col("label"))).alias("prediction"))
     return pred.select(F.col("qid").alias(rid), "prediction")
