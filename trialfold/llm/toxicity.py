@@ -237,8 +237,10 @@ def lexicon(rows: DataFrame) -> dict[str, float]:
     candidates = [r["word"] for r in counts.orderBy(F.desc("a"), "word").limit(CANDIDATES).collect()]
     if not candidates:
         return {w: 1.0 for w in INSULTS}
-    at = rows.select("toxic", words.alias("w")).select("toxic", "w", F.posexplode("w").alias("i", "word")).where(F.col("word").isin(candidates))
-    seen = at.select("word", "toxic", F.xxhash64(F.get("w", F.col("i") - 1), F.get("w", F.col("i") + 1)).alias("around")).distinct()
+    # a word with the hash of its neighbours; only candidates leave the row
+    placed = F.transform("w", lambda w, i: F.struct(w.alias("word"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("around")))
+    at = rows.select("toxic", words.alias("w")).select("toxic", F.explode(F.filter(placed, lambda p: p["word"].isin(candidates))).alias("p"))
+    seen = at.select("p.word", "toxic", "p.around").distinct()
     learned = {}
     for r in seen.groupBy("word").agg(*n).collect():  # CANDIDATES rows at most
         odds, error = _odds(r["a"], r["b"], toxic, clean)
