@@ -43,3 +43,9 @@ def test_salted_top_k_shuffles_on_salt(spark):
     df = spark.range(0, 1000).select(F.lit("g").alias("g"), F.col("id"))
     p = _plan(state.top_k_per_group(df, ["g"], [F.col("id")], F.lit(3), salts=8))
     assert "_salt" in p
+
+
+def test_flagship_parses_the_log_once(spark, sf_dir):
+    from trialfold.plans.pipelines import flagship
+    scans = [line for line in _plan(flagship(spark, sf_dir)).split("\n") if "FileScan" in line and "event_id" in line]
+    assert len(scans) == 1

@@ -8,7 +8,7 @@ still spreads over every task before the final merge.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialfold.functions.exprs import UNAVAILABLE, num, rfc3339_parts, small, time_key
@@ -91,14 +91,15 @@ def fold_with_objective_fallback(rows: DataFrame, trial_metrics: DataFrame, obje
     sub = F.col("sub") if "sub" in rows.columns else F.lit(0).cast("long")
     o = rows.select("trial", "metric", "value", num("value").alias("num"),
                     time_key(F.col("ts"), nanos).alias("tk"), F.col("seq").alias("seq"), sub.alias("sub"))
-    agg = _aggregate(o)
-    has_obj = (agg.select("trial", "metric").join(objectives.select("trial", F.col("objective").alias("metric")),
-                                                  ["trial", "metric"], "left_semi")
-               .select("trial", F.lit(True).alias("has_obj")))
-    j = trial_metrics.select("trial", "metric").join(agg, ["trial", "metric"], "left").join(has_obj, "trial", "left")
+    # a trial's list always has its objective, so whether the log has it shows in
+    # the folded list, and the log itself is parsed and read once
+    j = (trial_metrics.select("trial", "metric").join(_aggregate(o), ["trial", "metric"], "left")
+         .join(objectives.select("trial", "objective"), "trial", "left"))
+    logged = (F.col("metric") == F.col("objective")) & F.col("latest").isNotNull()
+    j = j.withColumn("has_obj", F.max(F.coalesce(logged, F.lit(False))).over(Window.partitionBy("trial")))  # one trial's metrics
 
     def col(c):
-        return F.when(F.col("has_obj").isNull(), F.lit(UNAVAILABLE)).otherwise(F.coalesce(c, F.lit(UNAVAILABLE)))
+        return F.when(F.col("has_obj"), F.coalesce(c, F.lit(UNAVAILABLE))).otherwise(F.lit(UNAVAILABLE))
 
     return j.select("trial", "metric", col(F.col("min")).alias("min"), col(F.col("max")).alias("max"),
                     col(F.col("latest")).alias("latest"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialfold.functions.exprs import md5_uniform, num, small, time_key
+from trialfold.functions.select import quantiles, ranked_in_groups
 from trialfold.operators.state import top_k_per_group
 from trialfold.session import cut_lineage
 
@@ -76,16 +77,13 @@ def pbt_split(pool: DataFrame, experiments: DataFrame, seed: int = 0) -> DataFra
     # the pool (one row per finished population member) is read several
     # times: materialise it once
     p = cut_lineage(pool.join(e, "experiment"))
-    # pools are bounded by the population size setting, so the exact
-    # rank-based quantile below sorts small groups only
     low, high = _quantiles(p)
-    p = p.join(low, "experiment").join(high, "experiment")
+    p = p.join(small(low), "experiment").join(small(high), "experiment")
     role = F.when(F.col("metric_value") < F.col("low"), F.lit("exploit")).otherwise(F.lit("explore"))
     upper = (role == "explore") & (F.col("metric_value") >= F.col("high"))
     p = p.withColumn("role", role).withColumn("upper", upper)
     p = p.withColumn("shuffle", md5_uniform(F.lit(seed), F.lit("pbt"), F.col("trial")))
-    w = Window.partitionBy("experiment", "role").orderBy("shuffle", "trial")
-    p = p.withColumn("rn", F.row_number().over(w))
+    p = ranked_in_groups(cut_lineage(p), ["experiment", "role"], [F.col("shuffle"), F.col("trial")], "rn")
     n_exploit = p.filter(F.col("role") == "exploit").groupBy("experiment").agg(F.count("*").alias("n_exploit"))
     p = p.join(n_exploit, "experiment", "left")
     cap_exploit = F.floor(F.col("count") * F.col("tau")).cast("long")
@@ -97,22 +95,12 @@ def pbt_split(pool: DataFrame, experiments: DataFrame, seed: int = 0) -> DataFra
 
 
 def _quantiles(p: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exact linear quantiles at tau and 1 - tau per experiment, from ranks
-    (the interpolation of numpy's default quantile)."""
-    w = Window.partitionBy("experiment").orderBy("metric_value")
-    r = p.select("experiment", "tau", "metric_value", (F.row_number().over(w) - 1).alias("idx"),
-                 F.count("*").over(Window.partitionBy("experiment")).alias("n"))
-
-    def at(frac: Column, name: str) -> DataFrame:
-        pos = frac * (F.col("n") - 1)
-        lo_i, hi_i = F.floor(pos), F.ceil(pos)
-        x = r.withColumn("pos", pos).filter((F.col("idx") == lo_i) | (F.col("idx") == hi_i))
-        g = x.groupBy("experiment").agg(
-            F.min("metric_value").alias("v_lo"), F.max("metric_value").alias("v_hi"), F.first("pos").alias("pos"))
-        val = F.col("v_lo") + (F.col("pos") - F.floor("pos")) * (F.col("v_hi") - F.col("v_lo"))
-        return g.select("experiment", val.alias(name))
-
-    return at(F.col("tau"), "low"), at(1 - F.col("tau"), "high")
+    """Exact linear quantiles at tau and 1 - tau per experiment."""
+    tau = p.select("experiment", "tau").distinct()
+    both = tau.select("experiment", F.explode(F.array("tau", 1 - F.col("tau"))).alias("fraction")).distinct()
+    found = cut_lineage(quantiles(p, ["experiment"], "metric_value", both).join(tau, "experiment"))
+    return (found.where("fraction = tau").select("experiment", F.col("quantile").alias("low")),
+            found.where(F.col("fraction") == 1 - F.col("tau")).select("experiment", F.col("quantile").alias("high")))
 
 
 def pbt_next_generation(split: DataFrame, assign_long: DataFrame, specs: DataFrame, experiments: DataFrame,
@@ -208,8 +196,9 @@ def tpe_scores(candidates: DataFrame, trials: DataFrame, gamma: float = 0.25, bi
     ``candidates`` and ``trials``: (experiment, id, dim, x in [0,1]) with
     ``trials`` also carrying ``y`` (higher is better).
     Output (experiment, candidate, score, rank) for the best ``top``."""
-    ty = trials.select("experiment", "id", "y").distinct()
-    thr = ty.groupBy("experiment").agg(F.percentile(F.col("y"), F.lit(1.0 - gamma)).alias("thr"))
+    ty = cut_lineage(trials.select("experiment", "id", "y").distinct())
+    at = ty.select("experiment", F.lit(1.0 - gamma).alias("fraction")).distinct()
+    thr = small(quantiles(ty, ["experiment"], "y", at).select("experiment", F.col("quantile").alias("thr")))
     lab = ty.join(thr, "experiment").select("experiment", "id", (F.col("y") >= F.col("thr")).alias("good"))
     ng = lab.groupBy("experiment").agg(F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_bad"))
 

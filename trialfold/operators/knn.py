@@ -169,9 +169,12 @@ def neighbours(refs: DataFrame, queries: DataFrame, k: int, leaves: int | None =
                     for leaf, q in tree.opened(_matrix(pdf["qv"]), pdf["limit"].to_numpy(), done, target):
                         yield pdf.iloc[q].assign(leaf=leaf, n=tree.count[leaf])
 
-        opened = cut_lineage(state.mapInPandas(to_open, "qid long, qv array<double>, limit double, leaf long, n long"))
-        if opened.isEmpty():
-            break
+        last = target >= n
+        opened = state.mapInPandas(to_open, "qid long, qv array<double>, limit double, leaf long, n long")
+        if done:
+            opened = cut_lineage(opened)
+            if opened.isEmpty():
+                break
         if watch:
             watch(opened.select("qid", "leaf", "n"))
         # blocks of queries and chunks of members of the opened leaves: m rows
@@ -185,9 +188,10 @@ def neighbours(refs: DataFrame, queries: DataFrame, k: int, leaves: int | None =
                           F.col("rid").alias("id"), "label", F.col("v").alias("vec"), F.lit(None).cast("double").alias("limit")))
         found = q_side.unionByName(r_side).groupBy("leaf", "qb", "ch").applyInPandas(_block_topk(k), PARTIAL)
         w = Window.partitionBy("qid").orderBy("dist", "rid")
-        best = cut_lineage((best.unionByName(found) if best else found).withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).drop("r"))
-        if target >= n:
+        best = (best.unionByName(found) if best else found).withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).drop("r")
+        if last:
             break
+        best = cut_lineage(best)
         # a query without a leaf within its k-th distance so far opens none and is finished
         limits = best.groupBy("qid").agg(F.count("*").alias("c"), F.max("dist").alias("far"))
         state = (queries.join(limits, "qid", "left")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialfold.functions.exprs import UNAVAILABLE, num, small
+from trialfold.functions.select import smallest
 from trialfold.operators.fold import pick
 
 # Trial condition types and experiment condition reasons.
@@ -151,12 +152,14 @@ def slot_budget(summary: DataFrame, experiments: DataFrame) -> DataFrame:
                     delete.cast("long").alias("delete_count"), add.cast("long").alias("add_count"))
 
 
-def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: Column, salts: int = 16,
+def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: Column, salts: int | None = None,
                     salt_key: Column | None = None) -> DataFrame:
     """Exact per-group top-k in two phases: top-k inside (group, salt)
     buckets, then top-k of the survivors.  A group with a third of all rows
-    is ranked by ``salts`` tasks first; the final window sees at most
-    ``salts * k`` rows per group."""
+    is ranked by ``salts`` tasks first (as many as shuffle partitions, unless
+    given); the final window sees at most ``salts * k`` rows per group.  For
+    bounded ``k``; ``functions.select.smallest`` takes any."""
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(*(salt_key if salt_key is not None else [F.col(c) for c in df.columns])), F.lit(salts))
     # an explicit shuffle on all keys: a child already hashed on ``group``
     # alone would otherwise satisfy the window and defeat the salt
@@ -177,9 +180,9 @@ def excess_trials(trials: DataFrame, budget: DataFrame, only_active: bool = Fals
         t = t.filter(F.col("state").isin("Pending", "Running"))
     b = budget.filter(F.col("delete_count") > 0).select("experiment", "delete_count")
     t = t.join(b, "experiment")
-    return top_k_per_group(t, ["experiment"], [F.col("created").desc(), F.col("pos").desc()],
-                           F.col("delete_count"), salt_key=[F.col("trial")]).select(
-        "experiment", "trial", "rank")
+    # k grows with the group, so its edge is selected without a window over the group
+    return smallest(t, ["experiment"], -F.unix_micros(F.col("created").cast("timestamp")), -F.col("pos").cast("long"),
+                    F.col("delete_count")).select("experiment", "trial", "rank")
 
 
 def new_assignments(suggestions: DataFrame, trials: DataFrame) -> DataFrame:
