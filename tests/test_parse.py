@@ -109,3 +109,16 @@ def test_each_experiment_has_its_own_filters(spark):
     for r in parse.parse_by_filters(lines, filters).orderBy("trial", "sub").collect():
         got.setdefault(r.trial, []).append((r.metric, r.value))
     assert got == {"t1": [("loss", "1.5")], "t2": [("recall", "7"), ("loss", "1")], "t4": [("loss", "1.5")]}
+
+
+def test_filters_fail_alone(spark):
+    """Constructs that other engines refuse or stop on: each gives its rows or an error of its experiment, and the rest is read."""
+    filters = [("flags", r"(\w+)=(?i)(\d+\.\d+)"), ("class", r"(\pL+)=(\d+\.\d+)"), ("posix", r"([[:alpha:]]+)=([[:digit:].]+)"), ("named", r"(?P<my_name>\w+)=(?P<v>[\d.]+)"),
+               ("back", r"(?P<n>\w+)=(?P=n)?(\d+\.\d+)"), ("open", r"(\w+)=(\d+"), ("ahead", r"(\w+)(?==)(=)"), ("one", r"loss=(\d+)")]
+    table = spark.createDataFrame([(e, 0, p) for e, p in filters], "experiment string, pos int, pattern string")
+    faults = {r.experiment: r.error for r in parse.filter_verdicts(table).collect() if r.error}
+    assert set(faults) == {"back", "open", "ahead", "one"} and "two capture groups" in faults["one"]
+    lines = spark.createDataFrame([(e, f"t-{e}", 1, "epoch 1 loss=0.25 x", ["loss"]) for e, _ in [*filters, ("plain", "")]],
+                                  "experiment string, trial string, line_no long, line string, metrics array<string>")
+    got = {r.trial: r.value for r in parse.parse_by_filters(lines, table).collect()}
+    assert got == {f"t-{e}": "0.25" for e in ("flags", "class", "posix", "named", "plain")}

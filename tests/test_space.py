@@ -43,7 +43,7 @@ def test_grid_size_is_product(spark):
     specs = spark.createDataFrame([("e", 0, "a", "int", "1", "5", "2", None),
                                    ("e", 1, "b", "double", "0.1", "0.35", "0.1", None),
                                    ("e", 2, "c", "categorical", None, None, None, ["x", "y"])], SCHEMA)
-    ax = space.axis_values(specs)
+    ax = space.grid_axes(specs)
     sizes = {r.name: r.size for r in ax.collect()}
     assert sizes == {"a": 3, "b": 3, "c": 2}
     g = space.grid_product(ax)
@@ -52,6 +52,33 @@ def test_grid_size_is_product(spark):
     assert first == [(0, "1"), (1, 0.1), (2, "y")]  # last axis varies fastest
 
 
+def test_wide_axes_and_products_stop_no_other_experiment(spark):
+    """Axes of 3e9 and 1e10 values, products beyond a long, steps of zero, huge bounds: sizes, single values and errors."""
+    specs = spark.createDataFrame([
+        ("int", 0, "a", "int", "1", "3000000000", "", None), ("dbl", 0, "a", "double", "0", "1e10", "1", None),
+        *[("four", i, f"p{i}", "int", "1", "1000000", "1", None) for i in range(4)],
+        ("zero", 0, "a", "int", "1", "5", "0", None), ("zero", 1, "b", "double", "0", "1", "0", None),
+        ("ends", 0, "a", "int", "-9223372036854775808", "9223372036854775807", "1", None), ("huge", 0, "a", "double", "-1e308", "1e308", "1e-300", None),
+        ("down", 0, "a", "int", "5", "1", "1", None), ("ok", 0, "a", "int", "1", "3", "1", None), ("ok", 1, "b", "categorical", None, None, None, ["x", "y"])], SCHEMA)
+    ax = space.grid_axes(specs)
+    got = {(r.experiment, r.pos): (r.size, r.error is not None) for r in ax.collect()}
+    assert got[("int", 0)] == (3_000_000_000, False) and got[("dbl", 0)] == (10_000_000_001, False)
+    assert got[("zero", 0)] == got[("zero", 1)] == (0, True) and got[("down", 0)] == (0, False)
+    assert got[("ends", 0)] == got[("huge", 0)] == (space.LARGEST, False)
+    e = spark.createDataFrame([(x, 2) for x in ("int", "dbl", "four", "zero", "ends", "huge", "down", "ok")], "experiment string, max_trial_count long")
+    sizes = {r.experiment: (r.grid_size, r.valid) for r in space.grid_size(ax, e).collect()}
+    assert sizes["four"] == (space.LARGEST, True) and sizes["ok"] == (6, True) and not sizes["zero"][1] and not sizes["down"][1]
+    # single values are made without the axis
+    far = ax.filter("experiment in ('int', 'dbl')").select("experiment", space.axis_value(F.lit(2_999_999_999).cast("long")).alias("v"))
+    assert {r.experiment: (r.v.num, r.v.text) for r in far.collect()} == {"int": (3e9, "3000000000"), "dbl": (2999999999.0, None)}
+    # listings and products of the others go on beside them
+    some = ax.filter("experiment in ('ok', 'zero', 'down')")
+    assert [(r.idx, r.text) for r in space.axis_rows(some.filter("pos = 1")).orderBy("idx").collect()] == [(0, "x"), (1, "y")]
+    assert space.grid_product(some).count() == 12
+    first = space.axis_rows(ax.filter("experiment = 'int'")).limit(3).collect()
+    assert len(first) == 3
+
+
 def test_double_axis_needs_step(spark):
     specs = spark.createDataFrame([("e", 0, "b", "double", "0.1", "0.3", None, None)], SCHEMA)
     assert space.axis_values(specs).collect()[0].error is not None

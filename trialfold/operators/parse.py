@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialfold.functions.exprs import DEFAULT_FILTER, UNAVAILABLE, ZERO_TIME, rfc3339_parts, small
-from trialfold.functions.udfs import pattern_compiles
 
 OBS_COLUMNS = ["trial", "seq", "sub", "ts_raw", "ts", "ts_nanos", "metric", "value"]
 
@@ -97,15 +96,45 @@ def parse_text_lines(lines: DataFrame, filters: list[str] | None = None,
     return out.select(*OBS_COLUMNS)
 
 
+# What the reference's engine has and the JVM's hasn't, and the other way.
+#: Names of its bracket classes, as the JVM calls them.
+POSIX_CLASSES = {"alnum": "Alnum", "alpha": "Alpha", "ascii": "ASCII", "blank": "Blank", "cntrl": "Cntrl", "digit": "Digit", "graph": "Graph",
+                 "lower": "Lower", "print": "Print", "punct": "Punct", "space": "Space", "upper": "Upper", "xdigit": "XDigit"}
+#: Look-around, atomic groups, back references, possessive repetition and ungreedy mode: the JVM takes them, the other engine doesn't.
+FOREIGN = r"\(\?(?:[=!>]|<[=!]|P=|P>|[a-z]*U)|\\[1-9k]|[*+?]\+|\{\d+(?:,\d*)?\}\+"
+
+
+def java_pattern(p: Column) -> Column:
+    """An RE2 pattern for the JVM engine: group names go (groups are read by
+    number), bracket classes and scripts get their names there, a brace that
+    opens no repetition is escaped.  NULL for what RE2 itself doesn't take."""
+    out = F.regexp_replace(p, r"(?<!\\)\{(?!\d+(,\d*)?\})(?<!\\[pPx]\{)", r"\\{")
+    out = F.regexp_replace(out, r"\(\?P?<(?![=!])\w+>", "(")
+    out = F.regexp_replace(out, r"(\\[pP]\{)([A-Z][a-z]{2,}\w*)\}", "$1Is$2}")
+    for name, java in POSIX_CLASSES.items():
+        out = F.regexp_replace(F.regexp_replace(out, rf"\[:{name}:\]", rf"\\p{{{java}}}"), rf"\[:\^{name}:\]", rf"\\P{{{java}}}")
+    return F.when(~p.rlike(FOREIGN), out)
+
+
+def filter_verdicts(filters: DataFrame, pattern: str = "pattern") -> DataFrame:
+    """``filters`` with ``java`` (the pattern for the JVM engine, NULL if it can't
+    be used) and ``error``.  The JVM itself compiles each pattern, and one that
+    it refuses is an error of its own row, never of the job."""
+    p = F.col(pattern)
+    bare = F.regexp_replace(F.regexp_replace(p, r"\\.", ""), r"\[(?:\[:\^?\w+:\]|[^\]])*\]", "")
+    groups = F.regexp_count(bare, F.lit(r"\((?!\?)|\(\?P?<(?![=!])"))
+    java = java_pattern(p)
+    compiles = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), java).isNotNull()
+    error = (F.when(p.isNull() | java.isNull() | ~compiles, F.lit("filter does not compile"))
+             .when(groups < 2, F.lit("filter must have at least two capture groups")))
+    return filters.withColumn("error", error).withColumn("java", F.when(F.col("error").isNull(), java))
+
+
 def usable_filters(filters: DataFrame) -> DataFrame:
     """(experiment, pos, pattern) as the JVM engine takes them.  The pattern is
     NULL where the filter doesn't compile or has less than two groups: it
-    finds nothing.  Python sees the distinct specs only, never a log line."""
-    p = F.col("pattern")
-    bare = F.regexp_replace(F.regexp_replace(p, r"\\.", ""), r"\[[^\]]*\]", "")
-    groups = F.regexp_count(bare, F.lit(r"\((?!\?)|\(\?P?<"))
-    java = F.regexp_replace(F.regexp_replace(p, r"(?<!\\)\{(?!\d+(,\d*)?\})", r"\\{"), r"\(\?P<", "(?<")
-    return filters.select("experiment", "pos", F.when(pattern_compiles(p) & (groups >= 2), java).alias("pattern"))
+    finds nothing (``filter_verdicts`` names it)."""
+    return filter_verdicts(filters).select("experiment", "pos", F.col("java").alias("pattern"))
 
 
 def parse_by_filters(lines: DataFrame, filters: DataFrame, line_col: str = "line", metrics_col: str = "metrics") -> DataFrame:
@@ -252,12 +281,10 @@ def json_timestamp(tsv: Column, compat: str = "literal") -> tuple[Column, Column
 
 def filter_pattern_check(specs: DataFrame, pattern_col: str = "filter") -> DataFrame:
     """A collector filter must compile and hold at least two
-    parenthesised groups.  Output: (…, valid, reason).  Compilation is a
-    small Arrow-batched helper (one call per spec row, never in a log
-    path)."""
-    p = F.col(pattern_col)
-    two = p.rlike(r".*\(.*\).*\(.*\).*")
-    compiles = pattern_compiles(p)
-    return (specs.withColumn("valid", two & compiles)
+    parenthesised groups.  Output: (…, valid, reason).  The engine that
+    reads the logs compiles it (``filter_verdicts``)."""
+    two = F.col(pattern_col).rlike(r".*\(.*\).*\(.*\).*")
+    compiles = F.col("error").isNull() | (F.col("error") != "filter does not compile")
+    return (filter_verdicts(specs, pattern_col).withColumn("valid", two & compiles)
             .withColumn("reason", F.when(~compiles, F.lit("filter does not compile"))
-                        .when(~two, F.lit("filter must have at least two capture groups"))))
+                        .when(~two, F.lit("filter must have at least two capture groups"))).drop("error", "java"))

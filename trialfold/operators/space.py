@@ -26,53 +26,93 @@ def _d(c: str) -> Column:
     return F.col(c).try_cast("double")
 
 
-#: Values that one row may list.
-MAX_AXIS = 100_000_000
+#: Values that one row may list (``axis_values``; ``axis_rows`` and ``grid_product`` list none).
+MAX_AXIS = 1_000_000
+#: Sizes and products stop here.
+LARGEST = 2**63 - 1
 
 
-def axis_values(specs: DataFrame) -> DataFrame:
-    """Per (experiment, param) the grid values, in order.
+def _saturated(c: Column) -> Column:
+    return F.least(c.cast("decimal(38,0)"), F.lit(LARGEST).cast("decimal(38,0)")).cast("long")
+
+
+def _product(sizes: Column) -> Column:
+    """Product of an array of sizes; it stops at LARGEST and never overflows,
+    as two factors of 63 bits fit a decimal of 38 digits."""
+    return F.aggregate(sizes, F.lit(1).cast("long"), lambda a, b: _saturated(a.cast("decimal(19,0)") * b.cast("decimal(19,0)")))
+
+
+def grid_axes(specs: DataFrame) -> DataFrame:
+    """Per (experiment, param) the grid axis as (start, step, size); its
+    values are made where they are asked for (``axis_value``).
     int: min..max by step (default 1) inclusive; double: arange(min,
     max+step, step) with the last value dropped when above max (step
-    required, else ``error``); categorical/discrete: the list.
-    Output adds ``values`` array<struct<num:double,text:string>>, ``size``
-    and ``error``."""
+    required); categorical/discrete: the list.  An axis that can't be laid out
+    is an ``error`` of its own experiment.  Sizes stop at LARGEST."""
     t = F.col("type")
-    # a longer axis than an array can hold is that experiment's error, with its true size
+    dec = "decimal(20,0)"
     step_i = F.coalesce(F.nullif(F.col("step"), F.lit("")), F.lit("1")).try_cast("long")
     lo_i, hi_i = F.col("min").try_cast("long"), F.col("max").try_cast("long")
-    n_all = F.greatest(F.ceil((hi_i + 1 - lo_i) / step_i), F.lit(0)).cast("long")
-    wide = (t == "int") & (n_all > MAX_AXIS)
-    n_int = F.when(n_all <= MAX_AXIS, n_all).otherwise(0).cast("int")
+    n_int = F.greatest(F.ceil((hi_i.cast(dec) + 1 - lo_i.cast(dec)) / F.nullif(step_i, F.lit(0)).cast(dec)), F.lit(0))
     lo_d, hi_d, st_d = _d("min"), _d("max"), _d("step")
-    n_dbl_raw = F.greatest(F.ceil((hi_d + st_d - lo_d) / st_d), F.lit(0)).cast("int")
+    steps = (hi_d + st_d - lo_d) / F.nullif(st_d, F.lit(0.0))
+    raw = F.when(steps <= 0, 0.0).when(steps < 9.0e18, F.ceil(steps).cast("double")).otherwise(F.when(steps.isNotNull(), float(LARGEST)))
     # arange then drop the last value when it overshoots max
-    last = lo_d + (n_dbl_raw - 1) * st_d
-    n_dbl = F.when((n_dbl_raw > 0) & (last > hi_d), n_dbl_raw - 1).otherwise(n_dbl_raw)
-
-    def seq(n):
-        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-
-    ints = F.transform(seq(n_int), lambda i: F.struct((lo_i + i * step_i).cast("double").alias("num"),
-                                                      (lo_i + i * step_i).cast("string").alias("text")))
-    dbls = F.transform(seq(n_dbl), lambda i: F.struct((lo_d + i * st_d).alias("num"),
-                                                      F.lit(None).cast("string").alias("text")))
-    lst = F.transform(F.coalesce(F.col("list"), F.array().cast("array<string>")),
-                      lambda v: F.struct(v.try_cast("double").alias("num"), v.alias("text")))
-    values = (F.when(t == "int", ints).when(t == "double", F.when(st_d.isNotNull(), dbls))
-              .when(t.isin("categorical", "discrete"), lst))
+    n_dbl = F.when((raw > 0) & (raw < 9.0e18) & (lo_d + (raw - 1) * st_d > hi_d), raw - 1).otherwise(raw)
+    size = (F.when(t == "int", _saturated(n_int))
+            .when(t == "double", F.when(n_dbl >= 9.0e18, F.lit(LARGEST)).otherwise(n_dbl.cast("long")))
+            .when(t.isin("categorical", "discrete"), F.coalesce(F.size("list"), F.lit(0)).cast("long")))
     error = (F.when((t == "double") & st_d.isNull(), F.lit("step is required for a double grid axis"))
-             .when(wide, F.lit("the grid axis has too many values to list")))
-    size = F.when(wide, n_all).otherwise(F.coalesce(F.size("values"), F.lit(0)))
-    return specs.withColumn("values", values).withColumn("size", size).withColumn("error", error)
+             .when(((t == "double") & (st_d == 0)) | ((t == "int") & (step_i == 0)), F.lit("step must not be zero")))
+    return (specs.withColumn("start_i", lo_i).withColumn("step_i", step_i).withColumn("start_d", lo_d).withColumn("step_d", st_d)
+            .withColumn("size", F.when(error.isNull(), F.coalesce(size, F.lit(0))).otherwise(F.lit(0)).cast("long")).withColumn("error", error))
+
+
+def axis_value(i: Column) -> Column:
+    """The value at place ``i`` (long, from 0) of a row of ``grid_axes``: (num, text)."""
+    t = F.col("type")
+    whole = F.col("start_i") + i * F.col("step_i")
+    item = F.get(F.col("list"), i.try_cast("int"))
+    return (F.when(t == "int", F.struct(whole.cast("double").alias("num"), whole.cast("string").alias("text")))
+            .when(t == "double", F.struct((F.col("start_d") + i * F.col("step_d")).alias("num"), F.lit(None).cast("string").alias("text")))
+            .otherwise(F.struct(item.try_cast("double").alias("num"), item.alias("text"))))
+
+
+def _counted(df: DataFrame, n: str, name: str) -> DataFrame:
+    """Each row ``n`` times (a long of any size), numbered from 0: four steps of
+    at most 2^17 numbers each, and chunks of GRID_CHUNK dealt out over tasks."""
+    last = F.col(n) - 1
+    out = df.where(F.col(n) > 0).withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(last, 46))))
+    for above, shift in ((17, 29), (17, 12)):
+        start = F.shiftleft(name, above)
+        out = out.withColumn(name, F.explode(F.sequence(start, F.least(start + ((1 << above) - 1), F.shiftright(last, shift)))))
+    out = out.repartition("experiment", name)
+    start = F.col(name) * GRID_CHUNK
+    return out.withColumn(name, F.explode(F.sequence(start, F.least(start + (GRID_CHUNK - 1), last))))
+
+
+def axis_rows(axes: DataFrame) -> DataFrame:
+    """O40 as rows (experiment, pos, name, idx, num, text); no row holds an axis."""
+    v = axis_value(F.col("idx"))
+    return _counted(axes, "size", "idx").select("experiment", "pos", "name", "idx", v["num"].alias("num"), v["text"].alias("text"))
+
+
+def axis_values(specs: DataFrame) -> DataFrame:
+    """O40 with the ``values`` of each axis as an array, for short axes (those of
+    operations): a longer one than MAX_AXIS is its experiment's error."""
+    a = grid_axes(specs)
+    error = F.when(F.col("error").isNotNull(), F.col("error")).when(F.col("size") > MAX_AXIS, F.lit("the grid axis has too many values to list"))
+    n = F.when(F.col("size") <= MAX_AXIS, F.col("size")).otherwise(F.lit(0))
+    places = F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+    values = F.when((F.col("type") == "double") & F.col("error").isNotNull(), F.lit(None)).otherwise(F.transform(places, axis_value))
+    return a.withColumn("values", values).withColumn("error", error).drop("start_i", "step_i", "start_d", "step_d")
 
 
 def grid_size(axes: DataFrame, experiments: DataFrame) -> DataFrame:
-    """Product of the axis sizes (never materialised); invalid when
-    maxTrialCount exceeds it."""
+    """Product of the axis sizes (never materialised, stops at LARGEST);
+    invalid when maxTrialCount exceeds it."""
     g = axes.groupBy("experiment").agg(
-        F.aggregate(F.collect_list(F.col("size").cast("long")), F.lit(1).cast("long"), lambda a, b: a * b).alias("grid_size"),
-        F.max(F.col("error").isNotNull()).alias("has_error"))
+        _product(F.collect_list("size")).alias("grid_size"), F.max(F.col("error").isNotNull()).alias("has_error"))
     return (g.join(small(experiments.select("experiment", "max_trial_count")), "experiment")
             .select("experiment", "grid_size", "max_trial_count",
                     (~F.col("has_error") & (F.col("max_trial_count") <= F.col("grid_size"))).alias("valid")))
@@ -80,23 +120,16 @@ def grid_size(axes: DataFrame, experiments: DataFrame) -> DataFrame:
 
 def grid_product(axes: DataFrame) -> DataFrame:
     """Every combination of all axes (last axis fastest, as an
-    itertools product), decoded from the combination index.
+    itertools product), decoded from the combination index; values are made
+    from (start, step), so no array of them travels.
     Output (experiment, combo, pos, name, value_num, value_text)."""
-    sizes = axes.groupBy("experiment").agg(F.collect_list(F.struct("pos", F.col("size").cast("long").alias("size"))).alias("sizes"))
-    tot = sizes.select("experiment", F.aggregate(F.transform("sizes", lambda z: z["size"]), F.lit(1).cast("long"),
-                                                 lambda x, y: x * y).alias("n"))
-    a = axes.join(small(sizes), "experiment").withColumn("stride", F.aggregate(
-        F.transform(F.filter("sizes", lambda z: z["pos"] > F.col("pos")), lambda z: z["size"]),
-        F.lit(1).cast("long"), lambda x, y: x * y))
-    chunks = tot.select("experiment", "n", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                 F.greatest((F.col("n") - 1) / GRID_CHUNK, F.lit(0)).cast("long"))).alias("chunk"))
-    chunks = chunks.filter(F.col("n") > 0).repartition("experiment", "chunk")
-    idx = chunks.select("experiment", F.explode(F.sequence(F.col("chunk") * GRID_CHUNK,
-                                                           F.least((F.col("chunk") + 1) * GRID_CHUNK, F.col("n")) - 1)).alias("combo"))
-    j = idx.join(small(a.select("experiment", "pos", "name", "size", "stride", "values")), "experiment")
-    digit = (F.floor(F.col("combo") / F.col("stride")) % F.col("size")).cast("int")
-    v = F.element_at(F.col("values"), digit + 1)
-    return j.select("experiment", "combo", "pos", "name", v["num"].alias("value_num"), v["text"].alias("value_text"))
+    sizes = axes.groupBy("experiment").agg(F.collect_list(F.struct("pos", "size")).alias("sizes"))
+    tot = sizes.select("experiment", _product(F.transform("sizes", lambda z: z["size"])).alias("n"))
+    a = axes.join(small(sizes), "experiment").withColumn(
+        "stride", _product(F.transform(F.filter("sizes", lambda z: z["pos"] > F.col("pos")), lambda z: z["size"]))).drop("sizes")
+    j = _counted(tot, "n", "combo").drop("n").join(small(a), "experiment")
+    j = j.withColumn("v", axis_value(F.floor(F.col("combo") / F.col("stride").cast("decimal(20,0)")).cast("long") % F.col("size")))
+    return j.select("experiment", "combo", "pos", "name", F.col("v.num").alias("value_num"), F.col("v.text").alias("value_text"))
 
 
 # ------------------------------------------------------------------ sampling
@@ -264,16 +297,15 @@ def nas_operations(ops: DataFrame) -> DataFrame:
     per_op = ax.groupBy("experiment", "op_pos", "op_type").agg(
         F.sort_array(F.collect_list(F.struct("ppos", "name", "size", "values"))).alias("axes"))
     per_op = per_op.withColumn("axes", F.filter("axes", lambda a: a["name"].isNotNull()))
-    n = F.aggregate(F.transform("axes", lambda a: a["size"].cast("long")), F.lit(1).cast("long"), lambda a, b: a * b)
-    per_op = per_op.withColumn("n", n)
+    per_op = per_op.withColumn("n", _product(F.transform("axes", lambda a: a["size"])))
     w = Window.partitionBy("experiment").orderBy("op_pos").rowsBetween(Window.unboundedPreceding, -1)
     per_op = per_op.withColumn("base", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    x = per_op.select("experiment", "op_type", "axes", "base", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
+    x = _counted(per_op.select("experiment", "op_type", "axes", "base", "n"), "n", "i")
     k = F.size("axes")
 
     def digit(j):
         later = F.slice(F.col("axes"), j + 2, k)
-        stride = F.aggregate(F.transform(later, lambda a: a["size"].cast("long")), F.lit(1).cast("long"), lambda a, b: a * b)
+        stride = _product(F.transform(later, lambda a: a["size"]))
         ax_j = F.element_at(F.col("axes"), j + 1)
         d = (F.floor(F.col("i") / stride) % ax_j["size"]).cast("int")
         v = F.element_at(ax_j["values"], d + 1)

@@ -160,6 +160,29 @@ def q_experiment_filters(spark, d):
     return parse.parse_by_filters(lines, experiment_filters(spark, d)).select("trial", "seq", "sub", "metric", "value")
 
 
+#: Filters with what the JVM engine should be given: None where the filter is at fault.
+_TRANSLATED = [
+    (r"(\w+)=(?i)(\d+\.\d+)", r"(\w+)=(?i)(\d+\.\d+)"), (r"(\pL+)=(\d+\.\d+)", r"(\pL+)=(\d+\.\d+)"),
+    (r"(?P<n>\w+)=(?P=n)?(\d+\.\d+)", None), (r"(?P<my_name>\w+)=(?P<v>\d+)", r"(\w+)=(\d+)"),
+    (r"([[:alpha:]_]+) ([[:^alpha:]]+)", r"([\p{Alpha}_]+) ([\P{Alpha}]+)"), (r"(\p{Greek}+)=(\d+)", r"(\p{IsGreek}+)=(\d+)"),
+    (r"(\w+) {(-?\d+\.\d+)}", r"(\w+) \{(-?\d+\.\d+)}"), (r"(a)(?=b)(c)", None), (r"(a", None), (r"accuracy=(\d+)", None), (r"(\w{2,3})=(\d{2}+)", None)]
+
+
+def _quoted(text: str | None) -> str:
+    return "NULL" if text is None else "'" + text.replace("'", "''") + "'"
+
+
+@register("o14c_filter_translation", f"""
+SELECT 'exp-c' || c_custkey AS experiment, f.pattern, f.java, f.java IS NULL AS failed
+FROM customer JOIN (VALUES {", ".join(f"({i}, {_quoted(p)}, {_quoted(j)})" for i, (p, j) in enumerate(_TRANSLATED))}) f(k, pattern, java)
+  ON c_custkey % {len(_TRANSLATED)} = f.k""")
+def q_filter_translation(spark, d):
+    """A filter for every customer: what the engine of the logs takes, or a fault of that experiment alone."""
+    pattern = F.element_at(F.array(*[F.lit(p) for p, _ in _TRANSLATED]), (F.col("c_custkey") % len(_TRANSLATED) + 1).cast("int"))
+    c = views.table(spark, d, "customer").select(F.concat(F.lit("exp-c"), F.col("c_custkey").cast("string")).alias("experiment"), pattern.alias("pattern"))
+    return parse.filter_verdicts(c).select("experiment", "pattern", "java", F.col("error").isNotNull().alias("failed"))
+
+
 # O16's whitelist is the last step of the full text parse registered as
 # o12_o16_text_log_parse in catalog.py.
 

@@ -38,10 +38,9 @@ def _specs(spark, d):
 SELECT experiment, pos, name, CAST(generate_subscripts(vals, 1) - 1 AS INTEGER) AS idx,
   round(unnest(vals).num, 9) AS value_num, unnest(vals).text AS value_text FROM axes""", "param_specs", extra=[AXES_SQL]))
 def q_axis_values(spark, d):
-    a = space.axis_values(_specs(spark, d))
-    x = a.select("experiment", "pos", "name", F.posexplode("values").alias("idx", "v"))
+    x = space.axis_rows(space.grid_axes(_specs(spark, d)))
     return x.select("experiment", "pos", "name", F.col("idx").cast("int").alias("idx"),
-                    F.round("v.num", 9).alias("value_num"), F.col("v.text").alias("value_text"))
+                    F.round("num", 9).alias("value_num"), F.col("text").alias("value_text"))
 
 
 @register("o41_grid_product", with_views("""
@@ -53,7 +52,7 @@ FROM (SELECT experiment, unnest(range(n)) AS combo FROM tot) i JOIN strides s US
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1)::BIGINT AS stride FROM axes"""),
     ("tot", "SELECT experiment, product(len(vals))::BIGINT AS n FROM axes GROUP BY experiment")]))
 def q_grid_product(spark, d):
-    g = space.grid_product(space.axis_values(_specs(spark, d)))
+    g = space.grid_product(space.grid_axes(_specs(spark, d)))
     return g.withColumn("value_num", F.round("value_num", 9))
 
 
@@ -63,7 +62,33 @@ FROM (SELECT experiment, product(len(vals))::BIGINT AS n, bool_or(type = 'double
       FROM axes GROUP BY experiment) t JOIN experiments e USING (experiment)""", "param_specs", "experiments", extra=[AXES_SQL]))
 def q_grid_size(spark, d):
     c = Ctx(spark, d)
-    return space.grid_size(space.axis_values(_specs(spark, d)), c.experiments)
+    return space.grid_size(space.grid_axes(_specs(spark, d)), c.experiments)
+
+
+@register("o42b_wide_grids", """
+SELECT experiment, type, size, error IS NOT NULL AS failed, grid_size FROM (
+  SELECT 'exp-c' || c_custkey AS experiment, k, CASE k WHEN 0 THEN 'int' WHEN 1 THEN 'double' WHEN 2 THEN 'int' ELSE 'double' END AS type,
+    CASE k WHEN 0 THEN 3000000000 + c_custkey WHEN 1 THEN 10000000001 WHEN 2 THEN 1000000 ELSE CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 1 + c_nationkey END END AS size,
+    CASE WHEN k = 3 AND c_custkey % 5 = 0 THEN 'step' END AS error,
+    CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 9223372036854775807 END AS grid_size
+  FROM customer, range(4) t(k))""")
+def q_wide_grids(spark, d):
+    """Axes too long to list, for every customer: answered by size, and a bad step fails alone."""
+    c = views.table(spark, d, "customer").select(F.concat(F.lit("exp-c"), F.col("c_custkey").cast("string")).alias("experiment"), "c_custkey", "c_nationkey")
+    no_list = F.lit(None).cast("array<string>")
+
+    def axis(pos, kind, low, high, step):
+        texts = [x.cast("string") if not isinstance(x, str) else F.lit(x) for x in (low, high, step)]
+        return F.struct(F.lit(pos).alias("pos"), F.lit(f"p{pos}").alias("name"), F.lit(kind).alias("type"), texts[0].alias("min"),
+                        texts[1].alias("max"), texts[2].alias("step"), no_list.alias("list"))
+
+    step = F.when(F.col("c_custkey") % 5 == 0, F.lit("0")).otherwise(F.lit("0.5"))
+    specs = c.select("experiment", F.explode(F.array(
+        axis(0, "int", "1", F.lit(3_000_000_000).cast("long") + F.col("c_custkey"), "1"), axis(1, "double", "0", "1e10", "1"),
+        axis(2, "int", "-5", F.lit(999_994), "1"), axis(3, "double", "0", (F.col("c_nationkey") / 2).cast("string"), step))).alias("a")).select("experiment", "a.*")
+    axes = space.grid_axes(specs)
+    sizes = space.grid_size(axes, c.select("experiment", F.lit(1).alias("max_trial_count")))
+    return axes.join(sizes, "experiment").select("experiment", "type", "size", F.col("error").isNotNull().alias("failed"), "grid_size")
 
 
 def _counts(c: Ctx):
