@@ -199,13 +199,25 @@ def q_append(spark, d):
                     F.col("day").cast("string").alias("day"))
 
 
+def _append_obs(spark, d, path):
+    """The metric log as the store takes it."""
+    rows = views.obs(spark, d).withColumns({"sub": F.lit(0).cast("long"), "ts_nanos": F.lit(0), "ts_raw": F.lit("given")})
+    store.append_observations(rows, path)
+
+
+def _stored(spark, d, name):
+    p = scratch(spark, f"{name}_store")
+    _append_obs(spark, d, p)
+    return store.read_store(spark, p)
+
+
 @register("o04_observation_range_read", with_views("""
 SELECT r.req, o.trial, strftime(o.ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, o.seq, o.metric, o.value
 FROM obs o JOIN range_requests r USING (trial)
 WHERE (r.req_metric IS NULL OR o.metric = r.req_metric) AND (r.start IS NULL OR o.ts >= r.start)
   AND (r."end" IS NULL OR o.ts <= r."end")""", "obs", "range_requests"))
 def q_range_read(spark, d):
-    r = store.range_read(views.obs(spark, d), views.range_requests(spark, d))
+    r = store.range_read(_stored(spark, d, "range"), views.range_requests(spark, d))
     return r.select("req", "trial", ts_text(F.col("ts")).alias("ts"), "seq", "metric", "value")
 
 
@@ -215,7 +227,10 @@ WHERE o.trial NOT IN (SELECT trial FROM trials_state WHERE state IN ('Failed', '
 def q_delete(spark, d):
     c = Ctx(spark, d)
     doomed = c.trials_state.filter(F.col("state").isin("Failed", "Killed"))
-    return store.delete_trials(c.obs, doomed).select("trial", "seq", "metric", "value")
+    p = scratch(spark, "delete_store")
+    _append_obs(spark, d, p)
+    store.delete_and_rewrite(spark, p, doomed)
+    return store.read_store(spark, p).select("trial", "seq", "metric", "value")
 
 
 @register("o06_multi_metric_fetch", with_views("""

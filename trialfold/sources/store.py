@@ -1,44 +1,143 @@
-"""Observation store (O03–O06): a day-partitioned Parquet table.
-
-Append skips rows without a time text, normalises times to UTC µs and
-partitions by day so range reads prune partitions; deletes are anti joins
-that rewrite only the touched partitions (dynamic partition overwrite).
+"""Observation store (O03–O06): a day-partitioned Parquet table with snapshots.
+
+Every write goes to a version folder of its own
+(``data/version=<id>/day=<day>``), and a manifest names the (day, version)
+folders that make up the table.  A manifest appears by one rename, so an append
+or a delete that dies half way leaves the table as it was, and a reader keeps
+the snapshot that it began with.  Deletes rewrite only the days that hold doomed
+rows; ``expire`` removes folders that the last manifest doesn't name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialfold.functions.exprs import small
 
 STORE_COLUMNS = ["trial", "seq", "sub", "ts", "ts_nanos", "metric", "value"]
+STORE_SCHEMA = "trial string, seq long, sub long, ts timestamp, ts_nanos int, metric string, value string"
 
 
-def append_observations(rows: DataFrame, path: str, writers_per_day: int = 16) -> None:
-    """Rows with an empty time text are skipped; the rest appended."""
-    r = rows.filter(F.coalesce(F.col("ts_raw"), F.lit("")) != "")
-    r = r.select(*STORE_COLUMNS, F.coalesce(F.to_date("ts"), F.lit("0001-01-01").cast("date")).alias("day"))
+# ----------------------------------------------------------------- snapshots
+
+def _files(spark: SparkSession, path: str):
+    """(file system, Path class) of a folder."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop.Path
+
+
+def _last(spark: SparkSession, path: str) -> int:
+    """Number of the last snapshot, 0 for none."""
+    fs, at = _files(spark, path)
+    folder = at(f"{path}/snapshots")
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    return max((int(n) for n in names if n.isdigit()), default=0)
+
+
+def snapshot(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(day, version) folders of the last snapshot: a row for each day and write."""
+    n = _last(spark, path)
+    if not n:
+        return []
+    rows = spark.read.text(f"{path}/snapshots/{n:012d}").collect()
+    return [tuple(r["value"].split(" ")) for r in rows if r["value"]]
+
+
+def _commit(spark: SparkSession, path: str, folders: list[tuple[str, str]]) -> None:
+    """Make ``folders`` the table: the manifest is written aside and renamed."""
+    fs, at = _files(spark, path)
+    aside, name = at(f"{path}/snapshots/.{uuid.uuid4().hex}"), at(f"{path}/snapshots/{_last(spark, path) + 1:012d}")
+    out = fs.create(aside, False)
+    out.write(bytearray("".join(f"{day} {version}\n" for day, version in sorted(folders)) + "\n", "utf-8"))
+    out.close()
+    if fs.exists(name) or not fs.rename(aside, name):
+        raise RuntimeError("another writer has committed this snapshot")
+
+
+def _written(rows: DataFrame, path: str, writers_per_day: int) -> list[tuple[str, str]]:
+    """Write rows (with ``day``) as a new version; its (day, version) folders."""
+    version = uuid.uuid4().hex
     # a busy day is spread over ``writers_per_day`` tasks (and files) instead
     # of one, so one day holding a third of the rows does not serialise the write
     salt = F.pmod(F.xxhash64("trial", "seq", "sub"), F.lit(writers_per_day))
-    (r.repartition("day", salt).write.mode("append").partitionBy("day").parquet(path))
+    folder = f"{path}/data/version={version}"
+    rows.repartition("day", salt).write.partitionBy("day").parquet(folder)
+    fs, at = _files(rows.sparkSession, path)
+    names = [f.getPath().getName() for f in fs.listStatus(at(folder))]
+    return [(n.removeprefix("day="), version) for n in names if n.startswith("day=")]
+
+
+def append_observations(rows: DataFrame, path: str, writers_per_day: int = 16) -> None:
+    """Rows with an empty time text are skipped; the rest appended."""
+    spark = rows.sparkSession
+    r = rows.filter(F.coalesce(F.col("ts_raw"), F.lit("")) != "").select(*STORE_COLUMNS)
+    r = r.to(spark.createDataFrame([], STORE_SCHEMA).schema)
+    r = r.withColumn("day", F.coalesce(F.to_date("ts"), F.lit("0001-01-01").cast("date")))
+    new = _written(r, path, writers_per_day)
+    _commit(spark, path, snapshot(spark, path) + new)
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The last snapshot."""
+    folders = snapshot(spark, path)
+    if not folders:
+        return spark.createDataFrame([], STORE_SCHEMA + ", day date")
+    paths = [f"{path}/data/version={version}/day={day}" for day, version in folders]
+    schema = STORE_SCHEMA + ", version string, day date"
+    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*paths).drop("version")
+
+
+def delete_and_rewrite(spark: SparkSession, path: str, doomed: DataFrame, writers_per_day: int = 16) -> None:
+    """O05 applied to the table: the days that hold doomed rows are written
+    anew without them, and one manifest takes their place."""
+    store = read_store(spark, path)
+    touched = [str(r["day"]) for r in store.join(doomed.select("trial").distinct(), "trial", "left_semi").select("day").distinct().collect()]
+    if not touched:
+        return
+    keep = delete_trials(store.filter(F.col("day").cast("string").isin(touched)), doomed)
+    new = _written(keep, path, writers_per_day)
+    _commit(spark, path, [x for x in snapshot(spark, path) if x[0] not in set(touched)] + new)
+
+
+def expire(spark: SparkSession, path: str) -> None:
+    """Remove the manifests before the last one, and the folders that it doesn't name."""
+    used, n = set(snapshot(spark, path)), _last(spark, path)
+    fs, at = _files(spark, path)
+    for version in fs.listStatus(at(f"{path}/data")):
+        for day in fs.listStatus(version.getPath()):
+            place = (day.getPath().getName().removeprefix("day="), version.getPath().getName().removeprefix("version="))
+            if day.isDirectory() and place not in used:
+                fs.delete(day.getPath(), True)
+    for i in range(1, n):
+        fs.delete(at(f"{path}/snapshots/{i:012d}"), False)
+
+
+# --------------------------------------------------------------------- reads
+
+def _in_order(store: DataFrame, first: list[str]) -> list[Column]:
+    return [F.col(c) for c in [*first, "ts", "ts_nanos", "seq", "sub"] if c in [*first, *store.columns]]
 
 
 def range_read(store: DataFrame, requests: DataFrame) -> DataFrame:
     """O04 in bulk: ``requests`` (req, trial, metric?, start?, end?) — each
-    condition applies only when given, closed interval.  Equi join on
-    trial; the optional conditions are a filter.  Sorted by (ts, seq)
-    inside each request (Q15 tie-break)."""
-    j = store.join(requests, "trial")
+    condition applies only when given, closed interval.  Requests with both
+    ends are laid out by day, so the join also prunes the store's days; the
+    others join on the trial.  Sorted by (req, ts, nanoseconds, seq, sub)."""
     cond = ((F.col("req_metric").isNull() | (F.col("metric") == F.col("req_metric")))
             & (F.col("start").isNull() | (F.col("ts") >= F.col("start")))
             & (F.col("end").isNull() | (F.col("ts") <= F.col("end"))))
-    return j.filter(cond).select("req", "trial", "ts", "seq", "metric", "value")
+    if "day" in store.columns:
+        both = F.col("start").isNotNull() & F.col("end").isNotNull()
+        by_day = requests.filter(both & (F.col("start") <= F.col("end"))).withColumn(
+            "day", F.explode(F.sequence(F.to_date("start"), F.to_date("end"), F.expr("interval 1 day"))))
+        found = store.join(small(by_day), ["trial", "day"]).filter(cond)
+        found = found.unionByName(store.join(small(requests.filter(~both)), "trial").filter(cond).select(found.columns))
+    else:
+        found = store.join(requests, "trial").filter(cond)
+    return found.orderBy(*_in_order(store, ["req"])).select("req", "trial", "ts", "seq", "metric", "value")
 
 
 def range_read_one(store: DataFrame, trial: str, metric: str | None = None,
@@ -54,7 +153,7 @@ def range_read_one(store: DataFrame, trial: str, metric: str | None = None,
     if end is not None:
         q = q.filter(F.col("ts") <= F.lit(end).cast("timestamp"))
         q = q.filter(F.col("day") <= F.to_date(F.lit(end).cast("timestamp"))) if "day" in store.columns else q
-    return q.orderBy("ts", "seq", "sub")
+    return q.orderBy(*_in_order(store, []))
 
 
 def delete_trials(store: DataFrame, doomed: DataFrame) -> DataFrame:
@@ -62,24 +161,6 @@ def delete_trials(store: DataFrame, doomed: DataFrame) -> DataFrame:
     return store.join(doomed.select("trial").distinct(), "trial", "left_anti")
 
 
-def delete_and_rewrite(spark: SparkSession, path: str, doomed: DataFrame) -> None:
-    """O05 applied to the table: only partitions holding doomed rows are
-    rewritten (dynamic partition overwrite); the result is staged through a
-    checkpoint so the overwrite never reads what it replaces.  A day whose
-    rows are all doomed has nothing to overwrite it with, so its folder is
-    removed."""
-    store = read_store(spark, path)
-    touched = store.join(doomed.select("trial").distinct(), "trial", "left_semi").select("day").distinct()
-    keep = delete_trials(store.join(touched, "day", "left_semi"), doomed).checkpoint(eager=True)
-    emptied = [r["day"] for r in touched.join(keep.select("day").distinct(), "day", "left_anti").collect()]
-    keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for day in emptied:
-        folder = hadoop.Path(f"{path}/day={day}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    spark.catalog.refreshByPath(path)
-
-
 def multi_metric_fetch(obs: DataFrame, trials: DataFrame, wanted: DataFrame) -> DataFrame:
     """One scan for every trial's objective and additional metrics;
     ``wanted`` (experiment, metric) is broadcast after a size check."""
