@@ -1,5 +1,7 @@
 """Streaming operators agree with their batch twins."""
 
+import random
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -22,17 +24,75 @@ def test_incremental_fold_matches_batch(spark, sf_dir):
     lines = parse.attach_metric_lists(views.log_lines(spark, sf_dir), c.experiments)
     b = fold.fold_observations(parse.parse_text_lines(lines), c.trial_metrics)
     assert sorted(s.collect()) == sorted(b.collect())
-    assert F is not None
 
 
-def test_ingest_in_many_batches_loses_nothing(spark, sf_dir):
+def _split_logs(spark, path, rnd):
+    """Logs of trials over several files each, with equal times, equal lines and lines without a time."""
+    lines = {}
+    for t in ("trial-1", "trial-2", "trial-3"):
+        mine = [f"2024-01-01T00:00:{rnd.randrange(3):02d}Z purchase={rnd.randrange(50)}.5" if rnd.random() < 0.8 else f"purchase={rnd.randrange(50)}" for _ in range(60)]
+        lines[t] = mine + mine[-3:]
+    for part in range(4):
+        for t, all_ in lines.items():
+            some = all_[part * 16:(part + 1) * 16]
+            spark.createDataFrame([(x,) for x in some], "value string").coalesce(1).write.mode("append").text(f"{path}/trial={t}")
+    return lines
+
+
+def test_ingest_in_many_batches_keeps_every_row(spark, sf_dir):
     from trialfold.plans import q_stream
-    from trialfold.plans.pipelines import Ctx
     from trialfold.streaming import streams
 
-    c, src, counts = Ctx(spark, sf_dir), q_stream._log_dir(spark, sf_dir), []
-    for most in (None, 20):
+    c, src = Ctx(spark, sf_dir), q_stream.scratch(spark, "split-logs")
+    _split_logs(spark, src, random.Random(1))
+    trials = spark.createDataFrame([(f"trial-{i}", "exp-0") for i in (1, 2, 3)], "trial string, experiment string")
+    found = []
+    for most in (None, 1, 5):
         root = q_stream.scratch(spark, "ingest-test")
-        streams.ingest_text_logs(spark, src, c.trials, c.experiments, f"{root}/store", f"{root}/side", f"{root}/ckpt", most)
-        counts.append((spark.read.parquet(f"{root}/store").count(), spark.read.parquet(f"{root}/side").count()))
-    assert counts[0] == counts[1] and counts[0][0] > 0
+        streams.ingest_text_logs(spark, src, trials, c.experiments, f"{root}/store", f"{root}/side", f"{root}/ckpt", most)
+        found.append([sorted(map(str, spark.read.parquet(f"{root}/{part}").select("trial", "sub", "ts_raw", "ts", "metric", "value").collect())) for part in ("store", "side")])
+    assert found[0] == found[1] == found[2] and all(found[0])
+
+
+def test_fold_of_split_trials_in_any_batches(spark, sf_dir):
+    """Files in order of time of change, so the last line of a trial is in its last file."""
+    from trialfold.operators import fold, parse
+    from trialfold.plans import q_stream
+    from trialfold.streaming import runs, streams
+
+    c, src = Ctx(spark, sf_dir), q_stream.scratch(spark, "split-fold")
+    lines = _split_logs(spark, src, random.Random(2))
+    trials = spark.createDataFrame([(f"trial-{i}", "exp-0") for i in (1, 2, 3)], "trial string, experiment string")
+    metrics = trials.select("trial", F.lit("purchase").alias("metric"))
+    log = spark.createDataFrame([(t, i, x, "exp-0") for t, all_ in lines.items() for i, x in enumerate(all_[:64])], "trial string, line_no long, line string, experiment string")
+    want = sorted(fold.fold_observations(parse.parse_text_lines(parse.attach_metric_lists(log, c.experiments)), metrics).collect())
+    root = q_stream.scratch(spark, "fold-test")
+    streams.incremental_fold(streams.read_log_stream(spark, src, 1), trials, c.experiments, metrics, f"{root}/state", f"{root}/ckpt")
+    got = sorted(streams.fold_state(spark, f"{root}/state", metrics).collect())
+    assert [(r.trial, r.min, r.max, r.latest) for r in got] == [(r.trial, r.min, r.max, r.latest) for r in want]
+    kept = runs.Runs(spark, f"{root}/state", streams.winning_rows)
+    assert kept.batches() == 12 and len(runs.live(12)) == 2 and kept.read().count() <= 2 * 3 * 3
+
+
+def test_runs_stay_few_and_replay_changes_nothing(spark):
+    from trialfold.plans.q_stream import scratch
+    from trialfold.streaming.runs import Runs, live
+
+    assert live(13) == [(0, 8), (8, 12), (12, 13)] and live(0) == []
+
+    def reduce(rows):
+        return rows.groupBy("k").agg(F.sum("n").alias("n"))
+
+    path, want = scratch(spark, "runs"), {}
+    held = Runs(spark, path, reduce)
+    assert held.read() is None
+    for b in range(11):
+        batch = spark.createDataFrame([(b % 3, 1), (7, 1)], "k long, n long")
+        for _ in range(2 if b in (3, 7) else 1):  # a batch that was cut short runs again
+            held.add(batch, b)
+        want[b % 3] = want.get(b % 3, 0) + 1
+        want[7] = want.get(7, 0) + 1
+        total = {r["k"]: r["n"] for r in reduce(held.read()).collect()}
+        assert total == want
+        assert len(held.read().inputFiles()) <= 8 * len(live(b + 1))
+    assert held.batches() == 11

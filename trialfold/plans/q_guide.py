@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trialfold.functions.exprs import md5_uniform
+from trialfold.functions.exprs import num
 from trialfold.operators import guide, space, state
 from trialfold.plans import views
 from trialfold.plans.catalog import register
@@ -75,8 +75,8 @@ def q_rung_promotion(spark, d):
 def _pool(c: Ctx):
     ov = state.objective_values(c.observation, c.trials_state, c.strategies, c.experiments)
     e = c.experiments.select("experiment", "objective_type")
-    x = F.col("value").try_cast("double")
-    p = (ov.filter((F.col("state") == "Succeeded") & F.col("value").rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"))
+    x = num("value")
+    p = (ov.filter((F.col("state") == "Succeeded") & x.isNotNull())
          .join(e, "experiment")
          .select("experiment", "trial", (F.when(F.col("objective_type") == "minimize", F.lit(-1.0)).otherwise(F.lit(1.0)) * x)
                  .alias("metric_value")))
@@ -296,5 +296,3 @@ def q_stop_rules(spark, d):
     c = Ctx(spark, d)
     return guide.evaluate_stop_rules(c.obs, c.trials, views.stop_rules(spark, d))
 
-
-_ = md5_uniform

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trialfold.operators import space
+from trialfold.operators import space, state
 from trialfold.plans import views
 from trialfold.plans.catalog import register
 from trialfold.plans.oracle import with_views
@@ -244,7 +244,7 @@ ENC_SQL = [
 
 def _encoded(spark, d):
     c = Ctx(spark, d)
-    ov = __import__("trialfold.operators.state", fromlist=["objective_values"]).objective_values(
+    ov = state.objective_values(
         c.observation, c.trials_state, c.strategies, c.experiments)
     prior = ov.filter(F.col("state") == "Succeeded").select("trial", "value")
     a = views.assignments(spark, d)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from trialfold.functions.exprs import ts_text
 from trialfold.plans import views
 from trialfold.plans.catalog import TEXT_ROWS, register
-from trialfold.plans.oracle import num_sql, tk_sql, with_views
+from trialfold.plans.oracle import VIEWS, num_sql, tk_sql, with_views
 from trialfold.plans.pipelines import Ctx
 from trialfold.plans.q_sources import scratch
 from trialfold.sources import logs
@@ -58,13 +58,13 @@ FROM tm LEFT JOIN (
     arg_max(value, row(tk, sub)) AS latest
   FROM (SELECT trial, metric, value, {num_sql('value')} AS num, {tk_sql('CAST(ts AS TIMESTAMP)')} AS tk, sub FROM parsed)
   GROUP BY trial, metric) a USING (trial, metric)""", extra=[
-    ("strategies", __import__("trialfold.plans.oracle", fromlist=["VIEWS"]).VIEWS["strategies"][0]),
+    ("strategies", VIEWS["strategies"][0]),
     ("tm", "SELECT t.trial, s.metric FROM trials t JOIN strategies s USING (experiment)")]))
 def q_incremental_fold(spark, d):
     c = Ctx(spark, d)
     src, root = _log_dir(spark, d), scratch(spark, "fold")
-    rows = streams.parse_stream(streams.read_log_stream(spark, src, max_files=16), c.trials, c.experiments)
-    streams.incremental_fold(rows, c.trial_metrics, f"{root}/state", f"{root}/ckpt")
+    files = max(1, c.trials.count() // 8)  # several batches
+    streams.incremental_fold(streams.read_log_stream(spark, src, files), c.trials, c.experiments, c.trial_metrics, f"{root}/state", f"{root}/ckpt")
     return streams.fold_state(spark, f"{root}/state", c.trial_metrics)
 
 
@@ -92,10 +92,7 @@ def q_stop_firing(spark, d):
     root = scratch(spark, "stop")
     s = _obs_stream(spark, _obs_dir(spark, d), max_files=32)
     streams.stop_rule_firing(s, c.trials, views.stop_rules(spark, d), f"{root}/out", f"{root}/ckpt")
-    try:
-        return spark.read.parquet(f"{root}/out").select("trial", "stop_seq")
-    except Exception:  # noqa: BLE001 - no trial fired
-        return spark.createDataFrame([], "trial string, stop_seq long")
+    return streams.fired(spark, f"{root}/out").select("trial", "stop_seq")
 
 
 @register("o93_history_average", with_views(f"""

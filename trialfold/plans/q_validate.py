@@ -146,24 +146,23 @@ def q_setting_validation(spark, d):
 
 
 @register("o08_run_config_route", """
-SELECT method, key, value FROM (
-  SELECT method, unnest(['datasets_from_pvc', 'learning_rate_min', 'max_trial_counts', 'n_estimators_min']) AS key,
+SELECT run, method, key, value FROM (
+  SELECT run, method, unnest(['datasets_from_pvc', 'learning_rate_min', 'max_trial_counts', 'n_estimators_min']) AS key,
     unnest([CAST(pvc AS VARCHAR), CAST(lr AS VARCHAR), CAST(mt AS VARCHAR), CAST(ne AS VARCHAR)]) AS value
-  FROM (SELECT ['xgboost', 'random_forest', 'knn', 'lr', 'svm'][n_nationkey % 5 + 1] AS method,
-          0.2::DOUBLE + (n_nationkey % 5) * 0.1::DOUBLE AS lr, 1000 + n_nationkey * 10 AS ne,
-          n_nationkey % 2 = 0 AS pvc, 5 + n_nationkey AS mt FROM nation))
+  FROM (SELECT 'run-' || (c_custkey % 1000) AS run, ['xgboost', 'random_forest', 'knn', 'lr', 'svm'][c_custkey % 5 + 1] AS method,
+          0.2::DOUBLE + (c_custkey % 5) * 0.1::DOUBLE AS lr, 1000 + c_custkey * 10 AS ne,
+          c_custkey % 2 = 0 AS pvc, 5 + c_custkey AS mt FROM customer))
 WHERE method IN ('xgboost', 'random_forest', 'knn', 'lr')""")
 def q_run_config(spark, d):
-    n = views.table(spark, d, "nation")
-    k = F.col("n_nationkey")
+    """A configuration object for each customer, in documents of many runs: one object a line."""
+    k = F.col("c_custkey")
     method = views._pick(k, ["xgboost", "random_forest", "knn", "lr", "svm"])
-    cfg = n.select(method.alias("method"), (F.lit(0.2) + (k % 5) * F.lit(0.1)).alias("learning_rate_min"),
-                   (F.lit(1000) + k * 10).alias("n_estimators_min"), (k % 2 == 0).alias("datasets_from_pvc"),
-                   (F.lit(5) + k).alias("max_trial_counts"))
+    cfg = views.table(spark, d, "customer").select(
+        F.concat(F.lit("run-"), (k % 1000).cast("string")).alias("run"), method.alias("method"), (F.lit(0.2) + (k % 5) * F.lit(0.1)).alias("learning_rate_min"),
+        (F.lit(1000) + k * 10).alias("n_estimators_min"), (k % 2 == 0).alias("datasets_from_pvc"), (F.lit(5) + k).alias("max_trial_counts"))
     p = scratch(spark, "run-config")
-    # the configuration document is one JSON array, written as one text file
-    cfg.agg(F.to_json(F.collect_list(F.struct(*cfg.columns))).alias("value")).write.text(p)
-    return files.read_run_config(spark, p)
+    cfg.select(F.to_json(F.struct(*cfg.columns)).alias("value")).write.text(p)
+    return files.read_run_config(spark, p, one_a_line=True)
 
 
 # ------------------------------------------- templates, collectors and edits

@@ -33,18 +33,19 @@ def store_csvs(frames: dict[str, DataFrame], root: str) -> dict[str, str]:
     return paths
 
 
-def read_run_config(spark: SparkSession, path: str) -> DataFrame:
-    """JSON array of per-method objects -> (method, key, value) for the
-    known methods; the ``method`` key itself dropped, unknown methods
-    skipped."""
-    cfg = spark.read.option("multiLine", True).json(path)
-    return route_run_config(cfg)
+def read_run_config(spark: SparkSession, path: str, one_a_line: bool = False) -> DataFrame:
+    """JSON of per-method objects (one array a document, or an object a
+    line, which splits over tasks) -> (method, key, value), and the ``run`` where
+    objects have one, for the known methods; the ``method`` key itself
+    dropped, unknown methods skipped."""
+    return route_run_config(spark.read.option("multiLine", not one_a_line).json(path))
 
 
 def route_run_config(cfg: DataFrame) -> DataFrame:
+    head = [c for c in ("run", "method") if c in cfg.columns]
     kv = F.from_json(F.to_json(F.struct(*[F.col(c) for c in cfg.columns])), "map<string,string>")
-    x = cfg.filter(F.col("method").isin(METHODS)).select("method", F.explode(kv).alias("key", "value"))
-    return x.filter(F.col("key") != "method")
+    x = cfg.filter(F.col("method").isin(METHODS)).select(*head, F.explode(kv).alias("key", "value"))
+    return x.filter(~F.col("key").isin(head))
 
 
 def write_results(results: DataFrame, path: str) -> None:

@@ -3,9 +3,9 @@
 * O90 ``ingest_text_logs``: tailed log folders -> metric rows; each
   micro-batch is written to its own ``batch=<id>`` folder with overwrite,
   so a replayed batch after a failure rewrites instead of duplicating.
-* O91 ``incremental_fold``: the O21 aggregate as a streaming update-mode
-  aggregation; every batch writes the changed keys, the final state is the
-  newest row per key.
+* O91 ``incremental_fold``: every micro-batch is folded to its winning rows,
+  and these are merged in a logarithmic number of runs (``runs.Runs``), so the
+  stream keeps no state of its own and a read folds few rows.
 * O92 ``stop_rule_firing``: ``applyInPandasWithState`` keyed by trial; the
   state holds the step count and the met flag per rule, a trial is emitted
   once, when every rule is met.
@@ -32,18 +32,17 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from trialfold.functions.exprs import UNAVAILABLE, num, small, time_key
 from trialfold.operators import parse
 from trialfold.session import cut_lineage
+from trialfold.streaming.runs import Runs
 
 WATERMARK = "10 minutes"
 
 
 def read_log_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """O90 source: text log files under ``path/trial=<name>/``."""
+    """O90 source: (trial, line) of text log files under ``path/trial=<name>/``."""
     r = spark.readStream.format("text").option("lineSep", "\n")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    s = r.load(path)
-    return s.select(F.col("trial"), F.col("value").alias("line"),
-                    F.xxhash64(F.col("_metadata.file_path"), F.col("value")).alias("line_no"))
+    return r.load(path).select("trial", F.col("value").alias("line"))
 
 
 def parse_stream(lines: DataFrame, trials: DataFrame, experiments: DataFrame, filters=None) -> DataFrame:
@@ -77,10 +76,7 @@ def ingest_text_logs(spark: SparkSession, src: str, trials: DataFrame, experimen
     and its place there (``line_no`` grows with the order in a file), so equal
     lines stay apart.  A batch that runs again overwrites its own folders; no
     row is dropped for being late."""
-    r = spark.readStream.format("text").option("lineSep", "\n")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    lines = r.load(src).select("trial", F.col("value").alias("line"))
+    lines = read_log_stream(spark, src, max_files)
 
     def sink(batch: DataFrame, batch_id: int):
         placed = batch.withColumn("line_no", F.monotonically_increasing_id())
@@ -95,33 +91,56 @@ def ingest_text_logs(spark: SparkSession, src: str, trials: DataFrame, experimen
     return q
 
 
-def incremental_fold(rows: DataFrame, trial_metrics: DataFrame, sink_path: str, checkpoint: str):
-    """Streaming min/max/latest per (trial, metric) in update mode;
-    same expressions as the batch fold."""
-    o = rows.join(trial_metrics.select("trial", "metric"), ["trial", "metric"])
-    nanos = F.col("ts_nanos") if "ts_nanos" in rows.columns else None
-    o = o.select("trial", "metric", "value", num("value").alias("x"), time_key(F.col("ts"), nanos).alias("tk"), "seq", "sub")
+#: A log row in O91's order: by time, then batch, place in the batch, and match.
+_PLACE = ["tk", "batch", "seq", "sub"]
+
+
+def winning_rows(rows: DataFrame) -> DataFrame:
+    """Of each (trial, metric) the rows that its observation needs: the first
+    smallest, the first largest and the last one (three at most)."""
     isnum = F.col("x").isNotNull()
-    agg = o.groupBy("trial", "metric").agg(
-        F.min_by("value", F.when(isnum, F.struct("x", "tk", "seq", "sub"))).alias("min"),
-        F.max_by("value", F.when(isnum, F.struct(F.col("x"), -F.col("tk"), -F.col("seq"), -F.col("sub")))).alias("max"),
-        F.max_by("value", F.struct("tk", "seq", "sub")).alias("latest"))
+    row = F.struct("value", "x", *_PLACE)
+    ends = rows.groupBy("trial", "metric").agg(
+        F.min_by(row, F.when(isnum, F.struct("x", *_PLACE))).alias("lo"),
+        F.max_by(row, F.when(isnum, F.struct(F.col("x"), *[(-F.col(c)).alias(c) for c in _PLACE]))).alias("hi"),
+        F.max_by(row, F.struct(*_PLACE)).alias("last"))
+    kept = F.array_distinct(F.filter(F.array("lo", "hi", "last"), lambda r: r.isNotNull()))
+    return ends.select("trial", "metric", F.explode(kept).alias("r")).select("trial", "metric", "r.*")
+
+
+def incremental_fold(lines: DataFrame, trials: DataFrame, experiments: DataFrame, trial_metrics: DataFrame, sink_path: str, checkpoint: str, filters=None):
+    """min/max/latest per (trial, metric) of a stream of log lines.
+
+    A later line wins among equal times: lines are placed by their batch and
+    their order in it.  Every batch is folded to its winning rows, which merge
+    as ``Runs``; the streaming query itself holds no state."""
+    runs = Runs(lines.sparkSession, sink_path, winning_rows)
 
     def sink(batch: DataFrame, batch_id: int):
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+        placed = batch.withColumn("line_no", F.monotonically_increasing_id())
+        rows = parse_stream(placed, trials, experiments, filters).join(trial_metrics.select("trial", "metric"), ["trial", "metric"])
+        runs.add(rows.select("trial", "metric", "value", num("value").alias("x"), time_key(F.col("ts"), F.col("ts_nanos")).alias("tk"),
+                             F.lit(batch_id).cast("long").alias("batch"), "seq", "sub"), batch_id)
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+    q = (lines.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
 def fold_state(spark: SparkSession, sink_path: str, trial_metrics: DataFrame) -> DataFrame:
-    """Final O91 state: newest row per key, unseen metrics 'unavailable'."""
-    s = spark.read.parquet(sink_path)
-    last = s.groupBy("trial", "metric").agg(F.max_by(F.struct("min", "max", "latest"), "batch").alias("v"))
+    """O91 as it stands: the live runs folded, unseen metrics 'unavailable'."""
+    rows = Runs(spark, sink_path, winning_rows).read()
+    names = ["min", "max", "latest"]
+    if rows is None:
+        return trial_metrics.select("trial", "metric", *[F.lit(UNAVAILABLE).alias(c) for c in names])
+    isnum = F.col("x").isNotNull()
+    last = rows.groupBy("trial", "metric").agg(
+        F.min_by("value", F.when(isnum, F.struct("x", *_PLACE))).alias("min"),
+        F.max_by("value", F.when(isnum, F.struct(F.col("x"), *[(-F.col(c)).alias(c) for c in _PLACE]))).alias("max"),
+        F.max_by("value", F.struct(*_PLACE)).alias("latest"))
     return (trial_metrics.select("trial", "metric").join(last, ["trial", "metric"], "left")
-            .select("trial", "metric", *[F.coalesce(F.col(f"v.{c}"), F.lit(UNAVAILABLE)).alias(c) for c in ["min", "max", "latest"]]))
+            .select("trial", "metric", *[F.coalesce(F.col(c), F.lit(UNAVAILABLE)).alias(c) for c in names]))
 
 
 STOP_OUT = "trial string, stop_seq long, stop_tk long"
@@ -187,6 +206,14 @@ def stop_rule_firing(rows: DataFrame, trials: DataFrame, rules: DataFrame, sink_
     return q
 
 
+def fired(spark: SparkSession, sink_path: str) -> DataFrame:
+    """What ``stop_rule_firing`` has emitted; nothing before its first batch."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(sink_path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], STOP_OUT)
+    return spark.read.schema(STOP_OUT).parquet(sink_path).select("trial", "stop_seq", "stop_tk")
+
+
 def history_average(rows: DataFrame, trials_state: DataFrame, experiments: DataFrame, table_path: str, checkpoint: str):
     """Succeeded trials get the average of their first ``start_step``
     objective values.  Each batch keeps the rows that can be among them; a
@@ -228,21 +255,24 @@ def history_table(spark: SparkSession, table_path: str) -> DataFrame:
             .agg(F.max_by("avg", "batch").alias("avg")))
 
 
+def newest_changes(changes: DataFrame) -> DataFrame:
+    """The newest change (trial, namespace, state, ord) of each trial."""
+    return (changes.groupBy("trial").agg(F.max_by(F.struct("namespace", "state", "ord"), "ord").alias("s"))
+            .select("trial", "s.namespace", "s.state", "s.ord"))
+
+
 def rolling_gauges(changes: DataFrame, sink_path: str, checkpoint: str):
     """Stream of (trial, namespace, state, ord) state changes; each
-    batch writes the newest change per trial it saw."""
-    def sink(batch: DataFrame, batch_id: int):
-        (batch.groupBy("trial").agg(F.max_by(F.struct("namespace", "state", "ord"), "ord").alias("s"))
-         .select("trial", "s.namespace", "s.state", "s.ord")
-         .write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}"))
-
-    q = changes.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    batch's newest change per trial goes into merged runs."""
+    runs = Runs(changes.sparkSession, sink_path, newest_changes)
+    q = (changes.writeStream.foreachBatch(lambda batch, batch_id: runs.add(batch.select("trial", "namespace", "state", "ord"), batch_id))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
 def gauges_now(spark: SparkSession, sink_path: str) -> DataFrame:
-    s = spark.read.parquet(sink_path)
-    latest = s.groupBy("trial").agg(F.max_by(F.struct("namespace", "state"), "ord").alias("s"))
-    return latest.groupBy(F.col("s.namespace").alias("namespace"), F.col("s.state").alias("last_condition")).agg(
-        F.count("*").alias("trials"))
+    rows = Runs(spark, sink_path, newest_changes).read()
+    if rows is None:
+        return spark.createDataFrame([], "namespace string, last_condition string, trials long")
+    return newest_changes(rows).groupBy("namespace", F.col("state").alias("last_condition")).agg(F.count("*").alias("trials"))
