@@ -109,3 +109,15 @@ def test_bulk_ranges_prune_days_and_keep_the_order(spark):
     wide = spark.createDataFrame([("q", "a", None, "2024-01-02 00:00:00", "2024-01-02 23:00:00")], "req string, trial string, req_metric string, start string, end string")
     plan = store.range_read(table, wide.withColumns({"start": F.to_timestamp("start"), "end": F.to_timestamp("end")}))._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
+
+
+def test_requests_by_day_are_never_broadcast(spark):
+    """Days multiply the requests after any size estimate, so their table is shuffled; only the distinct days are broadcast."""
+    _, p = _store(spark, ROWS)
+    req = spark.range(4).select(F.concat(F.lit("r"), "id").alias("req"), F.lit("a").alias("trial"), F.lit(None).cast("string").alias("req_metric"),
+                                F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("start"), F.to_timestamp(F.lit("2024-01-20 00:00:00")).alias("end"))
+    out = store.range_read(store.read_store(spark, p), req.repartition(2))
+    assert {r.req for r in out.collect()} == {"r0", "r1", "r2", "r3"}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    by_day = [line for line in plan.splitlines() if "Join" in line and "day#" in line and "LeftSemi" not in line]
+    assert by_day and all("SortMergeJoin" in line for line in by_day), plan

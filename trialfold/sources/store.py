@@ -124,17 +124,21 @@ def _in_order(store: DataFrame, first: list[str]) -> list[Column]:
 def range_read(store: DataFrame, requests: DataFrame) -> DataFrame:
     """O04 in bulk: ``requests`` (req, trial, metric?, start?, end?) — each
     condition applies only when given, closed interval.  Requests with both
-    ends are laid out by day, so the join also prunes the store's days; the
-    others join on the trial.  Sorted by (req, ts, nanoseconds, seq, sub)."""
+    ends are laid out by day, and the days that none of them asks for aren't read;
+    the others join on the trial.  Sorted by (req, ts, nanoseconds, seq, sub)."""
     cond = ((F.col("req_metric").isNull() | (F.col("metric") == F.col("req_metric")))
             & (F.col("start").isNull() | (F.col("ts") >= F.col("start")))
             & (F.col("end").isNull() | (F.col("ts") <= F.col("end"))))
     if "day" in store.columns:
         both = F.col("start").isNotNull() & F.col("end").isNotNull()
+        # requests grow with the trials, and days multiply them after any size
+        # estimate: both sides are shuffled, only the distinct days are broadcast
         by_day = requests.filter(both & (F.col("start") <= F.col("end"))).withColumn(
             "day", F.explode(F.sequence(F.to_date("start"), F.to_date("end"), F.expr("interval 1 day"))))
-        found = store.join(small(by_day), ["trial", "day"]).filter(cond)
-        found = found.unionByName(store.join(small(requests.filter(~both)), "trial").filter(cond).select(found.columns))
+        asked = F.broadcast(by_day.select("day").distinct())  # calendar days: bounded
+        days = store.join(asked, "day", "left_semi")
+        found = days.join(by_day.hint("merge"), ["trial", "day"]).filter(cond)
+        found = found.unionByName(store.join(requests.filter(~both).hint("merge"), "trial").filter(cond).select(found.columns))
     else:
         found = store.join(requests, "trial").filter(cond)
     return found.orderBy(*_in_order(store, ["req"])).select("req", "trial", "ts", "seq", "metric", "value")
