@@ -1,5 +1,6 @@
 """Streaming operators agree with their batch twins."""
 
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -96,3 +97,63 @@ def test_runs_stay_few_and_replay_changes_nothing(spark):
         assert total == want
         assert len(held.read().inputFiles()) <= 8 * len(live(b + 1))
     assert held.batches() == 11
+
+
+def _files(path, ending):
+    return [f for f in os.listdir(path) if f.endswith(ending)]
+
+
+def test_shared_logs_keep_every_line_in_few_files(spark):
+    """Files don't grow with the trials; breaks, tabs, empty lines and the order inside a trial survive."""
+    from trialfold.plans.q_stream import scratch
+    from trialfold.sources import logs
+    from trialfold.streaming import streams
+
+    special = [("t-x", 3, "c\td"), ("t-x", 1, "a\nb\n"), ("t-x", 2, None), ("t-x", 4, "")]
+    rows = special + [(f"t-{i}", 1, f"line {i}") for i in range(300)]
+    p = logs.write_logs(spark.createDataFrame(rows, "trial string, line_no long, line string").repartition(3), scratch(spark, "shared"))
+    assert len(_files(p, ".txt")) <= logs.shared_files(spark) and not any("=" in f for f in os.listdir(p))
+    back = logs.read_logs(spark, p, tagged=True).orderBy("file", "block", "line_no").collect()
+    assert [r.line for r in back if r.trial == "t-x"] == ["a", "b", "", "", "c\td", ""]
+    assert sorted((r.trial, r.line) for r in back if r.trial != "t-x") == sorted((t, x) for t, _, x in rows if t != "t-x")
+    seen = []
+    q = streams.read_log_stream(spark, p, 2, tagged=True).writeStream.foreachBatch(lambda b, i: seen.extend(map(tuple, b.collect()))).option(
+        "checkpointLocation", scratch(spark, "shared-ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(seen) == sorted((r.trial, r.line) for r in back)
+
+
+def test_streamed_metric_log_has_few_files_and_batches(spark, sf_dir):
+    from trialfold.plans import q_stream
+    from trialfold.sources import logs
+
+    p = q_stream._obs_dir(spark, sf_dir)
+    assert 1 <= len(_files(p, ".parquet")) <= logs.shared_files(spark)
+    files = spark.read.parquet(p).select("trial", F.input_file_name().alias("f")).distinct()
+    assert files.groupBy("trial").count().filter("count > 1").isEmpty()  # a trial is evaluated whole
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    E.queries()["o92_stop_rule_firing"](spark, sf_dir)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+
+
+def test_a_stop_rule_goes_on_counting_in_the_next_batch():
+    import numpy as np
+    import pandas as pd
+
+    from trialfold.streaming import streams
+
+    class State:
+        exists, hasTimedOut, get = False, False, None
+
+        def update(self, new):
+            self.exists, self.get = True, new
+
+    def batch(rows):
+        return pd.DataFrame([(0, "5", "greater", 2, 1, x, tk, seq) for x, tk, seq in rows],
+                            columns=["rule", "rule_value", "comparison", "start_step", "n_rules", "x", "tk", "seq"])
+
+    state = State()
+    assert list(streams._stop_fn(("t",), iter([batch([(9.0, 1, 0)])]), state)) == []
+    out = list(streams._stop_fn(("t",), iter([batch([(8.0, 3, 4), (np.nan, 2, 2), (7.0, 3, 3)])]), state))
+    assert [tuple(r) for r in out[0].itertuples(index=False)] == [("t", 3, 3)]
+    assert list(streams._stop_fn(("t",), iter([batch([(9.0, 5, 6)])]), state)) == []

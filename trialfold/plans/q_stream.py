@@ -24,10 +24,15 @@ def _log_dir(spark, d):
     return p
 
 
+def _batch_files(spark):
+    """Files a micro-batch, for several batches whatever the number of trials."""
+    return max(1, logs.shared_files(spark) // 8)
+
+
 def _ingest(spark, d):
     c = Ctx(spark, d)
     src, root = _log_dir(spark, d), scratch(spark, "ingest")
-    streams.ingest_text_logs(spark, src, c.trials, c.experiments, f"{root}/store", f"{root}/side", f"{root}/ckpt")
+    streams.ingest_text_logs(spark, src, c.trials, c.experiments, f"{root}/store", f"{root}/side", f"{root}/ckpt", tagged=True)
     return root
 
 
@@ -63,14 +68,14 @@ FROM tm LEFT JOIN (
 def q_incremental_fold(spark, d):
     c = Ctx(spark, d)
     src, root = _log_dir(spark, d), scratch(spark, "fold")
-    files = max(1, c.trials.count() // 8)  # several batches
-    streams.incremental_fold(streams.read_log_stream(spark, src, files), c.trials, c.experiments, c.trial_metrics, f"{root}/state", f"{root}/ckpt")
+    streams.incremental_fold(streams.read_log_stream(spark, src, _batch_files(spark), tagged=True), c.trials, c.experiments, c.trial_metrics, f"{root}/state", f"{root}/ckpt")
     return streams.fold_state(spark, f"{root}/state", c.trial_metrics)
 
 
 def _obs_dir(spark, d):
+    """The metric log in files that many trials share; a trial is in one file."""
     p = scratch(spark, "stream-obs")
-    views.obs(spark, d).repartition("trial").write.partitionBy("trial").parquet(p)
+    views.obs(spark, d).repartition(logs.shared_files(spark), "trial").write.parquet(p)
     return p
 
 
@@ -90,7 +95,7 @@ def _stop_rules_sql() -> str:
 def q_stop_firing(spark, d):
     c = Ctx(spark, d)
     root = scratch(spark, "stop")
-    s = _obs_stream(spark, _obs_dir(spark, d), max_files=32)
+    s = _obs_stream(spark, _obs_dir(spark, d), max_files=_batch_files(spark))
     streams.stop_rule_firing(s, c.trials, views.stop_rules(spark, d), f"{root}/out", f"{root}/ckpt")
     return streams.fired(spark, f"{root}/out").select("trial", "stop_seq")
 
@@ -105,7 +110,7 @@ WHERE rn <= ms_start_step GROUP BY experiment, trial""", "obs", "trials_state",
 def q_history_avg(spark, d):
     c = Ctx(spark, d)
     root = scratch(spark, "history")
-    s = _obs_stream(spark, _obs_dir(spark, d), max_files=32)
+    s = _obs_stream(spark, _obs_dir(spark, d), max_files=_batch_files(spark))
     streams.history_average(s, c.trials_state, c.experiments, f"{root}/table", f"{root}/ckpt")
     t = streams.history_table(spark, f"{root}/table")
     return t.select("experiment", "trial", F.round("avg", 9).alias("avg"))

@@ -23,7 +23,9 @@ Checkpoints live under the session's shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import json
+import operator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,16 +34,21 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from trialfold.functions.exprs import UNAVAILABLE, num, small, time_key
 from trialfold.operators import parse
 from trialfold.session import cut_lineage
+from trialfold.sources.logs import shared_files, tagged_parts
 from trialfold.streaming.runs import Runs
 
 WATERMARK = "10 minutes"
 
 
-def read_log_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """O90 source: (trial, line) of text log files under ``path/trial=<name>/``."""
+def read_log_stream(spark: SparkSession, path: str, max_files: int | None = None, tagged: bool = False) -> DataFrame:
+    """O90 source: (trial, line) of text log files, under ``path/trial=<name>/``
+    or shared by many trials (``tagged``, as ``write_logs`` makes them)."""
     r = spark.readStream.format("text").option("lineSep", "\n")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    if tagged:
+        trial, line = tagged_parts(F.col("value"))
+        return r.load(path).select(trial.alias("trial"), line.alias("line"))
     return r.load(path).select("trial", F.col("value").alias("line"))
 
 
@@ -69,14 +76,14 @@ def split_untimed(batch: DataFrame, side_path: str, batch_id: int) -> DataFrame:
 
 
 def ingest_text_logs(spark: SparkSession, src: str, trials: DataFrame, experiments: DataFrame, store: str,
-                     side: str, checkpoint: str, max_files: int | None = None):
+                     side: str, checkpoint: str, max_files: int | None = None, tagged: bool = False):
     """O90 + O95: run the ingest to completion (availableNow).
 
     A file belongs to one micro-batch, and a line is identified by its batch
     and its place there (``line_no`` grows with the order in a file), so equal
     lines stay apart.  A batch that runs again overwrites its own folders; no
     row is dropped for being late."""
-    lines = read_log_stream(spark, src, max_files)
+    lines = read_log_stream(spark, src, max_files, tagged)
 
     def sink(batch: DataFrame, batch_id: int):
         placed = batch.withColumn("line_no", F.monotonically_increasing_id())
@@ -145,12 +152,12 @@ def fold_state(spark: SparkSession, sink_path: str, trial_metrics: DataFrame) ->
 
 STOP_OUT = "trial string, stop_seq long, stop_tk long"
 STOP_STATE = "counts string, met string, fired boolean"
+COMPARISONS = {"equal": operator.eq, "less": operator.lt, "greater": operator.gt}
 
 
 def _stop_fn(key, pdfs, state):
     """State per trial: rows seen per rule, first hit per rule; emit once,
-    when every rule has been met.  Vectorised over the trial's rows of the
-    micro-batch (cumulative counts per rule, first qualifying hit)."""
+    when every rule has been met (a rule: its first qualifying hit)."""
     if state.hasTimedOut:
         state.remove()
         return
@@ -163,20 +170,19 @@ def _stop_fn(key, pdfs, state):
     if fired or pdf.empty:
         state.update((json.dumps(counts), json.dumps(met), fired))
         return
-    pdf = pdf.sort_values(["tk", "seq"], kind="stable").reset_index(drop=True)
-    rk = pdf["rule"].astype(str)
-    prior = rk.map(lambda k: counts.get(k, 0))
-    cnt = pdf.groupby(rk).cumcount() + 1 + prior
-    rv = pdf["rule_value"].astype(float)
-    x = pdf["x"].astype(float)
-    cmp = pdf["comparison"]
-    hit = ((cmp == "equal") & (x == rv)) | ((cmp == "less") & (x < rv)) | ((cmp == "greater") & (x > rv))
-    ok = hit & (cnt >= pdf["start_step"]) & x.notna() & ~rk.isin(list(met))
-    for k, row in pdf[ok].assign(rk=rk[ok]).groupby("rk").head(1).set_index("rk").iterrows():
-        met[k] = [int(row["tk"]), int(row["seq"])]
-    for k, n in rk.value_counts().items():
-        counts[k] = counts.get(k, 0) + int(n)
-    n_rules = int(pdf["n_rules"].iloc[0])
+    tk, seq = pdf["tk"].to_numpy(), pdf["seq"].to_numpy()
+    order = np.lexsort((seq, tk))  # stable
+    # plain loops: a trial's rows are too few for a frame operation each
+    rules, xs, values = pdf["rule"].tolist(), pdf["x"].tolist(), pdf["rule_value"].astype(float).tolist()
+    comparisons, starts = pdf["comparison"].tolist(), pdf["start_step"].tolist()
+    for i in order.tolist():
+        k = str(rules[i])
+        counts[k] = counts.get(k, 0) + 1
+        if k not in met and counts[k] >= starts[i]:
+            test = COMPARISONS.get(comparisons[i])
+            if test and test(xs[i], values[i]):  # false for a missing value
+                met[k] = [int(tk[i]), int(seq[i])]
+    n_rules = int(pdf["n_rules"].iloc[order[0]])
     out = None
     if len(met) == n_rules:
         fired = True
@@ -200,8 +206,16 @@ def stop_rule_firing(rows: DataFrame, trials: DataFrame, rules: DataFrame, sink_
     def sink(batch: DataFrame, batch_id: int):
         batch.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
 
-    q = out.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(
-        availableNow=True).start()
+    # the stream copies the session's settings as it starts.  Every partition of
+    # the state is a task and a file in every batch, so it has as many as the cores use
+    spark = rows.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(shared_files(spark)))
+    try:
+        q = out.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     q.awaitTermination()
     return q
 
