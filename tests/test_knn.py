@@ -61,3 +61,18 @@ def test_the_share_of_evaluated_pairs_falls(spark):
         assert got == {q[0]: brute(refs, q) for q in qs}
         shares.append(sum(pairs) / (n * len(qs)))
     assert shares[0] > shares[1] > shares[2] and shares[2] < 0.15, shares
+
+
+def test_sifted_pairs_are_those_of_exact_distances():
+    rng = np.random.default_rng(4)
+    for scale, shift in ((1.0, 0.0), (1e-6, 1e3), (1e6, 0.0)):
+        a, b = rng.integers(0, 3, (30, 5)) * scale + shift, rng.integers(0, 3, (90, 5)) * scale + shift  # many ties
+        exact = knn.distances(a, b)
+        for k, most in ((1, np.inf), (5, np.inf), (90, np.inf), (5, np.median(exact))):
+            qi, ri, dist = knn.nearest_pairs(a, b, np.full(len(a), most), k)
+            assert (dist == exact[qi, ri]).all()
+            kth = np.minimum(np.sort(exact, axis=1)[:, k - 1], most)
+            assert set(zip(*np.nonzero(exact <= kth[:, None]))) <= set(zip(qi, ri))
+    unit = rng.normal(0, 1, (2000, 16))
+    qi, _, _ = knn.nearest_pairs(unit[:50], unit, np.full(50, np.inf), 5)
+    assert len(qi) < 50 * 10  # the rest is never computed exactly

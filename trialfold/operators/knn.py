@@ -21,8 +21,9 @@ leaves are opened, which is exact as well).
 
 (query, leaf) pairs are evaluated in blocks: a leaf's members are cut into
 chunks of at most ``chunk`` rows and its queries into blocks of at most
-``qblock``; each group computes its distances with numpy inside one task
-and gives at most k rows per query, none beyond the known k-th distance.
+``qblock``; each group sifts its pairs by one matrix product inside one task,
+computes the exact distances of the few that can count, and gives at most k
+rows per query, none beyond the known k-th distance.
 Group sizes are bounded whatever the skew.  The label is voted (most
 frequent; ties -> smallest label; equal distances -> smaller reference id
 first).
@@ -63,6 +64,29 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(out)
 
 
+def nearest_pairs(a: np.ndarray, b: np.ndarray, most: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of a, row of b, distance) of the pairs that can be among the k nearest
+    of a row and within its ``most``, by (distance) ties included.  One matrix
+    product gives every squared distance up to a rounding error that ``slack``
+    bounds; only the pairs within it of a limit get their exact distance."""
+    aa, bb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+    rough = a @ b.T
+    rough *= -2.0
+    rough += aa[:, None]
+    rough += bb[None, :]
+    # |error| <= about (dims + 3) eps (|a| + |b|)^2 <= 2 (dims + 3) eps (aa + bb)
+    slack = 8 * (a.shape[1] + 4) * np.finfo(np.float64).eps * (aa + bb.max())
+    kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
+    with np.errstate(over="ignore"):
+        limit = np.minimum(kth + 2 * slack, most * most * (1 + SLACK) + slack)
+    qi, ri = np.nonzero(~(rough > limit[:, None]))  # what isn't a number is tested exactly
+    sums = np.zeros(len(qi))
+    for j in range(a.shape[1]):
+        diff = a[qi, j] - b[ri, j]
+        sums += diff * diff
+    return qi, ri, np.sqrt(sums)
+
+
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(np.float64)
 
@@ -122,14 +146,14 @@ def _block_topk(k: int):
         if q.empty or r.empty:
             return pd.DataFrame({"qid": pd.Series(dtype="int64"), "rid": pd.Series(dtype="int64"),
                                  "label": pd.Series(dtype="int32"), "dist": pd.Series(dtype="float64")})
-        dist = distances(_matrix(q["vec"]), _matrix(r["vec"]))
         rid, lab = r["id"].to_numpy(), r["label"].to_numpy()
-        kk = min(k, len(r))
-        # everything within each query's kk-th smallest distance (ties at the
-        # boundary included), then the exact (dist, rid) order picks kk
-        kth = np.minimum(np.partition(dist, kk - 1, axis=1)[:, kk - 1], q["limit"].to_numpy())
-        qi, ri = np.nonzero(dist <= kth[:, None])
-        cand = pd.DataFrame({"qid": q["id"].to_numpy()[qi], "rid": rid[ri], "label": lab[ri], "dist": dist[qi, ri]})
+        kk, most = min(k, len(r)), q["limit"].to_numpy()
+        # all pairs that can be among the kk nearest (ties at the boundary
+        # included), then the exact (dist, rid) order picks kk
+        qi, ri, dist = nearest_pairs(_matrix(q["vec"]), _matrix(r["vec"]), most, kk)
+        near = dist <= most[qi]
+        qi, ri, dist = qi[near], ri[near], dist[near]
+        cand = pd.DataFrame({"qid": q["id"].to_numpy()[qi], "rid": rid[ri], "label": lab[ri], "dist": dist})
         cand = cand.sort_values(["qid", "dist", "rid"], kind="stable").groupby("qid", sort=False).head(kk)
         return cand.astype({"qid": "int64", "rid": "int64", "label": "int32"})
     return fn
