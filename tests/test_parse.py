@@ -122,3 +122,11 @@ def test_filters_fail_alone(spark):
                                   "experiment string, trial string, line_no long, line string, metrics array<string>")
     got = {r.trial: r.value for r in parse.parse_by_filters(lines, table).collect()}
     assert got == {f"t-{e}": "0.25" for e in ("flags", "class", "posix", "named", "plain")}
+
+
+def test_json_time_is_computed_in_stages(spark):
+    """The plan of O18 doesn't repeat the parse of the line's map in every branch."""
+    import __spark_entry__ as E
+
+    plan = E.queries()["o18_json_timestamp"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("element_at(m#") + plan.count("map<string,variant>") <= 3, plan.count("map<string,variant>")

@@ -219,8 +219,11 @@ def json_rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:
 
 
 def add_json_time(df: DataFrame, tsv: Column, compat: str = "literal") -> DataFrame:
-    """O18 in stages (each intermediate is computed once per row and
-    reused): adds ts_raw, ts, ts_nanos from the JSON timestamp value."""
+    """Adds ts_raw, ts, ts_nanos from the JSON timestamp value: a string
+    must be RFC3339Nano; a number's decimal text is split at '.', its fraction
+    digits read as nanoseconds as written (Q1, ``compat='literal'``) or as a
+    true decimal fraction (``'decimal'``).  In stages, so that each
+    intermediate is computed once per row and not in every branch."""
     d = df.withColumn("_tv", tsv)
     d = d.withColumn("_tk", F.schema_of_variant("_tv")).withColumn("_ts", F.col("_tv").cast("string"))
     s, kind = F.col("_ts"), F.col("_tk")
@@ -250,35 +253,6 @@ def add_json_time(df: DataFrame, tsv: Column, compat: str = "literal") -> DataFr
     return d.drop("_tv", "_tk", "_ts", "_st", "_sn", "_sec", "_frac", "_tot", "_nts", "_nn")
 
 
-def json_timestamp(tsv: Column, compat: str = "literal") -> tuple[Column, Column, Column]:
-    """String -> must be RFC3339Nano; number -> decimal text split at
-    '.', fraction digits read as nanoseconds as written (Q1,
-    ``compat='literal'``) or as a true decimal fraction (``'decimal'``)."""
-    kind = F.schema_of_variant(tsv)
-    s = tsv.cast("string")
-    str_ts, str_nanos = rfc3339_parts(s)
-    is_num = kind.startswith("BIGINT") | kind.startswith("DECIMAL") | kind.startswith("DOUBLE")
-    txt = F.when(F.lower(s).contains("e"), s.cast("decimal(38,9)").cast("string")).otherwise(s)
-    sec = F.split(txt, r"\.").getItem(0).try_cast("long")
-    frac = F.regexp_replace(F.coalesce(F.try_element_at(F.split(txt, r"\."), F.lit(2)), F.lit("")), "0+$", "")
-    if compat == "literal":
-        fn = F.when(frac == "", F.lit(0)).otherwise(frac.try_cast("long"))
-    else:
-        fn = F.when(frac == "", F.lit(0)).otherwise(F.rpad(F.substring(frac, 1, 9), 9, "0").cast("long"))
-    total = sec * 1000000000 + fn
-    # exact integer division (a double would lose the nanoseconds)
-    num_ts = F.timestamp_micros(F.floor(total.cast("decimal(38,0)") / F.lit(1000)).cast("long"))
-    num_nanos = F.pmod(total, F.lit(1000000000)).cast("int")
-    ok_str = (kind == "STRING") & str_ts.isNotNull()
-    ok_num = is_num & sec.isNotNull()
-    ts = F.when(ok_str, str_ts).when(ok_num, num_ts)
-    nanos = F.when(ok_str, str_nanos).when(ok_num, num_nanos)
-    raw = F.when(ok_str, s).when(ok_num, F.concat(F.date_format(num_ts, "yyyy-MM-dd'T'HH:mm:ss"),
-                                                    F.when(num_nanos > 0, F.concat(F.lit("."), F.regexp_replace(F.lpad(num_nanos.cast("string"), 9, "0"), "0+$", ""))).otherwise(F.lit("")),
-                                                    F.lit("Z"))).otherwise(F.lit(ZERO_TIME))
-    return raw, ts, nanos
-
-
 def filter_pattern_check(specs: DataFrame, pattern_col: str = "filter") -> DataFrame:
     """A collector filter must compile and hold at least two
     parenthesised groups.  Output: (…, valid, reason).  The engine that

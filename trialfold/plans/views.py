@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trialfold.functions.exprs import estimated_bytes
+
 # Fixed values of this mapping (segment -> declared trial state).
 SEGMENT_STATE = [
     ("BUILDING", "Succeeded"),
@@ -30,12 +32,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Tasks of a log view at most, so that their shuffle blocks stay countable.
+MOST_TASKS = 4096
+#: Table bytes (as stored) that one task of a log view parses; about 150,000 events.
+SPREAD_BYTES = 2 << 20
+
+
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Log views stand for many log files.  A table of fewer splits than
-    cores (one row group, in the smallest data) is spread over the cores
-    before per-line parsing; any other is read as it is, without a shuffle."""
+    """Log views stand for many log files.  The table is dealt to tasks by its
+    size before per-line parsing, at least one for each core: a file's splits
+    may outnumber its row groups, and a task that parses a whole row group or a
+    fixed share of the table would grow with it."""
     cores = max(spark.sparkContext.defaultParallelism, 1)
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(max(cores, min(estimated_bytes(df) // SPREAD_BYTES + 1, MOST_TASKS)))
 
 
 def _pick(key: Column, values: list[str]) -> Column:
