@@ -36,3 +36,23 @@ def test_exact_split_size(spark, sf_dir):
     s = fe.exact_split(fe.clean(views.dataset(spark, sf_dir)))
     n = s.count()
     assert s.filter("is_test").count() == -(-n * 2 // 10)
+
+
+def test_a_fit_and_its_losses_compute_the_rows_once(spark, sf_dir):
+    """Boosting passes over kept rows; what is before the fit runs once a row, not once a pass."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        made.add(1)
+        return x
+
+    rows = spark.range(400).select(F.col("id").alias("id"), (F.col("id") % 2).cast("int").alias("gender"),
+                                   *[(F.col("id") % m).cast("double").alias(c) for c, m in zip(fe.NUMERIC, (60, 25, 5, 220))],
+                                   (F.col("id") % 5 > 2).cast("int").alias(fe.LABEL))
+    rows = rows.withColumn("age", counted.asNondeterministic()("age"))
+    train, test = rows.filter("id >= 100"), rows.filter("id < 100")
+    m = models.train_gbt(train, test, 0.1, 5)
+    fit = made.value
+    assert len(models.loss_curve(m, test, every=1)) >= 1
+    assert fit <= 2 * 400 and made.value - fit <= 400, (fit, made.value)

@@ -49,7 +49,15 @@ def train_gbt(train: DataFrame, test: DataFrame, learning_rate: float, n_estimat
     te = with_weights(_cast(test, features), scale_pos_weight).withColumn("is_val", F.lit(True))
     gbt = GBTClassifier(maxIter=int(n_estimators), stepSize=float(learning_rate), lossType="logistic", weightCol="w",
                         validationIndicatorCol="is_val", seed=seed)
-    return Pipeline(stages=_prep(features) + [gbt]).fit(tr.unionByName(te))
+    rows = tr.unionByName(te).select(*features, "label", "w", "is_val")
+    if train.is_cached:  # ``tune`` keeps the split itself
+        return Pipeline(stages=_prep(features) + [gbt]).fit(rows)
+    # every pass of the fit (means, split points, rounds) reads the kept rows
+    rows = rows.persist()
+    try:
+        return Pipeline(stages=_prep(features) + [gbt]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def train_forest(train: DataFrame, n_estimators: int, features: list[str] = FEATURES, seed: int = 42) -> PipelineModel:
@@ -83,7 +91,11 @@ def loss_curve(model: PipelineModel, test: DataFrame, every: int = 100, features
     ``every``-th kept (bounded by the number of iterations)."""
     gbt = model.stages[-1]
     prepared = PipelineModel(model.stages[:-1]).transform(with_weights(_cast(test, features), None))
-    losses = gbt.evaluateEachIteration(prepared)
+    prepared = prepared.select("features", "label", "w").persist()  # one pass for each iteration
+    try:
+        losses = gbt.evaluateEachIteration(prepared)
+    finally:
+        prepared.unpersist()
     return [(i, float(v)) for i, v in enumerate(losses) if i % every == 0]
 
 
