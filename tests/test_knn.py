@@ -1,11 +1,14 @@
 """The exact kNN equals brute force, and opens a falling share of the pairs."""
 
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from trialfold.operators import knn
+from trialfold.session import checkpoint_dir
 
 SCHEMA = "vec_id long, embedding array<double>, label int"
 
@@ -76,3 +79,42 @@ def test_sifted_pairs_are_those_of_exact_distances():
     unit = rng.normal(0, 1, (2000, 16))
     qi, _, _ = knn.nearest_pairs(unit[:50], unit, np.full(50, np.inf), 5)
     assert len(qi) < 50 * 10  # the rest is never computed exactly
+
+
+def test_what_is_written_follows_the_input_not_the_pairs(spark):
+    """Vectors without structure, so that every query opens nearly every leaf."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, (2400, 32))
+    refs, qs = ([(i, x[i].tolist(), i % 3) for i in some] for some in (range(2000), range(2000, 2400)))
+    kept = Path(urlparse(checkpoint_dir(spark)).path)
+    before = {p for p in kept.rglob("*") if p.is_file()}
+    pairs = []
+    got = predicted(spark, refs, qs, first=64, watch=lambda opened: pairs.append(opened.agg(F.sum("n")).first()[0]))
+    written = sum(p.stat().st_size for p in {*kept.rglob("*")} - before if p.is_file())
+    assert got == {q[0]: brute(refs, q) for q in qs}
+    assert sum(pairs) > 0.9 * len(refs) * len(qs)
+    assert x.nbytes < written < 3 * x.nbytes
+
+
+def test_single_precision_columns_are_as_exact(spark):
+    """Rows too far from the origin for single numbers to tell them apart, and near ones; ids and rows that come twice."""
+    rng = np.random.default_rng(9)
+    for shift in (0.0, 1000.0):
+        x = (rng.integers(0, 4, (260, 3)) / 8 + shift).astype(np.float32).astype(float)
+        refs, qs = ([(i, x[i].tolist(), i % 4) for i in some] for some in (range(200), range(200, 260)))
+        schema = SCHEMA.replace("double", "float")
+        got = knn.knn_classify(spark.createDataFrame(refs, schema), spark.createDataFrame(qs + qs[:5], schema), first=16, chunk=50, qblock=20).collect()
+        # a query that comes twice has each of its neighbours twice
+        assert {r.vec_id: r.prediction for r in got if r.vec_id >= 205} == {q[0]: brute(refs, q) for q in qs[5:]}
+        twice = spark.createDataFrame(qs[:5] * 2, schema).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+        top = knn.neighbours(spark.createDataFrame(refs, schema).select(F.col("vec_id").alias("rid"), F.col("embedding").alias("v"), "label"), twice, 4).collect()
+        for q in qs[:5]:
+            order = sorted((sum((a - b) ** 2 for a, b in zip(q[1], r[1])), r[0]) for r in refs)
+            assert sorted(r.rid for r in top if r.qid == q[0]) == sorted(2 * [order[0][1], order[1][1]])
+
+
+def test_missing_ids_and_labels(spark):
+    refs = [(1, [0.0], 2), (2, [1.0], None), (None, [2.0], 1), (3, [2.0], 1)]
+    got = knn.neighbours(spark.createDataFrame(refs, "rid long, v array<double>, label int"),
+                         spark.createDataFrame([(7, [1.9]), (None, [0.2])], "qid long, qv array<double>"), 2).collect()
+    assert {(r.qid, r.rid, r.label) for r in got} == {(7, 3, 1), (7, None, 1), (None, 1, 2), (None, 2, None)}
