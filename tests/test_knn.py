@@ -113,8 +113,13 @@ def test_single_precision_columns_are_as_exact(spark):
             assert sorted(r.rid for r in top if r.qid == q[0]) == sorted(2 * [order[0][1], order[1][1]])
 
 
-def test_missing_ids_and_labels(spark):
-    refs = [(1, [0.0], 2), (2, [1.0], None), (None, [2.0], 1), (3, [2.0], 1)]
-    got = knn.neighbours(spark.createDataFrame(refs, "rid long, v array<double>, label int"),
-                         spark.createDataFrame([(7, [1.9]), (None, [0.2])], "qid long, qv array<double>"), 2).collect()
-    assert {(r.qid, r.rid, r.label) for r in got} == {(7, 3, 1), (7, None, 1), (None, 1, 2), (None, 2, None)}
+def test_missing_ids_labels_and_vectors(spark):
+    refs = [(1, [0.0], 2), (2, [1.0], None), (None, [2.0], 1), (3, [2.0], 1), (0, None, 5), (9, [None], 6)]
+    qs = [(7, [1.9]), (None, [0.2]), (8, None)]
+    rows, asked = "rid long, v array<double>, label int", "qid long, qv array<double>"
+    got = knn.neighbours(spark.createDataFrame(refs, rows), spark.createDataFrame(qs, asked), 2).collect()
+    assert {(r.qid, r.rid, r.label) for r in got} == {(7, 3, 1), (7, None, 1), (None, 1, 2), (None, 2, None), (8, 0, 5), (8, 1, 2)}
+    got = knn.neighbours(spark.createDataFrame(refs[3:], rows), spark.createDataFrame(qs, asked), 3).collect()
+    assert len(got) == 9 and {(r.rid, r.dist is None) for r in got if r.qid == 7} == {(3, False), (0, True), (9, True)}
+    votes = spark.createDataFrame([(1, [0.0], None), (2, [0.1], None), (3, [0.2], 4)], SCHEMA)
+    assert [r.prediction for r in knn.knn_classify(votes, spark.createDataFrame([(5, [0.0], 0)], SCHEMA), k=3).collect()] == [4]

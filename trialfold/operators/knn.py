@@ -35,6 +35,7 @@ ties -> smallest label; equal distances -> smaller reference id first).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -320,8 +321,8 @@ def _batch(**columns) -> pa.RecordBatch:
 def _matrix(vectors: pa.Array, width: str) -> np.ndarray:
     """The rows of an array of lists."""
     sizes = vectors.value_lengths()
-    if vectors.null_count or len(sizes.unique()) > 1:
-        raise ValueError("vectors are missing or differ in length")
+    if len(sizes.unique()) > 1:
+        raise ValueError("vectors differ in length")
     return vectors.flatten().to_numpy(zero_copy_only=False).astype(width).reshape(len(vectors), sizes[0].as_py() if len(sizes) else 0)
 
 
@@ -415,11 +416,35 @@ def neighbours(refs: DataFrame, queries: DataFrame, k: int, leaves: int | None =
                first: int = FIRST, watch: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """(qid, rid, label, dist): the k nearest of ``refs`` (rid, v, label) to
     each of ``queries`` (qid, qv).  ``watch`` is shown the (qid, leaf, n) that
-    each round opens."""
+    each round opens.  A distance of a vector that is missing, or has a missing
+    number, is null; as in the SQL these come last, by id."""
+    whole_refs, other_refs, n, other_n = _parted(refs, "v")
+    whole_queries, other_queries, nq, other_nq = _parted(queries, "qv")
+    found = []
+    if n and nq:
+        found.append(_nearest(whole_refs, whole_queries, k, n, nq, leaves, chunk, qblock, first, watch))
+    for of, count, among in ((other_queries, other_nq, refs), (whole_queries, other_n * nq if n < k else 0, other_refs)):
+        if count:
+            firsts = among.select("rid", "label").orderBy(F.col("rid").asc_nulls_last()).limit(k)
+            found.append(of.select("qid").crossJoin(F.broadcast(firsts)).withColumn("dist", F.lit(None).cast("double")))
+    if not found:
+        return refs.sparkSession.createDataFrame([], PARTIAL)
+    # an id that comes twice has its rows in two places
+    w = Window.partitionBy("qid").orderBy(F.col("dist").asc_nulls_last(), F.col("rid").asc_nulls_last())
+    return reduce(DataFrame.unionByName, found).withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).drop("r")
+
+
+def _parted(df: DataFrame, v: str) -> tuple[DataFrame, DataFrame, int, int]:
+    """The rows that have a vector, the others, and how many these are."""
+    whole = F.col(v).isNotNull() & ~F.exists(v, lambda x: x.isNull())
+    n, every = df.agg(F.count_if(whole), F.count("*")).first()
+    return df.where(whole), df.where(~whole), n, every - n
+
+
+def _nearest(refs: DataFrame, queries: DataFrame, k: int, n: int, nq: int, leaves: int | None, chunk: int | None, qblock: int | None,
+             first: int, watch: Callable[[DataFrame], None] | None) -> DataFrame:
+    """The same of n whole references and nq whole queries; k rows for each query at most."""
     spark = refs.sparkSession
-    n, nq = refs.count(), queries.count()
-    if not n or not nq:
-        return spark.createDataFrame([], PARTIAL)
     # vectors are kept as narrow as they come
     width = "<f4" if {refs.schema["v"].dataType.simpleString(), queries.schema["qv"].dataType.simpleString()} == {"array<float>"} else "<f8"
     m = leaves or min(MAX_LEAVES, int(np.ceil(np.sqrt(n))))
@@ -492,9 +517,7 @@ def neighbours(refs: DataFrame, queries: DataFrame, k: int, leaves: int | None =
         # a query without a leaf within its k-th distance so far opens none and is finished
         if last or state.where(F.size("leaves") > 0).isEmpty():
             break
-    # an id that comes twice has its rows in two places
-    w = Window.partitionBy("qid").orderBy("dist", F.col("rid").asc_nulls_last())
-    return state.mapInArrow(_listed, PARTIAL).withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).drop("r")
+    return state.mapInArrow(_listed, PARTIAL)
 
 
 def _opened(tree: PivotTree, k: int, width: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -533,5 +556,5 @@ def knn_classify(refs: DataFrame, queries: DataFrame, k: int = 5, leaves: int |
     q = queries.select(F.col(rid).cast("long").alias("qid"), numbers(queries).alias("qv"))
     top = neighbours(r, q, k, leaves, chunk, qblock, first, watch)
     votes = top.groupBy("qid", "label").agg(F.count("*").alias("n"))
-    pred = votes.groupBy("qid").agg(F.max_by("label", F.struct(F.col("n"), -F.col("label"))).alias("prediction"))
+    pred = votes.groupBy("qid").agg(F.max_by("label", F.when(F.col("label").isNotNull(), F.struct(F.col("n"), -F.col("label")))).alias("prediction"))
     return pred.select(F.col("qid").alias(rid), "prediction")
